@@ -59,9 +59,8 @@ def _repeat_words(hashes: Column) -> Column:
     return _let(ordered, covered)
 
 
-def _with_words(frame: DataFrame) -> DataFrame:
-    """_u: a hash for each word."""
-    return frame.withColumn("_w", words_of(F.col("_text"))).withColumn("_u", F.transform("_w", lambda w: F.xxhash64(w)))
+def _hashes(text: Column) -> Column:
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
 def _grams(u: Column, buckets: int) -> Column:
@@ -82,8 +81,7 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str
     base = docs.select(col(id_col).alias("_id"), col(text_col).cast("string").alias("_text"))
     marked = base.join(F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_good"))), "_id", "left")
     counted = (
-        _with_words(marked)
-        .select(F.coalesce("_good", F.lit(0)).alias("good"), F.explode(_grams(F.col("_u"), buckets)).alias("bucket"))
+        marked.select(F.coalesce("_good", F.lit(0)).alias("good"), F.explode(_let(_hashes(F.col("_text")), lambda u: _grams(u, buckets))).alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("n"), F.sum("good").alias("g"))
         .collect()
@@ -98,40 +96,52 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str
     return [round(math.log(y) - good - math.log(x) + raw, 6) for x, y in zip(n, g)]
 
 
-def _scored(frame: DataFrame, ratios: list[float]) -> DataFrame:
-    """Adds the counts and verdicts to a frame that has _text; all helper columns start with an underscore."""
+def features(text: Column, ratios: list[float], threshold: float) -> Column:
+    """All counts and verdicts of a text, as one struct.
+
+    Every intermediate (words, hashes, windows, n-grams) is bound by a lambda, so that it is computed once wherever the
+    optimizer moves the expression: as plain columns, a pushed-down filter would repeat each of them in all its uses.
+    """
     logs = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    n = F.size("_w")
-    rows = _with_words(frame).withColumns({
-        "_windows": F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda k: F.xxhash64(F.slice("_u", k, WINDOW)))).otherwise(F.array().cast("array<bigint>")),
-        "_g": _grams(F.col("_u"), len(ratios)),
-    })
-    lines = F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), lambda x: F.regexp_replace(x, SPACES + "+", "") != "")
-    total = F.aggregate("_g", F.lit(0.0), lambda acc, b: acc + F.get(logs, b))
-    return rows.withColumns({
-        "_n_words": n.cast("long"),
-        "_word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
-        "_n_symbols": F.coalesce(F.regexp_count("_text", F.lit(SYMBOLS)), F.lit(0)).cast("long"),
-        "_n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "_n_repeat_words": F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), _repeat_words(F.col("_windows"))).otherwise(F.lit(0)).cast("long"),
-        "_score": F.when(F.size("_g") > 0, F.round(total / F.size("_g"), 4)).otherwise(F.lit(0.0)),
-    })
-
-
-def _verdict(frame: DataFrame, threshold: float) -> DataFrame:
-    failed = (F.col("_n_words") < 10) | (100 * F.col("_n_repeat_words") > 20 * F.col("_n_words"))
-    return frame.withColumn("_base_failed", failed).withColumn("_kept", ~F.col("_base_failed") & (F.col("_score") >= threshold))
+    none = F.lit(0).cast("bigint")
+
+    def repeats(windows: Column) -> Column:
+        return F.when(F.size(F.array_distinct(windows)) < F.size(windows), _repeat_words(windows)).otherwise(none)
+
+    def windows_of(u: Column) -> Column:
+        return F.when(F.size(u) >= WINDOW, F.transform(F.sequence(F.lit(1), F.size(u) - (WINDOW - 1)), lambda k: F.xxhash64(F.slice(u, k, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+
+    def mean(grams: Column) -> Column:
+        return F.when(F.size(grams) > 0, F.round(F.aggregate(grams, F.lit(0.0), lambda acc, b: acc + F.get(logs, b)) / F.size(grams), 4)).otherwise(F.lit(0.0))
+
+    def dup_lines(lines: Column) -> Column:
+        return (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")
+
+    def of_words(words: Column) -> Column:
+        def of_hashes(u: Column) -> Column:
+            return F.struct(_let(windows_of(u), repeats).alias("repeat"), _let(_grams(u, len(ratios)), mean).alias("llr"))
+
+        return F.struct(F.size(words).cast("bigint").alias("n"), F.char_length(F.array_join(words, "")).cast("bigint").alias("chars"), _let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes).alias("u"))
+
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    def verdict(w: Column) -> Column:
+        failed = (w["n"] < 10) | (100 * w["u"]["repeat"] > 20 * w["n"])
+        return F.struct(
+            w["n"].alias("n_words"), w["chars"].alias("word_chars"), F.coalesce(F.regexp_count(text, F.lit(SYMBOLS)), F.lit(0)).cast("bigint").alias("n_symbols"), _let(lines, dup_lines).alias("n_dup_lines"),
+            w["u"]["repeat"].alias("n_repeat_words"), failed.alias("base_failed"), (~failed & (w["u"]["llr"] >= threshold)).alias("kept"), w["u"]["llr"].alias("llr"),
+        )
+
+    return _let(_let(words_of(text), of_words), verdict)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, llr."""
     ratios = fit(docs, trusted_ids(labels, max_trusted), buckets, id_col, text_col)
-    out = _verdict(_scored(keyed_text(docs, id_col, text_col).withColumnRenamed("text", "_text"), ratios), threshold)
-    return out.select("doc_id", *(F.col("_" + x).alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")), F.col("_score").alias("llr"))
+    return keyed_text(docs, id_col, text_col).select("doc_id", features(F.col("text"), ratios, threshold).alias("f")).select("doc_id", "f.*")
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that are kept, with all their columns."""
     ratios = fit(docs, trusted_ids(labels, max_trusted), buckets, id_col, text_col)
-    packed = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("_row")).withColumn("_text", F.col("_row")[text_col].cast("string"))
-    return _verdict(_scored(packed, ratios), threshold).where("_kept").select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    return docs.where(features(col(text_col).cast("string"), ratios, threshold)["kept"])
