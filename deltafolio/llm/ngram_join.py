@@ -9,7 +9,7 @@ routing: in one global order (rare shingles first), two sets as similar as the t
 n - ceil(t n) + 1 shingles of either. Every set goes to the leaf of each of those. Then:
 
 1. equal sets become one representative;
-2. in leaves of up to ``SMALL`` sets, an R-tree self-join bounds all pairs; in larger leaves each set is first paired with
+2. in leaves of up to ``SMALL`` sets, which are single nodes, all pairs are bounded; in larger leaves each set is first paired with
    the leaf's smallest one only, so a leaf gives as many pairs as it has sets;
 3. pairs that pass the bound are verified by their true sets, and links make components;
 4. larger leaves whose sets are not all in one component by now are joined again by the R-tree, without pairs that already
@@ -38,43 +38,78 @@ from .common import col, id_type, keyed_text, materialize, release
 
 WORDS, PERCENT = 5, 80
 GROUPS = 48
+#: Groups of the finer point that bounds the pairs which leave the tree.
+FINE = 256
 BUCKET_BITS = 16
-#: Leaves up to this size are joined outright.
-SMALL = 24
+#: Leaves up to this size are one node: all their points are compared.
+SMALL = 8
+#: Ids of documents in pairs that may be broadcast: 32 MB.
+BROADCAST_IDS = 4_000_000
 #: Children of an R-tree node.
 FANOUT = 16
 _MULTIPLIER = 0x9E3779B97F4A7C15
-WORD_MEMO = 400_000
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+    """Sorted distinct 64-bit hashes of texts' shingles; words are hashed by tables of random numbers, many texts at once."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, {}
+        import numpy as np
 
-    def __call__(self, text: str | None):
+        self.words = words
+        self.space = np.zeros(256, bool)
+        self.space[[0x20, *range(0x09, 0x0E)]] = True
+        self.table = np.random.default_rng(20240601).integers(0, 1 << 64, 64 * 256, np.uint64)
+
+    def _mixed(self, parts):
         import numpy as np
-        import xxhash
-
-        found = (text or "").encode().lower().split()  # ASCII letters and ASCII white space only
-        if not found:
-            return np.empty(0, np.uint64)
-        memo = self.memo
-        if len(memo) > WORD_MEMO:
-            memo.clear()
-        for w in found:
-            if w not in memo:
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
-        n, k = len(h), self.words
-        if n < k:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(found), seed=n)], np.uint64)
-        out = np.zeros(n - k + 1, np.uint64)
-        for j in range(k):
-            out = (out ^ h[j : n - k + 1 + j]) * np.uint64(_MULTIPLIER)
+
+        out = np.zeros(len(parts[0]), np.uint64)
+        for h in parts:
+            out = (out ^ h) * np.uint64(_MULTIPLIER)
             out ^= out >> np.uint64(29)
-        return np.unique(out)
+        return out
+
+    def batch(self, texts: list[str | None]) -> list:
+        import numpy as np
+
+        k, none = self.words, np.empty(0, np.uint64)
+        data = [(t or "").encode().lower() for t in texts]  # lower() of bytes is A-Z only
+        buffer = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
+        ends = np.cumsum([len(d) + 1 for d in data])
+        solid = np.flatnonzero(~self.space[buffer])
+        if not len(solid):
+            return [none] * len(texts)
+        first = np.flatnonzero(np.diff(solid, prepend=-2) > 1)
+        starts = solid[first]
+        place = solid - np.repeat(starts, np.diff(first, append=len(solid)))
+        value = self.table[(place & 63) << 8 | buffer[solid]]
+        far = np.flatnonzero(place >= 64)
+        value[far] *= (2 * (place[far] >> 6) + 1).astype(np.uint64)
+        h = np.add.reduceat(value, first)
+        bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
+        shingles = self._mixed([h[j : len(h) - k + 1 + j] for j in range(k)]) if len(h) >= k else none
+        out = []
+        for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            n = end - begin
+            if n >= k:
+                out.append(np.unique(shingles[begin : end - k + 1]))
+            else:
+                out.append(self._mixed([h[begin + j : begin + j + 1] for j in range(n)]) ^ np.uint64(n) if n else none)
+        return out
+
+    def __call__(self, text: str | None):
+        return self.batch([text])[0]
+
+
+def by_size(batch, column: int, limit: int = 1 << 20) -> Iterator[tuple]:
+    """(part of the batch, its texts), with about ``limit`` characters each; one text may be longer."""
+    texts, begin, held = batch.column(column).to_pylist(), 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= limit or k == len(texts) - 1:
+            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
+            begin, held = k + 1, 0
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -174,11 +209,9 @@ def shingle_counters(docs: DataFrame, words: int = WORDS, bits: int = BUCKET_BIT
 
         shingles, total = Shingler(words), np.zeros(1 << bits, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                h = shingles(text)
-                total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) if len(h) > 4096 else 0
-                if 0 < len(h) <= 4096:
-                    np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
+            for _, texts in by_size(batch, 0):
+                h = np.concatenate(shingles.batch(texts))
+                total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["bucket", "n"])
 
@@ -189,8 +222,8 @@ def shingle_counters(docs: DataFrame, words: int = WORDS, bits: int = BUCKET_BIT
     return out
 
 
-def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent: int = PERCENT, bits: int = BUCKET_BITS, chunk: int = 2000) -> DataFrame:
-    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts (the point)."""
+def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent: int = PERCENT, bits: int = BUCKET_BITS) -> DataFrame:
+    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts and fine (points)."""
     import numpy as np
 
     place = np.empty(1 << bits, np.uint64)
@@ -201,25 +234,27 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
         import pyarrow as pa
 
         shingles, low = Shingler(words), np.uint64(64 - bits)
+        rest = np.uint64((1 << int(low)) - 1)
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
-                sizes, prints, prefixes, points = [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    h = shingles(text)
+            for batch, texts in by_size(whole, 1):
+                sizes, prints, prefixes, points, fine = [], [], [], [], []
+                for h in shingles.batch(texts):
                     n = len(h)
                     sizes.append(n)
                     prints.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if n else None)
                     points.append(group_counts(h).tobytes() if n else None)
+                    fine.append(group_counts(h, FINE).tobytes() if n else None)
                     # The bucket's rank takes the place of its bits: another order of the same hashes, one to one.
-                    ordered = np.sort(place[(h >> low).astype(np.int64)] << low | h & np.uint64((1 << int(low)) - 1)) if n else h
-                    prefixes.append(ordered[: prefix_length(n, percent)].view(np.int64) if n else [])
+                    if n:
+                        p = prefix_length(n, percent)
+                        h = np.sort(np.partition(place[(h >> low).astype(np.int64)] << low | h & rest, p - 1)[:p])
+                    prefixes.append(h.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary())],
-                    ["doc_id", "n_shingles", "fp", "prefix", "counts"],
+                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary()), pa.array(fine, pa.binary())],
+                    ["doc_id", "n_shingles", "fp", "prefix", "counts", "fine"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(docs, 'doc_id')}, n_shingles bigint, fp binary, prefix array<bigint>, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(docs, 'doc_id')}, n_shingles bigint, fp binary, prefix array<bigint>, counts binary, fine binary")
 
 
 def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
@@ -239,23 +274,42 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
             batch = pa.Table.from_batches(held)
             leaves = batch.column("leaf").to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], leaves[1:] != leaves[:-1])))
-            ids, sizes, places = (batch.column(c).to_numpy() for c in ("node", "n", "pos"))
+            ids, n, p = (batch.column(c).to_numpy() for c in ("node", "n", "pos"))
             points = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(len(ids), GROUPS)
             labels = batch.column("component").to_numpy() if labelled else None
-            for begin, end in zip(starts, [*starts[1:], len(leaves)]):
-                if end - begin < 2:
-                    continue
-                own = slice(begin, end)
-                n, p, node_ids = sizes[own], places[own], ids[own]
-                for i, j in CountTree(points[own], n, percent).pairs():
-                    # The shared shingle's place in either order bounds what the sets share before and after it.
-                    bound = np.minimum(p[i], p[j]) + 1 + np.minimum(n[i] - p[i], n[j] - p[j]) - 1
-                    keep = (bound >= needed(n[i], n[j], percent)) & (node_ids[i] != node_ids[j])
-                    if labelled:
-                        keep &= labels[own][i] != labels[own][j]
-                    a, b = node_ids[i][keep], node_ids[j][keep]
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
+
+            def kept(i, j):
+                # The shared shingle's place in either order bounds what the sets share before and after it.
+                bound = np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j])
+                keep = (bound >= needed(n[i], n[j], percent)) & (ids[i] != ids[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                return keep & (labels[i] != labels[j]) if labelled else keep
+
+            def out(i, j):
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names)
+
+            sizes = np.diff(starts, append=len(leaves))
+            # Leaves that are one node, all of them at once: each point with the next, the next but one and so on.
+            one = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+            for apart in range(1, SMALL):
+                i, j = one[:-apart], one[apart:]
+                same = leaves[i] == leaves[j]
+                if not same.any():
+                    break
+                i, j = i[same], j[same]
+                keep = kept(i, j)
+                i, j = i[keep], j[keep]
+                for k in range(0, len(i), 8192):
+                    x, y = i[k : k + 8192], j[k : k + 8192]
+                    ok = overlap_bound(points[x], n[x], points[y], n[y]) >= needed(n[x], n[y], percent)
+                    if ok.any():
+                        yield out(x[ok], y[ok])
+            for begin, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+                own = slice(begin, begin + size)
+                for i, j in CountTree(points[own], n[own], percent).pairs():
+                    i, j = i + begin, j + begin
+                    keep = kept(i, j)
+                    if keep.any():
+                        yield out(i[keep], j[keep])
 
         # Rows come sorted by leaf: keep those of the last leaf until it is complete.
         held: list = []
@@ -278,28 +332,33 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, node: str, percent: int) -> DataFrame:
-    """Pairs whose summed coordinate minima allow a link."""
-    own = lambda c: points.select(F.col("node").alias(c), F.col("n").alias(c + "_n"), F.col("counts").alias(c + "_counts"))
+    """Pairs whose summed coordinate minima allow a link, by the finer points."""
+    own = lambda c: points.select(F.col("node").alias(c), F.col("n").alias(c + "_n"), F.col("fine").alias(c + "_fine"))
     both = pairs.join(own("x"), "x").join(own("y"), "y").where((100 * F.col("x_n") >= percent * F.col("y_n")) & (100 * F.col("y_n") >= percent * F.col("x_n")))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2048):
+                batch = whole.slice(k, 2048)
                 at = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-                a, b = (np.frombuffer(b"".join(at[c].to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("x_counts", "y_counts"))
+                a, b = (np.frombuffer(b"".join(at[c].to_pylist()), np.uint8).reshape(-1, FINE) for c in ("x_fine", "y_fine"))
                 n, m = at["x_n"].to_numpy(), at["y_n"].to_numpy()
                 keep = overlap_bound(a, n, b, m) >= needed(n, m, percent)
                 yield pa.RecordBatch.from_arrays([at["x"], at["y"]], ["x", "y"]).filter(pa.array(keep))
 
-    return both.select("x", "y", "x_n", "y_n", "x_counts", "y_counts").mapInArrow(run, f"x {node}, y {node}")
+    return both.select("x", "y", "x_n", "y_n", "x_fine", "y_fine").mapInArrow(run, f"x {node}, y {node}").distinct()
 
 
-def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int, chunk: int = 500) -> DataFrame:
-    """(node, tokens) of the documents that are in pairs; their texts are read again."""
-    wanted = docs.join(ids, docs["doc_id"] == ids["node"], "left_semi")
+def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int) -> DataFrame:
+    """(node, tokens) of the documents that are in pairs; their texts are read again.
+
+    Up to BROADCAST_IDS ids are broadcast (8 bytes each), so that no text is shuffled; more are joined by a shuffle.
+    """
+    few = ids.count() <= BROADCAST_IDS
+    wanted = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["node"], "left_semi")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -307,16 +366,15 @@ def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int, chunk: int = 5
 
         shingles = Shingler(words)
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["node", "tokens"])
+            for batch, texts in by_size(whole, 1):
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.view(np.int64) for h in shingles.batch(texts)], pa.list_(pa.int64()))], ["node", "tokens"])
 
     return wanted.select("doc_id", "text").mapInArrow(run, f"node {node}, tokens array<bigint>")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, node: str, words: int, percent: int) -> DataFrame:
     """Pairs that are links by their true sets."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    ids = materialize(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "pair-ids")
     sets = materialize(_sets(docs, ids, node, words), "pair-sets")
     # Pairs are few by now; each set moves once for each pair it is in.
     both = pairs.join(sets.select(F.col("node").alias("x"), F.col("tokens").alias("x_tokens")), "x").join(sets.select(F.col("node").alias("y"), F.col("tokens").alias("y_tokens")), "y")
@@ -354,12 +412,13 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     table = materialize(sets_table(frame, shingle_counters(frame, words), words, percent), "sets")
     linked = table.where("fp is not null and doc_id is not null")
     first = linked.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    kept = materialize(
-        linked.join(first.select("fp", F.col("node").alias("doc_id")), ["fp", "doc_id"], "left_semi").dropDuplicates(["fp", "doc_id"]).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "prefix", "counts"), "points"
-    )
-    points = kept.select("node", "n", "counts")
+    # Documents with the set of another one: they are left out of all that follows, up to BROADCAST_IDS of them by a broadcast.
+    copies = materialize(linked.select("fp", "doc_id").join(first, "fp").where("doc_id <> node").distinct(), "copies")
+    out = copies.select("fp", "doc_id")
+    kept = linked.join(F.broadcast(out) if copies.count() <= BROADCAST_IDS // 4 else out, ["fp", "doc_id"], "left_anti")
+    points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine"), "points")
 
-    routed = kept.select("node", "n", F.posexplode("prefix").alias("pos", "leaf"))
+    routed = kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "leaf"))
     leaf = Window.partitionBy("leaf")
     shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min(F.struct("n", "node")).over(leaf)}).where("size > 1")
     leaves = materialize(shared.select("leaf", "node", "n", "pos", "size", F.col("lead.node").alias("lead")), "leaves")
@@ -367,22 +426,22 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     large = leaves.where(F.col("size") > SMALL)
     small = leaves.where(F.col("size") <= SMALL).select("leaf", "node", "n", "pos").join(points.select("node", "counts"), "node")
     stars = large.where("node <> lead").select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y")).distinct()
-    candidates = _leaf_pairs(small, node, percent, labelled=False).unionByName(_bounded(stars, points, node, percent)).distinct()
-    pairs = materialize(candidates, "pairs")
+    candidates = _leaf_pairs(small, node, percent, labelled=False).unionByName(stars).distinct()
+    pairs = materialize(_bounded(candidates, points, node, percent), "pairs")
     links = materialize(_verified(frame, pairs, node, words, percent), "links-1")
     labels = connected(links)
 
     labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high")
     rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "counts"), "node")
-    more = materialize(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), "pairs-2")
+    more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = materialize(_verified(frame, more, node, words, percent), "links-2")
     # The first components stand for their members: star edges and the new links close them.
     stars2 = labels.where("node <> component").select(F.col("component").alias("x"), F.col("node").alias("y"))
     # Equal sets: every document to its representative.
-    copies = linked.join(first, "fp").where("doc_id <> node").select(F.col("node").alias("x"), F.col("doc_id").alias("y")).distinct()
-    final = connected(stars2.unionByName(links2).unionByName(copies))
-    release(leaves, pairs, more, kept)
+    equal = copies.select(F.col("node").alias("x"), F.col("doc_id").alias("y"))
+    final = connected(stars2.unionByName(links2).unionByName(equal))
+    release(leaves, pairs, more, copies)
     return table.select("doc_id", "n_shingles").join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
