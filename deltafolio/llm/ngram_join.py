@@ -9,8 +9,8 @@ routing: in one global order (rare shingles first), two sets as similar as the t
 n - ceil(t n) + 1 shingles of either. Every set goes to the leaf of each of those. Then:
 
 1. equal sets become one representative;
-2. in leaves of up to ``SMALL`` sets, which are single nodes, all pairs are bounded; in larger leaves each set is first paired with
-   the leaf's smallest one only, so a leaf gives as many pairs as it has sets;
+2. in leaves of up to ``SMALL`` sets, which are single nodes, all pairs are bounded; each set of larger leaves is
+   first paired with the first sets of those leaves only (LEADS of them), so that these pairs are as many as the sets;
 3. pairs that pass the bound are verified by their true sets, and links make components;
 4. larger leaves whose sets are not all in one component by now are joined again by the R-tree, without pairs that already
    are in one component; what that finds is verified and the components are closed. No link between components is lost, and
@@ -43,6 +43,8 @@ FINE = 256
 BUCKET_BITS = 16
 #: Leaves up to this size are one node: all their points are compared.
 SMALL = 8
+#: Leads that a set of larger leaves is first paired with.
+LEADS = 4
 #: Ids of documents in pairs that may be broadcast: 32 MB.
 BROADCAST_IDS = 4_000_000
 #: Children of an R-tree node.
@@ -258,7 +260,7 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
 
 
 def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
-    """R-tree self-join of each leaf. rows: leaf, node, n, pos, counts and, if labelled, component."""
+    """R-tree self-join of each leaf. rows: leaf, node, n, pos, counts and, if labelled, fine and component."""
     spread = rows.repartition("leaf").sortWithinPartitions("leaf")
 
     def run(batches: Iterator) -> Iterator:
@@ -277,6 +279,15 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
             ids, n, p = (batch.column(c).to_numpy() for c in ("node", "n", "pos"))
             points = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(len(ids), GROUPS)
             labels = batch.column("component").to_numpy() if labelled else None
+            fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(len(ids), FINE) if labelled else points
+
+            def bounded(i, j):
+                """Places of the pairs that the finest points at hand allow."""
+                parts = [np.empty(0, bool)]
+                for k in range(0, len(i), 4096):
+                    x, y = i[k : k + 4096], j[k : k + 4096]
+                    parts.append(overlap_bound(fine[x], n[x], fine[y], n[y]) >= needed(n[x], n[y], percent))
+                return np.concatenate(parts)
 
             def kept(i, j):
                 # The shared shingle's place in either order bounds what the sets share before and after it.
@@ -298,18 +309,20 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
                 i, j = i[same], j[same]
                 keep = kept(i, j)
                 i, j = i[keep], j[keep]
-                for k in range(0, len(i), 8192):
-                    x, y = i[k : k + 8192], j[k : k + 8192]
-                    ok = overlap_bound(points[x], n[x], points[y], n[y]) >= needed(n[x], n[y], percent)
-                    if ok.any():
-                        yield out(x[ok], y[ok])
+                ok = bounded(i, j)
+                if ok.any():
+                    yield out(i[ok], j[ok])
             for begin, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
                 own = slice(begin, begin + size)
                 for i, j in CountTree(points[own], n[own], percent).pairs():
                     i, j = i + begin, j + begin
                     keep = kept(i, j)
-                    if keep.any():
-                        yield out(i[keep], j[keep])
+                    i, j = i[keep], j[keep]
+                    if labelled:
+                        keep = bounded(i, j)
+                        i, j = i[keep], j[keep]
+                    if len(i):
+                        yield out(i, j)
 
         # Rows come sorted by leaf: keep those of the last leaf until it is complete.
         held: list = []
@@ -420,12 +433,15 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
 
     routed = kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "leaf"))
     leaf = Window.partitionBy("leaf")
-    shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min(F.struct("n", "node")).over(leaf)}).where("size > 1")
-    leaves = materialize(shared.select("leaf", "node", "n", "pos", "size", F.col("lead.node").alias("lead")), "leaves")
+    shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min("node").over(leaf)}).where("size > 1")
+    leaves = materialize(shared.select("leaf", "node", "n", "pos", "size", "lead"), "leaves")
 
     large = leaves.where(F.col("size") > SMALL)
     small = leaves.where(F.col("size") <= SMALL).select("leaf", "node", "n", "pos").join(points.select("node", "counts"), "node")
-    stars = large.where("node <> lead").select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y")).distinct()
+    # The LEADS leads that a set meets in most leaves: the sets of a group of near copies mostly agree on them, and step 4 finds what is missed.
+    met = large.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("times"))
+    led = met.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "lead"))).where(F.col("rank") <= LEADS)
+    stars = led.select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y"))
     candidates = _leaf_pairs(small, node, percent, labelled=False).unionByName(stars).distinct()
     pairs = materialize(_bounded(candidates, points, node, percent), "pairs")
     links = materialize(_verified(frame, pairs, node, words, percent), "links-1")
@@ -433,7 +449,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
 
     labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high")
-    rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "counts"), "node")
+    rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "counts", "fine"), "node")
     more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = materialize(_verified(frame, more, node, words, percent), "links-2")
     # The first components stand for their members: star edges and the new links close them.
