@@ -1,6 +1,557 @@
-def queries():
-    return {}
+"""Registered queries of the edition-change operators over the driver's tables, each with its SQL where SQL has a form.
 
+Two editions of a keyed table: A is the rows whose key is no multiple of 10, B those whose key is not 1 modulo 10, with the
+compared value altered where the key is a multiple of 7.
+"""
 
-def oracle_sql():
-    return {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.similarity import disappeared, length_bound, ratio
+from ..operators import bands, classify, containers, diffing, landing, matching, reporting
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return df.select(*cols) if cols else df
+
+
+# ---- editions of tables -------------------------------------------------------------------------------------------------
+
+
+def customers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    return c.where("k % 10 <> 0"), c.where("k % 10 <> 1").withColumn("segment", F.when(F.col("k") % 7 == 0, F.concat("segment", F.lit(" REVISED"))).otherwise(F.col("segment")))
+
+
+_C = """a AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_custkey % 10 <> 0),
+     b AS (SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment || ' REVISED' ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 10 <> 1)"""
+_LOG = f"""{_C}, change_log AS (
+    SELECT 'added' AS change_type, b.k AS k, NULL AS old, b.segment AS new FROM b LEFT JOIN a USING (k) WHERE a.k IS NULL
+    UNION ALL SELECT 'removed', a.k, a.segment, NULL FROM a LEFT JOIN b USING (k) WHERE b.k IS NULL
+    UNION ALL SELECT 'content_changed', a.k, a.segment, b.segment FROM a JOIN b USING (k) WHERE a.segment <> b.segment)"""
+
+
+def log_of(spark: SparkSession, d: str) -> DataFrame:
+    m = matching.match_unique(*customers(spark, d), ["k"])
+    plain = m.where("status <> 'matched'").select(F.col("status").alias("change_type"), "k", F.col("a.segment").alias("old"), F.col("b.segment").alias("new"))
+    content = diffing.field_diff(m.where("status = 'matched'"), ["k"], ["name", "segment"]).select(F.lit("content_changed").alias("change_type"), "k", "old", "new")
+    return plain.unionByName(content)
+
+
+@query(f"WITH {_C} SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'matched' END AS status, a.segment AS old, b.segment AS new FROM a FULL JOIN b ON a.k = b.k")
+def match_unique(spark, d):
+    return matching.match_unique(*customers(spark, d), ["k"]).select("k", "status", F.col("a.segment").alias("old"), F.col("b.segment").alias("new"))
+
+
+def order_editions(spark, d):
+    o = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus").toDF("ord", "cust", "priority", "state")
+    return o.where("ord % 10 <> 0"), o.where("ord % 10 <> 1")
+
+
+_O = """a AS (SELECT o_orderkey AS ord, o_custkey AS cust, o_orderpriority AS priority, o_orderstatus AS state FROM orders WHERE o_orderkey % 10 <> 0),
+     b AS (SELECT o_orderkey AS ord, o_custkey AS cust, o_orderpriority AS priority, o_orderstatus AS state FROM orders WHERE o_orderkey % 10 <> 1)"""
+
+
+@query(f"""WITH {_O}, la AS (SELECT cust, priority, max(ord) AS ord FROM a GROUP BY ALL), lb AS (SELECT cust, priority, max(ord) AS ord FROM b GROUP BY ALL)
+SELECT cust, priority, la.ord AS a_ord, lb.ord AS b_ord, CASE WHEN la.ord IS NULL THEN 'added' WHEN lb.ord IS NULL THEN 'removed' ELSE 'matched' END AS status FROM la FULL JOIN lb USING (cust, priority)""")
+def match_unique_last_wins(spark, d):
+    a, b = (matching.last_wins(x.select("cust", "priority", "ord"), ["cust", "priority"], "ord") for x in order_editions(spark, d))
+    return matching.match_unique(a, b, ["cust", "priority"]).select("cust", "priority", F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "status")
+
+
+@query(f"""WITH {_O}, ra AS (SELECT *, row_number() OVER (PARTITION BY cust, priority ORDER BY ord) AS n FROM a), rb AS (SELECT *, row_number() OVER (PARTITION BY cust, priority ORDER BY ord) AS n FROM b)
+SELECT cust, priority, CAST(n AS BIGINT) AS nth, ra.ord AS a_ord, rb.ord AS b_ord FROM ra FULL JOIN rb USING (cust, priority, n)""")
+def match_occurrence(spark, d):
+    a, b = (x.select("cust", "priority", "ord") for x in order_editions(spark, d))
+    return matching.match_occurrence(a, b, ["cust", "priority"], ["ord"]).select("cust", "priority", F.col("nth").cast("long").alias("nth"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"))
+
+
+@query(f"WITH {_LOG} SELECT * FROM change_log")
+def change_log(spark, d):
+    return log_of(spark, d)
+
+
+@query(f"WITH {_LOG} SELECT change_type, count(*) AS n FROM change_log GROUP BY ALL")
+def change_summary(spark, d):
+    return log_of(spark, d).groupBy("change_type").agg(F.count("*").alias("n"))
+
+
+@query("""WITH e AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS edition FROM events), p AS (SELECT edition AS edition_a, lead(edition) OVER (ORDER BY edition) AS edition_b FROM e)
+SELECT edition_a, edition_b, edition_a || '_to_' || edition_b AS pair FROM p WHERE edition_b IS NOT NULL""")
+def edition_pairs(spark, d):
+    return landing.edition_pairs(read(spark, d, "events", "ts").select(F.lit("events").alias("manual"), F.date_format("ts", "yyyyMMdd").alias("edition"))).select("edition_a", "edition_b", "pair")
+
+
+@query("""WITH f AS (SELECT p_partkey AS k, unnest(['p_name', 'p_brand', 'p_size']) AS field, unnest([p_name, p_brand, CAST(p_size AS VARCHAR)]) AS old,
+  unnest([CASE WHEN p_partkey % 7 = 0 THEN 'new ' || p_name ELSE p_name END, p_brand, CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size + 1 AS VARCHAR) ELSE CAST(p_size AS VARCHAR) END]) AS new FROM part)
+SELECT * FROM f WHERE old <> new""")
+def field_diff(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_size").withColumnRenamed("p_partkey", "k")
+    b = p.withColumns({"p_name": F.when(F.col("k") % 7 == 0, F.concat(F.lit("new "), "p_name")).otherwise(F.col("p_name")), "p_size": F.when(F.col("k") % 11 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))})
+    return diffing.field_diff(matching.match_unique(p, b, ["k"]), ["k"], ["p_name", "p_brand", "p_size"])
+
+
+@query("""WITH x AS (SELECT event_id AS k, unnest(['type', 'user', 'extra']) AS name, unnest([event_type, CAST(user_id AS VARCHAR), '']) AS old,
+  unnest([CASE WHEN event_id % 7 = 0 THEN 'changed' ELSE event_type END, CAST(user_id AS VARCHAR), CASE WHEN event_id % 5 = 0 THEN 'x' ELSE '' END]) AS new FROM events) SELECT * FROM x WHERE old <> new""")
+def map_column_diff(spark, d):
+    e = read(spark, d, "events", "event_id", "event_type", "user_id")
+    user = F.col("user_id").cast("string")
+    a = F.create_map(F.lit("type"), F.col("event_type"), F.lit("user"), user)
+    b = F.create_map(F.lit("type"), F.when(F.col("event_id") % 7 == 0, "changed").otherwise(F.col("event_type")), F.lit("user"), user)
+    b = F.when(F.col("event_id") % 5 == 0, F.map_concat(b, F.create_map(F.lit("extra"), F.lit("x")))).otherwise(b)
+    return diffing.map_diff(e.select(F.col("event_id").alias("k"), a.alias("a"), b.alias("b")), ["k"], skip=("__unassigned_prefix__",))
+
+
+_LINES = """l AS (SELECT doc_id, CAST(n - 1 AS BIGINT) AS ord, lines[n] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS n))"""
+
+
+def doc_lines_of(spark, d):
+    from ..sources.editions import lines_from_text
+
+    return lines_from_text(read(spark, d, "documents", "doc_id", "text"))
+
+
+@query(f"WITH {_LINES} SELECT doc_id, ord, line, 'p0_b0_l' || ord AS line_id FROM l")
+def doc_lines(spark, d):
+    return doc_lines_of(spark, d).withColumn("line_id", F.concat(F.lit("p0_b0_l"), F.col("ord").cast("string")))
+
+
+@query(f"WITH {_LINES} SELECT doc_id, count(*) AS kept FROM l WHERE length(line) >= 20 AND NOT regexp_matches(line, '(\\. ){{4,}}') AND NOT regexp_matches(line, '^[0-9]{{1,4}}$') GROUP BY doc_id")
+def noise_filter(spark, d):
+    return doc_lines_of(spark, d).where((F.length("line") >= 20) & ~F.col("line").rlike(r"(\. ){4,}") & ~F.col("line").rlike("^[0-9]{1,4}$")).groupBy("doc_id").agg(F.count("*").alias("kept"))
+
+
+@query(f"WITH {_LINES}, p AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l) SELECT doc_id, ord FROM p WHERE NOT coalesce(contains(before, '|') AND length(line) < 40, false) AND NOT contains(line, '$$$')")
+def continued_lag_noise(spark, d):
+    w = Window.partitionBy("doc_id").orderBy("ord")
+    return doc_lines_of(spark, d).withColumn("before", F.lag("line").over(w)).where(~F.coalesce(F.contains("before", F.lit("|")) & (F.length("line") < 40), F.lit(False)) & ~F.contains("line", F.lit("$$$"))).select("doc_id", "ord")
+
+
+@query("SELECT doc_id, md5(lower(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' '))) AS key_md5 FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')")
+def normalize_keys(spark, d):
+    return read(spark, d, "documents", "doc_id", "text").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", F.md5(T.key(F.col("text"))).alias("key_md5"))
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER w AS n, CASE WHEN l_extendedprice - lag(l_extendedprice) OVER w > 5000 THEN 1 ELSE 0 END AS opens FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_linenumber))
+SELECT l_orderkey, l_linenumber, CAST(1 + sum(opens) OVER (PARTITION BY l_orderkey ORDER BY n) AS BIGINT) AS cluster FROM r""")
+def gap_cluster(spark, d):
+    return bands.gap_cluster(read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice"), ["l_orderkey"], "l_extendedprice", 5000, ["l_linenumber"]).select("l_orderkey", "l_linenumber", "cluster")
+
+
+@query("""WITH r AS (SELECT event_id, user_id, epoch(ts) AS t, row_number() OVER w AS n, CASE WHEN floor(epoch(ts)) - floor(lag(epoch(ts)) OVER w) > 3600 THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY floor(epoch(ts)), event_id))
+SELECT event_id, user_id, CAST(1 + sum(opens) OVER (PARTITION BY user_id ORDER BY n) AS BIGINT) AS cluster FROM r""")
+def sessionize_gap(spark, d):
+    e = read(spark, d, "events", "event_id", "user_id", "ts").withColumn("t", F.unix_timestamp("ts"))
+    return bands.gap_cluster(e, ["user_id"], "t", 3600, ["event_id"]).select("event_id", "user_id", "cluster")
+
+
+@query()
+def row_band_fold(spark, d):
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select("l_orderkey", F.struct((F.col("l_quantity") * 2).alias("y0"), F.col("l_linenumber").alias("n"), (F.col("l_quantity") * 2 + 9).alias("y1")).alias("x"))
+    rows = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("lines"))
+    return rows.select("l_orderkey", F.array_join(bands.row_bands(F.transform("lines", lambda x: F.struct(x["y0"].cast("double").alias("y0"), x["y1"].cast("double").alias("y1")))), ",").alias("bands"))
+
+
+@query()
+def cell_merge_fold(spark, d):
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select("l_orderkey", F.struct(F.col("l_quantity").cast("double").alias("x0"), F.col("l_linenumber").cast("string").alias("text")).alias("x"))
+    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("cells")).select("l_orderkey", F.array_join(bands.merged_cells(F.col("cells"), 3.0), "|").alias("cells"))
+
+
+@query("""WITH t AS (SELECT page_id, regexp_extract_all(html, '(?s)<(h1|h2|h3|p|li|title)[^>]*>([^<]*)<', 1) AS tags, regexp_extract_all(html, '(?s)<(h1|h2|h3|p|li|title)[^>]*>([^<]*)<', 2) AS texts FROM pages)
+SELECT page_id, CAST(n - 1 AS BIGINT) AS ord, tags[n] AS tag, texts[n] AS text FROM t, LATERAL (SELECT unnest(range(1, len(tags) + 1)) AS n)""")
+def html_blocks(spark, d):
+    from ..sources.editions import blocks_from_html
+
+    return blocks_from_html(read(spark, d, "pages", "page_id", "html"))
+
+
+_H = """h AS (SELECT doc_id, ord, line, CASE WHEN ord % 11 = 0 THEN 1 WHEN ord % 5 = 0 THEN 2 WHEN ord % 3 = 0 THEN 3 ELSE 4 END AS level FROM l)"""
+
+
+def levelled(spark, d):
+    o = F.col("ord")
+    return doc_lines_of(spark, d).withColumn("level", F.when(o % 11 == 0, 1).when(o % 5 == 0, 2).when(o % 3 == 0, 3).otherwise(4))
+
+
+@query(f"WITH {_LINES}, {_H} SELECT doc_id, ord, CAST(sum(CASE WHEN level = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ord) AS BIGINT) AS section FROM h")
+def section_ord(spark, d):
+    return containers.section_ord(levelled(spark, d), ["doc_id"], F.col("level") == 1).select("doc_id", "ord", "section")
+
+
+@query(f"""WITH {_LINES}, {_H}, g AS (SELECT *, sum(CASE WHEN level < 1 THEN 1 ELSE 0 END) OVER w AS g1, sum(CASE WHEN level < 2 THEN 1 ELSE 0 END) OVER w AS g2, sum(CASE WHEN level < 3 THEN 1 ELSE 0 END) OVER w AS g3 FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY ord)),
+p AS (SELECT doc_id, ord, max(CASE WHEN level = 1 THEN ord END) OVER (PARTITION BY doc_id, g1 ORDER BY ord) AS p1, max(CASE WHEN level = 2 THEN ord END) OVER (PARTITION BY doc_id, g2 ORDER BY ord) AS p2, max(CASE WHEN level = 3 THEN ord END) OVER (PARTITION BY doc_id, g3 ORDER BY ord) AS p3 FROM g)
+SELECT doc_id, ord, concat_ws(' > ', p1, p2, p3) AS path FROM p""")
+def heading_path(spark, d):
+    return containers.heading_path(levelled(spark, d).withColumn("name", F.col("ord").cast("string")), ["doc_id"], "level", "name").select("doc_id", "ord", "path")
+
+
+@query("""WITH b AS (SELECT p_brand, CAST(avg(p_retailprice) AS DOUBLE) AS m, p_type FROM part GROUP BY p_brand, p_type), c AS (SELECT p_partkey, p_brand, p_retailprice FROM part),
+j AS (SELECT p_partkey, b.p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY round(abs(p_retailprice - m), 6), b.p_type) AS n FROM c JOIN b USING (p_brand)) SELECT p_partkey, p_type AS band FROM j WHERE n = 1""")
+def nearest_band(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_brand", "p_retailprice", "p_type")
+    b = p.groupBy("p_brand", "p_type").agg(F.avg("p_retailprice").alias("m"))
+    best = p.drop("p_type").join(b, "p_brand").groupBy("p_partkey").agg(F.min_by("p_type", F.struct(F.round(F.abs(F.col("p_retailprice") - F.col("m")), 6), F.col("p_type"))).alias("band"))
+    return best
+
+
+def event_sides(spark, d):
+    e = read(spark, d, "events", "event_id", "ts", "user_id", "event_type")
+    kinds = e.agg(F.min("event_type").alias("k"))
+    marks = e.join(F.broadcast(kinds), F.col("event_type") == F.col("k")).groupBy("user_id", "ts").agg(F.max("event_id").alias("mark"))
+    return e.join(F.broadcast(kinds), F.col("event_type") != F.col("k")).select("user_id", "ts", "event_id"), marks
+
+
+_E = """k AS (SELECT min(event_type) AS k FROM events), r AS (SELECT event_id, user_id, ts FROM events, k WHERE event_type <> k.k), m AS (SELECT user_id, ts, max(event_id) AS mark FROM events, k WHERE event_type = k.k GROUP BY user_id, ts)"""
+
+
+@query(f"WITH {_E} SELECT r.event_id, m.mark FROM r ASOF LEFT JOIN m ON r.user_id = m.user_id AND r.ts >= m.ts")
+def zone_asof_backward(spark, d):
+    return bands.asof(*event_sides(spark, d), ["user_id"], "ts", "ts", "mark").select("event_id", "mark")
+
+
+@query(f"WITH {_E} SELECT r.event_id, m.mark FROM r ASOF LEFT JOIN m ON r.user_id = m.user_id AND r.ts <= m.ts")
+def zone_asof_forward(spark, d):
+    return bands.asof(*event_sides(spark, d), ["user_id"], "ts", "ts", "mark", forward=True).select("event_id", "mark")
+
+
+@query("""WITH q AS (SELECT DISTINCT date_trunc('quarter', o_orderdate) AS s FROM orders), g AS (SELECT s, lead(s) OVER (ORDER BY s) AS e FROM q)
+SELECT o_orderkey, coalesce(strftime(g.s, '%Y%m%d'), 'unassigned') AS page_range FROM orders LEFT JOIN g ON o_orderdate >= g.s AND (g.e IS NULL OR o_orderdate < g.e)""")
+def page_range_lookup(spark, d):
+    o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
+    starts = o.select(F.date_trunc("quarter", "o_orderdate").alias("s")).distinct()
+    ranges = starts.withColumn("e", F.lead("s").over(Window.orderBy("s")))  # a row for each quarter
+    hit = (F.col("o_orderdate") >= F.col("s")) & (F.col("e").isNull() | (F.col("o_orderdate") < F.col("e")))
+    return o.join(F.broadcast(ranges), hit, "left").select("o_orderkey", F.coalesce(F.date_format("s", "yyyyMMdd"), F.lit("unassigned")).alias("page_range"))
+
+
+def byte_ranges(spark, d):
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("int").alias("q"))
+    odd = F.col("n") % 2 == 1
+    name = lambda m: F.when(F.col("q") % m == 0, F.concat(F.lit("F"), F.col("n").cast("string"))).otherwise("Reserved")
+    return li.where(odd).select("k", F.col("q").alias("s"), (F.col("q") + 20).alias("e"), name(5).alias("name")), li.where(~odd).select("k", F.col("q").alias("s"), (F.col("q") + 5).alias("e"), name(2).alias("name"))
+
+
+_R = """x AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS INTEGER) AS q FROM lineitem), r AS (SELECT k, q AS s, q + 20 AS e, CASE WHEN q % 5 = 0 THEN 'F' || n ELSE 'Reserved' END AS name FROM x WHERE n % 2 = 1), a AS (SELECT k, q AS s, q + 5 AS e, CASE WHEN q % 2 = 0 THEN 'F' || n ELSE 'Reserved' END AS name FROM x WHERE n % 2 = 0)"""
+
+
+@query(f"""WITH {_R}, i AS (SELECT r.k, r.s AS rs, r.e AS re, a.s, a.s || '-' || a.e || ' ' || a.name AS t, a.name <> 'Reserved' AS def FROM r JOIN a ON r.k = a.k AND a.s >= r.s AND a.e <= r.e WHERE r.name = 'Reserved')
+SELECT k, rs, re, coalesce(string_agg(t, ',' ORDER BY s, t) FILTER (WHERE def), '') AS new_fields, coalesce(string_agg(t, ',' ORDER BY s, t) FILTER (WHERE NOT def), '') AS remaining_reserved FROM i GROUP BY k, rs, re HAVING bool_or(def AND s = rs)""")
+def interval_split(spark, d):
+    return diffing.reserved_splits(*byte_ranges(spark, d), ["k"])
+
+
+@query(f"WITH {_R} SELECT r.k, r.s AS a_s, r.e AS a_e, r.name AS a_name, a.s, a.e FROM r JOIN a ON r.k = a.k AND r.s <= a.e AND a.s <= r.e WHERE r.name <> 'Reserved' AND a.name = 'Reserved'")
+def interval_merge(spark, d):
+    return diffing.reserved_merges(*byte_ranges(spark, d), ["k"])
+
+
+@query("""WITH x AS (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' THEN 'Reserved' ELSE o_orderstatus END AS old, CASE WHEN o_orderkey % 7 = 0 THEN 'RESERVED' ELSE o_orderstatus END AS new FROM orders),
+y AS (SELECT k, CASE WHEN lower(old) = 'reserved' AND lower(new) <> 'reserved' THEN 'field_became_defined' WHEN lower(old) <> 'reserved' AND lower(new) = 'reserved' THEN 'field_became_reserved' END AS change_type FROM x) SELECT * FROM y WHERE change_type IS NOT NULL""")
+def reserved_transition(spark, d):
+    o = read(spark, d, "orders", "o_orderkey", "o_orderstatus")
+    old, new = F.when(F.col("o_orderstatus") == "F", "Reserved").otherwise(F.col("o_orderstatus")), F.when(F.col("o_orderkey") % 7 == 0, "RESERVED").otherwise(F.col("o_orderstatus"))
+    return o.select(F.col("o_orderkey").alias("k"), diffing.reserved_transition(old, new).alias("change_type")).where("change_type is not null")
+
+
+@query("SELECT l_orderkey, arg_min(l_partkey, l_linenumber * 100000000 + l_partkey) FILTER (WHERE l_returnflag <> 'N') AS signature FROM lineitem GROUP BY l_orderkey")
+def signature_first_nonboring(spark, d):
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("p"), F.when(F.col("l_returnflag") != "N", F.col("l_linenumber").cast("long") * 100000000 + F.col("l_partkey")).alias("n"))
+    return li.groupBy("l_orderkey").agg(F.min_by("p", "n").alias("signature"))
+
+
+@query("SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark, d):
+    return containers.duplicates(read(spark, d, "lineitem", "l_orderkey", "l_suppkey"), ["l_orderkey", "l_suppkey"])
+
+
+@query(f"""WITH {_LINES}, c AS (SELECT doc_id, ord, string_split(line, ' | ') AS cells FROM l WHERE contains(line, ' | ')), x AS (SELECT doc_id, ord, CAST(n - 1 AS INTEGER) AS column_index, cells[n] AS old, CASE WHEN (doc_id + n) % 7 = 0 THEN cells[n] || ' x' ELSE cells[n] END AS new FROM c, LATERAL (SELECT unnest(range(1, len(cells) + 1)) AS n))
+SELECT * FROM x WHERE column_index >= 1 AND trim(regexp_replace(old, '[ \\t\\n\\r]+', ' ', 'g'), ' ') <> trim(regexp_replace(new, '[ \\t\\n\\r]+', ' ', 'g'), ' ')""")
+def cells_diff(spark, d):
+    rows = doc_lines_of(spark, d).where(F.contains("line", F.lit(" | "))).withColumn("a_cells", F.split("line", r" \| "))
+    rows = rows.withColumn("b_cells", F.transform("a_cells", lambda c, k: F.when((F.col("doc_id") + k + 1) % 7 == 0, F.concat(c, F.lit(" x"))).otherwise(c)))
+    return diffing.cells_diff(rows, ["doc_id", "ord"])
+
+
+def part_names(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), F.col("p_partkey").alias("ord"), F.concat("p_name", F.lit(" "), "p_type").alias("text"))
+    return p.where("ord % 2 = 0"), p.where("ord % 2 = 1")
+
+
+@query("""WITH p AS (SELECT p_brand AS brand, p_type AS kind, p_partkey AS ord, p_name || ' ' || p_type AS t FROM part), e AS (SELECT a.brand, a.kind, a.ord AS a_ord, b.ord AS b_ord, levenshtein(a.t, b.t) AS x FROM p a JOIN p b ON a.brand = b.brand AND a.kind = b.kind WHERE a.ord % 2 = 0 AND b.ord % 2 = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY brand, kind, a_ord ORDER BY x, a_ord, b_ord) AS ra, row_number() OVER (PARTITION BY brand, kind, b_ord ORDER BY x, a_ord, b_ord) AS rb FROM e) SELECT a_ord, b_ord, CAST(x AS INTEGER) AS distance FROM r WHERE ra = 1 AND rb = 1""")
+def fuzzy_mutual_best(spark, d):
+    a, b = part_names(spark, d)
+    e = a.toDF("brand", "kind", "a_ord", "a_text").join(b.toDF("brand", "kind", "b_ord", "b_text"), ["brand", "kind"]).withColumn("distance", F.levenshtein("a_text", "b_text"))
+    return matching.mutual_best(e.withColumn("ratio", -F.col("distance")), ["brand", "kind"]).select("a_ord", "b_ord", "distance")
+
+
+@query()
+def fuzzy_serial(spark, d):
+    a, b = part_names(spark, d)
+    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "serial").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"))
+
+
+@query()
+def fuzzy_global(spark, d):
+    a, b = part_names(spark, d)
+    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "global").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"))
+
+
+def turn_pairs(spark, d):
+    """Each conversation's turns as paragraphs; the new edition drops, joins and rewords some."""
+    c = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    old = F.transform("t", lambda x: T.clean(x["text"]))
+    new = F.filter(F.transform("t", lambda x, k: F.when((F.col("conv_id") + k) % 7 == 0, F.lit(None)).when((F.col("conv_id") + k) % 5 == 0, F.concat(T.clean(x["text"]), F.lit(" revised"))).otherwise(T.clean(x["text"]))), lambda x: x.isNotNull())
+    return c.select("conv_id", old.alias("old"), new.alias("new"))
+
+
+@query()
+def paragraph_align(spark, d):
+    return matching.align_paragraphs(turn_pairs(spark, d), ["conv_id"])
+
+
+@query("""WITH t AS (SELECT conv_id, turn, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' ') AS text FROM conversations WHERE text IS NOT NULL), n AS (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM t),
+b AS (SELECT conv_id, turn AS b_ord, text || ' ' || nx AS text FROM n WHERE turn % 2 = 0 AND nx IS NOT NULL) SELECT n.conv_id, n.turn AS a_ord, b.b_ord FROM n JOIN b ON n.conv_id = b.conv_id AND n.text || ' ' || n.nx = b.text WHERE n.nx IS NOT NULL""")
+def reflow_adjacent(spark, d):
+    a = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null").select("conv_id", F.col("turn").alias("ord"), T.clean(F.col("text")).alias("text"))
+    b = a.withColumn("nx", F.lead("text").over(Window.partitionBy("conv_id").orderBy("ord"))).where("nx is not null and ord % 2 = 0").select("conv_id", "ord", F.concat_ws(" ", "text", "nx").alias("text"))
+    return matching.reflow_adjacent(a, b, ["conv_id"]).select("conv_id", "a_ord", "b_ord")
+
+
+@query()
+def position_shift(spark, d):
+    item = F.struct(F.col("l_linenumber").cast("string").alias("position"), F.col("l_partkey").cast("string").alias("name"))
+    g = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("removed"))
+    return matching.shifted(g.withColumn("added", F.transform(F.slice("removed", 2, 100), lambda x: F.struct(F.concat(x["position"], F.lit("s")).alias("position"), x["name"].alias("name")))), ["l_orderkey"])
+
+
+@query("""WITH r AS (SELECT DISTINCT user_id AS scope, 'a' || (event_id % 3) AS s, event_type || (event_id % 4) AS line FROM events WHERE event_id % 2 = 0), a AS (SELECT DISTINCT user_id AS scope, 'b' || (event_id % 3) AS s, event_type || (event_id % 4) AS line FROM events WHERE event_id % 2 = 1),
+rn AS (SELECT scope, s, count(*) AS n FROM r GROUP BY ALL), an AS (SELECT scope, s, count(*) AS n FROM a GROUP BY ALL), j AS (SELECT r.scope, r.s AS a, a.s AS b, count(*) AS shared FROM r JOIN a ON r.scope = a.scope AND r.line = a.line GROUP BY ALL),
+g AS (SELECT j.scope, a, b, shared FROM j JOIN rn ON rn.scope = j.scope AND rn.s = a JOIN an ON an.scope = j.scope AND an.s = b WHERE least(rn.n, an.n) >= 0.5 * greatest(rn.n, an.n) AND shared >= 0.2 * rn.n)
+SELECT scope, a, b, shared FROM (SELECT *, count(*) OVER (PARTITION BY scope, a) AS ca, count(*) OVER (PARTITION BY scope, b) AS cb FROM g) WHERE ca = 1 AND cb = 1""")
+def section_move_coverage(spark, d):
+    e = read(spark, d, "events", "event_id", "user_id", "event_type")
+    side = lambda k, p: e.where(F.col("event_id") % 2 == k).select(F.col("user_id").alias("scope"), F.concat(F.lit(p), (F.col("event_id") % 3).cast("string")).alias("section"), F.concat("event_type", (F.col("event_id") % 4).cast("string")).alias("line")).distinct()
+    return matching.section_moves(side(0, "a"), side(1, "b"), ["scope"], coverage=0.2).select("scope", "a", "b", "shared")
+
+
+@query()
+def disappeared_content(spark, d):
+    c = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null")
+    new = F.array_join(F.slice(F.split("text", " "), 8, 1_000_000), " ")
+    rows = c.select("conv_id", "turn", F.col("text").alias("old"), new.alias("new")).withColumn("gone", disappeared(F.col("old"), F.col("new")))
+    return rows.select("conv_id", "turn", F.array_join("gone", " ¶ ").alias("gone"), F.round(ratio(F.col("old"), F.col("new")), 3).alias("ratio"), length_bound(F.col("old"), F.col("new")).alias("bound"))
+
+
+@query("""WITH x AS (SELECT doc_id, CASE quality WHEN 1 THEN 'editorial_change' ELSE 'business_rule_change' END AS c, toxic = 1 AS gone FROM labels)
+SELECT doc_id, CASE WHEN c = 'editorial_change' AND gone THEN 'business_rule_change' ELSE c END AS ai_category, c = 'editorial_change' AND gone AS safety_net_override, CASE WHEN c = 'editorial_change' AND gone THEN c END AS ai_original_category FROM x""")
+def safety_net(spark, d):
+    rows = read(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "editorial_change").otherwise("business_rule_change").alias("ai_category"), F.col("toxic"))
+    return classify.safety_net(rows, F.col("toxic") == 1).select("doc_id", "ai_category", "safety_net_override", "ai_original_category")
+
+
+@query("""SELECT CASE WHEN c IN ('business_rule_change', 'editorial_change', 'extraction_noise') THEN c ELSE 'extraction_noise' END AS ai_category, count(*) AS n FROM (SELECT CASE quality WHEN 1 THEN 'editorial_change' ELSE 'other' END AS c FROM labels) GROUP BY ALL""")
+def ai_summary(spark, d):
+    return read(spark, d, "labels").select(classify.valid_category(F.when(F.col("quality") == 1, "editorial_change").otherwise("other")).alias("ai_category")).groupBy("ai_category").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_LOG} SELECT change_type, k FROM (SELECT *, row_number() OVER (PARTITION BY change_type ORDER BY k) AS n FROM change_log) WHERE n <= 5")
+def only_and_limit(spark, d):
+    return classify.limited(log_of(spark, d), "change_type", "k", 5).select("change_type", "k")
+
+
+@query(f"""WITH {_LINES}, w AS (SELECT doc_id, ord, line, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l WHERE regexp_matches(line, '^[\\x00-\\x7F]*$')),
+s AS (SELECT doc_id, ord, list_distinct(list_filter(regexp_split_to_array(lower(line), '[^a-z]+'), lambda x: length(x) >= 4)) AS a, list_distinct(list_filter(regexp_split_to_array(lower(before), '[^a-z]+'), lambda x: length(x) >= 4)) AS b FROM w WHERE before IS NOT NULL)
+SELECT doc_id, ord, CAST(len(list_intersect(a, b)) AS BIGINT) AS shared, CAST(len(a) AS BIGINT) AS words FROM s""")
+def keyword_overlap(spark, d):
+    w = Window.partitionBy("doc_id").orderBy("ord")
+    rows = doc_lines_of(spark, d).where(F.col("line").rlike(r"^[\x00-\x7F]*$")).withColumn("before", F.lag("line").over(w)).where("before is not null")
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda x: F.length(x) >= 4))
+    return rows.select("doc_id", "ord", F.size(F.array_intersect(words(F.col("line")), words(F.col("before")))).cast("long").alias("shared"), F.size(words(F.col("line"))).cast("long").alias("words"))
+
+
+@query("SELECT doc_id, sha256(text) AS digest, count(*) OVER (PARTITION BY sha256(text)) AS copies FROM documents WHERE text IS NOT NULL")
+def content_conflict(spark, d):
+    return landing.with_copies(read(spark, d, "documents", "doc_id", "text").where("text is not null")).select("doc_id", "digest", "copies")
+
+
+@query("""WITH e AS (SELECT o_custkey AS manual, strftime(o_orderdate, '%Y%m%d') AS edition FROM orders) SELECT manual, max(edition) AS latest, count(DISTINCT edition) AS editions FROM e GROUP BY manual""")
+def latest_edition(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderdate").select(F.col("o_custkey").alias("manual"), F.date_format("o_orderdate", "yyyyMMdd").alias("edition"))
+    return o.groupBy("manual").agg(F.max("edition").alias("latest"), F.count_distinct("edition").alias("editions"))
+
+
+@query("""WITH e AS (SELECT DISTINCT o_custkey AS manual, strftime(o_orderdate, '%Y%m%d') AS edition FROM orders), p AS (SELECT manual, edition AS edition_a, lead(edition) OVER (PARTITION BY manual ORDER BY edition) AS edition_b FROM e)
+SELECT manual, edition_a, edition_b FROM p WHERE edition_b IS NOT NULL AND edition_a >= '19950101' AND edition_b <= '19971231'""")
+def edition_chain(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderdate").select(F.col("o_custkey").alias("manual"), F.date_format("o_orderdate", "yyyyMMdd").alias("edition"))
+    return landing.edition_pairs(o).where("edition_a >= '19950101' and edition_b <= '19971231'").select("manual", "edition_a", "edition_b")
+
+
+@query("""WITH g AS (SELECT source, count(*) AS n, count(DISTINCT n_chars) AS dates FROM documents WHERE doc_id % 10 = 3 GROUP BY source), v AS (SELECT source, n, CASE WHEN n NOT IN (1, 2) THEN 'size' WHEN n = 2 AND dates < 2 THEN 'dates' ELSE 'ok' END AS verdict FROM g)
+SELECT source, n, verdict, bool_and(verdict = 'ok') OVER () AS batch_ok FROM v""")
+def batch_validate(spark, d):
+    inbox = read(spark, d, "documents", "doc_id", "source", "n_chars").where("doc_id % 10 = 3").select(F.col("source").alias("manual"), F.col("n_chars").alias("edition"))
+    return landing.validate_batch(inbox).select(F.col("manual").alias("source"), "n", "verdict", "batch_ok")
+
+
+@query("""WITH s AS (SELECT o_custkey AS slug, max(strftime(o_orderdate, '%Y%m%d')) AS b FROM orders GROUP BY 1), p AS (SELECT slug, CASE WHEN slug % 3 = 0 THEN b ELSE '19000101' END AS b FROM s WHERE slug % 2 = 0) SELECT s.slug, s.b AS edition_b, p.b IS NULL OR p.b <> s.b AS is_new FROM s LEFT JOIN p USING (slug)""")
+def is_new_since_publish(spark, d):
+    s = latest_edition(spark, d).select(F.col("manual").alias("slug"), F.col("latest").alias("edition_b"))
+    state = s.where("slug % 2 = 0").withColumn("edition_b", F.when(F.col("slug") % 3 == 0, F.col("edition_b")).otherwise("19000101"))
+    return landing.is_new(s, state, ["edition_b"])
+
+
+@query("""WITH x AS (SELECT l_orderkey AS title, l_suppkey AS position, CASE WHEN l_linenumber % 2 = 0 THEN 'row' ELSE 'card' END AS kind FROM lineitem) SELECT title, position, max(kind) AS kind, bool_or(kind = 'row') AS confirmed_in_row, bool_or(kind = 'card') AS confirmed_in_card FROM x GROUP BY ALL""")
+def transition_dedupe(spark, d):
+    x = read(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber").select(F.col("l_orderkey").alias("title"), F.col("l_suppkey").alias("position"), F.when(F.col("l_linenumber") % 2 == 0, "row").otherwise("card").alias("kind"))
+    return reporting.dedupe_transitions(x, ["title", "position"])
+
+
+@query("""WITH x AS (SELECT l_suppkey AS label, l_orderkey AS name, l_linenumber AS n FROM lineitem WHERE l_orderkey % 97 = 0), a AS (SELECT label, min(name) AS new FROM x WHERE n % 2 = 0 GROUP BY label HAVING count(*) = 1), r AS (SELECT label, min(name) AS old FROM x WHERE n % 2 = 1 GROUP BY label HAVING count(*) = 1) SELECT label, old, new FROM a JOIN r USING (label)""")
+def rename_hints(spark, d):
+    x = read(spark, d, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber").where("l_orderkey % 97 = 0").toDF("label", "name", "n")
+    return reporting.rename_hints(x.where("n % 2 = 0").select("label", "name"), x.where("n % 2 = 1").select("label", "name"), "label", "name")
+
+
+@query(f"WITH {_C} SELECT coalesce(x.segment, y.segment) AS segment, coalesce(x.n, 0) AS before, coalesce(y.n, 0) AS after, coalesce(y.n, 0) - coalesce(x.n, 0) AS delta FROM (SELECT segment, count(*) AS n FROM a GROUP BY 1) x FULL JOIN (SELECT segment, count(*) AS n FROM b GROUP BY 1) y USING (segment)")
+def counts_before_after(spark, d):
+    return reporting.before_after(*customers(spark, d), "segment")
+
+
+@query(f"WITH {_LOG} SELECT change_type, k, CAST(n AS INTEGER) AS n FROM (SELECT *, row_number() OVER (PARTITION BY change_type ORDER BY k) AS n FROM change_log) WHERE n <= 3")
+def top_items(spark, d):
+    return reporting.top(log_of(spark, d), ["change_type"], ["k"], 3).select("change_type", "k", "n")
+
+
+@query("""WITH x AS (SELECT DISTINCT o_custkey AS title, o_orderstatus AS sig FROM orders) SELECT title, sig, CASE WHEN count(*) OVER (PARTITION BY title) > 1 THEN title || ' (' || sig || ')' ELSE CAST(title AS VARCHAR) END AS heading FROM x""")
+def sibling_heading(spark, d):
+    x = read(spark, d, "orders", "o_custkey", "o_orderstatus").toDF("title", "sig").distinct()
+    return reporting.headings(x, "title", "sig")
+
+
+@query(f"""WITH {_LOG} SELECT 'customers' AS manual, count(*) AS headline, count(*) FILTER (WHERE change_type = 'added') AS added, count(*) FILTER (WHERE change_type = 'removed') AS removed, count(*) FILTER (WHERE change_type = 'content_changed') AS changed FROM change_log""")
+def consolidated_report(spark, d):
+    return reporting.summary(log_of(spark, d).withColumn("manual", F.lit("customers")), "manual").select("manual", "headline", "added", "removed", "changed")
+
+
+@query(f"WITH {_LINES} SELECT doc_id, ord, max(CASE WHEN contains(line, '|') THEN ord END) OVER (PARTITION BY doc_id ORDER BY ord) AS caption FROM l")
+def caption_carry(spark, d):
+    return containers.carried(doc_lines_of(spark, d), ["doc_id"], F.when(F.contains("line", F.lit("|")), F.col("ord")), "caption").select("doc_id", "ord", "caption")
+
+
+@query("""WITH b AS (SELECT o_custkey AS s, o_orderkey AS ord, o_orderpriority AS code, o_orderkey % 3 = 0 AS cont FROM orders), p AS (SELECT *, lag(ord) OVER (PARTITION BY s, code ORDER BY ord) AS prev FROM b),
+g AS (SELECT *, sum(CASE WHEN NOT cont OR prev IS NULL OR ord - prev > 5000 THEN 1 ELSE 0 END) OVER (PARTITION BY s, code ORDER BY ord) AS grp FROM p) SELECT s, code, min(ord) AS ord, string_agg(CAST(ord AS VARCHAR), ';' ORDER BY ord) AS text, count(*) AS n FROM g GROUP BY s, code, grp""")
+def continued_merge(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority").select(F.col("o_custkey").alias("s"), F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderkey") % 3 == 0, F.concat("o_orderpriority", F.lit(" (continued)"))).otherwise(F.col("o_orderpriority")).alias("code"), F.col("o_orderkey").cast("string").alias("text"))
+    return containers.continued_rows(o, ["s"], "code", "text", back=5000).select("s", "code", "ord", F.replace("text", F.lit("\n"), F.lit(";")).alias("text"), "n")
+
+
+@query("""SELECT source, count(*) AS n, string_agg(lang, ' / ' ORDER BY doc_id) AS parts, arg_min(lang, doc_id + CASE WHEN lang = 'en' THEN 0 ELSE 1000000000000 END) AS title FROM documents WHERE lang IS NOT NULL GROUP BY source""")
+def coalesce_groups(spark, d):
+    docs = read(spark, d, "documents", "doc_id", "source", "lang").where("lang is not null")
+    return containers.coalesced(docs, ["source"], "lang", "doc_id", F.col("lang") == "en").select("source", "n", "parts", "title")
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_size, p_partkey) AS place FROM part")
+def position_sort(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_size").withColumn("position", F.concat(F.col("p_size").cast("string"), F.lit("–"), F.lit("99")))
+    return reporting.ranked(p, [T.position_rank(T.position(F.col("position"))), F.col("p_partkey")], "place").select("p_partkey", F.col("place").cast("long").alias("place"))
+
+
+@query("""SELECT c_custkey AS k, trim(concat_ws(' ', c_name, c_mktsegment), ' ') AS old, trim(concat_ws(' ', c_name, c_mktsegment, 'REVISED'), ' ') AS new FROM customer WHERE c_custkey % 7 = 0""")
+def composite_diff(spark, d):
+    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").select(F.col("c_custkey").alias("k"), F.struct(F.col("c_name").alias("x"), F.col("c_mktsegment").alias("y")).alias("a"))
+    c = c.withColumn("b", F.struct(F.col("a.x").alias("x"), F.when(F.col("k") % 7 == 0, F.concat("a.y", F.lit(" REVISED"))).otherwise(F.col("a.y")).alias("y")))
+    return c.select("k", diffing.composite("a", ["x", "y"]).alias("old"), diffing.composite("b", ["x", "y"]).alias("new")).where("old <> new")
+
+
+@query(f"WITH {_LOG} SELECT change_type, k, coalesce(old, c_mktsegment) AS old, c_name AS title FROM change_log JOIN customer ON c_custkey = k")
+def context_backfill(spark, d):
+    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
+    return log_of(spark, d).join(c, F.col("k") == F.col("c_custkey")).select("change_type", "k", F.coalesce("old", "c_mktsegment").alias("old"), F.col("c_name").alias("title"))
+
+
+@query(f"WITH {_LOG} SELECT k, change_type, coalesce(r.c_name, s.s_name, '') AS field_name FROM change_log LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) r ON r.c_custkey = k LEFT JOIN supplier s ON s.s_suppkey = k")
+def lookup_enrich(spark, d):
+    rows = read(spark, d, "customer", "c_custkey", "c_name").where("c_custkey % 3 = 0").toDF("k", "row_name")
+    cards = read(spark, d, "supplier", "s_suppkey", "s_name").toDF("k", "card_name")
+    return log_of(spark, d).join(rows, "k", "left").join(cards, "k", "left").select("k", "change_type", F.coalesce("row_name", "card_name", F.lit("")).alias("field_name"))
+
+
+@query(f"WITH {_LOG} SELECT change_type, string_agg('- ' || k || ': ' || coalesce(old, '') || ' -> ' || coalesce(new, ''), chr(10) ORDER BY k) AS body FROM change_log GROUP BY change_type")
+def report_lines(spark, d):
+    line = F.concat(F.lit("- "), F.col("k").cast("string"), F.lit(": "), F.coalesce("old", F.lit("")), F.lit(" -> "), F.coalesce("new", F.lit("")))
+    return reporting.bodies(log_of(spark, d).withColumn("line", line), ["change_type"], "k", "line")
+
+
+@query(f"WITH {_LOG}, moved AS (SELECT k FROM change_log WHERE k % 20 = 0) SELECT change_type, k FROM change_log WHERE change_type IN ('added', 'removed') AND k NOT IN (SELECT k FROM moved)")
+def suppress_moved(spark, d):
+    log = log_of(spark, d)
+    return log.where(F.col("change_type").isin("added", "removed")).join(log.where("k % 20 = 0").select("k").distinct(), "k", "left_anti").select("change_type", "k")
+
+
+@query(f"""WITH {_LINES} SELECT role, count(*) AS n FROM (SELECT CASE WHEN trim(line, ' ') = '' THEN 'empty' WHEN contains(line, ' | ') THEN 'table' WHEN length(line) < 30 THEN 'heading' WHEN regexp_matches(line, '[0-9]{{4,}}') THEN 'data' ELSE 'paragraph' END AS role FROM l) GROUP BY role""")
+def role_classify(spark, d):
+    line = F.col("line")
+    role = F.when(F.trim(line) == "", "empty").when(F.contains(line, F.lit(" | ")), "table").when(F.length(line) < 30, "heading").when(line.rlike("[0-9]{4,}"), "data").otherwise("paragraph")
+    return doc_lines_of(spark, d).groupBy(role.alias("role")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_LINES} SELECT doc_id, ord, CAST(n - 1 AS BIGINT) AS segment, s[n] AS text FROM (SELECT doc_id, ord, string_split(line, ', ') AS s FROM l), LATERAL (SELECT unnest(range(1, len(s) + 1)) AS n)")
+def segment_split(spark, d):
+    return doc_lines_of(spark, d).select("doc_id", "ord", F.posexplode(F.split("line", ", ")).alias("segment", "text")).withColumn("segment", F.col("segment").cast("long"))
+
+
+@query("SELECT doc_id, replace(replace(text, chr(160), ' '), 'TC R', 'TCR') AS text FROM documents")
+def text_repair(spark, d):
+    return read(spark, d, "documents", "doc_id", "text").select("doc_id", T.repair(F.col("text")).alias("text"))
+
+
+@query(f"WITH {_LINES} SELECT doc_id, count(*) AS num_lines_in, count(*) FILTER (WHERE length(line) >= 20) AS num_lines_kept FROM l GROUP BY doc_id")
+def edition_counts(spark, d):
+    return doc_lines_of(spark, d).groupBy("doc_id").agg(F.count("*").alias("num_lines_in"), F.count_if(F.length("line") >= 20).alias("num_lines_kept"))
+
+
+@query(f"WITH {_LOG} SELECT change_type, base64(encode(to_json({{'type': change_type, 'n': count(*)}}))) AS payload FROM change_log GROUP BY change_type")
+def payload_base64(spark, d):
+    return log_of(spark, d).groupBy("change_type").agg(F.count("*").alias("n")).select("change_type", F.base64(F.encode(F.to_json(F.struct(F.col("change_type").alias("type"), "n")), "UTF-8")).alias("payload"))
+
+
+@query("""WITH t AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM benchmark), first AS (SELECT item_id, w[1:3] AS w FROM t WHERE len(w) >= 3),
+dw AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS word FROM documents), n AS (SELECT item_id, unnest(w) AS word, len(w) AS k FROM first),
+h AS (SELECT doc_id, item_id FROM dw JOIN n USING (word) GROUP BY doc_id, item_id, k HAVING count(*) = k) SELECT doc_id, min(item_id) AS slug FROM h GROUP BY doc_id HAVING count(*) = 1""")
+def title_detect(spark, d):
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != ""))
+    titles = read(spark, d, "benchmark").select("item_id", words(F.col("text")).alias("w")).where("size(w) >= 3").select(F.col("item_id").alias("slug"), F.slice("w", 1, 3).alias("tokens"))
+    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", words(F.col("text")).alias("tokens"))
+    return landing.detect_titles(docs, titles)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
