@@ -539,13 +539,13 @@ def payload_base64(spark, d):
     return log_of(spark, d).groupBy("change_type").agg(F.count("*").alias("n")).select("change_type", F.base64(F.encode(F.to_json(F.struct(F.col("change_type").alias("type"), "n")), "UTF-8")).alias("payload"))
 
 
-@query("""WITH t AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM benchmark), first AS (SELECT item_id, w[1:3] AS w FROM t WHERE len(w) >= 3),
+@query("""WITH t AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM benchmark), first AS (SELECT item_id, list_distinct(w[1:3]) AS w FROM t WHERE len(w) >= 3),
 dw AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS word FROM documents), n AS (SELECT item_id, unnest(w) AS word, len(w) AS k FROM first),
 h AS (SELECT doc_id, item_id FROM dw JOIN n USING (word) GROUP BY doc_id, item_id, k HAVING count(*) = k) SELECT doc_id, min(item_id) AS slug FROM h GROUP BY doc_id HAVING count(*) = 1""")
 def title_detect(spark, d):
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != ""))
-    titles = read(spark, d, "benchmark").select("item_id", words(F.col("text")).alias("w")).where("size(w) >= 3").select(F.col("item_id").alias("slug"), F.slice("w", 1, 3).alias("tokens"))
-    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", words(F.col("text")).alias("tokens"))
+    words = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
+    titles = read(spark, d, "benchmark").select(F.col("item_id").alias("slug"), words(F.col("text")).alias("w")).where("size(w) >= 3").select("slug", F.array_distinct(F.slice("w", 1, 3)).alias("tokens"))
+    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.array_distinct(words(F.col("text"))).alias("tokens"))
     return landing.detect_titles(docs, titles)
 
 
