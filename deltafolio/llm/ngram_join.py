@@ -38,8 +38,8 @@ from .common import col, id_type, keyed_text, materialize, release
 
 WORDS, PERCENT = 5, 80
 GROUPS = 48
-#: Groups of the finer point that bounds the pairs which leave the tree.
-FINE = 256
+#: Groups of the finer point that bounds the pairs which leave the tree; a multiple of GROUPS, so its sums are the coarse point.
+FINE = 192
 BUCKET_BITS = 16
 #: Leaves up to this size are one node: all their points are compared.
 SMALL = 8
@@ -260,7 +260,7 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
 
 
 def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
-    """R-tree self-join of each leaf. rows: leaf, node, n, pos, counts and, if labelled, fine and component."""
+    """R-tree self-join of each leaf. rows: leaf, node, n, pos and counts, or, if labelled, fine and component."""
     spread = rows.repartition("leaf").sortWithinPartitions("leaf")
 
     def run(batches: Iterator) -> Iterator:
@@ -277,9 +277,13 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
             leaves = batch.column("leaf").to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], leaves[1:] != leaves[:-1])))
             ids, n, p = (batch.column(c).to_numpy() for c in ("node", "n", "pos"))
-            points = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(len(ids), GROUPS)
+            if labelled:
+                fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(len(ids), FINE)
+                parts = fine.reshape(len(ids), FINE // GROUPS, GROUPS).astype(np.int32)
+                points = np.where((parts == 255).any(axis=1), 255, np.minimum(parts.sum(axis=1), 255)).astype(np.uint8)
+            else:
+                fine = points = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(len(ids), GROUPS)
             labels = batch.column("component").to_numpy() if labelled else None
-            fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(len(ids), FINE) if labelled else points
 
             def bounded(i, j):
                 """Places of the pairs that the finest points at hand allow."""
@@ -449,7 +453,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
 
     labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high")
-    rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "counts", "fine"), "node")
+    rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "fine"), "node")
     more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = materialize(_verified(frame, more, node, words, percent), "links-2")
     # The first components stand for their members: star edges and the new links close them.
