@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Categories of a change.
 CATEGORIES = ("business_rule_change", "editorial_change", "extraction_noise")
@@ -39,7 +40,7 @@ def with_retries(call: Callable[[str, str], tuple[str, str]], attempts: int = 3,
 
 def classify(changes: DataFrame, call: Callable[[str, str], tuple[str, str]] = rule_classifier) -> DataFrame:
     """Adds ai_category and ai_reason to rows with old and new; one classifier for each partition, cache the result by writing it."""
-    schema = changes.schema.add("ai_category", "string").add("ai_reason", "string")
+    schema = StructType([*changes.schema.fields, StructField("ai_category", StringType()), StructField("ai_reason", StringType())])
 
     def run(batches):
         ask = with_retries(call)
