@@ -61,7 +61,8 @@ def write(pages: DataFrame, min_revisit: int = 100, id_col: str = "page_id", url
     records = light.withColumns({"record_type": F.when(is_revisit, "revisit").otherwise("response"), "refers_to": F.when(is_revisit, F.col("first_id"))})
     headers = materialize(records.select(F.encode(_header(), "UTF-8").alias("header"), "digest"), "warc-headers")
     # One holder for each digest; the payload itself moves in this one shuffle only.
-    stored = rows.select("digest", "payload").join(first.where("first_id is null").select("digest"), "digest").dropDuplicates(["digest"])
+    # Payloads that only rows without an id have; usually there are no such rows, and nothing is moved.
+    stored = rows.where("page_id is null").select("digest", "payload").join(first.where("first_id is null").select("digest"), "digest").dropDuplicates(["digest"])
     held = rows.where("page_id is not null").join(first.select("digest", F.col("first_id").alias("page_id")), ["digest", "page_id"], "left_semi").dropDuplicates(["digest", "page_id"]).select("digest", "payload")
     return Archive(headers, materialize(held.unionByName(stored), "warc-payloads"))
 
