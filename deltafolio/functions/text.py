@@ -38,7 +38,7 @@ def range_of(c: Column) -> Column:
 
 
 def repair(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, " ", " "), "TC R", "TCR")
+    return F.regexp_replace(F.regexp_replace(c, " ", " "), r"\bTC R\b", "TCR")
 
 
 def without_bullets(c: Column) -> Column:

@@ -43,6 +43,19 @@ def bodies(lines: DataFrame, groups: list[str], order: str, line: str) -> DataFr
     return lines.groupBy(*groups).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, line))), lambda x: x[line]), "\n").alias("body"))
 
 
+def report(sections: list[tuple[str, DataFrame]], order: str) -> DataFrame:
+    """part (1, 2, …), body: each section's heading with its count, then its lines in order; empty sections are left out.
+
+    Sections: (title, frame of the order column and ``line``).
+    """
+    out = None
+    for part, (title, lines) in enumerate(sections, 1):
+        own = lines.select(F.lit(part).alias("part"), F.lit(title).alias("_title"), F.col(order).alias("_ord"), "line")
+        out = own if out is None else out.unionByName(own)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_ord", "line"))), lambda x: x["line"]), "\n")
+    return out.groupBy("part").agg(F.first("_title").alias("_title"), F.count("*").alias("_n"), body.alias("_body")).select("part", F.concat(F.lit("## "), "_title", F.lit(" ("), F.col("_n").cast("string"), F.lit(")\n"), "_body").alias("body"))
+
+
 def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Global places without a single-task window: range-partitioned, counted by partition, then numbered inside each."""
     spark = df.sparkSession

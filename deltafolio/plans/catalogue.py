@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import disappeared, length_bound, ratio
-from ..operators import bands, classify, containers, diffing, landing, matching, reporting
+from ..operators import assembly, bands, classify, containers, diffing, folding, landing, matching, pages, reporting
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -409,11 +409,11 @@ def edition_chain(spark, d):
     return landing.edition_pairs(o).where("edition_a >= '19950101' and edition_b <= '19971231'").select("manual", "edition_a", "edition_b")
 
 
-@query("""WITH g AS (SELECT source, count(*) AS n, count(DISTINCT n_chars) AS dates FROM documents WHERE doc_id % 10 = 3 GROUP BY source), v AS (SELECT source, n, CASE WHEN n NOT IN (1, 2) THEN 'size' WHEN n = 2 AND dates < 2 THEN 'dates' ELSE 'ok' END AS verdict FROM g)
-SELECT source, n, verdict, bool_and(verdict = 'ok') OVER () AS batch_ok FROM v""")
+@query("""WITH g AS (SELECT l_orderkey AS manual, count(*) AS n, count(DISTINCT l_shipdate) AS dates FROM lineitem GROUP BY 1), v AS (SELECT manual, n, CASE WHEN n NOT IN (1, 2) THEN 'size' WHEN n = 2 AND dates < 2 THEN 'dates' ELSE 'ok' END AS verdict FROM g)
+SELECT manual, n, verdict, bool_and(verdict = 'ok') OVER () AS batch_ok FROM v""")
 def batch_validate(spark, d):
-    inbox = read(spark, d, "documents", "doc_id", "source", "n_chars").where("doc_id % 10 = 3").select(F.col("source").alias("manual"), F.col("n_chars").alias("edition"))
-    return landing.validate_batch(inbox).select(F.col("manual").alias("source"), "n", "verdict", "batch_ok")
+    inbox = read(spark, d, "lineitem", "l_orderkey", "l_shipdate").toDF("manual", "edition")
+    return landing.validate_batch(inbox).select("manual", "n", "verdict", "batch_ok")
 
 
 @query("""WITH s AS (SELECT o_custkey AS slug, max(strftime(o_orderdate, '%Y%m%d')) AS b FROM orders GROUP BY 1), p AS (SELECT slug, CASE WHEN slug % 3 = 0 THEN b ELSE '19000101' END AS b FROM s WHERE slug % 2 = 0) SELECT s.slug, s.b AS edition_b, p.b IS NULL OR p.b <> s.b AS is_new FROM s LEFT JOIN p USING (slug)""")
@@ -429,9 +429,9 @@ def transition_dedupe(spark, d):
     return reporting.dedupe_transitions(x, ["title", "position"])
 
 
-@query("""WITH x AS (SELECT l_suppkey AS label, l_orderkey AS name, l_linenumber AS n FROM lineitem WHERE l_orderkey % 97 = 0), a AS (SELECT label, min(name) AS new FROM x WHERE n % 2 = 0 GROUP BY label HAVING count(*) = 1), r AS (SELECT label, min(name) AS old FROM x WHERE n % 2 = 1 GROUP BY label HAVING count(*) = 1) SELECT label, old, new FROM a JOIN r USING (label)""")
+@query("""WITH x AS (SELECT l_orderkey AS label, l_partkey AS name, l_linenumber AS n FROM lineitem), a AS (SELECT label, min(name) AS new FROM x WHERE n % 2 = 0 GROUP BY label HAVING count(*) = 1), r AS (SELECT label, min(name) AS old FROM x WHERE n % 2 = 1 GROUP BY label HAVING count(*) = 1) SELECT label, old, new FROM a JOIN r USING (label)""")
 def rename_hints(spark, d):
-    x = read(spark, d, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber").where("l_orderkey % 97 = 0").toDF("label", "name", "n")
+    x = read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber").toDF("label", "name", "n")
     return reporting.rename_hints(x.where("n % 2 = 0").select("label", "name"), x.where("n % 2 = 1").select("label", "name"), "label", "name")
 
 
@@ -524,7 +524,7 @@ def segment_split(spark, d):
     return doc_lines_of(spark, d).select("doc_id", "ord", F.posexplode(F.split("line", ", ")).alias("segment", "text")).withColumn("segment", F.col("segment").cast("long"))
 
 
-@query("SELECT doc_id, replace(replace(text, chr(160), ' '), 'TC R', 'TCR') AS text FROM documents")
+@query("SELECT doc_id, regexp_replace(replace(text, chr(160), ' '), '\\bTC R\\b', 'TCR', 'g') AS text FROM documents")
 def text_repair(spark, d):
     return read(spark, d, "documents", "doc_id", "text").select("doc_id", T.repair(F.col("text")).alias("text"))
 
@@ -549,6 +549,122 @@ def title_detect(spark, d):
     return landing.detect_titles(docs, titles)
 
 
+# ---- page parsers and what is assembled after them ----------------------------------------------------------------------
+
+
+def laid_out(spark, d):
+    """The documents' lines on pages of 50, with sizes and columns that follow from a line's place."""
+    o = F.col("ord")
+    at = o % 50
+    left = F.when(o % 3 == 2, 160.0).otherwise(60.0)
+    top = (50 + 12 * at).cast("double")
+    size = F.when(at == 0, 20.0).when(at == 1, 10.5).when(at == 2, 9.5).when(at % 7 == 0, 12.0).when(at % 5 == 0, 10.5).otherwise(9.0)
+    lines = doc_lines_of(spark, d)
+    return lines.select("doc_id", F.floor(o / 50).cast("int").alias("page"), "ord", left.alias("x0"), top.alias("y0"), (left + 90).alias("x1"), (top + 10).alias("y1"), F.col("line").alias("text"), size.alias("size"), (at < 3).alias("bold"), F.array().cast("array<string>").alias("fonts"))
+
+
+def _parsed(parser):
+    def run(spark, d):
+        blocks = folding.fold(laid_out(spark, d), ["doc_id"], parser)
+        # Flat columns, for comparison.
+        cells = F.array_join("cells", "|")
+        columns = F.array_join(F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+        return blocks.select("doc_id", "block", "page", "type", "level", "code", "title", "label", "text", cells.alias("cells"), F.array_join("items", "|").alias("items"), F.to_json("card").alias("card"), columns.alias("columns"))
+
+    return run
+
+
+for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "rotated_pairs", "page_tables", "rotated_tables", "numbered_sections"):
+    QUERIES[_name] = _parsed(getattr(pages, _name))
+
+
+@query("""WITH t AS (SELECT o_custkey AS s, o_orderkey AS ord, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + o_orderkey % 2 AS INTEGER) AS page, CASE WHEN o_orderkey % 5 = 0 THEN 'T' END AS table_id, CAST(o_orderkey % 11 = 0 AS VARCHAR) AS section, '| ' || o_orderstatus || ' |  |' AS head, '| ' || o_orderkey || ' | x |' AS row FROM orders),
+b AS (SELECT *, lag(page) OVER w AS p, lag(section) OVER w AS sec, lag(head) OVER w AS h FROM t WINDOW w AS (PARTITION BY s ORDER BY ord)), c AS (SELECT *, coalesce(page = p + 1 AND table_id IS NULL AND section IS NOT DISTINCT FROM sec AND lower(head) = lower(h), false) AS on_ FROM b),
+g AS (SELECT *, sum(CASE WHEN on_ THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY ord) AS grp FROM c)
+SELECT s, min(ord) AS ord, min(page) AS page, max(page) AS page_end, arg_min(section, ord) AS section, count(*) AS parts, string_agg(CASE WHEN on_ THEN row ELSE head || chr(10) || '|-|-|' || chr(10) || row END, chr(10) ORDER BY ord) AS text FROM g GROUP BY s, grp""")
+def table_continuation(spark, d):
+    o, k = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus"), F.col("o_orderkey")
+    text = F.concat(F.lit("| "), "o_orderstatus", F.lit(" |  |\n|-|-|\n| "), k.cast("string"), F.lit(" | x |"))
+    page = (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) + k % 2).cast("int")
+    tables = o.select(F.col("o_custkey").alias("s"), k.alias("ord"), page.alias("page"), F.when(k % 5 == 0, "T").alias("table_id"), (k % 11 == 0).cast("string").alias("section"), text.alias("text"))
+    return assembly.continued_tables(tables, ["s"]).select("s", "ord", "page", "page_end", "section", "parts", "text")
+
+
+@query("""WITH r AS (SELECT o_custkey AS s, o_orderkey AS ord, CASE WHEN o_orderkey % 3 = 0 THEN '– ' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS a, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderstatus END AS b FROM orders),
+o AS (SELECT *, a LIKE '– %' AND b = '' AND row_number() OVER (PARTITION BY s ORDER BY ord) > 1 AS orphan FROM r), g AS (SELECT *, sum(CASE WHEN orphan THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY ord) AS grp FROM o)
+SELECT s, min(ord) AS ord, string_agg(a, ' ' ORDER BY ord) AS a, arg_min(b, ord) AS b, count(*) AS n FROM g GROUP BY s, grp""")
+def dash_orphan(spark, d):
+    k = F.col("o_orderkey")
+    text = F.when(k % 3 == 0, F.concat(F.lit("– "), k.cast("string"))).otherwise(k.cast("string"))
+    rows = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus").select(F.col("o_custkey").alias("s"), k.alias("ord"), text.alias("a"), F.when(k % 2 == 0, "").otherwise(F.col("o_orderstatus")).alias("b"))
+    return assembly.dash_orphans(rows, ["s"], "a", ["b"])
+
+
+@query("""WITH r AS (SELECT c_mktsegment AS s, c_custkey AS k, c_name AS n, CASE WHEN c_nationkey >= 0 THEN '' END AS e FROM customer), z AS (SELECT s, count(*) AS c FROM r GROUP BY s)
+SELECT k, s, CASE WHEN c > 1 THEN 'Na me=' || n ELSE ' me=|Na=' || n END AS columns FROM r JOIN z USING (s)""")
+def phantom_columns(spark, d):
+    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
+    names = F.array(F.lit("Na"), F.lit("me"))
+    rows = c.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s"), F.create_map(F.lit("Na"), "c_name", F.lit("me"), F.lit("")).alias("columns"), names.alias("names"), F.array(F.lit("me")).alias("spaced"))
+    return assembly.phantom_columns(rows, ["s"]).select("k", "s", F.array_join(F.transform(F.map_entries("columns"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("columns"))
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, CAST(l_partkey AS VARCHAR) AS t, CAST(l_suppkey AS VARCHAR) AS u FROM lineitem), c AS (SELECT *, CASE WHEN q <= 25 THEN 'low' ELSE 'high' END AS c1, CASE WHEN q + 20 <= 25 THEN 'low' ELSE 'high' END AS c2 FROM x)
+SELECT l_orderkey, l_linenumber, 0 AS segment, c1 AS column, CASE WHEN c1 = c2 THEN t || ' ' || u ELSE t END AS text FROM c UNION ALL SELECT l_orderkey, l_linenumber, 1, c2, u FROM c WHERE c1 <> c2""")
+def resegment(spark, d):
+    q = F.col("l_quantity").cast("double")
+    piece = lambda x, t: F.struct(x.alias("x"), F.col(t).cast("string").alias("text"))
+    band = lambda n, x: F.struct(F.lit(n).alias("name"), F.lit(x).alias("x"))
+    rows = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber", F.array(piece(q, "l_partkey"), piece(q + 20, "l_suppkey")).alias("segments"), F.array(band("low", 0.0), band("high", 50.0)).alias("columns"))
+    return assembly.resegment(rows, ["l_orderkey", "l_linenumber"])
+
+
+_IX = """ix AS (SELECT 'Table ' || s_suppkey || '-' || s_nationkey AS ref, s_suppkey AS n, 'Table ' || s_suppkey || '-' || s_nationkey || ': ' || s_name || chr(10) || 'body' AS content FROM supplier)"""
+
+
+def supplier_tables(spark, d):
+    name = F.concat(F.lit("Table "), F.col("s_suppkey").cast("string"), F.lit("-"), F.col("s_nationkey").cast("string"))
+    return read(spark, d, "supplier", "s_suppkey", "s_nationkey", "s_name").select(F.lit(0).alias("guide"), F.col("s_suppkey").alias("ord"), name.alias("table_id"), F.col("s_name").alias("title"), F.lit("body").alias("text"))
+
+
+@query(f"""WITH {_IX}, r AS (SELECT c_custkey AS k, 'Table ' || (c_custkey % 9) || '-' || c_nationkey AS ref FROM customer)
+SELECT k, r.ref, coalesce(a.content, '[Table ' || r.ref || ' not found in extracted guide]') AS old, coalesce(b.content, '[Table ' || r.ref || ' not found in extracted guide]') AS new, coalesce(a.content, '') = coalesce(b.content, '') AS unchanged FROM r LEFT JOIN ix a USING (ref) LEFT JOIN (SELECT * FROM ix WHERE n % 2 = 0) b ON b.ref = r.ref""")
+def table_ref_enrich(spark, d):
+    text = lambda dash: F.concat(F.lit("as in table "), (F.col("c_custkey") % 9).cast("string"), F.lit(dash), F.col("c_nationkey").cast("string"), F.lit("."))
+    changes = read(spark, d, "customer", "c_custkey", "c_nationkey").select(F.col("c_custkey").alias("k"), F.replace(text("–"), F.lit("table"), F.lit("Table")).alias("old"), F.replace(text("-"), F.lit("table"), F.lit("Table")).alias("new"))
+    index = assembly.table_index(supplier_tables(spark, d), ["guide"])
+    later = assembly.table_index(supplier_tables(spark, d).where("ord % 2 = 0"), ["guide"])
+    return assembly.with_references(changes, ["k"], index, later)
+
+
+@query("""SELECT o_custkey AS guide, o_orderpriority AS table_id, o_orderpriority || ': ' || arg_max(o_orderstatus, o_orderkey) || chr(10) || max(o_orderkey) AS content FROM orders GROUP BY 1, 2""")
+def last_wins_index(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus").select(F.col("o_custkey").alias("guide"), F.col("o_orderkey").alias("ord"), F.col("o_orderpriority").alias("table_id"), F.col("o_orderstatus").alias("title"), F.col("o_orderkey").cast("string").alias("text"))
+    return assembly.table_index(o, ["guide"])
+
+
+@query("""SELECT p_partkey AS k, lower(p_brand || ' ' || p_type) AS old, lower(p_brand || ' ' || p_type || ' %') AS new FROM part WHERE p_partkey % 7 = 0""")
+def rate_diff(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_brand", "p_type").select(F.col("p_partkey").alias("k"), F.concat_ws("  ", "p_brand", "p_type").alias("old_rate"), F.concat_ws(" ", "p_brand", "p_type").alias("new_rate"))
+    return assembly.rate_changes(p.withColumn("new_rate", F.when(F.col("k") % 7 == 0, F.concat("new_rate", F.lit(" %"))).otherwise(F.col("new_rate"))), ["k"])
+
+
+@query()
+def criteria_diff(spark, d):
+    a, b = (c.select("k", F.concat_ws(" ", "name", "segment", F.lit("All rights reserved")).alias("text")) for c in customers(spark, d))
+    return assembly.criteria_changes(a, b, ["k"])
+
+
+@query(f"""WITH {_LOG}, s AS (SELECT 1 AS part, k AS ord, '- ' || k || ': ' || old || ' -> ' || new AS line FROM change_log WHERE change_type = 'content_changed' UNION ALL SELECT 2, k, '- ' || k || ' ' || change_type FROM change_log WHERE change_type <> 'content_changed'),
+h AS (SELECT part, count(*) AS n FROM s GROUP BY part), t AS (SELECT part, -1 AS ord, CASE part WHEN 1 THEN '## Content changes' ELSE '## Structure' END || ' (' || n || ')' AS line FROM h)
+SELECT part, string_agg(line, chr(10) ORDER BY ord) AS body FROM (SELECT * FROM s UNION ALL SELECT * FROM t) GROUP BY part""")
+def full_report(spark, d):
+    log = log_of(spark, d)
+    content = log.where("change_type = 'content_changed'").select("k", F.concat(F.lit("- "), F.col("k").cast("string"), F.lit(": "), "old", F.lit(" -> "), "new").alias("line"))
+    structure = log.where("change_type <> 'content_changed'").select("k", F.concat(F.lit("- "), F.col("k").cast("string"), F.lit(" "), "change_type").alias("line"))
+    return reporting.report([("Content changes", content), ("Structure", structure)], "k")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
