@@ -147,9 +147,9 @@ def continued_lag_noise(spark, d):
     return doc_lines_of(spark, d).withColumn("before", F.lag("line").over(w)).where(~F.coalesce(F.contains("before", F.lit("|")) & (F.length("line") < 40), F.lit(False)) & ~F.contains("line", F.lit("$$$"))).select("doc_id", "ord")
 
 
-@query("SELECT doc_id, md5(lower(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' '))) AS key_md5 FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')")
+@query("SELECT doc_id, md5(lower(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' '))) AS key_md5 FROM documents")
 def normalize_keys(spark, d):
-    return read(spark, d, "documents", "doc_id", "text").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", F.md5(T.key(F.col("text"))).alias("key_md5"))
+    return read(spark, d, "documents", "doc_id", "text").select("doc_id", F.md5(T.key(F.col("text"))).alias("key_md5"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER w AS n, CASE WHEN l_extendedprice - lag(l_extendedprice) OVER w > 5000 THEN 1 ELSE 0 END AS opens FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_linenumber))
@@ -381,12 +381,12 @@ def only_and_limit(spark, d):
     return classify.limited(log_of(spark, d), "change_type", "k", 5).select("change_type", "k")
 
 
-@query(f"""WITH {_LINES}, w AS (SELECT doc_id, ord, line, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l WHERE regexp_matches(line, '^[\\x00-\\x7F]*$')),
+@query(f"""WITH {_LINES}, w AS (SELECT doc_id, ord, line, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l),
 s AS (SELECT doc_id, ord, list_distinct(list_filter(regexp_split_to_array(lower(line), '[^a-z]+'), lambda x: length(x) >= 4)) AS a, list_distinct(list_filter(regexp_split_to_array(lower(before), '[^a-z]+'), lambda x: length(x) >= 4)) AS b FROM w WHERE before IS NOT NULL)
 SELECT doc_id, ord, CAST(len(list_intersect(a, b)) AS BIGINT) AS shared, CAST(len(a) AS BIGINT) AS words FROM s""")
 def keyword_overlap(spark, d):
     w = Window.partitionBy("doc_id").orderBy("ord")
-    rows = doc_lines_of(spark, d).where(F.col("line").rlike(r"^[\x00-\x7F]*$")).withColumn("before", F.lag("line").over(w)).where("before is not null")
+    rows = doc_lines_of(spark, d).withColumn("before", F.lag("line").over(w)).where("before is not null")
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda x: F.length(x) >= 4))
     return rows.select("doc_id", "ord", F.size(F.array_intersect(words(F.col("line")), words(F.col("before")))).cast("long").alias("shared"), F.size(words(F.col("line"))).cast("long").alias("words"))
 
