@@ -386,13 +386,15 @@ def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, node: str, words: int, percent: int) -> DataFrame:
-    """Pairs that are links by their true sets."""
+    """Pairs that are links by their true sets, as a table; what it took is deleted."""
     ids = materialize(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "pair-ids")
     sets = materialize(_sets(docs, ids, node, words), "pair-sets")
     # Pairs are few by now; each set moves once for each pair it is in.
     both = pairs.join(sets.select(F.col("node").alias("x"), F.col("tokens").alias("x_tokens")), "x").join(sets.select(F.col("node").alias("y"), F.col("tokens").alias("y_tokens")), "y")
     shared = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    return both.where((100 + percent) * shared >= percent * (F.size("x_tokens") + F.size("y_tokens"))).select("x", "y").distinct()
+    links = materialize(both.where((100 + percent) * shared >= percent * (F.size("x_tokens") + F.size("y_tokens"))).select("x", "y").distinct(), "pair-links")
+    release(ids, sets)
+    return links
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -431,34 +433,37 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     kept = linked.join(F.broadcast(out) if copies.count() <= BROADCAST_IDS // 4 else out, ["fp", "doc_id"], "left_anti")
     points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine"), "points")
 
-    routed = kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "leaf"))
+    routed = kept.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "leaf"))
     leaf = Window.partitionBy("leaf")
     shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min("node").over(leaf)}).where("size > 1")
-    leaves = materialize(shared.select("leaf", "node", "n", "pos", "size", "lead"), "leaves")
+    leaves = materialize(shared.select("leaf", "node", "pos", "size", "lead"), "leaves")
+    # The sets are not needed any more: only what the result shows of them is kept.
+    sizes = materialize(table.select("doc_id", "n_shingles"), "sizes")
+    release(table)
 
     large = leaves.where(F.col("size") > SMALL)
-    small = leaves.where(F.col("size") <= SMALL).select("leaf", "node", "n", "pos").join(points.select("node", "counts"), "node")
+    small = leaves.where(F.col("size") <= SMALL).select("leaf", "node", "pos").join(points.select("node", "n", "counts"), "node")
     # The LEADS leads that a set meets in most leaves: the sets of a group of near copies mostly agree on them, and step 4 finds what is missed.
     met = large.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("times"))
     led = met.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "lead"))).where(F.col("rank") <= LEADS)
     stars = led.select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y"))
     candidates = _leaf_pairs(small, node, percent, labelled=False).unionByName(stars).distinct()
     pairs = materialize(_bounded(candidates, points, node, percent), "pairs")
-    links = materialize(_verified(frame, pairs, node, words, percent), "links-1")
+    links = _verified(frame, pairs, node, words, percent)
     labels = connected(links)
 
     labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high")
-    rows = mixed.select("leaf", "node", "n", "pos", "component").join(points.select("node", "counts", "fine"), "node")
+    rows = mixed.select("leaf", "node", "pos", "component").join(points.select("node", "n", "counts", "fine"), "node")
     more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
-    links2 = materialize(_verified(frame, more, node, words, percent), "links-2")
+    links2 = _verified(frame, more, node, words, percent)
     # The first components stand for their members: star edges and the new links close them.
     stars2 = labels.where("node <> component").select(F.col("component").alias("x"), F.col("node").alias("y"))
     # Equal sets: every document to its representative.
     equal = copies.select(F.col("node").alias("x"), F.col("doc_id").alias("y"))
     final = connected(stars2.unionByName(links2).unionByName(equal))
-    release(leaves, pairs, more, copies)
-    return table.select("doc_id", "n_shingles").join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    release(leaves, points, pairs, more, copies, links, links2, labels)
+    return sizes.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
