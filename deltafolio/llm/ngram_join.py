@@ -40,6 +40,8 @@ WORDS, PERCENT = 5, 80
 GROUPS = 48
 #: Groups of the finer point that bounds the pairs which leave the tree.
 FINE = 256
+#: Larger sets have more groups in the point that bounds candidate pairs: at most DENSITY shingles a group, up to WIDE groups.
+DENSITY, WIDE = 4, 4096
 BUCKET_BITS = 16
 #: Leaves up to this size are one node: all their points are compared.
 SMALL = 8
@@ -130,6 +132,21 @@ def group_counts(hashes, groups: int = GROUPS):
     return np.minimum(np.bincount((hashes % np.uint64(groups)).astype(np.int64), minlength=groups), 255).astype(np.uint8)
 
 
+def wide_groups(n: int) -> int:
+    """FINE times a power of two, so that a point folds into any smaller one."""
+    groups = FINE
+    while groups * DENSITY < n and groups < WIDE:
+        groups *= 2
+    return groups
+
+
+def folded(point: bytes, groups: int):
+    """A point of fewer groups, as if counted there; full bytes stay full."""
+    import numpy as np
+
+    return np.minimum(np.frombuffer(point, np.uint8).reshape(-1, groups).sum(axis=0, dtype=np.int64), 255).astype(np.uint8)
+
+
 def _opened(points, sizes):
     """Coordinates as whole numbers; a full byte bounds nothing but the set's own size."""
     import numpy as np
@@ -225,7 +242,7 @@ def shingle_counters(docs: DataFrame, words: int = WORDS, bits: int = BUCKET_BIT
 
 
 def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent: int = PERCENT, bits: int = BUCKET_BITS) -> DataFrame:
-    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts and fine (points)."""
+    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts, fine and (of larger sets) wide: points."""
     import numpy as np
 
     place = np.empty(1 << bits, np.uint64)
@@ -239,24 +256,25 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
         rest = np.uint64((1 << int(low)) - 1)
         for whole in batches:
             for batch, texts in by_size(whole, 1):
-                sizes, prints, prefixes, points, fine = [], [], [], [], []
+                sizes, prints, prefixes, points, fine, wide = [], [], [], [], [], []
                 for h in shingles.batch(texts):
                     n = len(h)
                     sizes.append(n)
                     prints.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if n else None)
                     points.append(group_counts(h).tobytes() if n else None)
                     fine.append(group_counts(h, FINE).tobytes() if n else None)
+                    wide.append(group_counts(h, wide_groups(n)).tobytes() if n > FINE * DENSITY else None)
                     # The bucket's rank takes the place of its bits: another order of the same hashes, one to one.
                     if n:
                         p = prefix_length(n, percent)
                         h = np.sort(np.partition(place[(h >> low).astype(np.int64)] << low | h & rest, p - 1)[:p])
                     prefixes.append(h.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(points, pa.binary()), pa.array(fine, pa.binary())],
-                    ["doc_id", "n_shingles", "fp", "prefix", "counts", "fine"],
+                    [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), *(pa.array(p, pa.binary()) for p in (points, fine, wide))],
+                    ["doc_id", "n_shingles", "fp", "prefix", "counts", "fine", "wide"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(docs, 'doc_id')}, n_shingles bigint, fp binary, prefix array<bigint>, counts binary, fine binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(docs, 'doc_id')}, n_shingles bigint, fp binary, prefix array<bigint>, counts binary, fine binary, wide binary")
 
 
 def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
@@ -346,7 +364,7 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
 
 def _bounded(pairs: DataFrame, points: DataFrame, node: str, percent: int) -> DataFrame:
     """Pairs whose summed coordinate minima allow a link, by the finer points."""
-    own = lambda c: points.select(F.col("node").alias(c), F.col("n").alias(c + "_n"), F.col("fine").alias(c + "_fine"))
+    own = lambda c: points.select(F.col("node").alias(c), F.col("n").alias(c + "_n"), F.coalesce("wide", "fine").alias(c + "_fine"))
     both = pairs.join(own("x"), "x").join(own("y"), "y").where((100 * F.col("x_n") >= percent * F.col("y_n")) & (100 * F.col("y_n") >= percent * F.col("x_n")))
 
     def run(batches: Iterator) -> Iterator:
@@ -357,9 +375,13 @@ def _bounded(pairs: DataFrame, points: DataFrame, node: str, percent: int) -> Da
             for k in range(0, whole.num_rows, 2048):
                 batch = whole.slice(k, 2048)
                 at = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-                a, b = (np.frombuffer(b"".join(at[c].to_pylist()), np.uint8).reshape(-1, FINE) for c in ("x_fine", "y_fine"))
+                a, b = at["x_fine"].to_pylist(), at["y_fine"].to_pylist()
                 n, m = at["x_n"].to_numpy(), at["y_n"].to_numpy()
-                keep = overlap_bound(a, n, b, m) >= needed(n, m, percent)
+                groups, keep = np.array([min(len(p), len(q)) for p, q in zip(a, b)]), np.zeros(len(a), bool)
+                for g in np.unique(groups).tolist():
+                    own = np.flatnonzero(groups == g)
+                    left, right = (np.stack([folded(points[i], g) for i in own]) for points in (a, b))
+                    keep[own] = overlap_bound(left, n[own], right, m[own]) >= needed(n[own], m[own], percent)
                 yield pa.RecordBatch.from_arrays([at["x"], at["y"]], ["x", "y"]).filter(pa.array(keep))
 
     return both.select("x", "y", "x_n", "y_n", "x_fine", "y_fine").mapInArrow(run, f"x {node}, y {node}").distinct()
@@ -431,7 +453,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     copies = materialize(linked.select("fp", "doc_id").join(first, "fp").where("doc_id <> node").distinct(), "copies")
     out = copies.select("fp", "doc_id")
     kept = linked.join(F.broadcast(out) if copies.count() <= BROADCAST_IDS // 4 else out, ["fp", "doc_id"], "left_anti")
-    points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine"), "points")
+    points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine", "wide"), "points")
 
     routed = kept.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "leaf"))
     leaf = Window.partitionBy("leaf")

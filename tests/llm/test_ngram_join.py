@@ -85,3 +85,20 @@ def test_keep_one(spark, odd_docs):
     kept = nj.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in got(odd_docs)})
+
+
+def test_wide_points_fold():
+    import numpy as np
+
+    from deltafolio.llm import ngram_join as N
+
+    random = np.random.default_rng(3)
+    for n in (1, 1024, 1025, 5000, 40000):
+        h = random.integers(0, 1 << 64, n, np.uint64)
+        groups = N.wide_groups(n)
+        point = N.group_counts(h, groups).tobytes()
+        assert groups == min(4096, max(256, 1 << (-(-n // 4) - 1).bit_length()))
+        for g in (256, groups):
+            assert (N.folded(point, g) == N.group_counts(h, g)).all()
+    full = np.full(512, 200, np.uint8).tobytes()
+    assert (N.folded(full, 256) == 255).all()
