@@ -13,7 +13,7 @@ n - ceil(t n) + 1 shingles of either. Every set goes to the leaf of each of thos
    first paired with the first sets of those leaves only (LEADS of them), so that these pairs are as many as the sets;
 3. pairs that pass the bound are verified by their true sets, and links make components;
 4. larger leaves whose sets are not all in one component by now are joined again by the R-tree, without pairs that already
-   are in one component; what that finds is verified and the components are closed. No link between components is lost, and
+   are in one component; what that finds is verified and joins components. No link between components is lost, and
    no group of near copies is ever expanded into all its pairs.
 
 Scale: one row for each (set, prefix shingle) is shuffled, 0.2 of all shingles at 0.8; sets are only rebuilt for documents in
@@ -49,6 +49,8 @@ SMALL = 8
 LEADS = 4
 #: Ids of documents in pairs that may be broadcast: 32 MB.
 BROADCAST_IDS = 4_000_000
+#: A key that holds at least 1/HOT_KEYS of the rows is hot, so there are at most HOT_KEYS of them and they may be broadcast.
+HOT_KEYS = 1000
 #: Children of an R-tree node.
 FANOUT = 16
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -442,15 +444,24 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return labels.select("node", "component")
 
 
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
+    """rows joined to the one fact of their key. Rows of hot keys (at most HOT_KEYS) meet their facts by a broadcast and are not moved."""
+    hot = hot.select(key).distinct()
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    of_hot = marked.where("_hot").drop("_hot").join(F.broadcast(facts.join(F.broadcast(hot), key, "left_semi")), key, how)
+    return of_hot.unionByName(marked.where("_hot is null").drop("_hot").join(facts, key, how))
+
+
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, one row for each input row."""
     frame = keyed_text(docs, id_col, text_col)
     node = id_type(frame, "doc_id")
     table = materialize(sets_table(frame, shingle_counters(frame, words), words, percent), "sets")
     linked = table.where("fp is not null and doc_id is not null")
-    first = linked.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    groups = materialize(linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("times")).where("times > 1"), "groups")
+    hot = groups.where(F.col("times") * HOT_KEYS >= linked.count())
     # Documents with the set of another one: they are left out of all that follows, up to BROADCAST_IDS of them by a broadcast.
-    copies = materialize(linked.select("fp", "doc_id").join(first, "fp").where("doc_id <> node").distinct(), "copies")
+    copies = materialize(looked_up(linked.select("fp", "doc_id"), groups.select("fp", "node"), "fp", hot, "inner").where("doc_id <> node").distinct(), "copies")
     out = copies.select("fp", "doc_id")
     kept = linked.join(F.broadcast(out) if copies.count() <= BROADCAST_IDS // 4 else out, ["fp", "doc_id"], "left_anti")
     points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine", "wide"), "points")
@@ -459,6 +470,9 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     leaf = Window.partitionBy("leaf")
     shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min("node").over(leaf)}).where("size > 1")
     leaves = materialize(shared.select("leaf", "node", "pos", "size", "lead"), "leaves")
+    # Documents whose rows have several sets connect the groups of these sets.
+    several = linked.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc_id")
+    stitches = materialize(copies.join(several, "doc_id", "left_semi").select(F.col("node").alias("x"), F.col("doc_id").alias("y")), "stitches")
     # The sets are not needed any more: only what the result shows of them is kept.
     sizes = materialize(table.select("doc_id", "n_shingles"), "sizes")
     release(table)
@@ -479,13 +493,18 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     rows = mixed.select("leaf", "node", "pos", "component").join(points.select("node", "n", "counts", "fine"), "node")
     more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
-    # The first components stand for their members: star edges and the new links close them.
-    stars2 = labels.where("node <> component").select(F.col("component").alias("x"), F.col("node").alias("y"))
-    # Equal sets: every document to its representative.
-    equal = copies.select(F.col("node").alias("x"), F.col("doc_id").alias("y"))
-    final = connected(stars2.unionByName(links2).unionByName(equal))
-    release(leaves, points, pairs, more, copies, links, links2, labels)
-    return sizes.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # The first components stand for their members: only what links two of them is closed once more.
+    own = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(c + "_of"))
+    bridges = links2.unionByName(stitches).join(own("x"), "x", "left").join(own("y"), "y", "left").select(F.coalesce("x_of", "x").alias("x"), F.coalesce("y_of", "y").alias("y"))
+    merged = connected(bridges.where("x <> y").distinct())
+    # Copies have the component of their representative.
+    of_copies = looked_up(copies.groupBy("doc_id").agg(F.min("node").alias("node")), labels, "node", hot).select("doc_id", F.coalesce("component", "node").alias("component"))
+    known = labels.select(F.col("node").alias("doc_id"), "component").unionByName(of_copies).unionByName(merged.select(F.col("node").alias("doc_id"), F.col("node").alias("component")))
+    tops = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    found = known.join(F.broadcast(tops) if merged.count() <= BROADCAST_IDS // 4 else tops, "component", "left").groupBy("doc_id").agg(F.min(F.coalesce("top", "component")).alias("component"))
+    final = materialize(found, "components")
+    release(groups, leaves, points, pairs, more, copies, stitches, links, links2, labels)
+    return sizes.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
