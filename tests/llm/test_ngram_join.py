@@ -102,3 +102,22 @@ def test_wide_points_fold():
             assert (N.folded(point, g) == N.group_counts(h, g)).all()
     full = np.full(512, 200, np.uint8).tobytes()
     assert (N.folded(full, 256) == 255).all()
+
+
+def test_rows_that_share_an_id_join_the_groups_of_their_sets(spark):
+    one, two, other = ("a b c d e f g h", "p q r s t u v w", "k l m n o i j x")
+    rows = [(3, one), (7, one), (5, two), (7, two), (9, two), (8, other), (8, None), (None, one)]
+    found = {(r["doc_id"], r["component_id"]) for r in nj.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {(3, 3), (7, 3), (5, 3), (9, 3), (8, 8), (None, None)}
+
+
+def test_lookup_by_hot_and_rare_keys(spark):
+    rows = spark.createDataFrame([(k % 3, k) for k in range(30)] + [(9, 90)], "key bigint, value bigint")
+    facts = spark.createDataFrame([(0, "a"), (1, "b"), (4, "c")], "key bigint, fact string")
+    hot = spark.createDataFrame([(0,), (2,)], "key bigint")
+    names = {0: "a", 1: "b"}
+    wanted = sorted(((k % 3, k, names.get(k % 3)) for k in range(30)), key=str) + [(9, 90, None)]
+    left = nj.looked_up(rows, facts, "key", hot)
+    assert sorted(map(tuple, left.select("key", "value", "fact").collect()), key=str) == sorted(wanted, key=str)
+    inner = nj.looked_up(rows, facts, "key", hot, "inner")
+    assert sorted(map(tuple, inner.select("key", "value", "fact").collect()), key=str) == sorted((w for w in wanted if w[2]), key=str)
