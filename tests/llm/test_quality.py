@@ -56,6 +56,18 @@ def test_without_labels_only_base_rules_decide(spark, documents):
     assert all(r["kept"] == (not r["base_failed"]) and r["llr"] == 0 for r in quality.score(documents, none).collect())
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_held_out_good_documents_stay_at_every_size(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    rated = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    out = "pmod(xxhash64(doc_id), 10) < 2 and quality = 1"
+    rows = quality.score(docs, rated.where(f"not ({out})")).where("not base_failed").join(rated, "doc_id")
+    held = [r["llr"] for r in rows.where(out).collect()]
+    assert len(held) >= 5 and min(held) >= quality.THRESHOLD, min(held)
+    bad = [r["kept"] for r in rows.where("quality = 0").collect()]
+    assert sum(bad) < len(bad) / 2
+
+
 def test_filter_keeps_columns(odd_docs, labels):
     kept = quality.filter_documents(odd_docs, labels)
     assert kept.columns == odd_docs.columns
