@@ -64,8 +64,9 @@ RULES: tuple[tuple[str, str], ...] = (
     ("All-rights-reserved", "RESERVED"),
 )
 
-#: A text without any of these has no known sentence: every form above holds one of them.
-HINT = r"(?i)licen[cs]e|permi|redistribut|warranty|rights reserved|cc0|notice|applicable law"
+#: A text without any of these has no known sentence: every alternative of every form above holds one of them (a test expands
+#: them all). Single words only, as anything may stand between two words before normalising.
+HINT = r"(?i)licen[cs]e|released|permi|redistribut|warranty|reserved|cc0|notice"
 CUT = r"\.?[ \t\r]*\n|\.[ \t\r]+|\.$"
 NOT_WORD = r"[^a-z0-9.]+"
 GAP = "-"
