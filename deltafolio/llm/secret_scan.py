@@ -1,9 +1,12 @@
 """Secrets in texts: three fixed kinds, and random strings that a token vocabulary compresses badly.
 
 Token-efficiency test: prose and identifiers need few tokens for their characters, random strings many. A candidate is a
-run of at least ``min_length`` characters of ``[A-Za-z0-9+/_=-]`` that holds a letter and a digit; digests (all hexadecimal,
-of a usual digest length), UUIDs and runs of words joined by separators are known identifiers and are left out; what has
-fewer than ``max_ratio`` characters a token is reported as kind ``random``, unless it overlaps a span of the fixed kinds.
+run of characters of ``[A-Za-z0-9+/_=-]`` without the spans of the fixed kinds and the UUIDs in it. What has fewer than
+``max_ratio`` characters a token is reported as kind ``random``; below ``min_length`` characters, down to ``SHORT``, the
+evidence is weaker and fewer than ``SHORT_RATIO`` are asked for. A run that is not reported whole is tested by its parts
+between ``/`` and ``=``, then between all separators, so words beside a random string do not dilute it. Digests (all
+hexadecimal, of a usual digest length), UUIDs and plain numbers are known identifiers and are left out; so are words and
+numbers joined by separators, except for what their parts hold.
 
 Defined results: a null text is an empty one (no spans); repeated rows give repeated rows; an empty table gives an empty
 table; whole texts are read; spans are code points, end exclusive; other columns are ignored.
@@ -31,6 +34,10 @@ DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
 #: Words or numbers between single separators: names of things, dates, paths.
 NAMED = re.compile(r"([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[=/_-]*")
+SHORT = 12
+SHORT_RATIO = 1.5
+#: What parts a run that is not reported whole, in this order.
+PARTS = (re.compile(r"[^/=]+"), re.compile(r"[^+/_=-]+"))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -43,7 +50,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def known_identifier(run: str) -> bool:
-    return bool(HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run) or NAMED.fullmatch(run))
+    return bool(HEXADECIMAL.fullmatch(run) and len(run) in DIGEST_LENGTHS or UUID.fullmatch(run) or NAMED.fullmatch(run) and not run.isalpha())
+
+
+def free_parts(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What the sorted ranges leave of start to end."""
+    for s, e in taken:
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                yield start, s
+            start = e
+    if start < end:
+        yield start, end
 
 
 class TokenEfficiency:
@@ -51,19 +71,47 @@ class TokenEfficiency:
         import tiktoken
 
         self.encode = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={}).encode_ordinary
-        self.candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % min_length)
-        self.max_ratio = max_ratio
+        self.min_length, self.max_ratio = min_length, max_ratio
+        self.short = min(SHORT, min_length)
+        self.candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % self.short)
+
+    def random(self, run: str) -> bool:
+        if not any(c.isalpha() for c in run) or known_identifier(run):
+            return False
+        ratio = self.max_ratio if len(run) >= self.min_length else min(SHORT_RATIO, self.max_ratio)
+        return len(run) < ratio * len(self.encode(run))
+
+    def parts(self, text: str, start: int, end: int, level: int = 0) -> Iterator[tuple[int, int]]:
+        """The largest parts of text[start:end] that pass the test."""
+        if end - start < self.short:
+            return
+        if self.random(text[start:end]):
+            yield start, end
+        elif level < len(PARTS):
+            for m in PARTS[level].finditer(text, start, end):
+                yield from self.parts(text, m.start(), m.end(), level + 1)
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        out, covered = [], Covered((s, e) for s, _, e in taken)
+        out, fixed = [], [(s, e) for s, _, e in taken]
+        covered, at = Covered(fixed), 0
         for m in self.candidate.finditer(text):
-            run = m[0]
-            if not any(c.isdigit() for c in run) or run.isdigit() or not any(c.isalpha() for c in run):
-                continue
-            if covered.meets(m.start(), m.end()) or known_identifier(run):
+            start, end = m.span()
+            known = [x.span() for x in UUID.finditer(m[0])]
+            if not known and not covered.meets(start, end):
+                out += [(s, 3, e) for s, e in self.parts(text, start, end)]
                 continue
-            if len(run) < self.max_ratio * len(self.encode(run)):
-                out.append((m.start(), 3, m.end()))
+            while at < len(fixed) and fixed[at][1] <= start:
+                at += 1
+            near = []
+            for k in range(at, len(fixed)):
+                if fixed[k][0] >= end:
+                    break
+                near.append(fixed[k])
+            within = sorted(near + [(start + s, start + e) for s, e in known])
+            for s, e in free_parts(start, end, within):
+                rest = text[s:e]
+                s, e = s + len(rest) - len(rest.lstrip("+/_=-")), e - (len(rest) - len(rest.rstrip("+/_=-")))
+                out += [(s, 3, e) for s, e in self.parts(text, s, e)]
         return out
 
 

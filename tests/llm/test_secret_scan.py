@@ -47,3 +47,23 @@ def test_random_strings_are_found_and_identifiers_left(spark):
     rows = check(spark.createDataFrame(CASES, "doc_id bigint, text string"), CASES)
     assert rows[105]["spans"] == "random:4:28"
     assert rows[106]["n_random"] == 0
+
+
+RANDOM = "Zx9Qv7Lk2Rt8Wp4Ys6Bn1Mc3"
+LETTERS = "QwrTzXkLpVbNmYhGfDsJcRtPqWzK"
+PARTS = [
+    (200, f"com/services/production/incoming/notifications/{RANDOM}", [RANDOM]),
+    (201, f"see {LETTERS} there", [LETTERS]),
+    (202, "see Zx9Qv7Lk2Rt8Wp there", ["Zx9Qv7Lk2Rt8Wp"]),
+    (203, f"live_0123456789abcdef01_{RANDOM}", [RANDOM]),
+    (204, f"com/services/production/incoming/{LETTERS}", [LETTERS]),
+    (205, "internationalization/CONFIGURATION/getElementByIdentifier 20241126T101500Z IMG20240102123456", []),
+    (206, "id_550e8400-e29b-41d4-a716-44665544abcd DA39A3EE5E6B4B0D3255BFEF95601890AFD80709", []),
+]
+
+
+def test_words_beside_a_random_string_do_not_hide_it(spark):
+    rows = check(spark.createDataFrame([x[:2] for x in PARTS], "doc_id bigint, text string"), [x[:2] for x in PARTS])
+    for k, text, found in PARTS:
+        spans = [x.split(":") for x in rows[k]["spans"].split(",") if x.startswith("random")]
+        assert [text[int(s) : int(e)] for _, s, e in spans] == found, k
