@@ -42,7 +42,8 @@ def _bytes_of_letters() -> dict[str, int]:
 
 def encoder(path: str):
     """Ids of the byte-level vocabulary in a tokenizers file. Its ids are its merge ranks, so the faster rank encoder gives
-    the same ids as the tokenizers library does; where they are not, the library itself is used."""
+    the same ids as the tokenizers library does; where they are not, and for texts that hold one of the file's added tokens,
+    the library itself is used."""
     if path in _ENCODERS:
         return _ENCODERS[path]
     import public_tokenizers
@@ -50,16 +51,18 @@ def encoder(path: str):
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
+        file = json.load(f)
+    model, added = file["model"], [x["content"] for x in file.get("added_tokens") or ()]
     vocabulary, letters = model["vocab"], _bytes_of_letters()
+    tool = Tokenizer.from_file(path)
+    by_library = lambda text: tool.encode(text, add_special_tokens=False).ids
     merged = [("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
     if [vocabulary[x] for x in merged] == list(range(256, 256 + len(merged))):
         ranks = {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if rank < 256 + len(merged)}
-        encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        by_rank = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = lambda text: by_library(text) if any(x in text for x in added) else by_rank(text)
     else:
-        tool = Tokenizer.from_file(path)
-        tool.encode_special_tokens = True
-        encode = lambda text: tool.encode(text, add_special_tokens=False).ids
+        encode = by_library
     _ENCODERS[path] = encode
     return encode
 

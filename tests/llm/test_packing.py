@@ -47,6 +47,14 @@ def test_odd_rows(odd_docs, no_docs):
     assert check(no_docs) == []
 
 
+def test_added_tokens_like_the_library_by_default():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tool, encode = Tokenizer.from_file(path), packing.encoder(path)
+    for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", "a <|endoftext| > b", "plain words"):
+        assert list(encode(text)) == tool.encode(text, add_special_tokens=False).ids, text
+    assert list(encode("a <|endoftext|> b")) == [64, 220, 50256, 275]
+
+
 def test_sequences_hold_the_ids(documents):
     packed = packing.pack(documents, keep_ids=True)
     sizes = {r["sequence_id"]: len(r["ids"]) for r in packing.sequences(packed).collect()}
