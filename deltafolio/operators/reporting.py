@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialize
+
 
 def dedupe_transitions(events: DataFrame, keys: list[str]) -> DataFrame:
     """One event for each key, from a row rather than a card."""
@@ -57,17 +59,19 @@ def report(sections: list[tuple[str, DataFrame]], order: str) -> DataFrame:
 
 
 def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Global places without a single-task window: range-partitioned, counted by partition, then numbered inside each."""
+    """Global places without a single-task window: range-partitioned, counted by partition, then numbered inside each.
+
+    Range bounds are sampled anew whenever a plan runs, so the partitioned rows are written once to the shared folder, and both
+    the counts and the result read them there. Equal keys are in one partition: their order among each other is arbitrary.
+    """
     spark = df.sparkSession
-    keys = [c.alias(f"_k{i}") for i, c in enumerate(order)]
-    rows = df.select("*", *keys)
     names = [f"_k{i}" for i in range(len(order))]
-    parts = rows.repartitionByRange(*names).withColumn("_p", F.spark_partition_id())
-    inside = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*names)))
-    sizes = {r["_p"]: r["n"] for r in inside.groupBy("_p").agg(F.count("*").alias("n")).collect()}  # one number a partition
+    rows = df.select("*", *(c.alias(k) for c, k in zip(order, names)))
+    parts = materialize(rows.repartitionByRange(*names).withColumn("_p", F.spark_partition_id()), "ranked")
     total, starts = 0, []
-    for p in sorted(sizes):
-        starts.append((p, total))
-        total += sizes[p]
+    for r in sorted(parts.groupBy("_p").agg(F.count("*").alias("n")).collect()):  # one number a partition
+        starts.append((r["_p"], total))
+        total += r["n"]
     offsets = spark.createDataFrame(starts, "_p int, _start bigint")
-    return inside.join(F.broadcast(offsets), "_p").withColumn(name, F.col("_start") + F.col("_n")).drop("_p", "_n", "_start", *names)
+    place = F.row_number().over(Window.partitionBy("_p").orderBy(*names))
+    return parts.withColumn("_n", place).join(F.broadcast(offsets), "_p").withColumn(name, F.col("_start") + F.col("_n")).drop("_p", "_n", "_start", *names)

@@ -2,11 +2,12 @@ import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from deltafolio.functions import similarity
 from deltafolio.functions import text as T
-from deltafolio.operators import bands, classify, diffing, landing, matching
+from deltafolio.operators import bands, classify, diffing, landing, matching, reporting
 from deltafolio.sources import editions
 from deltafolio.streaming import landing as stream
 
@@ -129,3 +130,12 @@ def test_stream_lands_good_batches_and_rejects_bad_ones(spark, tmp_path):
         assert q.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "corpus-good")).count() == 1
     assert not (tmp_path / "corpus-bad").exists() and (tmp_path / "alerts-bad").exists()
+
+
+def test_places_on_many_rows(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select("l_partkey", "l_orderkey", "l_linenumber")
+    placed = reporting.ranked(rows, [F.col(c) for c in rows.columns], "place")
+    got = placed.agg(F.count("*").alias("n"), F.count_distinct("place").alias("d"), F.min("place").alias("lo"), F.max("place").alias("hi")).first()
+    assert (got["n"], got["d"], got["lo"], got["hi"]) == (rows.count(),) * 2 + (1, rows.count())
+    before = F.lag(F.struct(*rows.columns)).over(Window.partitionBy(F.floor(F.col("place") / 1000)).orderBy("place"))
+    assert placed.withColumn("before", before).where(F.col("before") > F.struct(*rows.columns)).count() == 0
