@@ -1,15 +1,16 @@
-"""What the operators share: column picking, the shared folder, and materialised intermediates."""
+"""What the operators share: column picking and batches by size."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from bisect import bisect_left
+from collections.abc import Iterator
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import broadcast_if_fits, fits, flagged_of, materialize, reads, release, rows_of  # noqa: F401
+
 #: Words are maximal runs of anything but these six ASCII characters.
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -35,35 +36,14 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="deltafolio-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write Parquet to the shared folder and read it again. Lost executors lose none of it."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._deltafolio_path = path
-    return out
-
-
-def release(*frames: DataFrame) -> None:
-    """Delete what materialize() wrote, once nothing reads it any more."""
-    for df in frames:
-        if path := getattr(df, "_deltafolio_path", None):
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-
-
-def cores(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+def by_size(batch, column: int, limit: int = 1 << 20) -> Iterator[tuple]:
+    """(part of the batch, its texts), with about ``limit`` characters each; one text may be longer."""
+    texts, begin, held = batch.column(column).to_pylist(), 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= limit or k == len(texts) - 1:
+            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
+            begin, held = k + 1, 0
 
 
 def id_type(df: DataFrame, name: str) -> str:

@@ -4,21 +4,29 @@ A document is its set of 64-bit shingle hashes. The tokens of a set are hashed i
 are its point; the summed coordinate minima of two points bound the overlap of their sets from above, and the coordinate
 maxima of an R-tree node bound it for all points below.
 
-An R-tree over all points cannot prune unrelated sets cheaply in so many dimensions, so its leaves are formed by a lossless
-routing: in one global order (rare shingles first), two sets as similar as the threshold share at least one of the first
-n - ceil(t n) + 1 shingles of either. Every set goes to the leaf of each of those. Then:
+One R-tree over all points cannot prune unrelated sets: the maxima of a node of unrelated points are above what any pair
+needs, so it visits nearly all pairs of its leaves (measured: README). Its top level is therefore a lossless routing: in one
+global order (rare shingles first), two sets as similar as the threshold share at least one of the first n - ceil(t n) + 1
+shingles of either. Every set goes to the leaf of each of those, and every leaf is an R-tree that joins itself:
 
 1. equal sets become one representative;
-2. in leaves of up to ``SMALL`` sets, which are single nodes, all pairs are bounded; each set of larger leaves is
-   first paired with the first sets of those leaves only (LEADS of them), so that these pairs are as many as the sets;
-3. pairs that pass the bound are verified by their true sets, and links make components;
-4. larger leaves whose sets are not all in one component by now are joined again by the R-tree, without pairs that already
-   are in one component; what that finds is verified and joins components. No link between components is lost, and
-   no group of near copies is ever expanded into all its pairs.
+2. leaves of up to ``SMALL`` sets are one node, whose points are all compared. The tree of a larger leaf finds for each set
+   the set with a smaller id whose bound leaves most room: pairs are as many as the sets. Leaves of over ``BLOCK`` sets are
+   cut into as many trees as that takes;
+3. pairs that pass the finer bounds are verified by their true sets, and links make components;
+4. larger leaves whose sets are not all in one component by now are joined again in full, but for pairs that already are in
+   one component; a leaf of over ``BLOCK`` sets is cut into blocks, each pair of blocks that differs in components is a tree
+   of its own. What that finds is verified and joins components. No link between components is lost, and no group of near
+   copies is ever expanded into all its pairs.
+
+``links`` gives all pairs of different sets instead, for those who want them: that is quadratic in a group of near copies.
 
 Scale: one row for each (set, prefix shingle) is shuffled, 0.2 of all shingles at 0.8; sets are only rebuilt for documents in
-surviving pairs. Hot shingles come last in the order, so leaves stay small. No links, components or sets reach the driver:
-it sees the sums of 65,536 hashed shingle counters and row counts.
+surviving pairs. Hot shingles come last in the order, so leaves stay small; leaves that a sample of the sets shows to be hot
+are counted with partial sums and their rows stay in place. No links, components or sets reach the driver: it sees the
+sums of 65,536 hashed shingle counters and row counts. What is broadcast is measured first.
+
+Shingles are compared by 64-bit hashes.
 
 Defined results: null, empty and blank texts have no shingles: n_shingles 0, own component, linked with nothing; texts with
 fewer words than a shingle are one shingle; repeated rows of one document and all rows that share a doc_id are one node; a
@@ -34,7 +42,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, id_type, keyed_text, materialize, release
+from .common import broadcast_if_fits, by_size, col, flagged_of, id_type, keyed_text, materialize, reads, release, rows_of
 
 WORDS, PERCENT = 5, 80
 GROUPS = 48
@@ -45,10 +53,12 @@ DENSITY, WIDE = 4, 4096
 BUCKET_BITS = 16
 #: Leaves up to this size are one node: all their points are compared.
 SMALL = 8
-#: Leads that a set of larger leaves is first paired with.
+#: Sets in one tree; larger leaves are cut.
+BLOCK = 512
+#: Partners of a set in larger leaves that are verified at first, those it has in most leaves.
 LEADS = 4
-#: Ids of documents in pairs that may be broadcast: 32 MB.
-BROADCAST_IDS = 4_000_000
+#: One in so many sets is looked at to find hot leaves; what it misses is only slower.
+SAMPLE = 16
 #: A key that holds at least 1/HOT_KEYS of the rows is hot, so there are at most HOT_KEYS of them and they may be broadcast.
 HOT_KEYS = 1000
 #: Children of an R-tree node.
@@ -89,10 +99,11 @@ class Shingler:
         first = np.flatnonzero(np.diff(solid, prepend=-2) > 1)
         starts = solid[first]
         place = solid - np.repeat(starts, np.diff(first, append=len(solid)))
-        value = self.table[(place & 63) << 8 | buffer[solid]]
-        far = np.flatnonzero(place >= 64)
-        value[far] *= (2 * (place[far] >> 6) + 1).astype(np.uint64)
-        h = np.add.reduceat(value, first)
+        # Blocks of 64 bytes: a sum of random numbers each, mixed with the block's place before the word's blocks are summed.
+        head = np.flatnonzero(place & 63 == 0)
+        blocks = np.add.reduceat(self.table[(place & 63) << 8 | buffer[solid]], head)
+        blocks = self._mixed([blocks, (place[head] >> 6).astype(np.uint64)])
+        h = np.add.reduceat(blocks, np.searchsorted(head, first))
         bounds = np.searchsorted(starts, np.concatenate(([0], ends)))
         shingles = self._mixed([h[j : len(h) - k + 1 + j] for j in range(k)]) if len(h) >= k else none
         out = []
@@ -108,16 +119,6 @@ class Shingler:
         return self.batch([text])[0]
 
 
-def by_size(batch, column: int, limit: int = 1 << 20) -> Iterator[tuple]:
-    """(part of the batch, its texts), with about ``limit`` characters each; one text may be longer."""
-    texts, begin, held = batch.column(column).to_pylist(), 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
-        if held >= limit or k == len(texts) - 1:
-            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
-            begin, held = k + 1, 0
-
-
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -180,23 +181,25 @@ class CountTree:
             starts = np.arange(0, len(top), FANOUT)
             self.levels.append((np.maximum.reduceat(top, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)))
 
-    def _survive(self, level: int, a, b):
+    def _room(self, level: int, a, b):
+        """What the bound leaves over what a link needs; negative where no link is possible."""
         import numpy as np
 
         top, low, high = self.levels[level]
-        out = []
+        out = [np.empty(0, np.int64)]
         for k in range(0, len(a), 4096):
             x, y = a[k : k + 4096], b[k : k + 4096]
             bound = np.minimum(np.minimum(top[x], top[y]).sum(axis=1), np.minimum(high[x], high[y]))
             # With the smallest sizes below, sizes too far apart included: an overlap is at most the smaller size.
-            out.append((bound >= needed(low[x], low[y], self.percent)) & (100 * high[x] >= self.percent * low[y]) & (100 * high[y] >= self.percent * low[x]))
-        return np.concatenate(out) if out else np.empty(0, bool)
+            near = (100 * high[x] >= self.percent * low[y]) & (100 * high[y] >= self.percent * low[x])
+            out.append(np.where(near, bound - needed(low[x], low[y], self.percent), -1))
+        return np.concatenate(out)
 
     def pairs(self, block: int = 1 << 20) -> Iterator[tuple]:
-        """(i, j) arrays of input places, i != j, each unordered pair once."""
+        """(i, j, room) arrays of input places, i != j, each unordered pair once. ``visited`` counts the node pairs."""
         import numpy as np
 
-        level = len(self.levels) - 1
+        level, self.visited = len(self.levels) - 1, 0
         n = len(self.levels[level][0])
         a, b = np.triu_indices(n)
         stack = [(level, a, b)]
@@ -205,12 +208,14 @@ class CountTree:
             if level == 0:
                 keep = a != b
                 a, b = a[keep], b[keep]
-            keep = self._survive(level, a, b)
+            self.visited += len(a)
+            room = self._room(level, a, b)
+            keep = room >= 0
             a, b = a[keep], b[keep]
             if not len(a):
                 continue
             if level == 0:
-                yield self.order[a], self.order[b]
+                yield self.order[a], self.order[b], room[keep]
                 continue
             below = len(self.levels[level - 1][0])
             step = max(1, block // FANOUT**2)
@@ -279,26 +284,30 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(docs, 'doc_id')}, n_shingles bigint, fp binary, prefix array<bigint>, counts binary, fine binary, wide binary")
 
 
-def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
-    """R-tree self-join of each leaf. rows: leaf, node, n, pos, counts and, if labelled, fine and component."""
-    spread = rows.repartition("leaf").sortWithinPartitions("leaf")
+def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
+    """R-tree self-joins, one for each key. rows: key, node, n, pos, counts and, if labelled, side, fine and component.
+
+    labelled: all pairs within the bounds whose components differ, across the sides where there are two. Else: in keys of up to
+    SMALL sets all pairs, in others (near) the pair of each set with the smaller id whose bound leaves most room.
+    """
+    spread = rows.repartition("key").sortWithinPartitions("key")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        names, kind = ["x", "y"], None
+        names, kind = ["x", "y", "near"], None
 
         def joined(held: list) -> Iterator:
             held = [b for b in held if b.num_rows]
             if not held:
                 return
             batch = pa.Table.from_batches(held)
-            leaves = batch.column("leaf").to_numpy()
-            starts = np.flatnonzero(np.concatenate(([True], leaves[1:] != leaves[:-1])))
+            keys = batch.column("key").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             ids, n, p = (batch.column(c).to_numpy() for c in ("node", "n", "pos"))
             points = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(len(ids), GROUPS)
-            labels = batch.column("component").to_numpy() if labelled else None
+            labels, side = (batch.column(c).to_numpy() if labelled else None for c in ("component", "side"))
             fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(len(ids), FINE) if labelled else points
 
             def bounded(i, j):
@@ -309,59 +318,102 @@ def _leaf_pairs(rows: DataFrame, node: str, percent: int, labelled: bool) -> Dat
                     parts.append(overlap_bound(fine[x], n[x], fine[y], n[y]) >= needed(n[x], n[y], percent))
                 return np.concatenate(parts)
 
-            def kept(i, j):
+            def kept(i, j, two: bool):
                 # The shared shingle's place in either order bounds what the sets share before and after it.
                 bound = np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j])
                 keep = (bound >= needed(n[i], n[j], percent)) & (ids[i] != ids[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-                return keep & (labels[i] != labels[j]) if labelled else keep
+                if labelled:
+                    keep &= labels[i] != labels[j]
+                return keep & (side[i] != side[j]) if two else keep
 
-            def out(i, j):
-                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names)
+            def out(i, j, near: bool):
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(np.full(len(i), near))], names)
 
-            sizes = np.diff(starts, append=len(leaves))
+            sizes = np.diff(starts, append=len(keys))
             # Leaves that are one node, all of them at once: each point with the next, the next but one and so on.
-            one = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+            one = np.flatnonzero(np.repeat(sizes <= SMALL, sizes)) if not labelled else np.empty(0, np.int64)
             for apart in range(1, SMALL):
                 i, j = one[:-apart], one[apart:]
-                same = leaves[i] == leaves[j]
+                same = keys[i] == keys[j]
                 if not same.any():
                     break
                 i, j = i[same], j[same]
-                keep = kept(i, j)
+                keep = kept(i, j, False)
                 i, j = i[keep], j[keep]
                 ok = bounded(i, j)
                 if ok.any():
-                    yield out(i[ok], j[ok])
-            for begin, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+                    yield out(i[ok], j[ok], False)
+            many = np.ones(len(sizes), bool) if labelled else sizes > SMALL
+            for begin, size in zip(starts[many].tolist(), sizes[many].tolist()):
                 own = slice(begin, begin + size)
-                for i, j in CountTree(points[own], n[own], percent).pairs():
-                    i, j = i + begin, j + begin
-                    keep = kept(i, j)
+                two = labelled and bool(side[own].any())
+                if not labelled:
+                    rank = np.empty(size, np.int64)
+                    rank[np.argsort(ids[own], kind="stable")] = np.arange(size)
+                    best = np.full(size, -1, np.int64)
+                for i, j, room in CountTree(points[own], n[own], percent).pairs():
+                    keep = kept(i + begin, j + begin, two)
                     i, j = i[keep], j[keep]
                     if labelled:
-                        keep = bounded(i, j)
-                        i, j = i[keep], j[keep]
-                    if len(i):
-                        yield out(i, j)
-
-        # Rows come sorted by leaf: keep those of the last leaf until it is complete.
+                        keep = bounded(i + begin, j + begin)
+                        if keep.any():
+                            yield out(i[keep] + begin, j[keep] + begin, False)
+                    else:
+                        # The most room first, then the smallest id.
+                        low = np.minimum(rank[i], rank[j])
+                        np.maximum.at(best, np.maximum(rank[i], rank[j]), room[keep] * size + (size - 1 - low))
+                if not labelled:
+                    at = np.argsort(rank)
+                    child = np.flatnonzero(best >= 0)
+                    if len(child):
+                        parent = size - 1 - best[child] % size
+                        yield out(at[child] + begin, at[parent] + begin, True)
+
+        # Rows come sorted by key: keep those of the last key until it is complete.
         held: list = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            last = batch.column(batch.schema.get_field_index("leaf"))[-1].as_py()
-            first = batch.column(batch.schema.get_field_index("leaf"))[0].as_py()
+            keys = batch.column(batch.schema.get_field_index("key"))
+            last, first = keys[-1].as_py(), keys[0].as_py()
             if held and first == last and first == kind:
                 held.append(batch)
                 continue
-            cut = int(np.searchsorted(batch.column(batch.schema.get_field_index("leaf")).to_numpy(), last))
+            cut = int(np.searchsorted(keys.to_numpy(), last))
             held.append(batch.slice(0, cut))
             yield from joined(held)
             held, kind = [batch.slice(cut)], last
         if held:
             yield from joined(held)
 
-    return spread.mapInArrow(run, f"x {node}, y {node}")
+    return spread.mapInArrow(run, f"x {node}, y {node}, near boolean")
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """rows (leaf, node, component, …) with key and side: a key is a leaf, or a pair of blocks of a leaf of over BLOCK sets.
+
+    A component with many sets in the leaf has blocks of its own, and no two of these are paired; the other components are
+    dealt to shared blocks.
+    """
+    per = rows.groupBy("leaf", "component").agg(F.count("*").alias("own"))
+    wide = materialize(per.groupBy("leaf").agg(F.sum("own").alias("total")).where(F.col("total") > BLOCK), "wide-leaves")
+    whole = rows.withColumns({"key": F.col("leaf"), "side": F.lit(0)})
+    if not rows_of(wide):
+        release(wide)
+        return whole
+    few = broadcast_if_fits(wide)
+    whole = whole.join(few, "leaf", "left_anti")
+    plan = materialize(per.join(few, "leaf").withColumn("cuts", F.when(F.col("own") > BLOCK // 2, F.ceil(F.col("own") / BLOCK))).drop("own"), "wide-plan")
+    owned, shared = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("string"), F.pmod(F.xxhash64("component"), F.ceil(F.col("total") / BLOCK)).cast("string")
+    block = F.when(F.col("cuts").isNotNull(), F.concat(F.lit("c"), F.col("component").cast("string"), F.lit("/"), owned)).otherwise(F.concat(F.lit("s"), shared))
+    cut = rows.join(broadcast_if_fits(plan), ["leaf", "component"]).withColumns({"block": block, "only": F.when(F.col("cuts").isNotNull(), F.col("component"))}).drop("total", "cuts")
+    blocks = cut.select("leaf", "block", "only").distinct()
+    one, two = blocks.toDF("leaf", "b1", "only1"), blocks.toDF("leaf", "b2", "only2")
+    pairs = one.join(two, "leaf").where("b1 <= b2 and coalesce(only1 <> only2, true)").select("leaf", "b1", "b2", F.xxhash64("leaf", "b1", "b2").alias("key"))
+    pairs = materialize(pairs, "block-pairs")
+    left = cut.join(broadcast_if_fits(pairs.withColumnRenamed("b1", "block"), pairs), ["leaf", "block"]).drop("b2").withColumn("side", F.lit(0))
+    right = cut.join(broadcast_if_fits(pairs.where("b1 <> b2").withColumnRenamed("b2", "block"), pairs), ["leaf", "block"]).drop("b1").withColumn("side", F.lit(1))
+    return whole.unionByName(left.unionByName(right).drop("block", "only"))
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, node: str, percent: int) -> DataFrame:
@@ -390,12 +442,8 @@ def _bounded(pairs: DataFrame, points: DataFrame, node: str, percent: int) -> Da
 
 
 def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int) -> DataFrame:
-    """(node, tokens) of the documents that are in pairs; their texts are read again.
-
-    Up to BROADCAST_IDS ids are broadcast (8 bytes each), so that no text is shuffled; more are joined by a shuffle.
-    """
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["node"], "left_semi")
+    """(node, tokens) of the documents that are in pairs; their texts are read again. Ids that fit are broadcast, so that no text is shuffled."""
+    wanted = docs.join(broadcast_if_fits(ids), docs["doc_id"] == ids["node"], "left_semi")
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -410,7 +458,9 @@ def _sets(docs: DataFrame, ids: DataFrame, node: str, words: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, node: str, words: int, percent: int) -> DataFrame:
-    """Pairs that are links by their true sets, as a table; what it took is deleted."""
+    """Pairs (a table) that are links by their true sets, as a table; what it took is deleted."""
+    if not rows_of(pairs):
+        return pairs
     ids = materialize(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "pair-ids")
     sets = materialize(_sets(docs, ids, node, words), "pair-sets")
     # Pairs are few by now; each set moves once for each pair it is in.
@@ -421,27 +471,47 @@ def _verified(docs: DataFrame, pairs: DataFrame, node: str, words: int, percent:
     return links
 
 
-def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have edges (x, y): the smallest node reachable.
 
-    A label is a node of the same component. Each round takes the smallest label among a node and its neighbours, then the
-    label's own label, so labels reach twice as far each time.
+    In each round every node points to its smallest neighbour. Such pointers have cycles of two nodes only, of which the smaller
+    one is the root; following the pointers' pointers until they settle, as often as the logarithm of the depth, gives each node
+    its root, and edges between roots are what the next round sees. A root stands for two nodes or more, so at least half of
+    the nodes are gone after each round, whatever the graph: there are logarithmically many rounds and no cap.
     """
-    both = materialize(edges.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(edges.select(F.col("y").alias("a"), F.col("x").alias("b"))), "links")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        seen = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
-        jumps = seen.join(labels.select(F.col("node").alias("new"), F.col("component").alias("jump")), "new")
-        new = materialize(jumps.select("node", F.least("new", "jump").alias("component"), (F.least("new", "jump") != F.col("old")).alias("changed")), "labels")
-        release(labels)
-        labels = new
-        if not new.where("changed").limit(1).count():
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    release(both)
-    return labels.select("node", "component")
+    labels = None
+    both = materialize(edges.where("x <> y").select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")), F.struct(F.col("y").alias("a"), F.col("x").alias("b")))).alias("e")).select("e.*").distinct(), "links")
+    if not rows_of(both):
+        return materialize(both.select(F.col("a").alias("node"), F.col("b").alias("component")), "labels")
+    while labels is None or rows_of(both):
+        chosen = materialize(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")), "parents")
+        above = lambda t, of: broadcast_if_fits(t.select(F.col("v").alias("p"), F.col("p").alias("g")), of)
+        mutual = (F.col("g") == F.col("v")) & (F.col("v") < F.col("p"))
+        pointers, parents = chosen.join(above(chosen, chosen), "p").select("v", F.when(mutual, F.col("v")).otherwise(F.col("p")).alias("p")), chosen
+        while True:
+            # Three steps at a time, so that paths shrink to a quarter.
+            far = pointers.select("v", F.col("p").alias("before"), "p")
+            for _ in range(3):
+                far = far.join(above(pointers, parents), "p").select("v", "before", F.col("g").alias("p"))
+            new = materialize(far.select("v", "p", (F.col("p") != F.col("before")).alias("moved")), "parents", flag="moved")
+            release(parents)
+            pointers = parents = new
+            if not flagged_of(parents):
+                break
+        root = lambda node, name: broadcast_if_fits(parents.select(F.col("v").alias(node), F.col("p").alias(name)), parents)
+        if labels is None:
+            labels = materialize(parents.select(F.col("v").alias("node"), F.col("p").alias("component")), "labels")
+        else:
+            new = materialize(labels.join(root("component", "p"), "component", "left").select("node", F.coalesce("p", "component").alias("component")), "labels")
+            release(labels)
+            labels = new
+        new = materialize(both.join(root("a", "ra"), "a").join(root("b", "rb"), "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "links")
+        release(both, parents)
+        both = new
+    smallest = labels.groupBy("component").agg(F.min("node").alias("low"))
+    out = materialize(labels.join(broadcast_if_fits(smallest, labels), "component").select("node", F.col("low").alias("component")), "labels")
+    release(both, labels)
+    return out
 
 
 def looked_up(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
@@ -452,66 +522,113 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame, how:
     return of_hot.unionByName(marked.where("_hot is null").drop("_hot").join(facts, key, how))
 
 
+class _Routed:
+    """What components() and links() have in common: sets, representatives, and their leaves."""
+
+    def __init__(self, frame: DataFrame, words: int, percent: int):
+        self.node = id_type(frame, "doc_id")
+        table = materialize(sets_table(frame, shingle_counters(frame, words), words, percent), "sets")
+        linked, rows = table.where("fp is not null and doc_id is not null"), rows_of(table)
+        self.groups = materialize(linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("times")).where("times > 1"), "groups")
+        self.hot = self.groups.where(F.col("times") * HOT_KEYS >= rows)
+        # Documents with the set of another one are left out of all that follows.
+        self.copies = materialize(looked_up(linked.select("fp", "doc_id"), self.groups.select("fp", "node"), "fp", self.hot, "inner").where("doc_id <> node").distinct(), "copies")
+        kept = linked.join(broadcast_if_fits(self.copies.select("fp", "doc_id"), self.copies), ["fp", "doc_id"], "left_anti")
+        self.points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine", "wide"), "points")
+        self.leaves = materialize(self._leaves(kept, rows), "leaves")
+        # Documents whose rows have several sets connect the groups of these sets.
+        several = linked.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc_id")
+        self.stitches = materialize(self.copies.join(several, "doc_id", "left_semi").select(F.col("node").alias("x"), F.col("doc_id").alias("y")), "stitches")
+        # The sets are not needed any more: only what the result shows of them is kept.
+        self.sizes = materialize(table.select("doc_id", "n_shingles"), "sizes")
+        release(table)
+
+    @staticmethod
+    def _leaves(kept: DataFrame, rows: int) -> DataFrame:
+        """leaf, node, pos, size of the leaves with two sets or more."""
+        routed = lambda df: df.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "leaf"))
+        sampled = routed(kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)).groupBy("leaf").agg(F.count("*").alias("seen"))
+        few = materialize(sampled.where(F.col("seen") >= max(SMALL, rows // (SAMPLE * HOT_KEYS))).select("leaf", F.lit(True).alias("_hot")), "hot-leaves")
+        if not rows_of(few):
+            release(few)
+            return routed(kept).withColumn("size", F.count("*").over(Window.partitionBy("leaf"))).where("size > 1")
+        marked = routed(kept).join(broadcast_if_fits(few), "leaf", "left")
+        cold = marked.where("_hot is null").select("leaf", "node", "pos").withColumn("size", F.count("*").over(Window.partitionBy("leaf")))
+        own = marked.where("_hot").select("leaf", "node", "pos")
+        sizes = materialize(own.groupBy("leaf").agg(F.count("*").alias("size")), "hot-sizes")
+        return cold.unionByName(own.join(broadcast_if_fits(sizes), "leaf")).where("size > 1")
+
+    def release(self) -> None:
+        release(self.groups, self.copies, self.points, self.leaves, self.stitches, self.sizes)
+
+
 def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, one row for each input row."""
     frame = keyed_text(docs, id_col, text_col)
-    node = id_type(frame, "doc_id")
-    table = materialize(sets_table(frame, shingle_counters(frame, words), words, percent), "sets")
-    linked = table.where("fp is not null and doc_id is not null")
-    groups = materialize(linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("times")).where("times > 1"), "groups")
-    hot = groups.where(F.col("times") * HOT_KEYS >= linked.count())
-    # Documents with the set of another one: they are left out of all that follows, up to BROADCAST_IDS of them by a broadcast.
-    copies = materialize(looked_up(linked.select("fp", "doc_id"), groups.select("fp", "node"), "fp", hot, "inner").where("doc_id <> node").distinct(), "copies")
-    out = copies.select("fp", "doc_id")
-    kept = linked.join(F.broadcast(out) if copies.count() <= BROADCAST_IDS // 4 else out, ["fp", "doc_id"], "left_anti")
-    points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine", "wide"), "points")
-
-    routed = kept.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "leaf"))
-    leaf = Window.partitionBy("leaf")
-    shared = routed.withColumns({"size": F.count("*").over(leaf), "lead": F.min("node").over(leaf)}).where("size > 1")
-    leaves = materialize(shared.select("leaf", "node", "pos", "size", "lead"), "leaves")
-    # Documents whose rows have several sets connect the groups of these sets.
-    several = linked.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc_id")
-    stitches = materialize(copies.join(several, "doc_id", "left_semi").select(F.col("node").alias("x"), F.col("doc_id").alias("y")), "stitches")
-    # The sets are not needed any more: only what the result shows of them is kept.
-    sizes = materialize(table.select("doc_id", "n_shingles"), "sizes")
-    release(table)
-
-    large = leaves.where(F.col("size") > SMALL)
-    small = leaves.where(F.col("size") <= SMALL).select("leaf", "node", "pos").join(points.select("node", "n", "counts"), "node")
-    # The LEADS leads that a set meets in most leaves: the sets of a group of near copies mostly agree on them, and step 4 finds what is missed.
-    met = large.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("times"))
-    led = met.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("times"), "lead"))).where(F.col("rank") <= LEADS)
-    stars = led.select(F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y"))
-    candidates = _leaf_pairs(small, node, percent, labelled=False).unionByName(stars).distinct()
+    r = _Routed(frame, words, percent)
+    node, leaves, points = r.node, r.leaves, r.points
+
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))
+    key = F.when(F.col("size") <= BLOCK, F.col("leaf")).otherwise(F.xxhash64("leaf", salt))
+    trees = leaves.select(key.alias("key"), "node", "pos").join(points.select("node", "n", "counts"), "node")
+    found = materialize(_tree_join(trees, node, percent, labelled=False).groupBy("x", "y", "near").agg(F.count("*").alias("times")), "tree-pairs")
+    # The partners that a set has in most leaves: the sets of a group of near copies mostly agree on them, and step 4 finds what is missed.
+    led = found.where("near").withColumn("rank", F.row_number().over(Window.partitionBy("y").orderBy(F.desc("times"), "x"))).where(F.col("rank") <= LEADS)
+    candidates = found.where("not near").select("x", "y").unionByName(led.select("x", "y")).distinct()
     pairs = materialize(_bounded(candidates, points, node, percent), "pairs")
     links = _verified(frame, pairs, node, words, percent)
     labels = connected(links)
 
-    labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high")
-    rows = mixed.select("leaf", "node", "pos", "component").join(points.select("node", "n", "counts", "fine"), "node")
-    more = materialize(_bounded(_leaf_pairs(rows, node, percent, labelled=True).distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
+    large = leaves.where(F.col("size") > SMALL).select("leaf", "node", "pos")
+    labelled = materialize(large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
+    mixed = materialize(labelled.groupBy("leaf").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("leaf"), "mixed")
+    rows = _parted(labelled.join(broadcast_if_fits(mixed), "leaf", "left_semi")).join(points.select("node", "n", "counts", "fine"), "node")
+    more = materialize(_bounded(_tree_join(rows, node, percent, labelled=True).select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
     # The first components stand for their members: only what links two of them is closed once more.
     own = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(c + "_of"))
-    bridges = links2.unionByName(stitches).join(own("x"), "x", "left").join(own("y"), "y", "left").select(F.coalesce("x_of", "x").alias("x"), F.coalesce("y_of", "y").alias("y"))
+    bridges = links2.unionByName(r.stitches).join(own("x"), "x", "left").join(own("y"), "y", "left").select(F.coalesce("x_of", "x").alias("x"), F.coalesce("y_of", "y").alias("y"))
     merged = connected(bridges.where("x <> y").distinct())
     # Copies have the component of their representative.
-    of_copies = looked_up(copies.groupBy("doc_id").agg(F.min("node").alias("node")), labels, "node", hot).select("doc_id", F.coalesce("component", "node").alias("component"))
+    of_copies = looked_up(r.copies.groupBy("doc_id").agg(F.min("node").alias("node")), labels, "node", r.hot).select("doc_id", F.coalesce("component", "node").alias("component"))
     known = labels.select(F.col("node").alias("doc_id"), "component").unionByName(of_copies).unionByName(merged.select(F.col("node").alias("doc_id"), F.col("node").alias("component")))
-    tops = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
-    found = known.join(F.broadcast(tops) if merged.count() <= BROADCAST_IDS // 4 else tops, "component", "left").groupBy("doc_id").agg(F.min(F.coalesce("top", "component")).alias("component"))
-    final = materialize(found, "components")
-    release(groups, leaves, points, pairs, more, copies, stitches, links, links2, labels)
-    return sizes.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    tops = broadcast_if_fits(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), merged)
+    final = known.join(tops, "component", "left").groupBy("doc_id").agg(F.min(F.coalesce("top", "component")).alias("component"))
+    out = materialize(r.sizes.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "components")
+    release(found, pairs, links, labels, labelled, mixed, more, links2, merged)
+    r.release()
+    return out
+
+
+def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links between different sets (x, y: representatives, x < y) and the membership of documents (doc_id, node).
+
+    Every leaf is joined in full, so a group of k near copies with different sets takes k * k / 2 pairs.
+    """
+    frame = keyed_text(docs, id_col, text_col)
+    r = _Routed(frame, words, percent)
+    rows = _parted(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component"))).join(r.points.select("node", "n", "counts", "fine"), "node")
+    pairs = materialize(_bounded(_tree_join(rows, r.node, percent, labelled=True).select("x", "y").distinct(), r.points, r.node, percent), "pairs")
+    out = _verified(frame, pairs, r.node, words, percent)
+    members = r.points.select(F.col("node").alias("doc_id"), "node").unionByName(r.copies.select("doc_id", "node")).distinct()
+    release(pairs)
+    return out, reads(members, r.groups, r.copies, r.points, r.leaves, r.stitches, r.sizes)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns; rows without an id all stay."""
+    """One document of each group, the one with the smallest id, with all its columns; rows without an id all stay.
+
+    Of rows that share an id the one with the smallest text stays (nulls first), of equal texts the one whose columns make the
+    smallest JSON. Ids to drop are broadcast if they fit, so that texts stay where they are.
+    """
     found = components(docs, words, percent, id_col, text_col)
     # A document without shingles is its own component.
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
+    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    twice = materialize(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1").select("_id"), "twice")
     row = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("_row"), col(id_col).alias("_id"))
-    stay = row.where("_id is not null").join(chosen, F.col("_id") == F.col("_keep"), "left_semi").dropDuplicates(["_id"]).unionByName(row.where("_id is null"))
-    return stay.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    stay = row.join(broadcast_if_fits(gone), "_id", "left_anti")
+    few = broadcast_if_fits(twice)
+    order = F.struct(F.col("_row")[text_col].cast("string").alias("t"), F.to_json("_row").alias("j"))
+    again = stay.join(few, "_id", "left_semi").groupBy("_id").agg(F.min_by("_row", order).alias("_row"))
+    stay = stay.join(few, "_id", "left_anti").select("_row").unionByName(again.select("_row"))
+    return reads(stay.select(*(F.col("_row")[c].alias(c) for c in docs.columns)), found, gone, twice)

@@ -72,7 +72,7 @@ def test_tree_finds_every_pair_within_the_bound():
         base = r.integers(0, 8, (max(1, n // 5), nj.GROUPS))
         points = np.clip(base[r.integers(0, len(base), n)] + r.integers(-1, 2, (n, nj.GROUPS)), 0, 255).astype(np.uint8)
         sizes = points.astype(int).sum(axis=1)
-        found = {(min(a, b), max(a, b)) for i, j in nj.CountTree(points, sizes).pairs() for a, b in zip(i.tolist(), j.tolist())}
+        found = {(min(a, b), max(a, b)) for i, j, _ in nj.CountTree(points, sizes).pairs() for a, b in zip(i.tolist(), j.tolist())}
         wanted = set()
         for a in range(n):
             bound = nj.overlap_bound(points[a], sizes[a : a + 1], points, sizes)
@@ -121,3 +121,87 @@ def test_lookup_by_hot_and_rare_keys(spark):
     assert sorted(map(tuple, left.select("key", "value", "fact").collect()), key=str) == sorted(wanted, key=str)
     inner = nj.looked_up(rows, facts, "key", hot, "inner")
     assert sorted(map(tuple, inner.select("key", "value", "fact").collect()), key=str) == sorted((w for w in wanted if w[2]), key=str)
+
+
+def test_chains_of_any_order_settle(spark):
+    n, r = 2000, random.Random(3)
+    falling = [1, *range(n, 1, -1)]
+    shuffled = r.sample(range(1, n + 1), n)
+    for path in (list(range(1, n + 1)), falling, shuffled):
+        edges = spark.createDataFrame(list(zip(path, path[1:])), "x bigint, y bigint")
+        found = nj.connected(edges).collect()
+        assert len(found) == n and {r["component"] for r in found} == {1}
+    stars = [(k, 5000) for k in range(1, 300)] + [(5000 + k, 5001 + k) for k in range(50)] + [(9000, 9001)]
+    found = {r["node"]: r["component"] for r in nj.connected(spark.createDataFrame(stars, "x bigint, y bigint")).collect()}
+    assert set(found.values()) == {1, 9000} and len(found) == 299 + 51 + 2
+
+
+def test_long_revision_history(spark):
+    """Sliding documents, each linked with its neighbours only; ids run 1, n, n - 1, …, 2."""
+    n = 600
+    ids = [1, *range(n, 1, -1)]
+    rows = [(ids[k], " ".join(f"w{j}" for j in range(k * 8, k * 8 + 94))) for k in range(n)]
+    assert {c for _, _, c in got(spark.createDataFrame(rows, "doc_id bigint, text string"))} == {1}
+
+
+def test_long_words_stay_apart(spark):
+    one, two = "=" * 64 + "-" * 128 + "=" * 64, "-" * 64 + "=" * 128 + "-" * 64
+    swapped = "a" * 64 + "b" * 64 + "c" * 64, "b" * 64 + "a" * 64 + "c" * 64
+    hashes = [int(nj.Shingler()(w)[0]) for w in (one, two, *swapped, "a" * 64, "a" * 65, "a" * 128)]
+    assert len(set(hashes)) == len(hashes)
+    assert {c for _, _, c in got(spark.createDataFrame([(1, one), (2, two), (3, two)], "doc_id bigint, text string"))} == {1, 2}
+
+
+def test_leaves_of_many_trees(spark, monkeypatch):
+    """Blocks of a few sets only: near copies, clusters and a shared passage over many trees and pairs of blocks."""
+    monkeypatch.setattr(nj, "BLOCK", 12)
+    monkeypatch.setattr(nj, "SAMPLE", 1)
+    r = random.Random(29)
+    rows = []
+    for cluster in range(4):
+        base = [f"s{k}" for k in range(12)] + [f"c{cluster}_{k}" for k in range(70)]
+        for k in range(40):
+            words = list(base)
+            for _ in range(r.randrange(3)):
+                words[r.randrange(70, 82)] = f"e{r.randrange(9)}"
+            rows.append((cluster * 100 + k, " ".join(words)))
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(docs) == plain(rows)
+    found, members = nj.links(docs)
+    sets = {k: shingles(t) for k, t in rows}
+    of = {m["doc_id"]: m["node"] for m in members.collect()}
+    assert set(of) == set(sets) and all(sets[k] == sets[v] for k, v in of.items())
+    heads = sorted(set(of.values()))
+    wanted = {(a, b) for a in heads for b in heads if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {(x["x"], x["y"]) for x in found.collect()} == wanted and len(wanted) > 300
+
+
+def test_the_tree_makes_the_pairs_of_large_leaves(spark, monkeypatch):
+    """Tree pairs of sets in leaves of over SMALL sets, and that they are as many as the sets at most."""
+    r = random.Random(5)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(base[:20] + [w if r.random() > 0.02 else f"x{k}" for w in base[20:]])) for k in range(60)]
+    seen, real = [], nj._tree_join
+
+    def spied(trees, node, percent, labelled):
+        out = real(trees, node, percent, labelled)
+        if not labelled:
+            seen.append(out.where("near").distinct().count())
+        return out
+
+    monkeypatch.setattr(nj, "_tree_join", spied)
+    assert got(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain(rows)
+    assert seen and 0 < seen[0]
+    n = 400
+    points = np.random.default_rng(1).integers(0, 3, (n, nj.GROUPS)).astype(np.uint8)
+    points[: n // 2] = points[0]
+    tree = nj.CountTree(points, points.astype(int).sum(axis=1))
+    near = sum(len(i) for i, _, _ in tree.pairs())
+    assert near >= (n // 2) * (n // 2 - 1) // 2 and tree.visited < n * n
+
+
+def test_keep_one_of_rows_that_share_an_id(spark):
+    rows = [(1, "b c d e f g"), (1, "a c d e f g"), (2, None), (2, "z"), (None, "q"), (None, "q")]
+    kept = nj.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, "a c d e f g"), (2, None), (None, "q"), (None, "q")], key=str)
