@@ -24,11 +24,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_type, keyed_text, materialize, tokenizer_path
+from .common import by_size, id_type, keyed_text, materialize, reads, tokenizer_path
 
 CAPACITY = 2048
 SALTS = 1024
 END = 0
+#: Runs of white space from this length on are not given to the rank encoder, which fails at about a million.
+LONG_RUN = 20_000
 
 _ENCODERS: dict[str, object] = {}
 
@@ -42,10 +44,11 @@ def _bytes_of_letters() -> dict[str, int]:
 
 def encoder(path: str):
     """Ids of the byte-level vocabulary in a tokenizers file. Its ids are its merge ranks, so the faster rank encoder gives
-    the same ids as the tokenizers library does; where they are not, and for texts that hold one of the file's added tokens,
-    the library itself is used."""
+    the same ids as the tokenizers library does; where they are not, and for texts that hold one of the file's added tokens or
+    a run of white space that the rank encoder's pattern cannot take (its matcher's stack is bounded), the library is used."""
     if path in _ENCODERS:
         return _ENCODERS[path]
+    import regex
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -55,12 +58,13 @@ def encoder(path: str):
     model, added = file["model"], [x["content"] for x in file.get("added_tokens") or ()]
     vocabulary, letters = model["vocab"], _bytes_of_letters()
     tool = Tokenizer.from_file(path)
+    blank_run = regex.compile(r"\s{%d}" % LONG_RUN).search
     by_library = lambda text: tool.encode(text, add_special_tokens=False).ids
     merged = [("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
     if [vocabulary[x] for x in merged] == list(range(256, 256 + len(merged))):
         ranks = {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if rank < 256 + len(merged)}
         by_rank = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        encode = lambda text: by_library(text) if any(x in text for x in added) else by_rank(text)
+        encode = lambda text: by_library(text) if any(x in text for x in added) or len(text) >= LONG_RUN and blank_run(text) else by_rank(text)
     else:
         encode = by_library
     _ENCODERS[path] = encode
@@ -73,7 +77,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, capacity) for at in range(first, n, capacity)]
 
 
-def pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, chunk: int = 1000) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, salt and, with keep_ids, ids: array<int>."""
     frame = keyed_text(docs, id_col, text_col)
     schema = f"doc_id {id_type(frame, 'doc_id')}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if keep_ids else "")
@@ -84,9 +88,9 @@ def pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int
 
         encode = encoder(tokenizer_path(vocabulary))
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch, rows, source = whole.slice(at, chunk), [], []
-                for k, text in enumerate(batch.column(1).to_pylist()):
+            for batch, texts in by_size(whole, 1):
+                rows, source = [], []
+                for k, text in enumerate(texts):
                     ids = np.array([*encode(text or ""), END], "<u4")
                     for n, (start, length) in enumerate(cut(len(ids), capacity)):
                         own = ids[start : start + length]
@@ -178,8 +182,10 @@ def place(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset and, with keep_ids, ids."""
-    return place(materialize(pieces(docs, vocabulary, capacity, id_col, text_col, keep_ids), "pack-pieces"), capacity)
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset and, with keep_ids, ids. The result reads a stored table
+    of pieces, which ``release`` deletes. Nulls, ties, repeated rows and empty tables: as above; a null doc_id is an id like any other."""
+    made = materialize(pieces(docs, vocabulary, capacity, id_col, text_col, keep_ids), "pack-pieces")
+    return reads(place(made, capacity), made)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -55,6 +55,18 @@ def test_added_tokens_like_the_library_by_default():
     assert list(encode("a <|endoftext|> b")) == [64, 220, 50256, 275]
 
 
+def test_long_runs_like_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tool, encode = Tokenizer.from_file(path), packing.encoder(path)
+    n = 2_000_000
+    for text in (" " * n, "\n" * n, "\r\n" * (n // 2), "x" + " " * n + "y", "a" * n, "7" * n, "\u3000" * (n // 3), "=" * n, " " * (packing.LONG_RUN - 1) + "z"):
+        assert list(encode(text)) == tool.encode(text, add_special_tokens=False).ids, text[:9]
+
+
+def test_blank_runs_in_documents(spark):
+    check(spark.createDataFrame([(1, " " * 1_500_000), (2, "a" + "\n" * 1_200_000 + "b"), (3, "word " * 9), (None, "x")], "doc_id bigint, text string"))
+
+
 def test_sequences_hold_the_ids(documents):
     packed = packing.pack(documents, keep_ids=True)
     sizes = {r["sequence_id"]: len(r["ids"]) for r in packing.sequences(packed).collect()}
