@@ -1,69 +1,81 @@
-"""Greedy longest-match token counts by a linear automaton.
+"""Greedy word-piece counts by a linear automaton.
 
-The vocabulary is a byte trie. Each state has a failure link and the number of tokens that leave the front of the
-state's string when the link is taken, so one pass over the bytes counts the pieces of the greedy longest-match
-segmentation without building any of them.
+The vocabulary is a trie with two roots: pieces that begin a word, and pieces that continue one. Each state has a failure
+link and the number of pieces that leave the front of the state's string when the link is taken, so one pass over a word's
+characters counts the pieces of its greedy longest-match segmentation without building any of them. Time is linear in the
+word's length: each link taken shortens what is held.
+
+Words are maximal runs of anything but six ASCII blanks; a word is matched with the vocabulary's word mark before it, so a
+vocabulary that has the mark itself as a piece may begin any word with it. Texts are not normalised.
 
 Defined results: a null text counts as an empty one (all zero); repeated rows give repeated rows; an empty table gives an
-empty table; a byte that no token covers makes its whole piece one unknown token, counted in n_unknown; texts of any length
-are read whole.
+empty table; a word that its pieces cannot cover is one unknown piece, counted in n_unknown; texts and words of any length
+are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections import deque
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from .byte_bpe import load_ranks
-from .common import id_type, keyed_text, tokenizer_path
+from .common import SPACES, by_size, id_type, keyed_text, tokenizer_path
+
+#: Words kept with their counts by one worker.
+WORD_MEMO = 500_000
+#: Fixed value: the character that marks a word's beginning in piece vocabularies.
+MARK = "▁"
+_WORD = re.compile(SPACES.replace("[", "[^", 1) + "+")
 
-PIECE_MEMO = 500_000
+#: Roots of the two tries.
+START, INSIDE = 0, 1
 
 
 class LongestMatch:
-    def __init__(self, vocabulary: Iterable[bytes]):
-        self.next: list[dict[int, int]] = [{}]
-        final: list[bool] = [False]
-        for token in vocabulary:
-            at = 0
-            for byte in token:
-                to = self.next[at].get(byte)
-                if to is None:
-                    to = self.next[at][byte] = len(self.next)
-                    self.next.append({})
-                    final.append(False)
-                at = to
-            final[at] = at > 0
-        #: -1: no way on from here; popped[s]: tokens that leave when state s fails over to link[s].
+    def __init__(self, starts: Iterable[str], insides: Iterable[str]):
+        self.next: list[dict[str, int]] = [{}, {}]
+        final: list[bool] = [False, False]
+        for root, pieces in ((START, starts), (INSIDE, insides)):
+            for piece in pieces:
+                at = root
+                for char in piece:
+                    to = self.next[at].get(char)
+                    if to is None:
+                        to = self.next[at][char] = len(self.next)
+                        self.next.append({})
+                        final.append(False)
+                    at = to
+                final[at] = at > INSIDE
+        #: -1: no way on from here; popped[s]: pieces that leave when state s fails over to link[s], a state inside a word.
         self.link, self.popped = [-1] * len(self.next), [0] * len(self.next)
-        queue = deque([0])
+        queue = deque([INSIDE, START])
         while queue:
             parent = queue.popleft()
-            for byte, state in self.next[parent].items():
+            for char, state in self.next[parent].items():
                 queue.append(state)
                 if final[state]:
-                    self.link[state], self.popped[state] = 0, 1
+                    self.link[state], self.popped[state] = INSIDE, 1
                     continue
                 back, count = self.link[parent], self.popped[parent]
-                while back >= 0 and byte not in self.next[back]:
+                while back >= 0 and char not in self.next[back]:
                     count += self.popped[back]
                     back = self.link[back]
                 if back >= 0:
-                    self.link[state], self.popped[state] = self.next[back][byte], count
+                    self.link[state], self.popped[state] = self.next[back][char], count
 
-    def count(self, data: bytes) -> int:
-        """Tokens of the greedy segmentation; -1 if some byte cannot be covered."""
-        state, total, step, link, popped = 0, 0, self.next, self.link, self.popped
-        for byte in data:
-            while (to := step[state].get(byte)) is None:
+    def count(self, word: str) -> int:
+        """Pieces of the greedy segmentation; -1 if some part cannot be covered."""
+        state, total, step, link, popped = START, 0, self.next, self.link, self.popped
+        for char in word:
+            while (to := step[state].get(char)) is None:
                 if link[state] < 0:
                     return -1
                 total += popped[state]
                 state = link[state]
             state = to
-        while state:
+        while state > INSIDE:
             if link[state] < 0:
                 return -1
             total += popped[state]
@@ -71,56 +83,54 @@ class LongestMatch:
         return total
 
 
-class PieceCounter:
-    def __init__(self, path: str, pattern: str):
-        import regex
+def word_pieces(path: str) -> tuple[list[str], list[str]]:
+    """(pieces that begin a word, mark included; pieces that continue one); control, byte and unknown pieces are none."""
+    import sentencepiece
+
+    tool = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = [tool.id_to_piece(k) for k in range(tool.get_piece_size()) if not (tool.is_control(k) or tool.is_byte(k) or tool.is_unknown(k) or tool.is_unused(k))]
+    return [p for p in pieces if p.startswith(MARK)], [p for p in pieces if MARK not in p]
 
-        self.pieces = regex.compile(pattern).findall
-        self.automaton = LongestMatch(load_ranks(path))
+
+class WordCounter:
+    def __init__(self, path: str):
+        self.automaton = LongestMatch(*word_pieces(path))
         self.memo: dict[str, int] = {}
 
     def __call__(self, text: str) -> tuple[int, int, int]:
-        memo, total, unknown, pieces = self.memo, 0, 0, self.pieces(text)
-        if len(memo) > PIECE_MEMO:
+        memo, total, unknown, words = self.memo, 0, 0, _WORD.findall(text)
+        if len(memo) > WORD_MEMO:
             memo.clear()
-        for piece in pieces:
-            n = memo.get(piece)
+        for word in words:
+            n = memo.get(word)
             if n is None:
-                n = self.automaton.count(piece.encode())
-                if len(piece) <= 64:
-                    memo[piece] = n
+                n = self.automaton.count(MARK + word)
+                if len(word) <= 64:
+                    memo[word] = n
             if n < 0:
                 unknown += 1
                 n = 1
             total += n
-        return len(pieces), total, unknown
-
+        return len(words), total, unknown
 
-_COUNTERS: dict[tuple[str, str], PieceCounter] = {}
 
+_COUNTERS: dict[str, WordCounter] = {}
 
-def count_tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk: int = 2000) -> DataFrame:
-    """doc_id, n_bytes, n_pieces, n_tokens, n_unknown; one row for each input row, no shuffle."""
-    import public_tokenizers
 
+def count_tokens(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_words, n_tokens, n_unknown; one row for each input row, no shuffle."""
     frame = keyed_text(docs, id_col, text_col)
-    pattern = pattern or public_tokenizers.PATTERN
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         path = tokenizer_path(vocabulary)
-        if (path, pattern) not in _COUNTERS:
-            _COUNTERS[path, pattern] = PieceCounter(path, pattern)
-        counter = _COUNTERS[path, pattern]
+        if path not in _COUNTERS:
+            _COUNTERS[path] = WordCounter(path)
+        counter = _COUNTERS[path]
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
-                texts = [x or "" for x in batch.column(1).to_pylist()]
-                rows = [counter(x) for x in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(x.encode()) for x in texts], pa.int64()), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))],
-                    ["doc_id", "n_bytes", "n_pieces", "n_tokens", "n_unknown"],
-                )
-
-    return frame.mapInArrow(run, f"doc_id {id_type(frame, 'doc_id')}, n_bytes bigint, n_pieces bigint, n_tokens bigint, n_unknown bigint")
+            for batch, texts in by_size(whole, 1):
+                rows = [(len((x or "").encode()), *counter(x or "")) for x in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))], ["doc_id", "n_bytes", "n_words", "n_tokens", "n_unknown"])
+
+    return frame.mapInArrow(run, f"doc_id {id_type(frame, 'doc_id')}, n_bytes bigint, n_words bigint, n_tokens bigint, n_unknown bigint")
