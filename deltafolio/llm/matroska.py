@@ -6,7 +6,7 @@ each frame: track, timestamp, keyframe flag, byte range and the lacing it came f
 
 Defined results: a null text is an empty one, whose payload is one frame of padding; equal texts give equal files;
 repeated rows give repeated rows; an empty table gives an empty table; texts of any length are stored whole; other columns
-are ignored. A null or damaged file has no packets and says so in ``error``.
+are ignored. A null, empty or damaged file, and one without packets, has one row that says so in ``error``.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from .common import col, id_type, keyed_text
+from .common import by_size, col, id_type, keyed_text
 
 # Element identifiers of the public format.
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3
@@ -257,8 +257,8 @@ def packet_table(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
                 try:
                     found, info = parse(data or b"")
                     rows = [(n, p.track, p.timestamp * info["scale"] // 1_000_000, p.keyframe, p.offset, p.size, p.lacing, None) for n, p in enumerate(found)]
-                    if data is None:
-                        rows = [(None,) * 7 + ("no file",)]
+                    if not rows:
+                        rows = [(None,) * 7 + ("no file" if data is None else "no packets",)]
                 except (ValueError, IndexError, KeyError, struct.error) as e:
                     rows = [(None,) * 7 + (str(e) or type(e).__name__,)]
                 if rows:
@@ -283,7 +283,7 @@ def sound_features(payload: bytes, packets: list[Packet], info: dict) -> str:
     return f"packets={len(packets)};clusters={len(info['clusters'])};cues={sum(c[3] for c in info['cues'])};ms={packets[-1].timestamp + FRAME_MS if packets else 0};sum={int(x.sum())};energy={int((x * x).sum())};crossings={crossings};loudest={loud}"
 
 
-def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = True, chunk: int = 500) -> DataFrame:
+def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_media: bool = True) -> DataFrame:
     """Stores each text as a file, reads the file back and computes features of what was read. No shuffle."""
     frame = keyed_text(docs, id_col, text_col)
     schema = f"doc_id {id_type(frame, 'doc_id')}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, n_packets bigint, feature string" + (", media binary" if keep_media else "")
@@ -292,14 +292,14 @@ def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
         import pyarrow as pa
 
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch, rows = whole.slice(at, chunk), []
-                for text in batch.column(1).to_pylist():
+            for batch, texts in by_size(whole, 1):
+                rows = []
+                for text in texts:
                     n, payload = padded(text or "")
                     stored = mux(payload)
                     packets, info = parse(stored)
                     back = b"".join([stored[p.offset : p.offset + p.size] for p in packets])
-                    rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), len(packets), sound_features(back, packets, info), stored))
+                    rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), len(packets), sound_features(back, packets, info), stored if keep_media else None))
                 types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
                 names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "n_packets", "feature", "media"]
                 columns = [batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types[: 9 if keep_media else 8]))]

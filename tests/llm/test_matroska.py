@@ -51,4 +51,19 @@ def test_unknown_sizes_block_groups_and_damage(spark):
     files = spark.createDataFrame([(1, bytearray(data)), (2, bytearray(data[:-2])), (3, None), (4, bytearray(b""))], "doc_id bigint, media binary")
     rows = mkv.packet_table(files).collect()
     assert sorted((r["doc_id"], r["packet"]) for r in rows if r["error"] is None) == [(1, 0), (1, 1)]
-    assert sorted(r["doc_id"] for r in rows if r["error"]) == [2, 3]
+    assert sorted((r["doc_id"], r["error"]) for r in rows if r["error"]) == [(2, next(r["error"] for r in rows if r["doc_id"] == 2)), (3, "no file"), (4, "no packets")]
+
+
+def test_features_like_plain_counting(documents, odd_docs):
+    for docs in (documents, odd_docs):
+        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        for row in mkv.media(docs).collect():
+            data = (texts[row["doc_id"]] or "").encode()
+            data += b"\xff" * (-len(data) % 576 if data else 576)
+            x = [b - 128 for b in data]
+            frames = len(data) // 576
+            loudest = max(sum(map(abs, x[k * 576 : k * 576 + 576])) for k in range(frames))
+            crossings = sum((a >= 0) != (b >= 0) for a, b in zip(x, x[1:]))
+            clusters = -(-frames // 128)
+            wanted = f"packets={frames};clusters={clusters};cues={clusters};ms={frames * 72};sum={sum(x)};energy={sum(a * a for a in x)};crossings={crossings};loudest={loudest}"
+            assert row["feature"] == wanted and row["n_packets"] == frames
