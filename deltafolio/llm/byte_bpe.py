@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from .common import id_type, keyed_text, tokenizer_path
+from .common import by_size, id_type, keyed_text, tokenizer_path
 
 #: Pieces kept with their ids by one worker; at most about 100 MB.
 PIECE_MEMO = 500_000
@@ -162,7 +162,7 @@ def text_encoder(path: str, pattern: str) -> TextEncoder:
     return _ENCODERS[path, pattern]
 
 
-def encode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, chunk: int = 500) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, decoded_bytes and, with keep_ids, ids: array<int>. No shuffle."""
     import public_tokenizers
 
@@ -177,10 +177,9 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", pat
         tool = text_encoder(tokenizer_path(vocabulary), pattern)
         table_of = tool.encoder.token_bytes
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
+            for batch, texts in by_size(whole, 1):
                 counts, digests, back, sizes, ids = [], [], [], [], []
-                for text in batch.column(1).to_pylist():
+                for text in texts:
                     packed = tool.packed(text or "")
                     numbers = np.frombuffer(packed, "<u4")
                     decoded = b"".join(map(table_of.__getitem__, numbers.tolist()))

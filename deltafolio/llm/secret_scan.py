@@ -14,14 +14,13 @@ table; whole texts are read; spans are code points, end exclusive; other columns
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
 from .byte_bpe import load_ranks
-from .common import Covered, id_type, keyed_text, tokenizer_path
+from .common import Covered, by_size, id_type, keyed_text, tokenizer_path
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -122,7 +121,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 _TESTS: dict[tuple, TokenEfficiency] = {}
 
 
-def scan(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", min_length: int = 20, max_ratio: float = 2.0, id_col: str = "doc_id", text_col: str = "text", chunk: int = 2000) -> DataFrame:
+def scan(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", min_length: int = 20, max_ratio: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_random, base_spans, spans. One row for each input row, no shuffle."""
     import public_tokenizers
 
@@ -136,10 +135,9 @@ def scan(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", min_length:
             _TESTS[key] = TokenEfficiency(*key)
         test = _TESTS[key]
         for whole in batches:
-            for at in range(0, whole.num_rows, chunk):
-                batch = whole.slice(at, chunk)
+            for batch, texts in by_size(whole, 1):
                 counts, base, full = [], [], []
-                for text in batch.column(1).to_pylist():
+                for text in texts:
                     found = base_spans(text) if text else []
                     more = test.spans(text, found) if text else []
                     counts.append([sum(k == kind for _, k, _ in found) for kind in range(3)] + [len(more)])
@@ -151,7 +149,3 @@ def scan(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", min_length:
                 )
 
     return frame.mapInArrow(run, f"doc_id {id_type(frame, 'doc_id')}, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_spans string, spans string")
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
