@@ -1,104 +1,218 @@
 """Licence scan by sentences and rules; column functions only.
 
-Texts are cut into sentences; a normalised sentence that matches a known form becomes its identifier, everything else a
-gap; ordered licence rules then match the sequence of identifiers (a rule is a regular expression over identifiers, and the
-first rule that matches a stretch wins, like a longer notice before its opening sentence).
+Texts are cut into sentences, whatever their line breaks; a normalised sentence is looked up in a map from known licence
+sentences to identifiers, and names of licences after words of granting ("licensed under the ...") or in an SPDX line are looked
+up in a map of names. Everything else is a gap. Ordered rules over the sequence of identifiers name the licences: at each place
+the first rule that fits wins, so a whole notice comes before its opening sentence, and what it takes is gone.
 
-Normalising: lower case (A-Z), every run of characters other than a-z, 0-9 and ``.`` becomes one blank. Sentences end at
-line ends and at a full stop that white space or the end of the line follows.
+Sentences end at a full stop, a colon, an exclamation or question mark that white space or the end follows, and at lines
+without letters and digits; all other line breaks are blanks, and so are comment marks. Normalising: lower case (A-Z), runs of
+characters other than a-z, 0-9, ``.`` and ``+`` become one blank, names of holders, programs and authors become ``x``. A known
+sentence may have words before it in its sentence, as where a title has no full stop.
 
 Defined results: a null or empty text has no licences (empty string, 0); repeated rows give repeated rows; an empty table
-gives an empty table; texts are read whole, of any length; other columns are ignored; a text may name several licences,
-listed in order of the rules, joined by commas.
+gives an empty table; texts are read whole, of any length; other columns are ignored; a text may name several licences, each
+listed once, by first appearance, joined by commas.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keyed_text
 
-# Identifiers of known sentences, and the normalised forms they stand for (regular expressions of the whole sentence).
-SENTENCES: dict[str, str] = {
-    "APACHE_GRANT": r"(this (work|file|code) is )?(licensed|released) under the apache licen[cs]e(,? ?version)? ?2(\.0)?",
-    "APACHE_YOU_MAY": r"you may not use this file except in compliance with the licen[cs]e",
-    "APACHE_COPY": r"you may obtain a copy of the licen[cs]e at( .*)?",
-    "APACHE_AS_IS": r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis .*",
-    "MIT_GRANT": r"((this (work|file|code) is )?(licensed|released) under the mit licen[cs]e|mit licen[cs]e|the mit licen[cs]e( mit)?)",
-    "MIT_PERMISSION": r"permission is hereby granted free of charge to any person obtaining a copy of this software .*",
-    "MIT_NOTICE": r"the above copyright notice and this permission notice shall be included in all copies .*",
-    "MIT_AS_IS": r"the software is provided as is without warranty of any kind .*",
-    "GPL3_GRANT": r"(this (work|file|code) is )?(licensed|released) under the gnu general public licen[cs]e version 3(\.0)?( or any later version)?",
-    "GPL2_GRANT": r"(this (work|file|code) is )?(licensed|released) under the gnu general public licen[cs]e version 2(\.0)?( or any later version)?",
-    "GPL_REDISTRIBUTE": r"(this program is free software )?you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e .*",
-    "LGPL_GRANT": r"(this (work|file|code) is )?(licensed|released) under the gnu lesser general public licen[cs]e( version (2\.1|3(\.0)?))?",
-    "BSD_REDISTRIBUTE": r"redistribution and use in source and binary forms with or without modification are permitted provided that .*",
-    "BSD_GRANT": r"(this (work|file|code) is )?(licensed|released) under the (new |simplified |2 clause |3 clause )?bsd licen[cs]e",
-    "MPL_GRANT": r"(this source code form is subject to the terms of|(this (work|file|code) is )?(licensed|released) under) the mozilla public licen[cs]e( v\.?| version)? ?2(\.0)?",
-    "CC_BY_NC_SA": r"(this (work|file|text) is )?(licensed|released) under (a |the )?(cc|creative commons) by nc sa [1-4]\.[0-9]",
-    "CC_BY_NC": r"(this (work|file|text) is )?(licensed|released) under (a |the )?(cc|creative commons) by nc [1-4]\.[0-9]",
-    "CC_BY_SA": r"(this (work|file|text) is )?(licensed|released) under (a |the )?(cc|creative commons) by sa [1-4]\.[0-9]",
-    "CC_BY": r"(this (work|file|text) is )?(licensed|released) under (a |the )?(cc|creative commons) by [1-4]\.[0-9]",
-    "CC0": r"(this (work|file|text) is )?(licensed|released) under (the )?cc0( 1\.0)?( universal)?",
-    "RESERVED": r"(copyright .* )?all rights reserved",
+# Known sentences of public licence notices, by identifier; several forms are separated by a line.
+NOTICES: dict[str, str] = {
+    "MIT_PERMISSION": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
+    "MIT_NOTICE": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software\nThe above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial portions of the Software",
+    "MIT_AS_IS": "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
+    "MIT_NO_EVENT": "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software",
+    "APACHE_YOU_MAY": "You may not use this file except in compliance with the License",
+    "APACHE_COPY": "You may obtain a copy of the License at\nYou may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "APACHE_AS_IS": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, express or implied",
+    "APACHE_SEE": "See the License for the specific language governing permissions and limitations under the License",
+    "BSD_USE": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "BSD_SOURCE": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "BSD_BINARY": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "BSD_NEITHER": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "BSD_AS_IS": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "BSD_NO_EVENT": "In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage",
+    "ISC_PERMISSION": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies\nPermission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "ISC_AS_IS": "The software is provided \"as is\" and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "ISC_NO_EVENT": "In no event shall the author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software",
+    "MPL_COPY": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    "FSF_HOPE": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "FSF_SEE": "See the GNU General Public License for more details\nSee the GNU Lesser General Public License for more details\nSee the GNU Affero General Public License for more details",
+    "FSF_COPY": "You should have received a copy of the GNU General Public License along with this program\nYou should have received a copy of the GNU Lesser General Public License along with this program\nYou should have received a copy of the GNU Affero General Public License along with this program",
+    "UNLICENSE": "This is free and unencumbered software released into the public domain",
+    "RESERVED": "All rights reserved",
+}
+
+# Names of licences, by identifier.
+NAMES: dict[str, list[str]] = {
+    "Apache-2.0": ["apache license version 2.0", "apache license version 2", "apache license 2.0", "apache license v2.0", "apache license v2", "apache 2.0 license", "apache 2 license", "apache 2.0", "apache software license version 2.0"],
+    "Apache": ["apache license", "apache software license"],
+    "MIT": ["mit license", "mit licence", "mit", "expat license"],
+    "ISC": ["isc license", "isc"],
+    "BSD-2-Clause": ["bsd 2 clause license", "bsd 2 clause", "2 clause bsd license", "simplified bsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "bsd 3 clause", "3 clause bsd license", "new bsd license", "modified bsd license", "revised bsd license"],
+    "BSD": ["bsd license", "bsd style license"],
+    "MPL-2.0": ["mozilla public license version 2.0", "mozilla public license 2.0", "mozilla public license v2.0", "mpl 2.0", "mpl v2.0"],
+    "Unlicense": ["unlicense"],
+    "CC0-1.0": ["cc0 1.0 universal", "cc0 1.0", "cc0"],
 }
 
-# Ordered rules, licence and the sequence of sentences that names it; between two sentences others may stand.
+# Rules for the names of two families: GNU licences and their versions, Creative Commons flavours and theirs.
+_GNU = {
+    "GPL": (("gnu general public license", "general public license", "gnu gpl", "gpl"), ("1", "2", "3")),
+    "LGPL": (("gnu lesser general public license", "lesser general public license", "gnu library general public license", "gnu lgpl", "lgpl"), ("2", "2.1", "3")),
+    "AGPL": (("gnu affero general public license", "affero general public license", "gnu agpl", "agpl"), ("1", "3")),
+}
+_CC = {"BY": ("by", "attribution"), "NC": ("nc", "noncommercial"), "SA": ("sa", "sharealike"), "ND": ("nd", "noderivatives")}
+_FLAVOURS = ("BY-NC-SA", "BY-NC-ND", "BY-NC", "BY-SA", "BY-ND", "BY")
+
+for _family, (_titles, _versions) in _GNU.items():
+    for _v in _versions:
+        _full = _v if "." in _v else _v + ".0"
+        NAMES[f"{_family}-{_full}"] = [f"{t} {mark}{n}" for t, mark, n in product(_titles, ("version ", "v", ""), dict.fromkeys((_v, _full)))]
+    NAMES[_family] = list(_titles)
+for _flavour, _v in product(_FLAVOURS, ("1.0", "2.0", "2.5", "3.0", "4.0")):
+    _words = _flavour.split("-")
+    NAMES[f"CC-{_flavour}-{_v}"] = [f"{head} {' '.join(_CC[w][k] for w in _words)} {_v}" for head, k in (("cc", 0), ("creative commons", 0), ("creative commons", 1))]
+NAMES = {ident: [n for name in names for n in dict.fromkeys((name, name.replace("license", "licence")))] for ident, names in NAMES.items()}
+
+#: Raw text, before it is cut: an SPDX line is a sentence of its own, and the point of "v. 2.0" ends none.
+SEPARATOR = "\x01"
+RAW = ((r"spdx-license-identifier:[ \t]*([^\n\r]*)", SEPARATOR + "spdx license identifier $1" + SEPARATOR), (r"\bv\.[^a-z0-9]*(?=[0-9])", "v"))
+CUT = SEPARATOR + r"|[.:!?][\"')\]>]*(?=\s|$)|\n(?=[^a-z0-9\n]*(\n|$))"
+NOT_WORD = r"[^a-z0-9.+]+"
+#: What differs between copies of one sentence.
+BLANKED = (
+    (r"\bhttps\b", "http"),
+    (r"\bneither the name of .+ nor the names of\b", "neither the name of x nor the names of"),
+    (r"\bprovided by .+ as is and\b", "provided by x as is and"),
+    (r"\bin no event shall .+ be liable\b", "in no event shall x be liable"),
+    (r"\bthe author(s)? disclaim(s)? all\b", "the author disclaims all"),
+    (r"\bthis [a-z0-9]+ is distributed in the hope\b", "this x is distributed in the hope"),
+    (r"\balong with (this|the) [a-z0-9]+\b.*", "along with x"),
+    (r" +\.|\.+$", ""),
+)
+
+
+def normal(sentence: str) -> str:
+    """What the columns do to a sentence, for the keys of the maps."""
+    out = re.sub(NOT_WORD, " ", sentence.lower()).strip()
+    for pattern, by in BLANKED:
+        out = re.sub(pattern, by, out)
+    return out.strip()
+
+
+def _gnu_terms() -> dict[str, str]:
+    """The sentence that puts a program under a GNU licence, in its usual forms."""
+    out = {}
+    for family, (titles, versions) in _GNU.items():
+        for title, v in product(titles[:2], versions):
+            full, by = v if "." in v else v + ".0", "as published by the Free Software Foundation"
+            head = "you can redistribute it and/or modify it under the terms of"
+            for form in (f"{head} the {title} {by}, either version {v} of the License", f"{head} the {title} {by}, version {v}", f"{head} the {title} {by}, version {v} of the License", f"{head} version {v} of the {title} {by}"):
+                out[normal(form)] = f"{family}-{full}"
+                for later in ("or (at your option) any later version", "or any later version"):
+                    out[normal(f"{form}, {later}")] = f"{family}-{full}-or-later"
+    return out
+
+
+KNOWN: dict[str, str] = {normal(form): ident for ident, forms in NOTICES.items() for form in forms.split("\n")} | _gnu_terms()
+NAME_IDS: dict[str, str] = {name: ident for ident, names in NAMES.items() for name in names}
+#: SPDX identifiers, normalised, and the older ones.
+SPDX_IDS: dict[str, str] = {normal(ident.replace("-", " ")): ident for ident in NAMES} | {
+    normal(f"{ident} {tail}"): f"{ident}{kind}" for ident in NAMES if "GPL-" in ident for tail, kind in (("only", ""), ("or later", "-or-later"))
+} | {normal(f"{ident}+"): f"{ident}-or-later" for ident in NAMES if "GPL-" in ident}
+
+
+def _any(words) -> str:
+    return "|".join(re.escape(w).replace("\\ ", " ") for w in sorted(words, key=lambda w: (-len(w), w)))
+
+
+#: Words that begin known sentences: their first three words.
+OPENING = f"(?:^| )((?:{_any({' '.join(k.split()[:3]) for k in KNOWN})})(?: .*)?)$"
+GRANT = (
+    r"(?:licen[cs]ed|licen[cs]es this (?:file|work|software) to you|released|distributed|available|published|provided|covered|subject) (?:under|by|to) "
+    rf"(?:(?:the )?terms (?:and conditions )?of )?(?:an? |the )?({_any(NAME_IDS)})(?: (?:international|unported|license|licence))?((?: only| or (?:at your option )?(?:any )?later(?: version)?)?)(?: |$)"
+)
+#: A sentence that is nothing but a licence's name.
+TITLE = rf"^(?:the )?({_any(n for n in NAME_IDS if 'licen' in n)})(?: mit)?$"
+SPDX = rf"(?<= )({_any(SPDX_IDS)})(?= |$)"
+#: Every known sentence, grant, title and SPDX line holds one of these words (the tests check them all).
+HINT = r"(?i)licen[cs]e|permi|redistribut|warrant|reserved|liable|released|distributed|available|published|provided|covered|subject|mpl"
+GAP = "-"
+
+# Ordered rules, licence and the sequence of sentences that names it; between two sentences gaps may stand.
 RULES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0-full", "APACHE_GRANT( -)* APACHE_YOU_MAY( -)* APACHE_COPY( -)* APACHE_AS_IS"),
-    ("Apache-2.0", "APACHE_GRANT"),
-    ("MIT-full", "MIT_PERMISSION( -)* MIT_NOTICE( -)* MIT_AS_IS"),
-    ("MIT", "MIT_GRANT|MIT_PERMISSION"),
-    ("GPL-3.0", "GPL3_GRANT"),
-    ("GPL-2.0", "GPL2_GRANT"),
-    ("GPL-unversioned", "GPL_REDISTRIBUTE"),
-    ("LGPL", "LGPL_GRANT"),
-    ("BSD", "BSD_GRANT|BSD_REDISTRIBUTE"),
-    ("MPL-2.0", "MPL_GRANT"),
-    ("CC-BY-NC-SA", "CC_BY_NC_SA"),
-    ("CC-BY-NC", "CC_BY_NC"),
-    ("CC-BY-SA", "CC_BY_SA"),
-    ("CC-BY", "CC_BY"),
-    ("CC0", "CC0"),
+    ("Apache-2.0", "Apache-2.0( -)* APACHE_YOU_MAY(( -)* APACHE_(COPY|AS_IS|SEE))*"),
+    ("MIT", "MIT_PERMISSION(( -)* MIT_(NOTICE|AS_IS|NO_EVENT))*"),
+    ("BSD-3-Clause", "BSD_USE( -)* BSD_SOURCE( -)* BSD_BINARY( -)* BSD_NEITHER(( -)* BSD_(AS_IS|NO_EVENT))*"),
+    ("BSD-2-Clause", "BSD_USE( -)* BSD_SOURCE( -)* BSD_BINARY(( -)* BSD_(AS_IS|NO_EVENT))+"),
+    ("BSD", "BSD_USE"),
+    ("ISC", "ISC_PERMISSION(( -)* ISC_(AS_IS|NO_EVENT))*"),
+    ("MPL-2.0", "MPL-2\\.0(( -)* MPL_COPY)?"),
+    ("Unlicense", "UNLICENSE"),
     ("All-rights-reserved", "RESERVED"),
 )
+#: After these: a GNU licence with what its notices say, and any other name, each the licence of its own identifier.
+NAMED = r"A?L?GPL(?:-[0-9.]+)?(?:-or-later)?(( -)* FSF_(HOPE|SEE|COPY))*|" + _any(i for i in NAMES if "GPL" not in i)
+
+
+def _map(entries: dict[str, str]) -> Column:
+    return F.create_map(*(F.lit(x) for pair in entries.items() for x in pair))
 
-#: A text without any of these has no known sentence: every alternative of every form above holds one of them (a test expands
-#: them all). Single words only, as anything may stand between two words before normalising.
-HINT = r"(?i)licen[cs]e|released|permi|redistribut|warranty|reserved|cc0|notice"
-CUT = r"\.?[ \t\r]*\n|\.[ \t\r]+|\.$"
-NOT_WORD = r"[^a-z0-9.]+"
-GAP = "-"
 
+def sentences(text: Column) -> Column:
+    """Normalised sentences, in order, without empty ones."""
+    out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for pattern, by in RAW:
+        out = F.regexp_replace(out, pattern, by)
 
-def _identifier(sentence: Column) -> Column:
-    out = F.lit(GAP)
-    for name, form in reversed(SENTENCES.items()):
-        out = F.when(sentence.rlike(f"^({form})$"), F.lit(name)).otherwise(out)
-    # Only sentences with a hint are tried against the forms.
-    return F.when(sentence.rlike(HINT), out).otherwise(F.lit(GAP))
+    def one(s: Column) -> Column:
+        s = F.trim(F.regexp_replace(s, NOT_WORD, " "))
+        for pattern, by in BLANKED:
+            s = F.regexp_replace(s, pattern, by)
+        return F.trim(s)
 
+    return F.filter(F.transform(F.split(out, CUT), one), lambda s: s.rlike("[a-z]"))
 
-def sentence_ids(text: Column) -> Column:
-    """Identifiers of the sentences, in order, joined by blanks; a dash for any other sentence."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    sentences = F.filter(F.transform(F.split(lower, CUT), lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " "))), lambda s: s != "")
-    return F.array_join(F.transform(sentences, _identifier), " ")
+
+def identifiers(sentence: Column) -> Column:
+    """Identifiers of a normalised sentence, joined by blanks; a dash if it has none."""
+    keys, names = _map(KNOWN), _map(NAME_IDS)
+    opened, granted = F.regexp_extract(sentence, OPENING, 1), F.regexp_extract(sentence, GRANT, 1)
+    later = F.when(F.contains(F.regexp_extract(sentence, GRANT, 2), F.lit("later")), "-or-later").otherwise("")
+    known = F.when(opened.isin(*KNOWN), F.element_at(keys, opened))
+    named = F.when(granted != "", F.concat(F.element_at(names, granted), later))
+    title = F.when(sentence.rlike(TITLE), F.element_at(names, F.regexp_extract(sentence, TITLE, 1)))
+    spdx = F.array_join(F.transform(F.regexp_extract_all(sentence, F.lit(SPDX), F.lit(1)), lambda x: F.element_at(_map(SPDX_IDS), x)), " ")
+    found = F.when(sentence.startswith("spdx license identifier "), spdx).otherwise(F.concat_ws(" ", named, known, title))
+    return F.when(found == "", GAP).otherwise(found)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_license_sentences, sentence_ids (known ones), licenses, n_licenses. One row for each input row, no shuffle."""
-    rows = keyed_text(docs, id_col, text_col).select("doc_id", F.when(F.col("text").rlike(HINT), sentence_ids(F.col("text"))).otherwise(F.lit("")).alias("sequence"))
-    rest, found = F.concat(F.lit(" "), F.col("sequence"), F.lit(" ")), []
-    frame = rows.select("doc_id", "sequence", rest.alias("rest"))
-    for name, rule in RULES:
-        # What a rule has matched is gone for the rules after it.
-        pattern = f"(?<= )({rule})(?= )"
-        flag = f"_rule_{len(found)}"
-        frame = frame.withColumns({flag: F.when(F.col("rest").rlike(pattern), F.lit(name)), "rest": F.regexp_replace("rest", pattern, "+")})
-        found.append(flag)
+    sequence = F.array_join(F.transform(sentences(F.col("text")), identifiers), " ")
+    rows = keyed_text(docs, id_col, text_col).select("doc_id", F.when(F.col("text").rlike(HINT), sequence).otherwise(F.lit("")).alias("sequence"))
+    rules = "|".join(rule for _, rule in RULES)
+    stretches = F.regexp_extract_all(F.concat(F.lit(" "), F.col("sequence"), F.lit(" ")), F.lit(f"(?<= )(?:{rules}|{NAMED})(?= )"), F.lit(0))
+
+    def licence(stretch: Column) -> Column:
+        out = F.element_at(F.split(stretch, " "), 1)
+        for name, rule in reversed(RULES):
+            out = F.when(stretch.rlike(f"^(?:{rule})$"), F.lit(name)).otherwise(out)
+        return out
+
+    found = F.array_distinct(F.transform(stretches, licence))
     known = F.filter(F.split("sequence", " "), lambda x: (x != GAP) & (x != ""))
-    return frame.select(
-        "doc_id", F.size(known).cast("long").alias("n_license_sentences"), F.array_join(known, " ").alias("sentence_ids"), F.concat_ws(",", *found).alias("licenses"), sum((F.col(x).isNotNull().cast("long") for x in found), F.lit(0)).cast("long").alias("n_licenses")
+    return rows.select(
+        "doc_id", F.size(known).cast("long").alias("n_license_sentences"), F.array_join(known, " ").alias("sentence_ids"), F.array_join(found, ",").alias("licenses"), F.size(found).cast("long").alias("n_licenses")
     )
