@@ -535,7 +535,7 @@ class _Routed:
         self.copies = materialize(looked_up(linked.select("fp", "doc_id"), self.groups.select("fp", "node"), "fp", self.hot, "inner").where("doc_id <> node").distinct(), "copies")
         kept = linked.join(broadcast_if_fits(self.copies.select("fp", "doc_id"), self.copies), ["fp", "doc_id"], "left_anti")
         self.points = materialize(kept.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "counts", "fine", "wide"), "points")
-        self.leaves = materialize(self._leaves(kept, rows), "leaves")
+        self.leaves = materialize(self._leaves(kept, rows), "leaves", flag="hot")
         # Documents whose rows have several sets connect the groups of these sets.
         several = linked.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc_id")
         self.stitches = materialize(self.copies.join(several, "doc_id", "left_semi").select(F.col("node").alias("x"), F.col("doc_id").alias("y")), "stitches")
@@ -545,18 +545,18 @@ class _Routed:
 
     @staticmethod
     def _leaves(kept: DataFrame, rows: int) -> DataFrame:
-        """leaf, node, pos, size of the leaves with two sets or more."""
+        """leaf, node, pos, size, hot of the leaves with two sets or more."""
         routed = lambda df: df.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "leaf"))
         sampled = routed(kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)).groupBy("leaf").agg(F.count("*").alias("seen"))
         few = materialize(sampled.where(F.col("seen") >= max(SMALL, rows // (SAMPLE * HOT_KEYS))).select("leaf", F.lit(True).alias("_hot")), "hot-leaves")
         if not rows_of(few):
             release(few)
-            return routed(kept).withColumn("size", F.count("*").over(Window.partitionBy("leaf"))).where("size > 1")
+            return routed(kept).withColumns({"size": F.count("*").over(Window.partitionBy("leaf")), "hot": F.lit(False)}).where("size > 1")
         marked = routed(kept).join(broadcast_if_fits(few), "leaf", "left")
         cold = marked.where("_hot is null").select("leaf", "node", "pos").withColumn("size", F.count("*").over(Window.partitionBy("leaf")))
         own = marked.where("_hot").select("leaf", "node", "pos")
         sizes = materialize(own.groupBy("leaf").agg(F.count("*").alias("size")), "hot-sizes")
-        return cold.unionByName(own.join(broadcast_if_fits(sizes), "leaf")).where("size > 1")
+        return cold.withColumn("hot", F.lit(False)).unionByName(own.join(broadcast_if_fits(sizes), "leaf").withColumn("hot", F.lit(True))).where("size > 1")
 
     def release(self) -> None:
         release(self.groups, self.copies, self.points, self.leaves, self.stitches, self.sizes)
@@ -579,10 +579,17 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     links = _verified(frame, pairs, node, words, percent)
     labels = connected(links)
 
-    large = leaves.where(F.col("size") > SMALL).select("leaf", "node", "pos")
-    labelled = materialize(large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
-    mixed = materialize(labelled.groupBy("leaf").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("leaf"), "mixed")
-    rows = _parted(labelled.join(broadcast_if_fits(mixed), "leaf", "left_semi")).join(points.select("node", "n", "counts", "fine"), "node")
+    large = leaves.where(F.col("size") > SMALL).select("leaf", "node", "pos", "hot")
+    labelled = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    leaf = Window.partitionBy("leaf")
+    mixed = labelled.where("not hot").withColumns({"low": F.min("component").over(leaf), "high": F.max("component").over(leaf)}).where("low <> high").select("leaf", "node", "pos", "component")
+    if flagged_of(leaves):
+        # Rows of hot leaves stay in place: partial minima and maxima say which leaves to join again.
+        busy = labelled.where("hot").select("leaf", "node", "pos", "component")
+        ends = materialize(busy.groupBy("leaf").agg(F.min("component").alias("low"), F.max("component").alias("high")), "hot-ends")
+        mixed = mixed.unionByName(busy.join(broadcast_if_fits(ends.where("low <> high").select("leaf"), ends), "leaf", "left_semi"))
+    mixed = materialize(mixed, "mixed")
+    rows = _parted(mixed).join(points.select("node", "n", "counts", "fine"), "node")
     more = materialize(_bounded(_tree_join(rows, node, percent, labelled=True).select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
     # The first components stand for their members: only what links two of them is closed once more.
@@ -595,7 +602,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
     tops = broadcast_if_fits(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), merged)
     final = known.join(tops, "component", "left").groupBy("doc_id").agg(F.min(F.coalesce("top", "component")).alias("component"))
     out = materialize(r.sizes.join(final, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "components")
-    release(found, pairs, links, labels, labelled, mixed, more, links2, merged)
+    release(found, pairs, links, labels, mixed, more, links2, merged)
     r.release()
     return out
 
