@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, licenses, matroska, ngram_join, packing, pii, quality, secret_scan, token_counts, warc
-from .common import table
+from .common import reads, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +38,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_discovered")
+    return reads(found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_discovered"), found)
 
 
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     kind = pages.schema["page_id"].dataType
     rows = warc.read(warc.write(pages))
-    return rows.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    return reads(rows.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")), rows)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

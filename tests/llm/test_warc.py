@@ -50,3 +50,21 @@ def test_a_damaged_payload_raises(spark):
     broken = archive._replace(payloads=spark.createDataFrame([(archive.payloads.first()["digest"], bytearray(b"abd"))], "digest string, payload binary"))
     with pytest.raises(Exception, match="damaged payload"):
         warc.read(broken).collect()
+
+
+def test_ids_of_any_text_and_rows_without_ids(spark):
+    big = "q" * 150
+    rows = [("a>b", "u", big), ("", "u\r\nX: 1", big), ("50%3E\r\n", "u", big), (None, "u", big), ("%", None, "w" * 120), (None, "u", "only nulls " * 20), (None, "v", "only nulls " * 20), ("a>b", "u", "other")]
+    found = warc.read(warc.write(spark.createDataFrame(rows, "page_id string, url string, html string"))).collect()
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in found), key=str)
+    wanted = [("a>b", 150, "revisit", ""), ("", 150, "response", None), ("50%3E\r\n", 150, "revisit", ""), (None, 150, "revisit", ""), ("%", 120, "response", None)]
+    wanted += [(None, 220, "response", None), (None, 220, "response", None), ("a>b", 5, "response", None)]
+    assert got == sorted(wanted, key=str)
+    nulls = spark.createDataFrame([(None, "u", big), (None, "u", big)], "page_id bigint, url string, html string")
+    archive = warc.write(nulls)
+    assert [(r["page_id"], r["record_type"]) for r in warc.read(archive).collect()] == [(None, "response")] * 2 and archive.payloads.count() == 1
+
+
+def test_one_id_with_two_payloads(spark):
+    rows = [(1, "u", "a" * 100), (1, "u", "b" * 100), (2, "u", "a" * 100), (2, "u", "b" * 100)]
+    assert archive_rows(spark.createDataFrame(rows, "page_id bigint, url string, html string")) == plain([(k, h) for k, _, h in rows])
