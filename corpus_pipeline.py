@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from deltafolio.llm import ngram_join, packing, pii, quality
-from deltafolio.llm.common import materialize, table
+from deltafolio.llm.common import materialize, release, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another, each stored and read again; what a stage no longer needs is deleted.
+
+    Null texts have no words and go in the first stage, and so do blank and short ones; repeated rows and rows that share an id
+    leave one row (ngram_join.keep_one), rows without an id all stay; an empty table gives no pieces; further columns of documents
+    are kept up to the last stage, whatever their names.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, f"pipeline-{name}")
+        made = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        stored = materialize(made, f"pipeline-{name}")
+        release(made, docs)
+        docs = stored
     return docs

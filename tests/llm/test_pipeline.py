@@ -25,3 +25,23 @@ def test_stages_follow_one_another(spark, sf_dir):
     key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
     assert sorted(map(key, last)) == sorted(map(key, whole)) and {r["doc_id"] for r in whole} == alone
     assert packing.CAPACITY == 2048 and "corpus_pipeline" in sys.modules
+
+
+def test_stages_on_odd_rows_and_empty_tables(spark, odd_docs, no_docs, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    for docs in (odd_docs, no_docs):
+        folder = str(tmp_path / str(docs is no_docs))
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+        at = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, at, folder)
+            assert after.columns == docs.columns
+            ids = [r["doc_id"] for r in after.collect()]
+            assert len(ids) == len(set(ids)) or stage is corpus_pipeline.quality_rules
+            at = after
+        rows = corpus_pipeline.run(spark, folder).collect()
+        assert {r["doc_id"] for r in rows} == set(ids) and (rows == []) == (docs is no_docs)
+        texts = {r["doc_id"]: r["text"] for r in at.collect()}
+        assert all(t and not pii.base_spans(t) for t in texts.values())

@@ -78,3 +78,42 @@ def test_filter_keeps_columns(odd_docs, labels):
 def test_no_python_in_the_plan(documents, labels):
     plan = quality.score(documents, labels)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def plain_llr(texts, good, buckets=quality.BUCKETS, prior=quality.PRIOR):
+    """id -> mean shrunk log ratio, with another hash library and plain dictionaries. texts: (id, text)."""
+    import struct
+
+    import xxhash
+
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        out = [x if x < 1 << 63 else x - (1 << 64) for x in h]
+        pairs = [xxhash.xxh64_intdigest(struct.pack("<Q", b), xxhash.xxh64_intdigest(struct.pack("<Q", a), 42)) for a, b in zip(h, h[1:])]
+        return [x % buckets for x in out] + [(x if x < 1 << 63 else x - (1 << 64)) % buckets for x in pairs]
+
+    every, trusted = Counter(), Counter()
+    for k, text in texts:
+        every.update(grams(text))
+        if k in good:
+            trusted.update(grams(text))
+    if not trusted:
+        return {k: 0.0 for k, _ in texts}
+    share = sum(trusted.values()) / sum(every.values())
+
+    def ratio(b):
+        expected = share * every[b]
+        return math.log((trusted[b] + prior) / (expected + prior)) + expected / (2 * (expected + prior) ** 2) + share / (expected + prior)
+
+    return {k: sum(map(ratio, grams(text))) / max(len(grams(text)), 1) for k, text in texts}
+
+
+def test_likelihood_ratio_and_verdict_like_brute_force(documents, odd_docs, labels):
+    for docs in (documents, odd_docs):
+        rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+        wanted = plain_llr(rows, good)
+        for r in quality.score(docs, labels).collect():
+            assert abs(r["llr"] - wanted[r["doc_id"]]) < 2e-4, r["doc_id"]
+            if abs(wanted[r["doc_id"]] - quality.THRESHOLD) > 2e-4:
+                assert r["kept"] == (not r["base_failed"] and wanted[r["doc_id"]] >= quality.THRESHOLD)

@@ -67,3 +67,77 @@ def test_words_beside_a_random_string_do_not_hide_it(spark):
     for k, text, found in PARTS:
         spans = [x.split(":") for x in rows[k]["spans"].split(",") if x.startswith("random")]
         assert [text[int(s) : int(e)] for _, s, e in spans] == found, k
+
+
+def plain_random(text, fixed, min_length=20, max_ratio=2.0):
+    """Random spans by the rule as stated: free parts of runs, tested whole, then between / and =, then between all separators."""
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {__import__("base64").b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    encode = plain_random.__dict__.setdefault("encode", tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary)
+
+    def is_random(run):
+        if len(run) < 12 or not re.search("[A-Za-z]", run):
+            return False
+        if re.fullmatch("[0-9a-fA-F]+", run) and len(run) in (32, 40, 48, 56, 64, 96, 128):
+            return False
+        if re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", run):
+            return False
+        if not run.isalpha() and re.fullmatch(r"([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[=/_-]*", run):
+            return False
+        return len(run) / len(encode(run)) < (max_ratio if len(run) >= min_length else 1.5)
+
+    def tested(s, e, seps):
+        if e - s < 12:
+            return []
+        if is_random(text[s:e]):
+            return [(s, e)]
+        if not seps:
+            return []
+        return [x for m in re.finditer(f"[^{seps[0]}]+", text[s:e]) for x in tested(s + m.start(), s + m.end(), seps[1:])]
+
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text):
+        taken = set()
+        for s, e in fixed:
+            taken |= set(range(max(s, m.start()), min(e, m.end())))
+        for u in re.finditer(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", m[0]):
+            taken |= set(range(m.start() + u.start(), m.start() + u.end()))
+        free, at = [], None
+        for k in range(m.start(), m.end() + 1):
+            if k < m.end() and k not in taken:
+                at = k if at is None else at
+            elif at is not None:
+                free.append((at, k))
+                at = None
+        for s, e in free:
+            if taken:
+                while s < e and text[s] in "+/_=-":
+                    s += 1
+                while e > s and text[e - 1] in "+/_=-":
+                    e -= 1
+            out += tested(s, e, ["/=", "+/_=-"])
+    return out
+
+
+def test_random_spans_like_the_rule_as_stated(documents, odd_docs, spark):
+    import random
+
+    r = random.Random(31)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    piece = lambda: "".join(r.choice(letters) for _ in range(r.randrange(3, 45)))
+    parts = [piece, piece, lambda: r.choice(["production", "services", "token=", "secret: ", "user", "0123456789abcdef0", "9f8e7d6c-0a1b-2c3d-4e5f-00112233aabb", "AKIA", "2024", "x"])]
+    made = [(k, "".join(r.choice(parts)() + r.choice(["", "/", "-", "_", "=", " ", "+", "."]) for _ in range(r.randrange(1, 12)))) for k in range(600)]
+    frames = [documents, odd_docs, spark.createDataFrame(made, "doc_id bigint, text string")]
+    seen = 0
+    for docs in frames:
+        texts = {x["doc_id"]: x["text"] or "" for x in docs.collect()}
+        for row in secret_scan.scan(docs).collect():
+            text = texts[row["doc_id"]]
+            base = secret_scan.base_spans(text)
+            wanted = [(s, 3, e) for s, e in plain_random(text, [(s, e) for s, _, e in base])]
+            assert row["spans"] == secret_scan.joined(sorted(base + wanted)), text[:300]
+            assert row["n_random"] == len(wanted)
+            seen += len(wanted)
+    assert seen > 300
