@@ -5,15 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import ratio
+from ..functions.similarity import with_ratio
 from ..functions.text import clean
 
+#: Fixed value: the column of text that no row claims.
 PREFIX = "__unassigned_prefix__"
 #: How a text refers to a table, and notices that criteria are compared without.
 TABLE_REFERENCE = r"(?i)Table\s+[0-9]+[-–][0-9]+"
 NOTICES = (r"(?i)all rights reserved", r"(?i)interchange processing", r"©\s*[0-9]{4}\s*\w+")
 
 
+def block_role(rules: list[tuple[str, Column]], otherwise: str) -> Column:
+    """The role of the first rule that holds."""
+    out = F.lit(otherwise)
+    for role, condition in reversed(rules):
+        out = F.when(condition, role).otherwise(out)
+    return out
+
+
+def included(role: Column, left_out: tuple[str, ...]) -> Column:
+    """Whether blocks of a role take part in matching."""
+    return ~role.isin(*left_out)
+
+
 def resegment(lines: DataFrame, keys: list[str], segments: str = "segments", columns: str = "columns") -> DataFrame:
     """keys, segment, column, text. segments: array<struct<x, text>>, columns: array<struct<name, x>>.
 
@@ -138,4 +152,4 @@ def criteria_changes(old: DataFrame, new: DataFrame, keys: list[str], threshold:
     one = both.where(F.col("_a").isNull() | F.col("_b").isNull())
     lone = one.select(*keys, F.when(F.col("_a").isNull(), "criteria_table_added").otherwise("criteria_table_removed").alias("change_type"), F.coalesce("_a", F.lit("")).alias("old"), F.coalesce("_b", F.lit("")).alias("new"), F.lit(0.0).alias("ratio"))
     pairs = both.where(F.col("_a").isNotNull() & F.col("_b").isNotNull()).select(*keys, F.lit("criteria_changed").alias("change_type"), criteria_text(F.col("_a")).alias("old"), criteria_text(F.col("_b")).alias("new")).where("old <> new")
-    return lone.unionByName(pairs.withColumn("ratio", ratio(F.lower("old"), F.lower("new"))).where(F.col("ratio") < threshold))
+    return lone.unionByName(with_ratio(pairs, F.lower("old"), F.lower("new"), "ratio").where(F.col("ratio") < threshold))

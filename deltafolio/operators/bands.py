@@ -13,6 +13,17 @@ def gap_cluster(df: DataFrame, scope: list[str], value: str, tolerance: float, o
     return df.withColumn("_open", opens).withColumn("cluster", (F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("long")).drop("_open")
 
 
+def leaders(values: Column, tolerance: float) -> Column:
+    """For each of the sorted values the first of its group: a value over ``tolerance`` behind it opens the next group."""
+    start = F.struct(F.array().cast("array<double>").alias("out"), F.lit(None).cast("double").alias("at"))
+
+    def step(acc, v):
+        at = F.when(v - acc["at"] <= tolerance, acc["at"]).otherwise(v.cast("double"))
+        return F.struct(F.concat(acc["out"], F.array(at)).alias("out"), at.alias("at"))
+
+    return F.aggregate(values, start, step)["out"]
+
+
 def row_bands(lines: Column) -> Column:
     """Band of each (y0, y1) in reading order, against the band's first line: joined iff they overlap by over half of the smaller height."""
     start = F.struct(F.array().cast("array<int>").alias("bands"), F.lit(0).alias("n"), F.lit(0.0).alias("y0"), F.lit(0.0).alias("y1"))
@@ -40,10 +51,18 @@ def merged_cells(cells: Column, tolerance: float = 3.0) -> Column:
 
 
 def nearest(rows: DataFrame, bands: DataFrame, scope: list[str], value: str, band: str, tie: str) -> DataFrame:
-    """The band with the least distance; the first by ``tie`` wins."""
-    keys = list(rows.columns)
-    joined = rows.join(bands, scope)
-    return joined.groupBy(*keys).agg(F.min_by(F.struct(*(c for c in bands.columns if c not in scope)), F.struct(F.abs(F.col(value) - F.col(band)), F.col(tie))).alias("_b")).select(*keys, "_b.*")
+    """rows with the columns of the band at the least distance; of equally far ones the first by ``tie``. Rows of scopes without bands go.
+
+    Only the last band at or before a row and the first at or after it can be nearest: two sorted sweeps instead of all pairs.
+    """
+    own = [c for c in bands.columns if c not in scope]
+    first = bands.groupBy(*scope, F.col(band).alias("_at")).agg(F.min(F.struct(F.col(tie).alias("_tie"), *(F.col(c).alias("_v_" + c) for c in own))).alias("_b"))
+    marks = first.select(*scope, F.col("_at").alias("_mark_at"), F.struct("_at", "_b").alias("_mark"))
+    below = asof(rows, marks, scope, value, "_mark_at", "_mark").withColumnRenamed("_mark", "_below")
+    both = asof(below, marks, scope, value, "_mark_at", "_mark", forward=True)
+    far = lambda m: F.struct(F.abs(F.col(value) - F.col(m)["_at"]).alias("d"), F.col(m)["_b"].alias("b"))
+    best = F.array_min(F.array_compact(F.array(*(F.when(F.col(m).isNotNull(), far(m)) for m in ("_below", "_mark")))))
+    return both.withColumn("_best", best).where("_best is not null").select(*rows.columns, *(F.col("_best")["b"]["_v_" + c].alias(c) for c in own))
 
 
 def asof(rows: DataFrame, marks: DataFrame, scope: list[str], at: str, mark_at: str, mark: str, forward: bool = False) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
+import urllib.request
 from collections.abc import Callable
 
 import pandas as pd
@@ -10,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.similarity import disappeared
+
 # Categories of a change.
 CATEGORIES = ("business_rule_change", "editorial_change", "extraction_noise")
 SOFT = ("editorial_change", "extraction_noise")
@@ -51,6 +56,68 @@ def classify(changes: DataFrame, call: Callable[[str, str], tuple[str, str]] = r
     return changes.mapInPandas(run, schema)
 
 
+def prompt(template: str, **columns: Column) -> Column:
+    """The template with each {name} replaced by that column; nulls are empty."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(F.coalesce(columns[x].cast("string"), F.lit("")) if k % 2 else F.lit(x) for k, x in enumerate(parts)))
+
+
+def http_classifier(url: str, body: Callable[[str, str], dict], answer: Callable[[dict], tuple[str, str]], timeout: float = 120.0) -> Callable[[str, str], tuple[str, str]]:
+    """A classifier that posts JSON to a model service; what goes wrong on the way is an OSError, which with_retries tries again."""
+
+    def call(old: str, new: str) -> tuple[str, str]:
+        request = urllib.request.Request(url, json.dumps(body(old, new)).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(request, timeout=timeout) as reply:
+            return answer(json.load(reply))
+
+    return call
+
+
+def check_service(url: str, timeout: float = 5.0) -> None:
+    """Raises before anything is planned if the model service does not answer."""
+    try:
+        with urllib.request.urlopen(url, timeout=timeout):
+            return
+    except OSError as e:
+        raise RuntimeError(f"no answer from the model service at {url}: {e}") from e
+
+
+def classify_only(changes: DataFrame, kinds: list[str], call: Callable[[str, str], tuple[str, str]] = rule_classifier) -> DataFrame:
+    """classify for the change types in ``kinds``; other events pass through without a category."""
+    mine = F.col("change_type").isin(*kinds)
+    rest = changes.where(~F.coalesce(mine, F.lit(False))).withColumns({"ai_category": F.lit(None).cast("string"), "ai_reason": F.lit(None).cast("string")})
+    return validated(classify(changes.where(mine), call)).unionByName(rest)
+
+
+def validated(df: DataFrame) -> DataFrame:
+    """Unknown categories become noise, and the reason says what they were."""
+    known = F.col("ai_category").isin(*CATEGORIES)
+    note = F.concat(F.lit("unknown category "), F.coalesce("ai_category", F.lit("none")), F.lit(": "), F.coalesce("ai_reason", F.lit("")))
+    return df.withColumns({"ai_reason": F.when(known, F.col("ai_reason")).otherwise(note), "ai_category": valid_category(F.col("ai_category"))})
+
+
+def judged(changes: DataFrame, kinds: list[str], call: Callable[[str, str], tuple[str, str]] = rule_classifier, context: str | None = None, bullets: frozenset[str] = frozenset()) -> DataFrame:
+    """The whole judgement of a pair's changes: classes, disappeared content (without what the context's paragraphs hold), safety net."""
+    rows = classify_only(changes, kinds, call).withColumn("disappeared_content", disappeared(F.col("old"), F.col("new"), bullets=bullets))
+    if context:
+        gone, moved = F.col("disappeared_content"), relocated(F.col("disappeared_content"), F.col(context))
+        rows = rows.withColumns({"relocated_content": moved, "disappeared_content": F.array_except(gone, moved)}).drop(context)
+    return safety_net(rows, F.size("disappeared_content") > 0)
+
+
+def category_summary(df: DataFrame, pair: list[str]) -> DataFrame:
+    """pair, ai_category, n of the classified changes."""
+    return df.where("ai_category is not null").groupBy(*pair, "ai_category").agg(F.count("*").alias("n"))
+
+
+def enriched(changes: DataFrame, lookups: list[DataFrame], keys: list[str], name: str) -> DataFrame:
+    """changes with the name from the first lookup (keys, name; one row a key) that has it, else empty."""
+    out = changes
+    for k, own in enumerate(lookups):
+        out = out.join(own.select(*keys, F.col(name).alias(f"_name{k}")), keys, "left")
+    return out.withColumn(name, F.coalesce(*(f"_name{k}" for k in range(len(lookups))), F.lit(""))).drop(*(f"_name{k}" for k in range(len(lookups))))
+
+
 def valid_category(c: Column) -> Column:
     return F.when(c.isin(*CATEGORIES), c).otherwise("extraction_noise")
 
@@ -72,6 +139,19 @@ def keyword_overlap(line: Column, other: Column) -> Column:
     return F.size(F.array_intersect(words(line), words(other))) / F.greatest(F.size(words(line)), F.lit(1))
 
 
-def limited(df: DataFrame, pair: str, order: str, n: int) -> DataFrame:
-    """The first n changes of each pair (the feature itself is a limit)."""
+def uncovered_lines(text: Column, other: Column, share: float = 0.6, least: int = 25) -> Column:
+    """Lines of at least ``least`` characters of which no such line of the other text holds the share of the words."""
+    lines = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), F.trim), lambda x: F.length(x) >= least)
+    return F.filter(lines(text), lambda x: ~F.exists(lines(other), lambda o: keyword_overlap(x, o) >= share))
+
+
+def downgraded(confidence: Column, old: Column, new: Column) -> Column:
+    """"low" where either text has uncovered lines; no category changes."""
+    gone = (F.size(uncovered_lines(old, new)) > 0) | (F.size(uncovered_lines(new, old)) > 0)
+    return F.when(gone, "low").otherwise(confidence)
+
+
+def limited(df: DataFrame, pair: str, order: str, n: int, only: list[str] | None = None) -> DataFrame:
+    """The first n changes of each pair (the feature itself is a limit), of the pairs in ``only`` if it is given."""
+    df = df if only is None else df.where(F.col(pair).isin(*only))
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(pair).orderBy(order))).where(F.col("_n") <= n).drop("_n")

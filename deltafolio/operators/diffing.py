@@ -2,35 +2,81 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import with_ratio
 from ..functions.text import clean
 
 
+# Fixed value: texts this alike are not reported as changed.
+SAME = 0.98
+
+
 def changed(old: Column, new: Column) -> Column:
     return clean(F.coalesce(old, F.lit(""))) != clean(F.coalesce(new, F.lit("")))
 
 
-def cells_diff(matched: DataFrame, keys: list[str], a: str = "a_cells", b: str = "b_cells", skip: int = 1) -> DataFrame:
-    """A row for each differing cell; the first (key) cells are skipped, and the longer row's rest."""
+def unlike(rows: DataFrame, same: float | None = SAME, similar: Callable[[Column], Column] = clean) -> DataFrame:
+    """Rows whose old and new differ, with similarity_ratio; those of at least ``same`` go (None: all stay, without a ratio).
+
+    ``similar``: what the ratio compares, say texts without bullet marks (text.without_bullets). Only differing texts are compared.
+    """
+    different = rows.where(changed(F.col("old"), F.col("new")))
+    if same is None:
+        return different
+    text = lambda c: similar(F.coalesce(F.col(c), F.lit("")))
+    return with_ratio(different, text("old"), text("new"), "similarity_ratio").where(F.col("similarity_ratio") < same)
+
+
+def cells_diff(matched: DataFrame, keys: list[str], a: str = "a_cells", b: str = "b_cells", skip: int = 1, same: float | None = SAME, header: str | None = None) -> DataFrame:
+    """A row for each differing cell; the first (key) cells are skipped, and the longer row's rest. header: names of the columns."""
     n = F.least(F.size(a), F.size(b))
     both = F.arrays_zip(F.slice(F.col(a), 1, n).alias("old"), F.slice(F.col(b), 1, n).alias("new"))
-    rows = matched.select(*keys, F.posexplode(F.transform(both, lambda x: F.struct(x["old"], x["new"]))).alias("column_index", "cell"))
-    return rows.where((F.col("column_index") >= skip) & changed(F.col("cell.old"), F.col("cell.new"))).select(*keys, "column_index", "cell.old", "cell.new")
+    names = [F.col(header).alias("_header")] if header else []
+    rows = matched.select(*keys, *names, F.posexplode(F.transform(both, lambda x: F.struct(x["old"], x["new"]))).alias("column_index", "cell")).where(F.col("column_index") >= skip)
+    label = [F.coalesce(F.get("_header", F.col("column_index")), F.concat(F.lit("column "), F.col("column_index").cast("string"))).alias("column")] if header else []
+    return unlike(rows.select(*keys, "column_index", *label, "cell.old", "cell.new"), same)
 
 
-def field_diff(matched: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+def field_diff(matched: DataFrame, keys: list[str], fields: list[str], same: float | None = SAME) -> DataFrame:
     """matched: keys, structs a and b -> a row for each differing field."""
     items = F.array(*(F.struct(F.lit(f).alias("field"), F.col("a")[f].cast("string").alias("old"), F.col("b")[f].cast("string").alias("new")) for f in fields))
-    return matched.select(*keys, F.explode(items).alias("x")).select(*keys, "x.*").where(changed(F.col("old"), F.col("new")))
+    return unlike(matched.select(*keys, F.explode(items).alias("x")).select(*keys, "x.*"), same)
 
 
-def map_diff(matched: DataFrame, keys: list[str], skip: tuple[str, ...] = ()) -> DataFrame:
+def map_diff(matched: DataFrame, keys: list[str], skip: tuple[str, ...] = (), same: float | None = SAME) -> DataFrame:
     """matched: keys, maps a and b -> a row for each differing name of either."""
     names = F.array_sort(F.array_union(F.coalesce(F.map_keys("a"), F.array().cast("array<string>")), F.coalesce(F.map_keys("b"), F.array().cast("array<string>"))))
     rows = matched.select(*keys, "a", "b", F.explode(names).alias("name")).where(~F.col("name").isin(*skip) if skip else F.lit(True))
-    return rows.select(*keys, "name", F.coalesce(F.try_element_at("a", "name"), F.lit("")).alias("old"), F.coalesce(F.try_element_at("b", "name"), F.lit("")).alias("new")).where(changed(F.col("old"), F.col("new")))
+    return unlike(rows.select(*keys, "name", F.coalesce(F.try_element_at("a", "name"), F.lit("")).alias("old"), F.coalesce(F.try_element_at("b", "name"), F.lit("")).alias("new")), same)
+
+
+def flattened(value: Column, nested: bool = False) -> Column:
+    """A list as one text: items joined by blanks, or, of lists of lists, by " | "; null is empty."""
+    return F.coalesce(F.array_join(F.flatten(value), " | ") if nested else F.array_join(value, " "), F.lit(""))
+
+
+def unconsumed(events: DataFrame, consumed: DataFrame, keys: list[str]) -> DataFrame:
+    """Added and removed items that no split or merge explains already; null keys are compared like values."""
+    gone = consumed.select(*(F.col(k).alias("_" + k) for k in keys)).distinct()
+    return events.join(gone, [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys], "left_anti")
+
+
+def with_context(events: DataFrame, paragraphs: DataFrame, scope: list[str], text: str = "text", order: str = "ord") -> DataFrame:
+    """events with ``context``: all new paragraphs of their section, in order; none is an empty array."""
+    wanted = paragraphs.join(events.select(*scope).distinct(), scope, "left_semi")
+    own = wanted.groupBy(*scope).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]).alias("context"))
+    return events.join(own, scope, "left").withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
+
+
+def backfilled(events: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """events whose null attributes are filled from the facts of their key (one row a key); further facts become columns."""
+    own = [c for c in facts.columns if c not in keys]
+    both = events.join(facts.select(*keys, *(F.col(c).alias("_" + c) for c in own)), keys, "left")
+    return both.withColumns({c: F.coalesce(*([c] if c in events.columns else []), "_" + c) for c in own}).drop(*("_" + c for c in own))
 
 
 def composite(struct: str, fields: list[str]) -> Column:

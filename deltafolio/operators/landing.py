@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import broadcast_if_fits, materialize, reads
+
 
 def edition_pairs(editions: DataFrame) -> DataFrame:
     """(manual, edition) -> consecutive pairs of distinct editions."""
@@ -14,25 +16,50 @@ def edition_pairs(editions: DataFrame) -> DataFrame:
 
 
 def detect_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:
-    """(doc_id, slug) where exactly one title's tokens are all in the document. Titles: slug, tokens; an inner join on words, no all-pairs test."""
-    need = titles.select("slug", F.size("tokens").alias("need"), F.explode("tokens").alias("word"))
-    have = docs.select("doc_id", F.explode("tokens").alias("word"))
-    hits = have.join(need, "word").groupBy("doc_id", "slug", "need").agg(F.count("*").alias("n")).where("n = need")
-    return hits.groupBy("doc_id").agg(F.min("slug").alias("slug"), F.count("*").alias("c")).where("c = 1").drop("c")
-
-
-def validate_batch(inbox: DataFrame) -> DataFrame:
-    """A verdict for each manual, and whether all are fine: one or two files, two of different dates."""
-    groups = inbox.groupBy("manual").agg(F.count("*").alias("n"), F.count_distinct("edition").alias("dates"))
-    verdict = F.when(~F.col("n").isin(1, 2), "size").when((F.col("n") == 2) & (F.col("dates") < 2), "dates").otherwise("ok")
-    rows = groups.withColumn("verdict", verdict)
+    """(doc_id, slug) where exactly one title's tokens are all in the document. Titles: slug, tokens (distinct); titles without
+    tokens are in no document. An inner join on words, no all-pairs test; the titles' words are broadcast if they fit."""
+    need = materialize(titles.select("slug", F.size("tokens").alias("need"), F.explode("tokens").alias("word")), "titles")
+    words = need.select("word").distinct()
+    have = docs.select("doc_id", F.explode("tokens").alias("word")).join(broadcast_if_fits(words, need), "word", "left_semi")
+    hits = have.join(broadcast_if_fits(need), "word").groupBy("doc_id", "slug", "need").agg(F.count("*").alias("n")).where("n = need")
+    return reads(hits.groupBy("doc_id").agg(F.min("slug").alias("slug"), F.count("*").alias("c")).where("c = 1").drop("c"), need)
+
+
+def validate_batch(inbox: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+    """A verdict for each manual, and whether all are fine: one or two files, two of different dates; a single one needs an older
+    edition in the corpus (manual, edition), if a corpus is given."""
+    groups = inbox.groupBy("manual").agg(F.count("*").alias("n"), F.count_distinct("edition").alias("dates"), F.min("edition").alias("_first"))
+    alone = F.lit(False)
+    if corpus is not None:
+        oldest = corpus.groupBy("manual").agg(F.min("edition").alias("_oldest"))
+        groups = groups.join(oldest, "manual", "left")
+        alone = (F.col("n") == 1) & ~F.coalesce(F.col("_oldest") < F.col("_first"), F.lit(False))
+    verdict = F.when(~F.col("n").isin(1, 2), "size").when((F.col("n") == 2) & (F.col("dates") < 2), "dates").when(alone, "no older edition").otherwise("ok")
+    rows = groups.withColumn("verdict", verdict).select("manual", "n", "dates", "verdict")
     gate = rows.agg(F.bool_and(F.col("verdict") == "ok").alias("batch_ok"))  # one row
     return rows.join(F.broadcast(gate))
 
 
+def latest_editions(corpus: DataFrame) -> DataFrame:
+    """manual, latest, editions (how many different ones)."""
+    return corpus.groupBy("manual").agg(F.max("edition").alias("latest"), F.count_distinct("edition").alias("editions"))
+
+
+def chain(pairs: DataFrame, old: str, new: str) -> DataFrame:
+    """The consecutive pairs that lead from one edition to a later one."""
+    return pairs.where((F.col("edition_a") >= old) & (F.col("edition_b") <= new))
+
+
+def edition_counts(lines: DataFrame, keys: list[str], kept: Column) -> DataFrame:
+    """keys, num_lines_in, num_lines_kept."""
+    return lines.groupBy(*keys).agg(F.count("*").alias("num_lines_in"), F.count_if(kept).alias("num_lines_kept"))
+
+
 def with_copies(files: DataFrame, content: str = "text") -> DataFrame:
-    rows = files.withColumn("digest", F.sha2(content, 256))
-    return rows.drop(content).withColumn("copies", F.count("*").over(Window.partitionBy("digest")))
+    """files without their content, with its digest and how many files have it; digests are counted by partial sums."""
+    rows = files.withColumn("digest", F.sha2(content, 256)).drop(content)
+    many = rows.groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1 and digest is not null")
+    return rows.join(many, "digest", "left").withColumn("copies", F.when(F.col("digest").isNotNull(), F.coalesce("copies", F.lit(1).cast("bigint"))))
 
 
 def conflicts(new: DataFrame, corpus: DataFrame) -> DataFrame:

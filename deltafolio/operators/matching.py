@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import length_bound, ratio
+from ..functions.similarity import character_bound, length_bound, ratio_of
 
 
 def status(a: Column, b: Column) -> Column:
@@ -33,36 +33,76 @@ def match_occurrence(a: DataFrame, b: DataFrame, keys: list[str], order: list[st
     return match_unique(a.withColumn("nth", rank), b.withColumn("nth", rank), [*keys, "nth"])
 
 
-_EDGE_ORDER = {"serial": ["a_ord", "-ratio", "b_ord"], "global": ["-ratio", "a_ord", "b_ord"]}
+def _edge_order(mode: str) -> list[Column]:
+    by_ratio = F.desc("ratio")
+    return {"serial": [F.asc("a_ord"), by_ratio, F.asc("b_ord")], "global": [by_ratio, F.asc("a_ord"), F.asc("b_ord")]}[mode]
 
 
 def greedy_assign(edges: DataFrame, scope: list[str], mode: str = "serial") -> DataFrame:
-    """One-to-one choice among scored edges (scope, a_ord, b_ord, ratio), in the mode's order of edges. Edges above a threshold are few in a scope."""
+    """One-to-one choice among scored edges (scope, a_ord, b_ord, ratio): in the mode's order, an edge is taken if both its ends are free.
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(**{"-ratio": -pdf["ratio"]}).sort_values(_EDGE_ORDER[mode], kind="stable").drop(columns="-ratio")
-        used_a, used_b, keep = set(), set(), []
-        for i, (x, y) in enumerate(zip(pdf["a_ord"], pdf["b_ord"])):
-            if x not in used_a and y not in used_b:
-                used_a.add(x)
-                used_b.add(y)
-                keep.append(i)
-        return pdf.iloc[keep]
+    Edges are sorted by Spark and stream through; only the ends taken in the scope at hand are held.
+    """
+    spread = edges.repartition(*scope).sortWithinPartitions(*scope, *_edge_order(mode))
+    places = [edges.columns.index(c) for c in (*scope, "a_ord", "b_ord")]
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, used_a, used_b = None, set(), set()
+        for batch in batches:
+            *keys, a, b = (batch.column(k).to_pylist() for k in places)
+            keep = []
+            for key, x, y in zip(zip(*keys), a, b):
+                if key != at:
+                    at, used_a, used_b = key, set(), set()
+                free = x not in used_a and y not in used_b
+                keep.append(free)
+                if free:
+                    used_a.add(x)
+                    used_b.add(y)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return spread.mapInArrow(run, edges.schema)
 
-    return edges.groupBy(*scope).applyInPandas(choose, edges.schema)
+
+def exact_pairs(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
+    """(scope, a_ord, b_ord, ratio 1.0) of equal texts: the k-th of one edition with the k-th of the other. Frames: scope, ord, text."""
+    nth = F.row_number().over(Window.partitionBy(*scope, "text").orderBy("ord"))
+    side = lambda df, name: df.withColumn("_n", nth).select(*scope, "text", "_n", F.col("ord").alias(name))
+    return side(a, "a_ord").join(side(b, "b_ord"), [*scope, "text", "_n"]).select(*scope, "a_ord", "b_ord", F.lit(1.0).alias("ratio"))
 
 
 def fuzzy_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float, min_length: int = 0) -> DataFrame:
-    """Edges of at least the threshold between leftovers (scope, ord, text) of one scope; the length bound goes first."""
+    """Edges (scope, a_ord, b_ord, ratio) of at least the threshold between texts of one scope (scope, ord, text).
+
+    No ratio is above twice the shorter length over both, nor above twice the characters both texts have over both lengths: what
+    passes these bounds is compared, each pair once.
+    """
     left, right = a.select(*scope, F.col("ord").alias("a_ord"), F.col("text").alias("a_text")), b.select(*scope, F.col("ord").alias("b_ord"), F.col("text").alias("b_text"))
-    near = left.join(right, scope).where(length_bound(F.col("a_text"), F.col("b_text")) >= threshold)
-    if min_length:
-        near = near.where((F.length("a_text") >= min_length) & (F.length("b_text") >= min_length))
-    return near.withColumn("ratio", ratio(F.col("a_text"), F.col("b_text"))).where(F.col("ratio") >= threshold)
+    long = lambda c: F.length(c) >= min_length
+    near = left.where(long("a_text")).join(right.where(long("b_text")), scope).where(length_bound(F.col("a_text"), F.col("b_text")) >= threshold)
+    pairs = near.select(*scope, "a_ord", "b_ord", "a_text", "b_text")
+    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (*scope, "a_ord", "b_ord")) + ", ratio double"
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            old, new = batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist()
+            ratios = [ratio_of(old[k], new[k]) if ok else 0.0 for k, ok in enumerate(character_bound(old, new) >= threshold)]
+            out = batch.select([*scope, "a_ord", "b_ord"]).append_column("ratio", pa.array(ratios, pa.float64()))
+            yield out.filter(pa.array([r >= threshold for r in ratios], pa.bool_()))
+
+    return pairs.mapInArrow(run, schema)
 
 
 def fuzzy_match(a: DataFrame, b: DataFrame, scope: list[str], threshold: float = 0.85, mode: str = "serial", min_length: int = 0) -> DataFrame:
-    return greedy_assign(fuzzy_edges(a, b, scope, threshold, min_length), scope, mode)
+    """(scope, a_ord, b_ord, ratio, match_type): equal texts first, then what is left by similarity, one to one."""
+    exact = exact_pairs(a, b, scope)
+    rest = lambda df, name: df.join(exact.select(*scope, F.col(name).alias("ord")), [*scope, "ord"], "left_anti")
+    fuzzy = greedy_assign(fuzzy_edges(rest(a, "a_ord"), rest(b, "b_ord"), scope, threshold, min_length), scope, mode)
+    return exact.withColumn("match_type", F.lit("exact")).unionByName(fuzzy.withColumn("match_type", F.lit("fuzzy")))
 
 
 def mutual_best(edges: DataFrame, scope: list[str]) -> DataFrame:
@@ -102,13 +142,85 @@ def align_paragraphs(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, "old", "new").mapInPandas(run, schema)
 
 
+def align_and_pool(pairs: DataFrame, keys: list[str], threshold: float = 0.9, min_length: int = 60) -> DataFrame:
+    """align_paragraphs, and one-to-one matches among the paragraphs of all "pool" stretches of a section.
+
+    The pool's paragraphs are matched by similarity in their order if both have min_length characters; what stays unmatched is
+    removed or added.
+    """
+    stretches = align_paragraphs(pairs, keys)
+    texts = pairs.select(*(F.col(k).alias("_" + k) for k in keys), "old", "new")
+    pool = stretches.where("status = 'pool'").join(texts, [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys])
+
+    def side(values: str, begin: str, end: str) -> DataFrame:
+        own = F.transform(F.sequence(F.col(begin), F.col(end) - 1), lambda k: F.struct(k.alias("ord"), F.get(values, k).alias("text")))
+        return pool.where(F.col(end) > F.col(begin)).select(*keys, F.explode(own).alias("x")).select(*keys, "x.ord", "x.text")
+
+    a, b = side("old", "a_from", "a_to"), side("new", "b_from", "b_to")
+    hits = greedy_assign(fuzzy_edges(a, b, keys, threshold, min_length), keys)
+    row = lambda status, i, j, k, m: [F.lit(status).alias("status"), *(c.cast("int").alias(n) for c, n in ((i, "a_from"), (j, "a_to"), (k, "b_from"), (m, "b_to")))]
+    x, y, o, none = F.col("a_ord"), F.col("b_ord"), F.col("ord"), F.lit(None)
+    left = lambda df, name: df.join(hits.select(*keys, F.col(name).alias("ord")), [*keys, "ord"], "left_anti")
+    matched = hits.select(*keys, *row("fuzzy", x, x + 1, y, y + 1))
+    removed, added = left(a, "a_ord").select(*keys, *row("removed", o, o + 1, none, none)), left(b, "b_ord").select(*keys, *row("added", none, none, o, o + 1))
+    return stretches.where("status <> 'pool'").unionByName(matched).unionByName(removed).unionByName(added)
+
+
 def reflow_adjacent(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
-    """Two neighbouring paragraphs of one edition that equal one of the other. Frames: scope, ord, text."""
+    """Two neighbouring paragraphs of one edition that equal one of the other: every candidate (scope, a_ord, b_ord). Frames: scope, ord, text."""
     w = Window.partitionBy(*scope).orderBy("ord")
     two = a.withColumn("next", F.lead("text").over(w)).where("next is not null").select(*scope, F.col("ord").alias("a_ord"), F.concat_ws(" ", "text", "next").alias("text"))
     return two.join(b.select(*scope, F.col("ord").alias("b_ord"), "text"), [*scope, "text"])
 
 
+def reflowed(old: list[str], new: list[str]) -> list[tuple[str, list[int], list[int]]]:
+    """("joined" or "split", old places, new places): first two old paragraphs that make one new, then one old that two new make; each is used once."""
+    out, gone_a, gone_b = [], set(), set()
+    for status, two, one, used_two, used_one in (("joined", old, new, gone_a, gone_b), ("split", new, old, gone_b, gone_a)):
+        places: dict[str, list[int]] = {}
+        for k in range(len(one) - 1, -1, -1):
+            places.setdefault(one[k], []).append(k)
+        for k in range(len(two) - 1):
+            if k in used_two or k + 1 in used_two:
+                continue
+            free = places.get(two[k] + " " + two[k + 1], [])
+            while free and free[-1] in used_one:
+                free.pop()
+            if free:
+                at = free.pop()
+                used_two |= {k, k + 1}
+                used_one.add(at)
+                out.append((status, [k, k + 1], [at]) if status == "joined" else (status, [at], [k, k + 1]))
+    return out
+
+
+def reflow_paragraphs(pairs: DataFrame, keys: list[str], threshold: float = 0.9, min_length: int = 60) -> DataFrame:
+    """keys, status, a_ord, b_ord: reflowed paragraphs both ways, then equal ones by occurrence, then similar ones, best first.
+
+    pairs: keys, old and new (arrays of paragraphs, held for one section at a time). A reflow has a row for each place of the
+    longer side; what stays unmatched is removed or added.
+    """
+    kinds = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                old, new = (list(r[s]) if r[s] is not None else [] for s in ("old", "new"))
+                rows += [(*(r[k] for k in keys), status, x, y) for status, i, j in reflowed(old, new) for x in i for y in j]
+            yield pd.DataFrame(rows, columns=[*keys, "status", "a_ord", "b_ord"]).astype({"a_ord": "int64", "b_ord": "int64"})
+
+    moved = pairs.select(*keys, "old", "new").mapInPandas(run, f"{kinds}, status string, a_ord bigint, b_ord bigint")
+    side = lambda c: pairs.select(*keys, F.posexplode(c).alias("ord", "text")).withColumn("ord", F.col("ord").cast("bigint"))
+    rest = lambda df, gone, c: df.join(gone.select(*keys, F.col(c).alias("ord")).distinct(), [*keys, "ord"], "left_anti")
+    a, b = rest(side("old"), moved, "a_ord"), rest(side("new"), moved, "b_ord")
+    hits = fuzzy_match(a, b, keys, threshold, "global", min_length).select(*keys, F.col("match_type").alias("status"), "a_ord", "b_ord")
+    none = F.lit(None).cast("bigint")
+    removed = rest(a, hits, "a_ord").select(*keys, F.lit("removed").alias("status"), F.col("ord").alias("a_ord"), none.alias("b_ord"))
+    added = rest(b, hits, "b_ord").select(*keys, F.lit("added").alias("status"), none.alias("a_ord"), F.col("ord").alias("b_ord"))
+    return moved.unionByName(hits).unionByName(removed).unionByName(added)
+
+
 def position_shift(removed: list[tuple[str, str]], added: list[tuple[str, str]]) -> list[tuple[str, str, str]]:
     """(name, old position, new position) of leftovers (position, name) whose names keep their order; reserved ones never move."""
     a, b = ([x for x in side if x[1].strip().lower() != "reserved"] for side in (removed, added))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import short
 from ..storage import materialize
 
 
@@ -31,9 +32,44 @@ def top(items: DataFrame, groups: list[str], order: list[str], n: int) -> DataFr
 
 
 def headings(df: DataFrame, title: str, signature: str) -> DataFrame:
-    siblings = F.count("*").over(Window.partitionBy(title))
-    shown = F.when(siblings > 1, F.concat(F.col(title).cast("string"), F.lit(" ("), F.col(signature), F.lit(")"))).otherwise(F.col(title).cast("string"))
-    return df.select(title, signature, shown.alias("heading"))
+    """title, signature, heading: titles with several signatures show them. Titles are counted by partial sums and joined back."""
+    many = df.groupBy(title).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(title).alias("_title"), F.lit(True).alias("_many"))
+    both = df.join(many, F.col(title).eqNullSafe(F.col("_title")), "left")
+    shown = F.when(F.col("_many"), F.concat(F.col(title).cast("string"), F.lit(" ("), F.col(signature), F.lit(")"))).otherwise(F.col(title).cast("string"))
+    return both.select(title, signature, shown.alias("heading"))
+
+
+def without_moved(events: DataFrame, moved: DataFrame, keys: list[str]) -> DataFrame:
+    """Added and removed sections but those that only moved."""
+    return events.where(F.col("change_type").isin("added", "removed")).join(moved.select(*keys).distinct(), keys, "left_anti")
+
+
+def row_summary(columns: Column, anchor: str, n: int = 80) -> Column:
+    """'k: v; …' of a row's filled columns but the anchor, in the order of their names, cut to n characters."""
+    entries = F.filter(F.array_sort(F.map_entries(columns)), lambda e: (e["key"] != anchor) & (F.coalesce(e["value"], F.lit("")) != ""))
+    return short(F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "; "), n)
+
+
+def index_lines(log: DataFrame, pair: str, business: Column | None = None) -> DataFrame:
+    """pair, line: a list entry for each pair's report with its counts."""
+    own = F.count_if(business) if business is not None else F.lit(0).cast("bigint")
+    counts = log.groupBy(pair).agg(F.count("*").alias("n"), own.alias("b"))
+    name = F.col(pair).cast("string")
+    return counts.select(pair, F.concat(F.lit("- ["), name, F.lit("]("), name, F.lit(".md): "), F.col("n").cast("string"), F.lit(" changes, "), F.col("b").cast("string"), F.lit(" of business rules")).alias("line"))
+
+
+def latest(reports: DataFrame, manual: str, pair: str) -> DataFrame:
+    """The rows of each manual's last pair."""
+    last = reports.groupBy(manual).agg(F.max(pair).alias(pair))
+    return reports.join(last, [manual, pair], "left_semi")
+
+
+def pills(log: DataFrame, manual: str, item: Column, n: int = 3, order: str = "ord") -> DataFrame:
+    """manual, headline (all changes), groups: array<struct<change_type, count, items>>, most frequent first, n items each."""
+    rows = log.withColumns({"_item": item, "_n": F.row_number().over(Window.partitionBy(manual, "change_type").orderBy(order))})
+    groups = rows.groupBy(manual, "change_type").agg(F.count("*").alias("count"), F.transform(F.array_sort(F.collect_list(F.when(F.col("_n") <= n, F.struct("_n", "_item")))), lambda x: x["_item"]).alias("items"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("minus"), "change_type", "count", "items")))
+    return groups.groupBy(manual).agg(F.sum("count").alias("headline"), F.transform(ordered, lambda g: F.struct(g["change_type"].alias("change_type"), g["count"].alias("count"), g["items"].alias("items"))).alias("groups"))
 
 
 def summary(log: DataFrame, manual: str) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import disappeared, length_bound, ratio
-from ..operators import assembly, bands, classify, containers, diffing, folding, landing, matching, pages, reporting
+from ..operators import assembly, bands, classify, containers, diffing, folding, landing, matching, noise, pages, reporting, spans, tables
+from . import driver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,7 +109,7 @@ SELECT * FROM f WHERE old <> new""")
 def field_diff(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_size").withColumnRenamed("p_partkey", "k")
     b = p.withColumns({"p_name": F.when(F.col("k") % 7 == 0, F.concat(F.lit("new "), "p_name")).otherwise(F.col("p_name")), "p_size": F.when(F.col("k") % 11 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))})
-    return diffing.field_diff(matching.match_unique(p, b, ["k"]), ["k"], ["p_name", "p_brand", "p_size"])
+    return diffing.field_diff(matching.match_unique(p, b, ["k"]), ["k"], ["p_name", "p_brand", "p_size"]).drop("similarity_ratio")
 
 
 @query("""WITH x AS (SELECT event_id AS k, unnest(['type', 'user', 'extra']) AS name, unnest([event_type, CAST(user_id AS VARCHAR), '']) AS old,
@@ -119,7 +120,7 @@ def map_column_diff(spark, d):
     a = F.create_map(F.lit("type"), F.col("event_type"), F.lit("user"), user)
     b = F.create_map(F.lit("type"), F.when(F.col("event_id") % 7 == 0, "changed").otherwise(F.col("event_type")), F.lit("user"), user)
     b = F.when(F.col("event_id") % 5 == 0, F.map_concat(b, F.create_map(F.lit("extra"), F.lit("x")))).otherwise(b)
-    return diffing.map_diff(e.select(F.col("event_id").alias("k"), a.alias("a"), b.alias("b")), ["k"], skip=("__unassigned_prefix__",))
+    return diffing.map_diff(e.select(F.col("event_id").alias("k"), a.alias("a"), b.alias("b")), ["k"], skip=(assembly.PREFIX,)).drop("similarity_ratio")
 
 
 _LINES = """l AS (SELECT doc_id, CAST(n - 1 AS BIGINT) AS ord, lines[n] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS n))"""
@@ -136,15 +137,29 @@ def doc_lines(spark, d):
     return doc_lines_of(spark, d).withColumn("line_id", F.concat(F.lit("p0_b0_l"), F.col("ord").cast("string")))
 
 
-@query(f"WITH {_LINES} SELECT doc_id, count(*) AS kept FROM l WHERE length(line) >= 20 AND NOT regexp_matches(line, '(\\. ){{4,}}') AND NOT regexp_matches(line, '^[0-9]{{1,4}}$') GROUP BY doc_id")
+@query(f"WITH {_LINES} SELECT doc_id, count(*) AS kept FROM l WHERE length(line) >= 20 AND NOT regexp_matches(line, '(\\. ){{4,}}') AND NOT regexp_matches(trim(line, ' '), '^[0-9]{{1,4}}$') GROUP BY doc_id")
 def noise_filter(spark, d):
-    return doc_lines_of(spark, d).where((F.length("line") >= 20) & ~F.col("line").rlike(r"(\. ){4,}") & ~F.col("line").rlike("^[0-9]{1,4}$")).groupBy("doc_id").agg(F.count("*").alias("kept"))
+    line = F.col("line")
+    return doc_lines_of(spark, d).where((F.length(line) >= 20) & ~noise.dot_leader(line) & ~noise.page_number(line)).groupBy("doc_id").agg(F.count("*").alias("kept"))
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity * 10 AS y0, l_quantity * 10 + 9 AS y1, CASE WHEN l_partkey % 5 = 0 THEN 'Intro . . . . . 7' ELSE 'text' END AS t FROM lineitem) SELECT l_orderkey, count(*) AS kept FROM x WHERE NOT (y1 <= 60 OR y0 >= 450) AND NOT contains(t, '. . . . ') GROUP BY 1""")
+def page_furniture(spark, d):
+    y = F.col("l_quantity") * 10
+    text = F.when(F.col("l_partkey") % 5 == 0, "Intro . . . . . 7").otherwise("text")
+    return read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity").where(~noise.furniture(y, y + 9, text, 60, 450)).groupBy("l_orderkey").agg(F.count("*").alias("kept"))
+
 
+@query(f"""WITH {_LINES}, c AS (SELECT doc_id, ord, lower(trim(regexp_replace(line, '[ \\t\\n\\r]+', ' ', 'g'), ' ')) AS t FROM l) SELECT doc_id, ord FROM c WHERE t = '' OR t = 'all rights reserved.' OR regexp_matches(t, '^[0-9]+$') OR regexp_matches(t, '^[ivxlcdm]+$') OR contains(t, 'licensed')
+OR regexp_matches(t, '^(january|february|march|april|may|june|july|august|september|october|november|december) [0-9]{{4}}$')""")
+def guide_noise(spark, d):
+    return doc_lines_of(spark, d).where(noise.guide_noise(F.col("line"), ["All rights reserved."], "licensed")).select("doc_id", "ord")
 
-@query(f"WITH {_LINES}, p AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l) SELECT doc_id, ord FROM p WHERE NOT coalesce(contains(before, '|') AND length(line) < 40, false) AND NOT contains(line, '$$$')")
+
+@query(f"WITH {_LINES}, p AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l) SELECT doc_id, ord FROM p WHERE NOT contains(line, '|') AND NOT coalesce(contains(before, '|') AND length(line) < 40, false) AND NOT contains(line, '$$$')")
 def continued_lag_noise(spark, d):
-    w = Window.partitionBy("doc_id").orderBy("ord")
-    return doc_lines_of(spark, d).withColumn("before", F.lag("line").over(w)).where(~F.coalesce(F.contains("before", F.lit("|")) & (F.length("line") < 40), F.lit(False)) & ~F.contains("line", F.lit("$$$"))).select("doc_id", "ord")
+    line = F.col("line")
+    return noise.without_running_headers(doc_lines_of(spark, d), ["doc_id"], ["ord"], F.contains(line, F.lit("|")), F.length(line) < 40, F.contains(line, F.lit("$$$"))).select("doc_id", "ord")
 
 
 @query("SELECT doc_id, md5(lower(trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' '))) AS key_md5 FROM documents")
@@ -165,14 +180,18 @@ def sessionize_gap(spark, d):
     return bands.gap_cluster(e, ["user_id"], "t", 3600, ["event_id"]).select("event_id", "user_id", "cluster")
 
 
-@query()
+@query("""WITH RECURSIVE x AS (SELECT l_orderkey AS k, l_quantity * 2 AS y0, l_quantity * 2 + 9 AS y1, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity * 2, l_linenumber) AS n FROM lineitem),
+f AS (SELECT k, n, y0, y1, 1 AS band FROM x WHERE n = 1 UNION ALL SELECT x.k, x.n, CASE WHEN least(f.y1, x.y1) - greatest(f.y0, x.y0) > 0.5 * least(f.y1 - f.y0, x.y1 - x.y0) THEN f.y0 ELSE x.y0 END, CASE WHEN least(f.y1, x.y1) - greatest(f.y0, x.y0) > 0.5 * least(f.y1 - f.y0, x.y1 - x.y0) THEN f.y1 ELSE x.y1 END, CASE WHEN least(f.y1, x.y1) - greatest(f.y0, x.y0) > 0.5 * least(f.y1 - f.y0, x.y1 - x.y0) THEN f.band ELSE f.band + 1 END FROM f JOIN x ON x.k = f.k AND x.n = f.n + 1)
+SELECT k AS l_orderkey, string_agg(CAST(band AS VARCHAR), ',' ORDER BY n) AS bands FROM f GROUP BY k""")
 def row_band_fold(spark, d):
     li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select("l_orderkey", F.struct((F.col("l_quantity") * 2).alias("y0"), F.col("l_linenumber").alias("n"), (F.col("l_quantity") * 2 + 9).alias("y1")).alias("x"))
     rows = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("lines"))
     return rows.select("l_orderkey", F.array_join(bands.row_bands(F.transform("lines", lambda x: F.struct(x["y0"].cast("double").alias("y0"), x["y1"].cast("double").alias("y1")))), ",").alias("bands"))
 
 
-@query()
+@query("""WITH RECURSIVE x AS (SELECT l_orderkey AS k, l_quantity AS x0, CAST(l_linenumber AS VARCHAR) AS t, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, CAST(l_linenumber AS VARCHAR)) AS n FROM lineitem),
+f AS (SELECT k, n, x0, t AS cells FROM x WHERE n = 1 UNION ALL SELECT x.k, x.n, CASE WHEN abs(x.x0 - f.x0) <= 3 THEN f.x0 ELSE x.x0 END, f.cells || CASE WHEN abs(x.x0 - f.x0) <= 3 THEN chr(10) ELSE '|' END || x.t FROM f JOIN x ON x.k = f.k AND x.n = f.n + 1)
+SELECT k AS l_orderkey, arg_max(cells, n) AS cells FROM f GROUP BY k""")
 def cell_merge_fold(spark, d):
     li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select("l_orderkey", F.struct(F.col("l_quantity").cast("double").alias("x0"), F.col("l_linenumber").cast("string").alias("text")).alias("x"))
     return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("x")).alias("cells")).select("l_orderkey", F.array_join(bands.merged_cells(F.col("cells"), 3.0), "|").alias("cells"))
@@ -206,13 +225,12 @@ def heading_path(spark, d):
     return containers.heading_path(levelled(spark, d).withColumn("name", F.col("ord").cast("string")), ["doc_id"], "level", "name").select("doc_id", "ord", "path")
 
 
-@query("""WITH b AS (SELECT p_brand, CAST(avg(p_retailprice) AS DOUBLE) AS m, p_type FROM part GROUP BY p_brand, p_type), c AS (SELECT p_partkey, p_brand, p_retailprice FROM part),
-j AS (SELECT p_partkey, b.p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY round(abs(p_retailprice - m), 6), b.p_type) AS n FROM c JOIN b USING (p_brand)) SELECT p_partkey, p_type AS band FROM j WHERE n = 1""")
+@query("""WITH b AS (SELECT p_brand, min(p_retailprice) AS m, p_type FROM part GROUP BY p_brand, p_type), c AS (SELECT p_partkey, p_brand, p_retailprice FROM part),
+j AS (SELECT p_partkey, b.p_type, row_number() OVER (PARTITION BY p_partkey ORDER BY abs(p_retailprice - m), b.p_type) AS n FROM c JOIN b USING (p_brand)) SELECT p_partkey, p_type AS band FROM j WHERE n = 1""")
 def nearest_band(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_brand", "p_retailprice", "p_type")
-    b = p.groupBy("p_brand", "p_type").agg(F.avg("p_retailprice").alias("m"))
-    best = p.drop("p_type").join(b, "p_brand").groupBy("p_partkey").agg(F.min_by("p_type", F.struct(F.round(F.abs(F.col("p_retailprice") - F.col("m")), 6), F.col("p_type"))).alias("band"))
-    return best
+    b = p.groupBy("p_brand", "p_type").agg(F.min("p_retailprice").alias("m")).withColumnRenamed("p_type", "band")
+    return bands.nearest(p.drop("p_type"), b, ["p_brand"], "p_retailprice", "m", "band").select("p_partkey", "band")
 
 
 def event_sides(spark, d):
@@ -235,14 +253,14 @@ def zone_asof_forward(spark, d):
     return bands.asof(*event_sides(spark, d), ["user_id"], "ts", "ts", "mark", forward=True).select("event_id", "mark")
 
 
-@query("""WITH q AS (SELECT DISTINCT date_trunc('quarter', o_orderdate) AS s FROM orders), g AS (SELECT s, lead(s) OVER (ORDER BY s) AS e FROM q)
-SELECT o_orderkey, coalesce(strftime(g.s, '%Y%m%d'), 'unassigned') AS page_range FROM orders LEFT JOIN g ON o_orderdate >= g.s AND (g.e IS NULL OR o_orderdate < g.e)""")
+@query("""WITH t AS (SELECT n_nationkey AS s, 50 + 90 * r_regionkey AS p, chr(CAST(97 + r_regionkey AS INTEGER)) AS a FROM nation, region WHERE n_nationkey < 7), r AS (SELECT s, a, p, coalesce(lead(p) OVER (PARTITION BY s ORDER BY p) - 1, 480) AS e FROM t UNION ALL SELECT s, 'front_matter', 1, min(p) - 1 FROM t GROUP BY s),
+o AS (SELECT o_orderkey, o_custkey % 7 AS s, o_orderkey % 500 + 1 AS page FROM orders) SELECT o_orderkey, coalesce(r.a, 'unassigned') AS name FROM o LEFT JOIN r ON o.s = r.s AND page BETWEEN p AND e""")
 def page_range_lookup(spark, d):
-    o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
-    starts = o.select(F.date_trunc("quarter", "o_orderdate").alias("s")).distinct()
-    ranges = starts.withColumn("e", F.lead("s").over(Window.orderBy("s")))  # a row for each quarter
-    hit = (F.col("o_orderdate") >= F.col("s")) & (F.col("e").isNull() | (F.col("o_orderdate") < F.col("e")))
-    return o.join(F.broadcast(ranges), hit, "left").select("o_orderkey", F.coalesce(F.date_format("s", "yyyyMMdd"), F.lit("unassigned")).alias("page_range"))
+    o = read(spark, d, "orders", "o_orderkey", "o_custkey").select("o_orderkey", (F.col("o_custkey") % 7).alias("s"), (F.col("o_orderkey") % 500 + 1).alias("page"))
+    manuals = read(spark, d, "nation", "n_nationkey").where("n_nationkey < 7").select(F.col("n_nationkey").cast("long").alias("s"))
+    region = read(spark, d, "region", "r_regionkey", "r_name").select((F.col("r_regionkey") * 90 + 50).cast("long").alias("page"), F.concat(F.lit("Appendix "), F.element_at(F.split(F.lit("A,B,C,D,E"), ","), F.col("r_regionkey") + 1), F.lit(": "), "r_name").alias("title"))
+    toc = manuals.join(F.broadcast(region)).withColumns({"level": F.lit(2), "last": F.lit(480).cast("long")})  # five rows a manual
+    return containers.in_ranges(o, containers.toc_ranges(toc, ["s"], "last"), ["s"], "page").select("o_orderkey", "name")
 
 
 def byte_ranges(spark, d):
@@ -274,10 +292,17 @@ def reserved_transition(spark, d):
     return o.select(F.col("o_orderkey").alias("k"), diffing.reserved_transition(old, new).alias("change_type")).where("change_type is not null")
 
 
-@query("SELECT l_orderkey, arg_min(l_partkey, l_linenumber * 100000000 + l_partkey) FILTER (WHERE l_returnflag <> 'N') AS signature FROM lineitem GROUP BY l_orderkey")
+@query("SELECT l_orderkey, arg_min(l_returnflag, l_linenumber * 100000000 + l_partkey) FILTER (WHERE l_returnflag <> 'N') AS signature FROM lineitem GROUP BY l_orderkey")
 def signature_first_nonboring(spark, d):
-    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("p"), F.when(F.col("l_returnflag") != "N", F.col("l_linenumber").cast("long") * 100000000 + F.col("l_partkey")).alias("n"))
-    return li.groupBy("l_orderkey").agg(F.min_by("p", "n").alias("signature"))
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").withColumn("n", F.col("l_linenumber").cast("long") * 100000000 + F.col("l_partkey"))
+    return containers.signature(li, ["l_orderkey"], "l_returnflag", "n", ["N"])
+
+
+@query("""WITH x AS (SELECT o_custkey % 100 AS s, o_orderpriority AS title, o_orderstatus || o_custkey AS sig, o_orderkey AS ord FROM orders), a AS (SELECT *, row_number() OVER (PARTITION BY s, title ORDER BY sig, ord) AS n FROM x WHERE ord % 3 > 0), b AS (SELECT *, row_number() OVER (PARTITION BY s, title ORDER BY sig, ord) AS n FROM x WHERE ord % 3 < 2)
+SELECT s, title, CAST(n AS BIGINT) AS nth, a.ord AS a_ord, b.ord AS b_ord FROM a FULL JOIN b USING (s, title, n)""")
+def signature_pairs(spark, d):
+    x = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus").select((F.col("o_custkey") % 100).alias("s"), F.col("o_orderpriority").alias("title"), F.concat("o_orderstatus", F.col("o_custkey").cast("string")).alias("signature"), F.col("o_orderkey").alias("ord"))
+    return containers.paired_signatures(x.where("ord % 3 > 0"), x.where("ord % 3 < 2"), ["s"]).select("s", "title", F.col("nth").cast("long").alias("nth"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"))
 
 
 @query("SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -286,11 +311,11 @@ def duplicate_keys(spark, d):
 
 
 @query(f"""WITH {_LINES}, c AS (SELECT doc_id, ord, string_split(line, ' | ') AS cells FROM l WHERE contains(line, ' | ')), x AS (SELECT doc_id, ord, CAST(n - 1 AS INTEGER) AS column_index, cells[n] AS old, CASE WHEN (doc_id + n) % 7 = 0 THEN cells[n] || ' x' ELSE cells[n] END AS new FROM c, LATERAL (SELECT unnest(range(1, len(cells) + 1)) AS n))
-SELECT * FROM x WHERE column_index >= 1 AND trim(regexp_replace(old, '[ \\t\\n\\r]+', ' ', 'g'), ' ') <> trim(regexp_replace(new, '[ \\t\\n\\r]+', ' ', 'g'), ' ')""")
+SELECT * FROM x WHERE column_index >= 1 AND length(trim(old, ' ')) < 49 AND trim(regexp_replace(old, '[ \\t\\n\\r]+', ' ', 'g'), ' ') <> trim(regexp_replace(new, '[ \\t\\n\\r]+', ' ', 'g'), ' ')""")
 def cells_diff(spark, d):
     rows = doc_lines_of(spark, d).where(F.contains("line", F.lit(" | "))).withColumn("a_cells", F.split("line", r" \| "))
     rows = rows.withColumn("b_cells", F.transform("a_cells", lambda c, k: F.when((F.col("doc_id") + k + 1) % 7 == 0, F.concat(c, F.lit(" x"))).otherwise(c)))
-    return diffing.cells_diff(rows, ["doc_id", "ord"])
+    return diffing.cells_diff(rows, ["doc_id", "ord"]).drop("similarity_ratio")
 
 
 def part_names(spark, d):
@@ -309,18 +334,18 @@ def fuzzy_mutual_best(spark, d):
 @query()
 def fuzzy_serial(spark, d):
     a, b = part_names(spark, d)
-    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "serial").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"))
+    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "serial").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"), "match_type")
 
 
 @query()
 def fuzzy_global(spark, d):
     a, b = part_names(spark, d)
-    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "global").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"))
+    return matching.fuzzy_match(a, b, ["brand", "kind"], 0.85, "global").select("brand", "kind", "a_ord", "b_ord", F.round("ratio", 3).alias("ratio"), "match_type")
 
 
 def turn_pairs(spark, d):
     """Each conversation's turns as paragraphs; the new edition drops, joins and rewords some."""
-    c = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    c = read(spark, d, "conversations", "conv_id", "turn", "text").withColumn("text", F.coalesce("text", F.lit(""))).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
     old = F.transform("t", lambda x: T.clean(x["text"]))
     new = F.filter(F.transform("t", lambda x, k: F.when((F.col("conv_id") + k) % 7 == 0, F.lit(None)).when((F.col("conv_id") + k) % 5 == 0, F.concat(T.clean(x["text"]), F.lit(" revised"))).otherwise(T.clean(x["text"]))), lambda x: x.isNotNull())
     return c.select("conv_id", old.alias("old"), new.alias("new"))
@@ -331,34 +356,35 @@ def paragraph_align(spark, d):
     return matching.align_paragraphs(turn_pairs(spark, d), ["conv_id"])
 
 
-@query("""WITH t AS (SELECT conv_id, turn, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g'), ' ') AS text FROM conversations WHERE text IS NOT NULL), n AS (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM t),
+@query("""WITH t AS (SELECT conv_id, turn, trim(regexp_replace(coalesce(text, ''), '[ \\t\\n\\r]+', ' ', 'g'), ' ') AS text FROM conversations), n AS (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM t),
 b AS (SELECT conv_id, turn AS b_ord, text || ' ' || nx AS text FROM n WHERE turn % 2 = 0 AND nx IS NOT NULL) SELECT n.conv_id, n.turn AS a_ord, b.b_ord FROM n JOIN b ON n.conv_id = b.conv_id AND n.text || ' ' || n.nx = b.text WHERE n.nx IS NOT NULL""")
 def reflow_adjacent(spark, d):
-    a = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null").select("conv_id", F.col("turn").alias("ord"), T.clean(F.col("text")).alias("text"))
+    a = read(spark, d, "conversations", "conv_id", "turn", "text").select("conv_id", F.col("turn").alias("ord"), T.clean(F.coalesce("text", F.lit(""))).alias("text"))
     b = a.withColumn("nx", F.lead("text").over(Window.partitionBy("conv_id").orderBy("ord"))).where("nx is not null and ord % 2 = 0").select("conv_id", "ord", F.concat_ws(" ", "text", "nx").alias("text"))
     return matching.reflow_adjacent(a, b, ["conv_id"]).select("conv_id", "a_ord", "b_ord")
 
 
-@query()
+@query("""WITH r AS (SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS p, CAST(l_partkey AS VARCHAR) AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR)) AS n FROM lineitem), u AS (SELECT l_orderkey, count(DISTINCT x) AS names, count(*) AS c FROM r GROUP BY 1)
+SELECT r.l_orderkey, r.x AS name, CASE WHEN names = 1 THEN b.p ELSE r.p END AS old_position, r.p || 's' AS new_position FROM r JOIN u USING (l_orderkey) LEFT JOIN r b ON b.l_orderkey = r.l_orderkey AND b.n = r.n - 1 WHERE r.n > 1""")
 def position_shift(spark, d):
     item = F.struct(F.col("l_linenumber").cast("string").alias("position"), F.col("l_partkey").cast("string").alias("name"))
     g = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("removed"))
     return matching.shifted(g.withColumn("added", F.transform(F.slice("removed", 2, 100), lambda x: F.struct(F.concat(x["position"], F.lit("s")).alias("position"), x["name"].alias("name")))), ["l_orderkey"])
 
 
-@query("""WITH r AS (SELECT DISTINCT user_id AS scope, 'a' || (event_id % 3) AS s, event_type || (event_id % 4) AS line FROM events WHERE event_id % 2 = 0), a AS (SELECT DISTINCT user_id AS scope, 'b' || (event_id % 3) AS s, event_type || (event_id % 4) AS line FROM events WHERE event_id % 2 = 1),
+@query("""WITH x AS (SELECT DISTINCT l_orderkey % 50 AS scope, l_orderkey AS k, l_partkey AS line FROM lineitem), r AS (SELECT scope, 'a' || k AS s, line FROM x), a AS (SELECT scope, 'b' || k AS s, line FROM x WHERE NOT (k % 3 = 0 AND line % 5 = 0)),
 rn AS (SELECT scope, s, count(*) AS n FROM r GROUP BY ALL), an AS (SELECT scope, s, count(*) AS n FROM a GROUP BY ALL), j AS (SELECT r.scope, r.s AS a, a.s AS b, count(*) AS shared FROM r JOIN a ON r.scope = a.scope AND r.line = a.line GROUP BY ALL),
-g AS (SELECT j.scope, a, b, shared FROM j JOIN rn ON rn.scope = j.scope AND rn.s = a JOIN an ON an.scope = j.scope AND an.s = b WHERE least(rn.n, an.n) >= 0.5 * greatest(rn.n, an.n) AND shared >= 0.2 * rn.n)
+g AS (SELECT j.scope, a, b, shared FROM j JOIN rn ON rn.scope = j.scope AND rn.s = a JOIN an ON an.scope = j.scope AND an.s = b WHERE least(rn.n, an.n) >= 0.5 * greatest(rn.n, an.n) AND shared >= 0.8 * rn.n)
 SELECT scope, a, b, shared FROM (SELECT *, count(*) OVER (PARTITION BY scope, a) AS ca, count(*) OVER (PARTITION BY scope, b) AS cb FROM g) WHERE ca = 1 AND cb = 1""")
 def section_move_coverage(spark, d):
-    e = read(spark, d, "events", "event_id", "user_id", "event_type")
-    side = lambda k, p: e.where(F.col("event_id") % 2 == k).select(F.col("user_id").alias("scope"), F.concat(F.lit(p), (F.col("event_id") % 3).cast("string")).alias("section"), F.concat("event_type", (F.col("event_id") % 4).cast("string")).alias("line")).distinct()
-    return matching.section_moves(side(0, "a"), side(1, "b"), ["scope"], coverage=0.2).select("scope", "a", "b", "shared")
+    x = read(spark, d, "lineitem", "l_orderkey", "l_partkey").distinct().select((F.col("l_orderkey") % 50).alias("scope"), F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("line"))
+    side = lambda df, p: df.select("scope", F.concat(F.lit(p), F.col("k").cast("string")).alias("section"), "line")
+    return matching.section_moves(side(x, "a"), side(x.where("not (k % 3 = 0 and line % 5 = 0)"), "b"), ["scope"]).select("scope", "a", "b", "shared")
 
 
 @query()
 def disappeared_content(spark, d):
-    c = read(spark, d, "conversations", "conv_id", "turn", "text").where("text is not null")
+    c = read(spark, d, "conversations", "conv_id", "turn", "text").withColumn("text", F.coalesce("text", F.lit("")))
     new = F.array_join(F.slice(F.split("text", " "), 8, 1_000_000), " ")
     rows = c.select("conv_id", "turn", F.col("text").alias("old"), new.alias("new")).withColumn("gone", disappeared(F.col("old"), F.col("new")))
     return rows.select("conv_id", "turn", F.array_join("gone", " ¶ ").alias("gone"), F.round(ratio(F.col("old"), F.col("new")), 3).alias("ratio"), length_bound(F.col("old"), F.col("new")).alias("bound"))
@@ -383,37 +409,45 @@ def only_and_limit(spark, d):
 
 @query(f"""WITH {_LINES}, w AS (SELECT doc_id, ord, line, lag(line) OVER (PARTITION BY doc_id ORDER BY ord) AS before FROM l),
 s AS (SELECT doc_id, ord, list_distinct(list_filter(regexp_split_to_array(lower(line), '[^a-z]+'), lambda x: length(x) >= 4)) AS a, list_distinct(list_filter(regexp_split_to_array(lower(before), '[^a-z]+'), lambda x: length(x) >= 4)) AS b FROM w WHERE before IS NOT NULL)
-SELECT doc_id, ord, CAST(len(list_intersect(a, b)) AS BIGINT) AS shared, CAST(len(a) AS BIGINT) AS words FROM s""")
+SELECT doc_id, ord, round(len(list_intersect(a, b)) / greatest(len(a), 1), 6) AS share FROM s""")
 def keyword_overlap(spark, d):
     w = Window.partitionBy("doc_id").orderBy("ord")
     rows = doc_lines_of(spark, d).withColumn("before", F.lag("line").over(w)).where("before is not null")
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda x: F.length(x) >= 4))
-    return rows.select("doc_id", "ord", F.size(F.array_intersect(words(F.col("line")), words(F.col("before")))).cast("long").alias("shared"), F.size(words(F.col("line"))).cast("long").alias("words"))
+    return rows.select("doc_id", "ord", F.round(classify.keyword_overlap(F.col("line"), F.col("before")), 6).alias("share"))
 
 
-@query("SELECT doc_id, sha256(text) AS digest, count(*) OVER (PARTITION BY sha256(text)) AS copies FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, sha256(text) AS digest, CASE WHEN text IS NOT NULL THEN count(*) OVER (PARTITION BY text) END AS copies FROM documents")
+def content_copies(spark, d):
+    return landing.with_copies(read(spark, d, "documents", "doc_id", "text")).select("doc_id", "digest", "copies")
+
+
+@query("SELECT doc_id AS target, sha256(text) AS digest, sha256('older ' || text) AS corpus_digest FROM documents WHERE doc_id % 3 = 0 AND text IS NOT NULL")
 def content_conflict(spark, d):
-    return landing.with_copies(read(spark, d, "documents", "doc_id", "text").where("text is not null")).select("doc_id", "digest", "copies")
+    docs = read(spark, d, "documents", "doc_id", "text")
+    older = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("older "), "text")).otherwise(F.col("text"))
+    return landing.conflicts(docs.select(F.col("doc_id").alias("target"), F.sha2("text", 256).alias("digest")), docs.select(F.col("doc_id").alias("target"), F.sha2(older, 256).alias("digest")))
 
 
 @query("""WITH e AS (SELECT o_custkey AS manual, strftime(o_orderdate, '%Y%m%d') AS edition FROM orders) SELECT manual, max(edition) AS latest, count(DISTINCT edition) AS editions FROM e GROUP BY manual""")
 def latest_edition(spark, d):
     o = read(spark, d, "orders", "o_custkey", "o_orderdate").select(F.col("o_custkey").alias("manual"), F.date_format("o_orderdate", "yyyyMMdd").alias("edition"))
-    return o.groupBy("manual").agg(F.max("edition").alias("latest"), F.count_distinct("edition").alias("editions"))
+    return landing.latest_editions(o)
 
 
 @query("""WITH e AS (SELECT DISTINCT o_custkey AS manual, strftime(o_orderdate, '%Y%m%d') AS edition FROM orders), p AS (SELECT manual, edition AS edition_a, lead(edition) OVER (PARTITION BY manual ORDER BY edition) AS edition_b FROM e)
 SELECT manual, edition_a, edition_b FROM p WHERE edition_b IS NOT NULL AND edition_a >= '19950101' AND edition_b <= '19971231'""")
 def edition_chain(spark, d):
     o = read(spark, d, "orders", "o_custkey", "o_orderdate").select(F.col("o_custkey").alias("manual"), F.date_format("o_orderdate", "yyyyMMdd").alias("edition"))
-    return landing.edition_pairs(o).where("edition_a >= '19950101' and edition_b <= '19971231'").select("manual", "edition_a", "edition_b")
+    return landing.chain(landing.edition_pairs(o), "19950101", "19971231").select("manual", "edition_a", "edition_b")
 
 
-@query("""WITH g AS (SELECT l_orderkey AS manual, count(*) AS n, count(DISTINCT l_shipdate) AS dates FROM lineitem GROUP BY 1), v AS (SELECT manual, n, CASE WHEN n NOT IN (1, 2) THEN 'size' WHEN n = 2 AND dates < 2 THEN 'dates' ELSE 'ok' END AS verdict FROM g)
+@query("""WITH g AS (SELECT l_orderkey AS manual, count(*) AS n, count(DISTINCT l_shipdate) AS dates, min(l_shipdate) AS first FROM lineitem GROUP BY 1), c AS (SELECT o_orderkey AS manual, min(o_orderdate) AS oldest FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+v AS (SELECT manual, n, CASE WHEN n NOT IN (1, 2) THEN 'size' WHEN n = 2 AND dates < 2 THEN 'dates' WHEN n = 1 AND NOT coalesce(oldest < first, false) THEN 'no older edition' ELSE 'ok' END AS verdict FROM g LEFT JOIN c USING (manual))
 SELECT manual, n, verdict, bool_and(verdict = 'ok') OVER () AS batch_ok FROM v""")
 def batch_validate(spark, d):
     inbox = read(spark, d, "lineitem", "l_orderkey", "l_shipdate").toDF("manual", "edition")
-    return landing.validate_batch(inbox).select("manual", "n", "verdict", "batch_ok")
+    corpus = read(spark, d, "orders", "o_orderkey", "o_orderdate").where("o_orderkey % 2 = 0").toDF("manual", "edition")
+    return landing.validate_batch(inbox, corpus).select("manual", "n", "verdict", "batch_ok")
 
 
 @query("""WITH s AS (SELECT o_custkey AS slug, max(strftime(o_orderdate, '%Y%m%d')) AS b FROM orders GROUP BY 1), p AS (SELECT slug, CASE WHEN slug % 3 = 0 THEN b ELSE '19000101' END AS b FROM s WHERE slug % 2 = 0) SELECT s.slug, s.b AS edition_b, p.b IS NULL OR p.b <> s.b AS is_new FROM s LEFT JOIN p USING (slug)""")
@@ -468,9 +502,35 @@ def continued_merge(spark, d):
     return containers.continued_rows(o, ["s"], "code", "text", back=5000).select("s", "code", "ord", F.replace("text", F.lit("\n"), F.lit(";")).alias("text"), "n")
 
 
-@query("""SELECT source, count(*) AS n, string_agg(lang, ' / ' ORDER BY doc_id) AS parts, arg_min(lang, doc_id + CASE WHEN lang = 'en' THEN 0 ELSE 1000000000000 END) AS title FROM documents WHERE lang IS NOT NULL GROUP BY source""")
+@query("""WITH b AS (SELECT o_custkey AS s, o_orderkey AS ord, o_orderpriority AS code, o_orderkey % 3 = 0 AS cont, 2 + o_orderkey % 2 AS size, o_orderstatus AS x, CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey AS VARCHAR) END AS y FROM orders), p AS (SELECT *, lag(ord) OVER w AS prev, lag(size) OVER w AS psize FROM b WINDOW w AS (PARTITION BY s, code ORDER BY ord)),
+g AS (SELECT *, sum(CASE WHEN coalesce(cont AND ord - prev <= 9000 AND size = psize, false) THEN 0 ELSE 1 END) OVER (PARTITION BY s, code ORDER BY ord) AS grp FROM p)
+SELECT s, min(ord) AS ord, code, arg_min(CASE WHEN cont THEN code || ' (continued)' ELSE code END, ord) || '|' || string_agg(x, ';' ORDER BY ord) || coalesce('|' || string_agg(y, ';' ORDER BY ord), '') AS cells, count(*) AS n FROM g GROUP BY s, code, grp""")
+def continued_cells(spark, d):
+    k = F.col("o_orderkey")
+    code = F.when(k % 3 == 0, F.concat("o_orderpriority", F.lit(" (continued)"))).otherwise(F.col("o_orderpriority"))
+    cells = F.when(k % 2 == 1, F.array(code, "o_orderstatus", k.cast("string"))).otherwise(F.array(code, "o_orderstatus"))
+    rows = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus").select(F.col("o_custkey").alias("s"), k.alias("ord"), cells.alias("cells"))
+    return containers.continued_cells(rows, ["s"], back=9000).select("s", "ord", "code", F.replace(F.array_join("cells", "|"), F.lit("\n"), F.lit(";")).alias("cells"), "n")
+
+
+@query("""WITH b AS (SELECT o_custkey % 50 AS s, o_orderkey AS ord, CASE WHEN o_orderkey % 4 = 0 THEN 'paragraph' WHEN o_orderkey % 5 = 0 THEN 'table_header' ELSE 'table_row' END AS type, o_orderpriority AS text FROM orders), w AS (SELECT *, lag(type) OVER v AS lt, lag(text) OVER v AS lx FROM b WINDOW v AS (PARTITION BY s ORDER BY ord)),
+g AS (SELECT *, CASE WHEN type = 'table_header' THEN CASE WHEN lt = 'paragraph' THEN lx ELSE 'h ' || text END END AS own FROM w), c AS (SELECT *, count(own) OVER (PARTITION BY s ORDER BY ord) AS grp FROM g), t AS (SELECT *, max(own) OVER (PARTITION BY s, grp) AS title FROM c)
+SELECT s, ord, title FROM t WHERE type = 'table_row' AND title IS NOT NULL""")
+def tables_of_blocks(spark, d):
+    k = F.col("o_orderkey")
+    kind = F.when(k % 4 == 0, "paragraph").when(k % 5 == 0, "table_header").otherwise("table_row")
+    b = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority").select((F.col("o_custkey") % 50).alias("s"), k.alias("ord"), kind.alias("type"), F.col("o_orderpriority").alias("text"), F.array(F.lit("h"), "o_orderpriority").alias("cells"))
+    return containers.tables_of(b, ["s"]).select("s", "ord", "title")
+
+
+@query(f"""WITH {_LINES}, {_H}, g AS (SELECT *, sum(CASE WHEN level = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ord) AS section FROM h) SELECT doc_id, ord, CAST(section AS BIGINT) AS section, first_value(line) OVER (PARTITION BY doc_id, section ORDER BY ord) AS section_title FROM g WHERE section > 0 QUALIFY level > 1""")
+def sections_of_blocks(spark, d):
+    return containers.sections(levelled(spark, d).withColumnRenamed("line", "text"), ["doc_id"], F.col("level") == 1).select("doc_id", "ord", "section", "section_title")
+
+
+@query("""SELECT source, count(*) AS n, string_agg(coalesce(lang, '?'), ' / ' ORDER BY doc_id) AS parts, arg_min(coalesce(lang, '?'), doc_id + CASE WHEN lang = 'en' THEN 0 ELSE 1000000000000 END) AS title FROM documents GROUP BY source""")
 def coalesce_groups(spark, d):
-    docs = read(spark, d, "documents", "doc_id", "source", "lang").where("lang is not null")
+    docs = read(spark, d, "documents", "doc_id", "source", "lang").withColumn("lang", F.coalesce("lang", F.lit("?")))
     return containers.coalesced(docs, ["source"], "lang", "doc_id", F.col("lang") == "en").select("source", "n", "parts", "title")
 
 
@@ -489,15 +549,15 @@ def composite_diff(spark, d):
 
 @query(f"WITH {_LOG} SELECT change_type, k, coalesce(old, c_mktsegment) AS old, c_name AS title FROM change_log JOIN customer ON c_custkey = k")
 def context_backfill(spark, d):
-    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
-    return log_of(spark, d).join(c, F.col("k") == F.col("c_custkey")).select("change_type", "k", F.coalesce("old", "c_mktsegment").alias("old"), F.col("c_name").alias("title"))
+    facts = read(spark, d, "customer", "c_custkey", "c_mktsegment", "c_name").toDF("k", "old", "title")
+    return diffing.backfilled(log_of(spark, d), facts, ["k"]).select("change_type", "k", "old", "title")
 
 
 @query(f"WITH {_LOG} SELECT k, change_type, coalesce(r.c_name, s.s_name, '') AS field_name FROM change_log LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) r ON r.c_custkey = k LEFT JOIN supplier s ON s.s_suppkey = k")
 def lookup_enrich(spark, d):
-    rows = read(spark, d, "customer", "c_custkey", "c_name").where("c_custkey % 3 = 0").toDF("k", "row_name")
-    cards = read(spark, d, "supplier", "s_suppkey", "s_name").toDF("k", "card_name")
-    return log_of(spark, d).join(rows, "k", "left").join(cards, "k", "left").select("k", "change_type", F.coalesce("row_name", "card_name", F.lit("")).alias("field_name"))
+    rows = read(spark, d, "customer", "c_custkey", "c_name").where("c_custkey % 3 = 0").toDF("k", "field_name")
+    cards = read(spark, d, "supplier", "s_suppkey", "s_name").toDF("k", "field_name")
+    return classify.enriched(log_of(spark, d), [rows, cards], ["k"], "field_name").select("k", "change_type", "field_name")
 
 
 @query(f"WITH {_LOG} SELECT change_type, string_agg('- ' || k || ': ' || coalesce(old, '') || ' -> ' || coalesce(new, ''), chr(10) ORDER BY k) AS body FROM change_log GROUP BY change_type")
@@ -509,19 +569,83 @@ def report_lines(spark, d):
 @query(f"WITH {_LOG}, moved AS (SELECT k FROM change_log WHERE k % 20 = 0) SELECT change_type, k FROM change_log WHERE change_type IN ('added', 'removed') AND k NOT IN (SELECT k FROM moved)")
 def suppress_moved(spark, d):
     log = log_of(spark, d)
-    return log.where(F.col("change_type").isin("added", "removed")).join(log.where("k % 20 = 0").select("k").distinct(), "k", "left_anti").select("change_type", "k")
+    return reporting.without_moved(log, log.where("k % 20 = 0"), ["k"]).select("change_type", "k")
+
+
+@query(f"WITH {_LOG} SELECT change_type, k FROM change_log WHERE change_type <> 'content_changed' AND k % 4 <> 0")
+def consumed_items(spark, d):
+    log = log_of(spark, d)
+    return diffing.unconsumed(log.where("change_type <> 'content_changed'"), log.where("k % 4 = 0"), ["k"]).select("change_type", "k")
+
+
+@query(f"""WITH {_LOG}, o AS (SELECT o_custkey AS k, string_agg(o_orderpriority, '|' ORDER BY o_orderkey) AS context FROM orders GROUP BY 1) SELECT change_type, k, coalesce(context, '') AS context FROM change_log LEFT JOIN o USING (k)""")
+def context_attach(spark, d):
+    paragraphs = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority").toDF("k", "ord", "text")
+    return diffing.with_context(log_of(spark, d), paragraphs, ["k"]).select("change_type", "k", F.array_join("context", "|").alias("context"))
+
 
+@query("""SELECT o_custkey AS k, string_agg(o_orderpriority, ' ' ORDER BY o_orderkey) AS joined, string_agg(o_orderstatus || ' | ' || o_orderpriority, ' | ' ORDER BY o_orderkey) AS bullets FROM orders GROUP BY 1""")
+def flatten_fields(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus"))).alias("x"))
+    one, many = F.transform("x", lambda x: x["o_orderpriority"]), F.transform("x", lambda x: F.array(x["o_orderstatus"], x["o_orderpriority"]))
+    return o.select("k", diffing.flattened(one).alias("joined"), diffing.flattened(many, nested=True).alias("bullets"))
 
-@query(f"""WITH {_LINES} SELECT role, count(*) AS n FROM (SELECT CASE WHEN trim(line, ' ') = '' THEN 'empty' WHEN contains(line, ' | ') THEN 'table' WHEN length(line) < 30 THEN 'heading' WHEN regexp_matches(line, '[0-9]{{4,}}') THEN 'data' ELSE 'paragraph' END AS role FROM l) GROUP BY role""")
+
+@query(f"WITH {_LOG} SELECT change_type, '- [' || change_type || '](' || change_type || '.md): ' || count(*) || ' changes, ' || count(*) FILTER (WHERE k % 2 = 0) || ' of business rules' AS line FROM change_log GROUP BY 1")
+def index_lines(spark, d):
+    return reporting.index_lines(log_of(spark, d), "change_type", F.col("k") % 2 == 0)
+
+
+@query(f"""WITH {_LOG}, r AS (SELECT change_type, k, row_number() OVER (PARTITION BY change_type ORDER BY k) AS n, count(*) OVER (PARTITION BY change_type) AS c FROM change_log), g AS (SELECT change_type, c, string_agg(CAST(k AS VARCHAR), ',' ORDER BY n) FILTER (WHERE n <= 3) AS items FROM r GROUP BY ALL)
+SELECT 'customers' AS manual, CAST(sum(c) AS BIGINT) AS headline, string_agg(change_type || ':' || c || ':' || items, ';' ORDER BY -c, change_type) AS groups FROM g""")
+def summary_pills(spark, d):
+    made = reporting.pills(log_of(spark, d).withColumn("manual", F.lit("customers")), "manual", F.col("k").cast("string"), order="k")
+    return made.select("manual", "headline", F.array_join(F.transform("groups", lambda g: F.concat_ws(":", g["change_type"], g["count"].cast("string"), F.array_join(g["items"], ","))), ";").alias("groups"))
+
+
+@query("""WITH o AS (SELECT o_custkey AS manual, strftime(o_orderdate, '%Y%m%d') AS pair, o_orderkey FROM orders) SELECT manual, pair, o_orderkey FROM (SELECT *, max(pair) OVER (PARTITION BY manual) AS last FROM o) WHERE pair = last""")
+def latest_pair(spark, d):
+    o = read(spark, d, "orders", "o_custkey", "o_orderdate", "o_orderkey").select(F.col("o_custkey").alias("manual"), F.date_format("o_orderdate", "yyyyMMdd").alias("pair"), "o_orderkey")
+    return reporting.latest(o, "manual", "pair")
+
+
+@query("""SELECT p_partkey AS k, CASE WHEN length(t) > 24 THEN rtrim(t[1:24], ' ') || '…' ELSE t END AS summary FROM (SELECT p_partkey, 'brand: ' || p_brand || '; type: ' || p_type AS t FROM part)""")
+def row_summary(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    columns = F.create_map(F.lit("name"), F.col("p_name"), F.lit("type"), F.col("p_type"), F.lit("brand"), F.col("p_brand"), F.lit("empty"), F.lit(""))
+    return p.select(F.col("p_partkey").alias("k"), reporting.row_summary(columns, "name", 24).alias("summary"))
+
+
+_ROLES = "CASE WHEN trim(line, ' ') = '' THEN 'empty' WHEN contains(line, ' | ') THEN 'table' WHEN length(line) < 30 THEN 'heading' WHEN regexp_matches(line, '[0-9]{4,}') THEN 'data' ELSE 'paragraph' END"
+
+
+@query(f"WITH {_LINES} SELECT role, role NOT IN ('empty', 'heading') AS included, count(*) AS n FROM (SELECT {_ROLES} AS role FROM l) GROUP BY ALL")
 def role_classify(spark, d):
     line = F.col("line")
-    role = F.when(F.trim(line) == "", "empty").when(F.contains(line, F.lit(" | ")), "table").when(F.length(line) < 30, "heading").when(line.rlike("[0-9]{4,}"), "data").otherwise("paragraph")
-    return doc_lines_of(spark, d).groupBy(role.alias("role")).agg(F.count("*").alias("n"))
+    rules = [("empty", F.trim(line) == ""), ("table", F.contains(line, F.lit(" | "))), ("heading", F.length(line) < 30), ("data", line.rlike("[0-9]{4,}"))]
+    rows = doc_lines_of(spark, d).select(assembly.block_role(rules, "paragraph").alias("role"))
+    return rows.groupBy("role", assembly.included(F.col("role"), ("empty", "heading")).alias("included")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_LINES} SELECT doc_id, ord, CAST(n - 1 AS BIGINT) AS segment, s[n] AS text FROM (SELECT doc_id, ord, string_split(line, ', ') AS s FROM l), LATERAL (SELECT unnest(range(1, len(s) + 1)) AS n)")
+@query(f"""WITH {_LINES}, p AS (SELECT doc_id, ord, list_filter(string_split(line, ', '), lambda x: trim(x, ' ') <> '') AS s FROM l), t AS (SELECT doc_id, ord, n, s[n] AS x FROM p, LATERAL (SELECT unnest(range(1, len(s) + 1)) AS n))
+SELECT doc_id, ord, CAST(n - 1 AS BIGINT) AS segment, CASE WHEN length(x) % 2 = 0 AND regexp_matches(trim(x, ' '), '^[0-9]+(,[0-9]+)*$') THEN '' ELSE trim(x, ' ') END AS text, length(x) % 3 = 0 AS bold, CAST(CASE WHEN length(x) % 2 = 0 THEN 7 ELSE 9 END AS DOUBLE) AS size, CAST(length(x) AS DOUBLE) AS x1 FROM t""")
 def segment_split(spark, d):
-    return doc_lines_of(spark, d).select("doc_id", "ord", F.posexplode(F.split("line", ", ")).alias("segment", "text")).withColumn("segment", F.col("segment").cast("long"))
+    def span(t):
+        n = F.length(t)
+        return F.struct(t.alias("text"), F.when(n % 2 == 0, 7.0).otherwise(9.0).alias("size"), F.when(n % 3 == 0, 16).otherwise(0).alias("flags"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), n.cast("double").alias("x1"), F.lit(1.0).alias("y1"))
+
+    own = F.flatten(F.transform(F.split("line", ", "), lambda t: F.array(span(t), span(F.lit(" ")))))
+    rows = doc_lines_of(spark, d).select("doc_id", "ord", F.posexplode(spans.segments(own)).alias("segment", "s"))
+    x = F.col("s")
+    return rows.select("doc_id", "ord", F.col("segment").cast("long").alias("segment"), spans.text_of(x).alias("text"), spans.is_bold(x).alias("bold"), spans.largest_size(x).alias("size"), spans.bbox(x)["x1"].alias("x1"))
+
+
+@query("""SELECT p_partkey AS k, p_size < 20 AND length(p_name) >= 15 - length(p_type) AS marked, 'p1_b' || p_size || '_l2_s' || p_partkey AS line_id FROM part""")
+def footnote_markers(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_size", "p_name", "p_type")
+    span = lambda t, size: F.struct(t.alias("text"), size.cast("double").alias("size"), F.lit(0).alias("flags"), *(F.lit(0.0).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    line = F.array(span(F.lit(" "), F.lit(9)), span(F.lit("1,2"), F.when(F.col("p_size") < 20, 6).otherwise(9)), span(F.concat("p_name", F.lit(" "), "p_type"), F.lit(9)))
+    return p.select(F.col("p_partkey").alias("k"), spans.starts_with_marker(line, 16).alias("marked"), spans.line_id(F.lit(1), F.col("p_size"), F.lit(2), F.col("p_partkey")).alias("line_id"))
 
 
 @query("SELECT doc_id, regexp_replace(replace(text, chr(160), ' '), '\\bTC R\\b', 'TCR', 'g') AS text FROM documents")
@@ -531,7 +655,7 @@ def text_repair(spark, d):
 
 @query(f"WITH {_LINES} SELECT doc_id, count(*) AS num_lines_in, count(*) FILTER (WHERE length(line) >= 20) AS num_lines_kept FROM l GROUP BY doc_id")
 def edition_counts(spark, d):
-    return doc_lines_of(spark, d).groupBy("doc_id").agg(F.count("*").alias("num_lines_in"), F.count_if(F.length("line") >= 20).alias("num_lines_kept"))
+    return landing.edition_counts(doc_lines_of(spark, d), ["doc_id"], F.length("line") >= 20)
 
 
 @query(f"WITH {_LOG} SELECT change_type, base64(encode(to_json({{'type': change_type, 'n': count(*)}}))) AS payload FROM change_log GROUP BY change_type")
@@ -539,14 +663,13 @@ def payload_base64(spark, d):
     return log_of(spark, d).groupBy("change_type").agg(F.count("*").alias("n")).select("change_type", F.base64(F.encode(F.to_json(F.struct(F.col("change_type").alias("type"), "n")), "UTF-8")).alias("payload"))
 
 
-@query("""WITH t AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM benchmark), first AS (SELECT item_id, list_distinct(w[1:3]) AS w FROM t WHERE len(w) >= 3),
-dw AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS word FROM documents), n AS (SELECT item_id, unnest(w) AS word, len(w) AS k FROM first),
+@query("""WITH t AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM benchmark),
+dw AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS word FROM documents), n AS (SELECT item_id, unnest(w) AS word, len(w) AS k FROM t),
 h AS (SELECT doc_id, item_id FROM dw JOIN n USING (word) GROUP BY doc_id, item_id, k HAVING count(*) = k) SELECT doc_id, min(item_id) AS slug FROM h GROUP BY doc_id HAVING count(*) = 1""")
 def title_detect(spark, d):
-    words = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
-    titles = read(spark, d, "benchmark").select(F.col("item_id").alias("slug"), words(F.col("text")).alias("w")).where("size(w) >= 3").select("slug", F.array_distinct(F.slice("w", 1, 3)).alias("tokens"))
-    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.array_distinct(words(F.col("text"))).alias("tokens"))
-    return landing.detect_titles(docs, titles)
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != ""))
+    titles = read(spark, d, "benchmark").select(F.col("item_id").alias("slug"), words(F.col("text")).alias("tokens"))
+    return landing.detect_titles(read(spark, d, "documents", "doc_id", "text").select("doc_id", words(F.col("text")).alias("tokens")), titles)
 
 
 # ---- page parsers and what is assembled after them ----------------------------------------------------------------------
@@ -574,10 +697,41 @@ def _parsed(parser):
     return run
 
 
-for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "rotated_pairs", "page_tables", "rotated_tables", "numbered_sections"):
+for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "rotated_pairs", "numbered_sections", "narrative"):
     QUERIES[_name] = _parsed(getattr(pages, _name))
 
 
+def _tables(rotated: bool):
+    def run(spark, d):
+        blocks = tables.page_tables(laid_out(spark, d), ["doc_id"], rotated)
+        columns = F.array_join(F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+        return blocks.select("doc_id", "page", "ord", "type", "level", "title", "text", "anchor_column", columns.alias("columns"), F.array_join("items", "|").alias("items"), F.array_join("cells", "|").alias("cells"))
+
+    return run
+
+
+QUERIES["page_tables"], QUERIES["rotated_tables"] = _tables(False), _tables(True)
+
+
+@query()
+def pair_changes(spark, d):
+    """Three editions of a manual of customers: segments are sections, customers rows."""
+    c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"))
+    editions = spark.range(3).select(F.col("id").alias("e"))
+    rows = c.join(F.broadcast(editions)).where("k % 10 <> e").withColumn("nation", F.when(F.col("k") % 7 == F.col("e"), F.concat(F.lit("moved to "), "nation")).otherwise(F.col("nation")))
+    title = F.when((F.col("segment") == "BUILDING") & (F.col("e") == 2), "BUILDINGS").otherwise(F.col("segment"))
+    scope = [F.lit("customers").alias("manual"), F.concat(F.lit("2024010"), F.col("e").cast("string")).alias("edition")]
+    table = rows.select(*scope, (F.xxhash64("segment").bitwiseAND(255) * 10_000_000 + F.col("k") + 1).alias("ord"), F.lit("table_row").alias("type"), F.lit("").alias("text"), F.array(F.concat(F.lit("c"), F.col("k").cast("string")), "name", "nation").alias("cells"))
+    heads = rows.select("segment", "e").distinct().select(*scope, (F.xxhash64("segment").bitwiseAND(255) * 10_000_000).alias("ord"), F.lit("section_heading").alias("type"), title.alias("text"), F.array().cast("array<string>").alias("cells"))
+    return driver.changes(table.unionByName(heads)).select("pair", "change_type", "title", "key", "column_index", "old", "new")
+
+
+_P = """r AS (SELECT e, c_custkey AS k, c_name AS name, c_mktsegment AS segment, CASE WHEN c_custkey % 7 = e THEN 'moved to ' ELSE '' END || c_nationkey AS nation FROM customer, (SELECT unnest([0, 1, 2]) AS e) WHERE c_custkey % 10 <> e),
+ab AS (SELECT a.e, a.k, a.name, a.segment, a.nation AS old, b.nation AS new, b.k AS other FROM r a LEFT JOIN r b ON b.e = a.e + 1 AND b.k = a.k WHERE a.e < 2), ba AS (SELECT b.e - 1 AS e, b.k, b.name, b.segment, b.nation FROM r b LEFT JOIN r a ON a.e = b.e - 1 AND a.k = b.k WHERE b.e > 0 AND a.k IS NULL)"""
+SQL["pair_changes"] = f"""WITH {_P}, u AS (SELECT e, 'row_content_changed' AS change_type, segment, k, 2 AS column_index, old, new FROM ab WHERE old <> new UNION ALL SELECT e, 'row_removed', segment, k, NULL, 'c' || k || ' | ' || name || ' | ' || old, NULL FROM ab WHERE other IS NULL UNION ALL SELECT e, 'row_added', segment, k, NULL, NULL, 'c' || k || ' | ' || name || ' | ' || nation FROM ba)
+SELECT '2024010' || e || '_to_2024010' || (e + 1) AS pair, change_type, CASE WHEN segment = 'BUILDING' AND e = 1 THEN 'BUILDINGS' ELSE segment END AS title, 'C' || k AS key, CAST(column_index AS INTEGER) AS column_index, old, new FROM u"""
+
+
 @query("""WITH t AS (SELECT o_custkey AS s, o_orderkey AS ord, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + o_orderkey % 2 AS INTEGER) AS page, CASE WHEN o_orderkey % 5 = 0 THEN 'T' END AS table_id, CAST(o_orderkey % 11 = 0 AS VARCHAR) AS section, '| ' || o_orderstatus || ' |  |' AS head, '| ' || o_orderkey || ' | x |' AS row FROM orders),
 b AS (SELECT *, lag(page) OVER w AS p, lag(section) OVER w AS sec, lag(head) OVER w AS h FROM t WINDOW w AS (PARTITION BY s ORDER BY ord)), c AS (SELECT *, coalesce(page = p + 1 AND table_id IS NULL AND section IS NOT DISTINCT FROM sec AND lower(head) = lower(h), false) AS on_ FROM b),
 g AS (SELECT *, sum(CASE WHEN on_ THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY ord) AS grp FROM c)
@@ -649,10 +803,11 @@ def rate_diff(spark, d):
     return assembly.rate_changes(p.withColumn("new_rate", F.when(F.col("k") % 7 == 0, F.concat("new_rate", F.lit(" %"))).otherwise(F.col("new_rate"))), ["k"])
 
 
-@query()
+@query(f"""WITH {_C}, x AS (SELECT a.k AS ak, b.k AS bk, a.name || ' ' || a.segment AS o, b.name || ' ' || b.segment AS n FROM a FULL JOIN b ON a.k = b.k)
+SELECT ak AS k, 'criteria_changed' AS change_type, o AS old, n AS new FROM x WHERE o <> n UNION ALL SELECT ak, 'criteria_table_removed', o || ' All rights reserved', '' FROM x WHERE bk IS NULL UNION ALL SELECT bk, 'criteria_table_added', '', n || ' All rights reserved' FROM x WHERE ak IS NULL""")
 def criteria_diff(spark, d):
     a, b = (c.select("k", F.concat_ws(" ", "name", "segment", F.lit("All rights reserved")).alias("text")) for c in customers(spark, d))
-    return assembly.criteria_changes(a, b, ["k"])
+    return assembly.criteria_changes(a, b, ["k"]).drop("ratio")
 
 
 @query(f"""WITH {_LOG}, s AS (SELECT 1 AS part, k AS ord, '- ' || k || ': ' || old || ' -> ' || new AS line FROM change_log WHERE change_type = 'content_changed' UNION ALL SELECT 2, k, '- ' || k || ' ' || change_type FROM change_log WHERE change_type <> 'content_changed'),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import pandas as pd
@@ -44,17 +45,73 @@ def write_documents(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").partitionBy(*partitions).json(path)
 
 
+def read_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """JSON documents of a known schema; a folder without files raises, so that a wrong path is not an empty result."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(path).select("path")
+    if not files.limit(1).count():
+        raise FileNotFoundError(f"no JSON documents in {path}")
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+
+
 def write_report(bodies: DataFrame, path: str) -> None:
     """A text file for each pair: column body."""
     bodies.select("pair", F.col("body").alias("value")).write.mode("overwrite").partitionBy("pair").text(path)
 
 
-def html_report(payload: DataFrame, template: str) -> DataFrame:
-    """The template with the base64 of the JSON of each row in place of its mark."""
+def write_index(lines: DataFrame, path: str, title: str = "Index") -> None:
+    """One file: a title and the entries (pair, line), the newest pair first. There is an entry for each pair only."""
+    head = lines.sparkSession.createDataFrame([("~", f"# {title}")], "pair string, line string")
+    rows = head.unionByName(lines.select(F.col("pair").cast("string").alias("pair"), "line")).coalesce(1).sortWithinPartitions(F.desc("pair"))
+    rows.select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+
+
+def html_report(payload: DataFrame, template: str | None = None) -> DataFrame:
+    """The template (by default the one beside this module) with the base64 of the JSON of each row in place of its mark."""
+    if template is None:
+        with open(os.path.join(os.path.dirname(__file__), "report.html"), encoding="utf-8") as f:
+            template = f.read()
     data = F.base64(F.encode(F.to_json(F.struct("*")), "UTF-8"))
-    return payload.select(F.replace(F.lit(template), F.lit("__DATA_B64__"), data).alias("html"))
+    return payload.select(F.replace(F.lit(template), F.lit("__DATA_B64__"), F.regexp_replace(data, r"\s", "")).alias("html"))
 
 
-def save_state(state: DataFrame, path: str) -> None:
-    """A keyed table: only the slugs at hand are overwritten."""
+def save_state(state: DataFrame, path: str, legacy: str | None = None) -> None:
+    """A keyed table: only the slugs at hand are overwritten; then the legacy file, which load_state has read, goes."""
     state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").parquet(path)
+    if legacy:
+        fs, p = _file(state.sparkSession, legacy)
+        fs.delete(p, False)
+
+
+def load_state(spark: SparkSession, path: str, legacy: str | None = None) -> DataFrame:
+    """slug, edition_a, edition_b: the keyed table; where there is none, one JSON object of slugs from before; else empty."""
+    schema = "slug string, edition_a string, edition_b string"
+    fs, p = _file(spark, path)
+    if fs.exists(p):
+        return spark.read.schema(schema).parquet(path).select("slug", "edition_a", "edition_b")
+    if legacy and fs.exists(_file(spark, legacy)[1]):
+        whole = spark.read.text(legacy, wholetext=True).select(F.from_json("value", "map<string,struct<edition_a:string,edition_b:string>>").alias("m"))
+        return whole.select(F.explode("m").alias("slug", "s")).select("slug", "s.edition_a", "s.edition_b")
+    return spark.createDataFrame([], schema)
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def move_files(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """(from, to) of the files of an accepted batch; a target that exists raises before anything is moved."""
+    places = [(_file(spark, a), _file(spark, b)[1]) for a, b in moves]
+    for (fs, _), to in places:
+        if fs.exists(to):
+            raise FileExistsError(to.toString())
+    for (fs, source), to in places:
+        fs.mkdirs(to.getParent())
+        if not fs.rename(source, to):
+            raise OSError(f"could not move {source.toString()}")
+
+
+def write_alert(verdicts: DataFrame, path: str) -> None:
+    """The rejected manuals of a batch and why, with the time, as text."""
+    line = F.concat(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"), F.lit(" "), F.col("manual").cast("string"), F.lit(": "), F.col("verdict"))
+    verdicts.where("verdict <> 'ok'").select(line.alias("value")).coalesce(1).write.mode("append").text(path)

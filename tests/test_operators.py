@@ -139,3 +139,243 @@ def test_places_on_many_rows(spark):
     assert (got["n"], got["d"], got["lo"], got["hi"]) == (rows.count(),) * 2 + (1, rows.count())
     before = F.lag(F.struct(*rows.columns)).over(Window.partitionBy(F.floor(F.col("place") / 1000)).orderBy("place"))
     assert placed.withColumn("before", before).where(F.col("before") > F.struct(*rows.columns)).count() == 0
+
+
+def frame(spark, rows, names="s int, ord int, text string"):
+    return spark.createDataFrame(rows, names)
+
+
+def plain_fuzzy(a, b, threshold, mode, min_length=0):
+    """Equal texts by occurrence, then greedy by the standard library's ratio. a, b: [(ord, text)] of one scope."""
+    from difflib import SequenceMatcher
+
+    a, b, out = sorted(a), sorted(b), []
+    for x in list(a):
+        y = next((y for y in b if y[1] == x[1]), None)
+        if y:
+            out.append((x[0], y[0], 1.0, "exact"))
+            a.remove(x)
+            b.remove(y)
+    edges = [(SequenceMatcher(None, x[1], y[1]).ratio(), x[0], y[0]) for x in a for y in b if min(len(x[1]), len(y[1])) >= min_length]
+    edges = [e for e in edges if e[0] >= threshold]
+    used = set()
+    for r, x, y in sorted(edges, key=(lambda e: (e[1], -e[0], e[2])) if mode == "serial" else (lambda e: (-e[0], e[1], e[2]))):
+        if ("a", x) not in used and ("b", y) not in used:
+            used |= {("a", x), ("b", y)}
+            out.append((x, y, r, "fuzzy"))
+    return sorted(out)
+
+
+def test_fuzzy_match_like_plain_search(spark):
+    import random
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abé ") for _ in range(r.randrange(7)))
+    texts = lambda: [(s, k, word() if r.random() < 0.8 else "same") for s in range(25) for k in range(r.randrange(12))]
+    a, b = texts(), texts()
+    for mode in ("serial", "global"):
+        for least in (0, 3):
+            got = matching.fuzzy_match(frame(spark, a), frame(spark, b), ["s"], 0.6, mode, least).collect()
+            for s in range(25):
+                side = lambda rows: [(k, t) for x, k, t in rows if x == s]
+                assert sorted((x["a_ord"], x["b_ord"], x["ratio"], x["match_type"]) for x in got if x["s"] == s) == plain_fuzzy(side(a), side(b), 0.6, mode, least)
+
+
+def test_an_exact_partner_is_not_taken_by_an_earlier_row(spark):
+    a, b = frame(spark, [(1, 1, "batch code A1"), (1, 2, "batch code A2")]), frame(spark, [(1, 1, "batch code A2")])
+    assert [(r["a_ord"], r["match_type"]) for r in matching.fuzzy_match(a, b, ["s"]).collect()] == [(2, "exact")]
+
+
+def test_character_bound_is_never_below_the_ratio():
+    import random
+
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdeß日 ") for _ in range(r.randrange(12)))
+    old, new = [word() for _ in range(4000)], [word() for _ in range(4000)]
+    bounds = similarity.character_bound(old, new)
+    assert all(bounds[k] >= similarity.ratio_of(x, y) - 1e-12 for k, (x, y) in enumerate(zip(old, new)))
+
+
+def test_similar_texts_are_no_change(spark):
+    rows = spark.createDataFrame([(1, "x" * 20 + "the end of the list of all fields of the record", "x" * 20 + "the end of the list of all fields of the record."), (2, "a", "b"), (3, " a  b", "a b"), (4, None, "z")], "k int, old string, new string")
+    assert sorted(r["k"] for r in diffing.unlike(rows).collect()) == [2, 4]
+    assert sorted(r["k"] for r in diffing.unlike(rows, None).collect()) == [1, 2, 4]
+    bullets = spark.createDataFrame([(1, "l Is less", "● Is less")], "k int, old string, new string")
+    assert diffing.unlike(bullets, similar=T.without_bullets).collect() == []
+
+
+def test_pool_and_reflow(spark):
+    long = "the quick brown fox jumps over the lazy dog and runs on to the river bank"
+    pairs = spark.createDataFrame([(1, ["same", long, "gone for good", "end"], ["same", "brand new text", long + "s", "end"]), (2, ["p1", "p2", "q"], ["p1 p2", "q"]), (3, [], ["x"])], "k int, old array<string>, new array<string>")
+    got = {(r["k"], r["status"], r["a_from"], r["b_from"]) for r in matching.align_and_pool(pairs, ["k"]).collect()}
+    assert got == {(1, "exact", 0, 0), (1, "fuzzy", 1, 2), (1, "removed", 2, None), (1, "added", None, 1), (1, "exact", 3, 3), (2, "reflowed", 0, 0), (2, "exact", 2, 1), (3, "added", 0, 0)}
+    assert matching.reflowed(["a", "b", "c d"], ["a b", "c", "d"]) == [("joined", [0, 1], [0]), ("split", [2], [1, 2])]
+    assert matching.reflowed(["a", "a", "a"], ["a a", "a a"]) == [("joined", [0, 1], [0])]
+    flow = spark.createDataFrame([(1, ["a", "b", "c d", long, "keep"], ["a b", "c", "d", long + "s", "keep", "new"])], "k int, old array<string>, new array<string>")
+    got = {(r["status"], r["a_ord"], r["b_ord"]) for r in matching.reflow_paragraphs(flow, ["k"]).collect()}
+    assert got == {("joined", 0, 0), ("joined", 1, 0), ("split", 2, 1), ("split", 2, 2), ("fuzzy", 3, 3), ("exact", 4, 4), ("added", None, 5)}
+
+
+def test_nearest_band_like_all_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(r.randrange(3), k, float(r.randrange(40))) for k in range(80)]
+    marks = [(r.randrange(2), float(r.randrange(40)), chr(97 + r.randrange(26)), k) for k in range(20)]
+    got = bands.nearest(spark.createDataFrame(rows, "s int, k int, v double"), spark.createDataFrame(marks, "s int, at double, tie string, n int"), ["s"], "v", "at", "tie").collect()
+    for s, k, v in rows:
+        best = min(((abs(v - at), tie, at, n) for x, at, tie, n in marks if x == s), default=None)
+        found = [(x["tie"], x["at"]) for x in got if x["k"] == k]
+        assert found == ([(best[1], best[2])] if best else []), (s, k, v)
+
+
+def test_leaders(spark):
+    row = spark.createDataFrame([([1.0, 10.0, 16.0, 17.0, 40.0],)], "v array<double>")
+    assert row.select(bands.leaders(F.col("v"), 15.0)).first()[0] == [1.0, 1.0, 1.0, 17.0, 40.0]
+
+
+def test_judged_changes(spark):
+    gone = "send the advice to the issuer within five business days of receipt"
+    rows = [("content", gone, "send the advice to the issuer", ["elsewhere"]), ("content", gone, "send the advice to the issuer", ["now within five business days of receipt, always"]), ("content", "a B", "a b", []), ("added", None, "x", [])]
+    df = spark.createDataFrame(rows, "change_type string, old string, new string, context array<string>")
+    call = lambda old, new: ("nonsense", "why") if old == "a B" else ("editorial_change", "shorter")
+    got = classify.judged(df, ["content"], call, "context").collect()
+    assert sorted((r["ai_category"], r["safety_net_override"], r["ai_reason"]) for r in got if r["change_type"] == "content") == [
+        ("business_rule_change", True, "shorter"), ("editorial_change", False, "shorter"), ("extraction_noise", False, "unknown category nonsense: why")]
+    assert [r["ai_category"] for r in got if r["change_type"] == "added"] == [None]
+    assert {(r["ai_category"], r["n"]) for r in classify.category_summary(classify.judged(df, ["content"], call), ["change_type"]).collect()} == {("business_rule_change", 2), ("extraction_noise", 1)}
+    assert similarity.disappeared_of("l one two l three four five", "x", bullets=frozenset("l")) == ["one two three four five"]
+    assert similarity.removed_values_of("field must equal A or B", "field must equal A") == ["or B"]
+
+
+def test_uncovered_lines(spark):
+    old, new = "members must send the advice within five days\nshort", "members should send the advice within five days\nan entirely different obligation applies here"
+    row = spark.createDataFrame([(old, new)], "old string, new string").select(classify.uncovered_lines(F.col("old"), F.col("new")), classify.uncovered_lines(F.col("new"), F.col("old")), classify.downgraded(F.lit("high"), F.col("old"), F.col("new"))).first()
+    assert list(row) == [[], ["an entirely different obligation applies here"], "low"]
+
+
+def test_prompts_and_model_service(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    import pytest
+
+    row = spark.createDataFrame([("a", None)], "old string, new string").select(classify.prompt("Old: {old}\nNew: {new} {{}}", old=F.col("old"), new=F.col("new"))).first()[0]
+    assert row.startswith("Old: a\nNew:  ")
+
+    class Service(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"category": "editorial_change", "reason": asked["prompt"]}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/"
+    classify.check_service(url)
+    call = classify.http_classifier(url, lambda old, new: {"prompt": f"{old}>{new}"}, lambda reply: (reply["category"], reply["reason"]))
+    assert call("x", "y") == ("editorial_change", "x>y")
+    server.shutdown()
+    server.server_close()
+    with pytest.raises(RuntimeError, match="no answer"):
+        classify.check_service(url, timeout=1)
+
+
+def test_documents_state_and_index(spark, tmp_path):
+    import pytest
+
+    rows = spark.createDataFrame([("m", "1", "x")], "manual string, pair string, text string")
+    editions.write_documents(rows, f"{tmp_path}/docs", "manual")
+    assert editions.read_documents(spark, f"{tmp_path}/docs", "manual string, pair string, text string").select("manual", "pair", "text").collect() == rows.collect()
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        editions.read_documents(spark, f"{tmp_path}/none", "text string")
+    legacy = tmp_path / "state.json"
+    legacy.write_text(json.dumps({"a": {"edition_a": "1", "edition_b": "2"}}))
+    path = f"{tmp_path}/state"
+    assert editions.load_state(spark, path).collect() == []
+    old = editions.load_state(spark, path, str(legacy))
+    assert [tuple(r) for r in old.collect()] == [("a", "1", "2")]
+    editions.save_state(old, path, str(legacy))
+    assert not legacy.exists()
+    editions.save_state(spark.createDataFrame([("b", "3", "4")], "slug string, edition_a string, edition_b string"), path)
+    assert sorted(map(tuple, editions.load_state(spark, path).collect())) == [("a", "1", "2"), ("b", "3", "4")]
+    editions.write_index(spark.createDataFrame([("p1", "- one"), ("p2", "- two")], "pair string, line string"), f"{tmp_path}/index", "All")
+    assert [p.read_text() for p in (tmp_path / "index").glob("part-*")] == ["# All\n- two\n- one\n"]
+
+
+def test_files_move_only_where_nothing_is(spark, tmp_path):
+    import pytest
+
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(name)
+    (tmp_path / "taken").write_text("x")
+    with pytest.raises(FileExistsError):
+        editions.move_files(spark, [(f"{tmp_path}/a", f"{tmp_path}/corpus/a"), (f"{tmp_path}/b", f"{tmp_path}/taken")])
+    assert (tmp_path / "a").exists()
+    editions.move_files(spark, [(f"{tmp_path}/a", f"{tmp_path}/corpus/a")])
+    assert (tmp_path / "corpus" / "a").read_text() == "a" and not (tmp_path / "a").exists()
+    editions.write_alert(spark.createDataFrame([("m", "size"), ("n", "ok")], "manual string, verdict string"), f"{tmp_path}/alerts")
+    assert "".join(p.read_text() for p in (tmp_path / "alerts").glob("part-*")).strip().endswith(" m: size")
+
+
+def test_html_report_holds_its_data(spark):
+    import base64
+    import re
+
+    html = editions.html_report(spark.createDataFrame([("ü", 3)], "manual string, headline int")).first()["html"]
+    data = re.search(r'atob\("([^"]*)"\)', html)[1]
+    assert json.loads(base64.b64decode(data)) == {"manual": "ü", "headline": 3}
+
+
+def test_stages_run_in_order_and_stop_at_a_failure():
+    import pytest
+
+    from deltafolio.plans import stages as S
+
+    seen = []
+
+    def step(name, fail=False):
+        def run(manual, before, **options):
+            if fail:
+                raise ValueError("broken")
+            seen.append((manual, name, before, options))
+            return name
+
+        return run
+
+    own = [S.Stage("07", "report", step("report")), S.Stage("03", "match", step("match")), S.Stage("05", "judge", step("judge"))]
+    assert [x[:3] for x in S.run_manual("m", own, only="p")] == [("m", "match", True), ("m", "judge", True), ("m", "report", True)]
+    assert seen == [("m", "match", None, {"only": "p"}), ("m", "judge", "match", {"only": "p"}), ("m", "report", "judge", {"only": "p"})]
+    assert [s.name for s in S.chosen(own, "04", "07", skip_ai=True)] == ["report"]
+    bad = [S.Stage("01", "read", step("read", fail=True)), S.Stage("02", "next", step("next"))]
+    got = S.run_all({"x": bad, "y": own[:1]})
+    assert [(o.manual, o.stage, o.ok) for o in got] == [("x", "read", False), ("y", "report", True)] and "broken" in got[0].error
+    with pytest.raises(ValueError):
+        S.chosen([own[0], own[0]])
+
+
+def test_pair_driver_from_blocks_to_reports(spark):
+    from deltafolio.plans import driver
+
+    def edition(date, *blocks):
+        return [("m", date, k, *b) for k, b in enumerate(blocks)]
+
+    head, row = (lambda t: ("section_heading", t, [])), (lambda *c: ("table_row", "", list(c)))
+    rows = edition("20240101", ("paragraph", "intro", []), head("Transaction codes"), row("a1", "Purchase of goods"), row("b2", "Refund"), head("Old part"), row("z", "y"))
+    rows += edition("20240601", head("Transaction Codes"), row("A1", "Purchase of services"), row("c3", "New"), head("Annex"), row("q", "w"))
+    rows += edition("20250101", head("Transaction Code"), row("A1", "Purchase of services"), row("c3", "New"), head("Annex"), row("q", "w"))
+    blocks = spark.createDataFrame(rows, "manual string, edition string, ord int, type string, text string, cells array<string>")
+    got = {(r["pair"], r["change_type"], r["title"], r["key"]) for r in driver.changes(blocks).collect()}
+    first = "20240101_to_20240601"
+    assert got == {(first, "section_removed", "Old part", None), (first, "section_added", "Annex", None), (first, "row_content_changed", "Transaction Codes", "A1"), (first, "row_removed", "Transaction Codes", "B2"), (first, "row_added", "Transaction Codes", "C3")}
+    body = driver.reports(driver.judged_changes(blocks)).first()["body"].split("\n")
+    assert body[0] == "- row_content_changed Transaction Codes A1 1: Purchase of goods -> Purchase of services" and len(body) == 5

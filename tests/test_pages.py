@@ -3,7 +3,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from deltafolio.operators import assembly, folding, pages
+from deltafolio.operators import assembly, folding, pages, tables
 from deltafolio.operators.folding import Line
 
 
@@ -66,27 +66,55 @@ def test_rotated_pairs():
         ("field_description_pair", "Sample", "Amount", "How much there is"), ("field_description_pair", "Sample", "Date", ""), ("field_description_pair", "Sample", "Other", "Text")]
 
 
-def test_page_tables_with_two_zones():
+LINE = "doc int, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string, size double, bold boolean, fonts array<string>"
+
+
+def table(spark, lines, doc=1):
+    return spark.createDataFrame([(doc, x.page, x.ord, *map(float, (x.x0, x.y0, x.x1, x.y1)), x.text, x.size, x.bold, list(x.fonts)) for x in lines], LINE)
+
+
+def test_page_tables_with_two_zones(spark):
     head = lambda y: [L("Name", y, 60, 9.5, True), L("Len", y, 200, 9.5, True)]
     lines = [
         L("Reports", 0, size=26.0), L("T1", 20, size=10.5, bold=True), *head(40), L("lost", 55, 200), L("a", 70), L("1", 70, 200), L("b", 100), L("c", 111), L("T2", 150, size=10.5, bold=True), *head(170), L("d", 190), L("2", 190, 200), L("rest", 300, size=8.0)]
-    got = list(pages.page_tables(iter(lines)))
+    plain = [L("lone data", 10, page=2), L("T3", 30, size=10.5, bold=True, page=2)]
+    got = sorted(tables.page_tables(table(spark, lines + plain), ["doc"]).collect(), key=lambda r: (r["page"], r["ord"]))
     rows = [(b["title"], b["columns"]) for b in got if b["type"] == "grid_row"]
-    assert rows == [("T1", {pages.PREFIX: "lost"}), ("T1", {"Name": "a", "Len": "1"}), ("T1", {"Name": "b c", "Len": ""}), ("T2", {"Name": "d", "Len": "2"})]
-    assert got[0]["type"] == "section_heading" and got[-1] == {"type": "paragraph", "page": 1, "text": "rest"}
+    assert rows == [("T1", {assembly.PREFIX: "lost"}), ("T1", {"Name": "a", "Len": "1"}), ("T1", {"Name": "b c", "Len": ""}), ("T2", {"Name": "d", "Len": "2"})]
+    assert all(b["anchor_column"] == "Name" and b["items"] == ["Name", "Len"] for b in got if b["type"] == "grid_row")
+    assert (got[0]["type"], got[0]["level"], got[0]["text"]) == ("section_heading", 1, "Reports")
+    assert [(b["page"], b["text"]) for b in got if b["type"] == "paragraph"] == [(1, "rest"), (2, "lone data T3")]
+    assert tables.page_tables(table(spark, lines).limit(0), ["doc"]).collect() == []
+
+
+def test_header_tiers_and_group_headers(spark):
+    lines = [L("Group", 10, 200, 9.5, True), L("Key", 10, 60, 9.5, True), L("In", 30, 190, 9.5, True), L(" Out", 30, 250, 9.5, True), L("side", 42, 252, 9.5, True), L("Key", 90, 60, 9.5, True)]
+    cells = tables.header_cells(tables.oriented(table(spark, lines), False), ["doc", "page"])
+    assert sorted((r["at"], r["name"], r["across"], r["blank"]) for r in cells.collect()) == [(10.0, "Group", 200.0, False), (10.0, "Key", 60.0, False), (30.0, "In", 190.0, False), (30.0, "Out side", 250.0, True), (90.0, "Key", 60.0, False)]
+    found = tables.zones(cells, ["doc", "page"]).orderBy("zone").collect()
+    assert [(r["zone"], r["start"], {c["name"] for c in r["columns"]}) for r in found] == [(1, 10.0, {"In", "Out side", "Key"}), (2, 90.0, {"Key"})]
+
+
+def test_zones_of_data_and_titles(spark):
+    found = spark.createDataFrame([(1, 1, 100.0), (1, 2, 300.0)], "page int, zone int, start double")
+    at = lambda values: spark.createDataFrame([(1, float(v)) for v in values], "page int, along double")
+    zone = lambda df, forward: [r["zone"] for r in tables.in_zones(df, found, ["page"], forward).orderBy("along").collect()]
+    assert zone(at([50, 150, 300]), False) == [1, 1, 2] and zone(at([90, 120, 400]), True) == [1, 2, 2]
 
 
-def test_group_headers_are_no_columns():
-    tiers = [[("Group", 200.0, 10.0, False), ("Key", 60.0, 10.0, False)], [("In", 190.0, 30.0, False), ("Out", 250.0, 30.0, False)]]
-    assert set(pages.zones(tiers)[0]["columns"]) == {"In", "Out", "Key"}
+def test_bullets_keep_wrapped_anchors(spark):
+    at = lambda text, x0: Line(1, int(x0), x0, 600, x0 + 5, 700, text, 9.0)
+    found = spark.createDataFrame([(1, 1, 1, 0.0, [("A", 700.0, -700.0, False), ("B", 300.0, -300.0, False)])], "doc int, page int, zone int, start double, columns array<struct<name:string,across:double,rank:double,blank:boolean>>")
+    data = tables.oriented(table(spark, [at("one", 10), at("two", 23), at("three", 60)]), True)
+    bullet = tables.oriented(table(spark, [at("l", 28)]), True)
+    rows = lambda marks: [r["columns"]["A"] for r in tables.anchored_rows(data, found, marks, ["doc", "page"], tables.ROTATED_GAP).orderBy("row").collect()]
+    assert rows(bullet.limit(0)) == ["one", "two", "three"] and rows(bullet) == ["one two", "three"]
 
 
-def test_bullets_keep_wrapped_anchors():
-    axes = pages._Axes(True)
-    at = lambda text, x0: Line(1, 0, x0, 600, x0 + 5, 700, text, 9.0)
-    data, columns = [at("one", 10), at("two", 23), at("three", 60)], {"A": 700.0, "B": 300.0}
-    assert [r["A"] for r in pages.anchor_rows(data, columns, axes)[0]] == ["one", "two", "three"]
-    assert [r["A"] for r in pages.anchor_rows(data, columns, axes, [at("l", 28)])[0]] == ["one two", "three"]
+def test_narrative_headings_and_paragraphs():
+    lines = [L("1 Big", 0, size=26.0), L("title", 30, size=26.0), L("Part", 60, size=20.0), L("Detail", 80, size=14.0), L("a", 100), L("b", 112), L("far", 150), L("moved", 160, 100), L("Part two", 0, size=20.0, page=2), L("c", 20, page=2)]
+    assert shapes(pages.narrative(iter(lines)), "level", "text") == [
+        ("section_heading", 1, "1 Big title"), ("section_heading", 2, "Part"), ("section_heading", 3, "Detail"), ("paragraph", None, "a b"), ("paragraph", None, "far"), ("paragraph", None, "moved"), ("section_heading", 2, "Part two"), ("paragraph", None, "c")]
 
 
 def test_section_transitions_against_enumeration():
@@ -112,7 +140,7 @@ def test_fold_streams_scopes_in_order(spark):
     assert [r["code"] for r in got] == expected * 2 and [r["block"] for r in got] == [*range(40)] * 2
     assert folding.fold(lines.limit(0), ["s"], pages.index_blocks).count() == 0
     empty = lines.select("s", *(F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in Line.__dataclass_fields__))
-    for parser in (pages.index_blocks, pages.label_cards, pages.code_tables, pages.field_cards, pages.rotated_pairs, pages.page_tables, pages.rotated_tables, pages.numbered_sections):
+    for parser in (pages.index_blocks, pages.label_cards, pages.code_tables, pages.field_cards, pages.rotated_pairs, pages.numbered_sections, pages.narrative):
         folding.fold(empty, ["s"], parser).count()
 
 
