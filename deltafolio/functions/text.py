@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Blanks, dashes, bullets and marks that keys are made without.
 BLANKS = "[ \\t\\n\\r]+"
+DASHES = "[‐-―-]"
+NOTE = r"(?i)^\s*note:\s*"
+BULLET = r"(?<!\S)[l●](?!\S)"
 
 
 def clean(c: Column) -> Column:
@@ -20,6 +24,21 @@ def unicode_key(c: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " ")))
 
 
+def code(c: Column) -> Column:
+    """A code as a key: trimmed, upper case."""
+    return F.upper(F.trim(c))
+
+
+def card_name(c: Column) -> Column:
+    """A card's name as a key: dashes of all kinds between words are blanks."""
+    return key(F.regexp_replace(c, DASHES, " "))
+
+
+def without_note(c: Column) -> Column:
+    """A title as a key without its "Note:"."""
+    return key(F.regexp_replace(c, NOTE, ""))
+
+
 def position(c: Column) -> Column:
     """Dashes of all kinds become hyphens."""
     return F.regexp_replace(clean(c), "[‐-―]", "-")
@@ -42,7 +61,7 @@ def repair(c: Column) -> Column:
 
 
 def without_bullets(c: Column) -> Column:
-    return clean(F.regexp_replace(c, r"(?<!\S)[l●](?!\S)", ""))
+    return clean(F.regexp_replace(c, BULLET, ""))
 
 
 def shown_date(c: Column) -> Column:

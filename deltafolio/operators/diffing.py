@@ -91,10 +91,22 @@ def reserved_transition(old: Column, new: Column) -> Column:
     return F.when(is_reserved(old) & ~is_reserved(new), "field_became_defined").when(~is_reserved(old) & is_reserved(new), "field_became_reserved")
 
 
+#: Width of the bins in which ranges meet: about the length of a field.
+BIN = 32
+
+
+def _binned(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each bin that a range touches; ranges without a start or an end meet nothing."""
+    return ranges.where(f"{start} <= {end}").withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / BIN), F.floor(F.col(end) / BIN))))
+
+
 def reserved_splits(removed: DataFrame, added: DataFrame, scope: list[str], only_start: bool = False) -> DataFrame:
-    """Removed reserved ranges that contain added ones, of which a defined one starts where the range does. Frames: scope, s, e, name."""
-    r = removed.where(is_reserved(F.col("name"))).select(*scope, F.col("s").alias("rs"), F.col("e").alias("re"))
-    inside = r.join(added, scope).where("s >= rs and e <= re")
+    """Removed reserved ranges that contain added ones, of which a defined one starts where the range does. Frames: scope, s, e, name.
+
+    Ranges meet in bins, so a large scope is no product of its ranges.
+    """
+    r = _binned(removed.where(is_reserved(F.col("name"))).select(*scope, F.col("s").alias("rs"), F.col("e").alias("re")), "rs", "re")
+    inside = r.join(added.withColumn("_bin", F.floor(F.col("s") / BIN)), [*scope, "_bin"]).where("s >= rs and e <= re")
     new = ~is_reserved(F.col("name")) & ((F.col("s") == F.col("rs")) if only_start else F.lit(True))
     label = F.struct("s", F.concat(F.col("s").cast("string"), F.lit("-"), F.col("e").cast("string"), F.lit(" "), F.col("name")).alias("t"))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c, label))), lambda x: x["t"]), ",")
@@ -103,6 +115,9 @@ def reserved_splits(removed: DataFrame, added: DataFrame, scope: list[str], only
 
 
 def reserved_merges(removed: DataFrame, added: DataFrame, scope: list[str]) -> DataFrame:
-    """Removed defined ranges that overlap added reserved ones."""
+    """Removed defined ranges that overlap added reserved ones; a pair is found in the first bin that both touch."""
     a = removed.where(~is_reserved(F.col("name"))).select(*scope, F.col("s").alias("a_s"), F.col("e").alias("a_e"), F.col("name").alias("a_name"))
-    return a.join(added.where(is_reserved(F.col("name"))).select(*scope, "s", "e"), scope).where("a_s <= e and s <= a_e")
+    b = added.where(is_reserved(F.col("name"))).select(*scope, "s", "e")
+    both = _binned(a, "a_s", "a_e").join(_binned(b, "s", "e"), [*scope, "_bin"])
+    first = F.floor(F.greatest("a_s", "s") / BIN)
+    return both.where("a_s <= e and s <= a_e").where(F.col("_bin") == first).drop("_bin")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from itertools import groupby
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK = """page int, type string, level int, code string, title string, label string, text string, cells array<string>, items array<string>,
     card struct<name:string,positions:string,length:string,format:string,description:string,note:string,values:string,mapping:string>,
@@ -30,6 +31,7 @@ class Line:
     size: float
     bold: bool = False
     fonts: tuple = ()
+    footnote: bool = False
 
 
 Parser = Callable[[Iterator[Line]], Iterator[dict]]
@@ -38,10 +40,13 @@ Parser = Callable[[Iterator[Line]], Iterator[dict]]
 def fold(lines: DataFrame, scope: list[str], parser: Parser, order: list[str] | None = None, rows: int = 512) -> DataFrame:
     """scope, block (0, 1, …) and the columns of a block; ``lines`` has the scope and the fields of Line.
 
-    Null texts are empty, null positions and sizes 0; a scope without blocks has no rows.
+    Null texts are empty, null positions and sizes 0; ``footnote`` (the line starts with a footnote marker) may be missing; a scope
+    without blocks has no rows.
     """
     order = order or ["page", "ord"]
     fields = list(Line.__dataclass_fields__)
+    if "footnote" not in lines.columns:
+        lines = lines.withColumn("footnote", F.lit(False))
     spread = lines.select(*scope, *fields).repartition(*scope).sortWithinPartitions(*scope, *order)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -57,7 +62,7 @@ def fold(lines: DataFrame, scope: list[str], parser: Parser, order: list[str] |
                 for k in range(0, batch.num_rows, 1024):
                     for r in batch.slice(k, 1024).to_pylist():
                         at = (r[c] or 0.0 for c in ("x0", "y0", "x1", "y1"))
-                        yield tuple(r[c] for c in scope), Line(r["page"] or 0, r["ord"] or 0, *at, r["text"] or "", r["size"] or 0.0, bool(r["bold"]), tuple(r["fonts"] or ()))
+                        yield tuple(r[c] for c in scope), Line(r["page"] or 0, r["ord"] or 0, *at, r["text"] or "", r["size"] or 0.0, bool(r["bold"]), tuple(r["fonts"] or ()), bool(r["footnote"]))
 
         def blocks() -> Iterator[dict]:
             for key, group in groupby(stream(), key=lambda x: x[0]):

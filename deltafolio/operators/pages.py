@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 from .folding import Line, cells, clusters, in_paragraph, in_row, joined, runs
 
@@ -152,16 +153,19 @@ def visual_rows(lines: Iterator[Line]) -> Iterator[list[Line]]:
 
 def code_tables(
     lines: Iterator[Line], major: float = 20.0, margin: float = 15.0, anchor_gap: float = 150.0, wrap_gap: float = 4.0,
-    glossary: str = r"Glossary$", term_gap: float = 8.0,
+    glossary: str = r"Glossary$", term_gap: float = 8.0, look: int = 5, near: float = 3.0,
 ) -> Iterator[dict]:
     """Tables whose rows start with a code; headers, wrapped rows, paragraphs, and a glossary as a two-column table.
 
     A row is data if a cell near the anchor (the table's left edge) is a code. Other rows of a table are, in this order: its
     header if bold; the next row's beginning, where that one is data, nearer to it than the last row by ``wrap_gap`` and further from
-    that than it; else more of the last row. A line left of the anchor's margin or a major heading ends the table.
+    that than it; else more of the last row. A line left of the anchor's margin or a major heading ends the table, and so does a
+    lone line that starts with a footnote marker, or a lone line at the anchor that no code is in, if a major heading comes
+    within the ``look`` rows after it and before any data.
     """
     rows = visual_rows(lines)
-    row, ahead = next(rows, None), None
+    coming: deque[list[Line]] = deque(islice(rows, look + 1))
+    row, ahead = coming.popleft() if coming else None, None
     anchor: float | None = None
     header: dict | None = None
     body: dict | None = None
@@ -179,6 +183,18 @@ def code_tables(
         left = anchor if anchor is not None else min(x.x0 for x in r)
         return bool(found) and min(found) - left < anchor_gap
 
+    def is_note(r: list[Line]) -> bool:
+        if len(r) != 1 or r[0].footnote:
+            return len(r) == 1
+        if abs(r[0].x0 - anchor) > near or re.match(CODE, r[0].text.strip()):
+            return False
+        for other in coming:
+            if len(other) == 1 and other[0].bold and other[0].size >= major:
+                return True
+            if is_data(other):
+                return False
+        return False
+
     def place(into: dict, more: list[tuple[float, str]]) -> None:
         for x, t in more:
             k = min(range(len(into["at"])), key=lambda i: abs(into["at"][i] - x))
@@ -190,7 +206,7 @@ def code_tables(
                 yield {k: v for k, v in b.items() if k != "at"}
 
     while row is not None:
-        ahead = next(rows, None)
+        ahead = coming[0] if coming else None
         page, own = row[0].page, cells(row)
         heading = row[0].size >= major and row[0].bold
         if heading or in_glossary:
@@ -243,7 +259,7 @@ def code_tables(
                 held = []
             yield from done(header, body)
             header, body, anchor, ends = {"type": "table_header", "page": page, "at": [x for x, _ in own], "cells": [t for _, t in own]}, None, min(own)[0], max(x.y1 for x in row)
-        elif body and own[0][0] >= anchor - margin and body["page"] == page and not held:
+        elif body and own[0][0] >= anchor - margin and body["page"] == page and not held and not is_note(row):
             before, after = top(row) - ends, top(ahead) - max(x.y1 for x in row) if ahead and ahead[0].page == page else None
             if after is not None and is_data(ahead) and after <= wrap_gap and after < before:
                 early += own
@@ -257,7 +273,8 @@ def code_tables(
                 yield paragraph(held)
                 held = []
             held = held + row
-        row = ahead
+        row = coming.popleft() if coming else None
+        coming.extend(islice(rows, 1))
     yield from done(header, body)
     if in_glossary and held:
         yield {"type": "table_row", "page": held[0].page, "cells": [held[0].text, joined(held[1:])]}

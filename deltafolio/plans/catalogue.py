@@ -167,6 +167,13 @@ def normalize_keys(spark, d):
     return read(spark, d, "documents", "doc_id", "text").select("doc_id", F.md5(T.key(F.col("text"))).alias("key_md5"))
 
 
+@query("""SELECT p_partkey AS k, upper(p_name) AS code, lower(replace(p_name, ' ', ' ') || ' ' || p_type) AS card, lower(p_type) AS title FROM part""")
+def key_variants(spark, d):
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_type")
+    card, title = F.concat(F.replace("p_name", F.lit(" "), F.lit(" – ")), F.lit("‐"), "p_type"), F.concat(F.lit(" Note: "), "p_type")
+    return p.select(F.col("p_partkey").alias("k"), T.code(F.concat(F.lit(" "), "p_name", F.lit(" "))).alias("code"), T.card_name(card).alias("card"), T.without_note(title).alias("title"))
+
+
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER w AS n, CASE WHEN l_extendedprice - lag(l_extendedprice) OVER w > 5000 THEN 1 ELSE 0 END AS opens FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_linenumber))
 SELECT l_orderkey, l_linenumber, CAST(1 + sum(opens) OVER (PARTITION BY l_orderkey ORDER BY n) AS BIGINT) AS cluster FROM r""")
 def gap_cluster(spark, d):
@@ -686,9 +693,23 @@ def laid_out(spark, d):
     return lines.select("doc_id", F.floor(o / 50).cast("int").alias("page"), "ord", left.alias("x0"), top.alias("y0"), (left + 90).alias("x1"), (top + 10).alias("y1"), F.col("line").alias("text"), size.alias("size"), (at < 3).alias("bold"), F.array().cast("array<string>").alias("fonts"))
 
 
-def _parsed(parser):
+def turned(spark, d):
+    """Rotated pages of eight parts of a brand: names at the top edge, descriptions at the bottom, wrapped ones further right."""
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type").withColumn("n", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1)
+    page, x = F.floor(F.col("n") / 8).cast("int"), F.col("n") % 8 * 40.0
+    line = lambda at, y, text, size: F.struct(F.lit(at).cast("double").alias("at") if isinstance(at, float) else at.alias("at"), F.lit(y).alias("y"), text.alias("text"), F.lit(size).alias("size"))
+    first = F.col("n") % 8 == 0
+    lines = F.array(
+        F.when(first, line(10.0, 400.0, F.concat("p_brand", F.lit(" (1 of 2)")), 12.0)), F.when(first, line(40.0, 700.0, F.lit("Field Name"), 9.0)), F.when(first, line(40.0, 300.0, F.lit("Description"), 9.0)),
+        line(x + 60, 700.0, F.col("p_name"), 9.0), F.when(F.col("p_partkey") % 5 > 0, line(x + 62, 300.0, F.col("p_type"), 9.5)), F.when(F.col("p_partkey") % 5 > 2, line(x + 72, 300.0, F.lit("wrapped"), 9.5)),
+    )
+    rows = p.select(F.element_at(F.split("p_brand", "#"), 2).cast("long").alias("doc_id"), page.alias("page"), F.explode(F.array_compact(lines)).alias("l"), "p_partkey")
+    return rows.select("doc_id", "page", (F.col("p_partkey") * 10 + F.col("l.at") / 100).cast("long").alias("ord"), F.col("l.at").alias("x0"), (F.col("l.y") - 60).alias("y0"), (F.col("l.at") + 9).alias("x1"), F.col("l.y").alias("y1"), F.col("l.text").alias("text"), F.col("l.size").alias("size"), F.lit(False).alias("bold"), F.array().cast("array<string>").alias("fonts"))
+
+
+def _parsed(parser, lines=laid_out):
     def run(spark, d):
-        blocks = folding.fold(laid_out(spark, d), ["doc_id"], parser)
+        blocks = folding.fold(lines(spark, d), ["doc_id"], parser)
         # Flat columns, for comparison.
         cells = F.array_join("cells", "|")
         columns = F.array_join(F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
@@ -697,10 +718,16 @@ def _parsed(parser):
     return run
 
 
-for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "rotated_pairs", "numbered_sections", "narrative"):
+for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "numbered_sections", "narrative"):
     QUERIES[_name] = _parsed(getattr(pages, _name))
 
 
+QUERIES["rotated_pairs"] = _parsed(pages.rotated_pairs, turned)
+SQL["rotated_pairs"] = """WITH p AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS n FROM part)
+SELECT CAST(string_split(p_brand, '#')[2] AS BIGINT) AS doc_id, row_number() OVER (PARTITION BY p_brand ORDER BY n) - 1 AS block, CAST(n // 8 AS INTEGER) AS page, 'field_description_pair' AS type, CAST(NULL AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS code, p_brand AS title, p_name AS label,
+CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 5 <= 2 THEN p_type ELSE p_type || ' wrapped' END AS text, CAST(NULL AS VARCHAR) AS cells, CAST(NULL AS VARCHAR) AS items, CAST(NULL AS VARCHAR) AS card, CAST(NULL AS VARCHAR) AS columns FROM p"""
+
+
 def _tables(rotated: bool):
     def run(spark, d):
         blocks = tables.page_tables(laid_out(spark, d), ["doc_id"], rotated)

@@ -23,7 +23,7 @@ def sides(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def matched_sections(a: DataFrame, b: DataFrame, threshold: float = 0.85) -> DataFrame:
     """manual, pair, a_section, b_section, title, status: sections by equal titles in their order, then by similar ones."""
-    names = lambda df: df.groupBy(*PAIR, F.col("section").alias("ord")).agg(F.min("section_title").alias("title")).withColumn("text", T.key(F.col("title")))
+    names = lambda df: df.groupBy(*PAIR, F.col("section").alias("ord")).agg(F.min("section_title").alias("title")).withColumn("text", T.unicode_key(F.col("title")))
     old, new = names(a), names(b)
     hits = matching.fuzzy_match(old, new, PAIR, threshold)
     left = old.select(*PAIR, F.col("ord").alias("a_ord"), F.col("title").alias("a_title"))
@@ -44,7 +44,7 @@ def changes(blocks: DataFrame, threshold: float = 0.85, same: float = diffing.SA
 
     def rows(side: DataFrame, section: str) -> DataFrame:
         named = side.join(both.where("status = 'matched'").select(*PAIR, F.col(section).alias("section"), "title"), [*PAIR, "section"])
-        return matching.last_wins(named.select(*PAIR, "title", F.upper(T.clean(F.element_at("cells", 1))).alias("key"), "ord", "cells"), scope, "ord")
+        return matching.last_wins(named.select(*PAIR, "title", T.code(F.element_at("cells", 1)).alias("key"), "ord", "cells"), scope, "ord")
 
     matched = matching.match_unique(rows(a, "a_section"), rows(b, "b_section"), scope)
     cells = diffing.cells_diff(matched.where("status = 'matched'").select(*scope, F.col("a.cells").alias("a_cells"), F.col("b.cells").alias("b_cells")), scope, same=same)

@@ -41,6 +41,19 @@ def test_code_tables():
         ("table_row", None, ["B2 (continued)", "third"]), ("paragraph", "Left note", None)]
 
 
+def test_notes_before_headings_and_footnotes_end_a_table():
+    rows = [L("Code", 40, bold=True), L("Meaning", 40, 200, bold=True), L("A1", 60), L("first", 60, 200)]
+    note = [L("A remark on all codes", 76), L("that goes on", 88)]
+    assert shapes(pages.code_tables(iter(rows + note + [L("Next part", 110, size=24.0, bold=True)])), "text", "cells")[1:] == [
+        ("table_row", None, ["A1", "first"]), ("paragraph", "A remark on all codes that goes on", None), ("paragraph", "Next part", None)]
+    more = [L("B2", 100), L("second", 100, 200)]
+    got = shapes(pages.code_tables(iter(rows + note + more + [L("Next part", 130, size=24.0, bold=True)])), "text", "cells")
+    assert got[1] == ("table_row", None, ["A1\nA remark on all codes\nthat goes on", "first"]) and got[2] == ("table_row", None, ["B2", "second"])
+    mark = L("1 See the list", 76)
+    mark.footnote = True
+    assert shapes(pages.code_tables(iter(rows + [mark])), "text", "cells")[1:] == [("table_row", None, ["A1", "first"]), ("paragraph", "1 See the list", None)]
+
+
 def test_code_tables_glossary():
     lines = [L("A Glossary", 0, size=24.0, bold=True), L("ACH", 40, bold=True), L("Clearing", 60, 200), L("house.", 72, 200), L("Very long", 100, bold=True), L("term", 112, bold=True), L("Its sense.", 130, 200)]
     assert shapes(pages.code_tables(iter(lines)), "text", "cells") == [
@@ -139,7 +152,7 @@ def test_fold_streams_scopes_in_order(spark):
     expected = [b["code"] for b in pages.numbered_sections(L(r[7]) for r in rows[:40])]
     assert [r["code"] for r in got] == expected * 2 and [r["block"] for r in got] == [*range(40)] * 2
     assert folding.fold(lines.limit(0), ["s"], pages.index_blocks).count() == 0
-    empty = lines.select("s", *(F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in Line.__dataclass_fields__))
+    empty = lines.select("s", *(F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in Line.__dataclass_fields__ if c in lines.columns))
     for parser in (pages.index_blocks, pages.label_cards, pages.code_tables, pages.field_cards, pages.rotated_pairs, pages.numbered_sections, pages.narrative):
         folding.fold(empty, ["s"], parser).count()
 
