@@ -9,11 +9,20 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.landing import validate_batch
 
 
-def land(spark: SparkSession, inbox: str, corpus: str, alerts: str, checkpoint: str) -> StreamingQuery:
-    """inbox: JSON files of (manual, edition, text). Each micro-batch goes to a folder of its own, so a repeated one is not doubled."""
+def land(spark: SparkSession, inbox: str, corpus: str, alerts: str, checkpoint: str, older_needed: bool = False) -> StreamingQuery:
+    """inbox: JSON files of (manual, edition, text). Each micro-batch goes to a folder of its own, so a repeated one is not doubled.
+
+    older_needed: a manual's single file needs an older edition in the corpus, as landed by earlier batches.
+    """
+
+    def landed(number: int) -> DataFrame:
+        place = spark._jvm.org.apache.hadoop.fs.Path(corpus)
+        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return spark.createDataFrame([], "manual string, edition string")
+        return spark.read.schema("manual string, edition string, text string, batch bigint").parquet(corpus).where(F.col("batch") != number).select("manual", "edition")
 
     def each(batch: DataFrame, number: int) -> None:
-        verdicts = validate_batch(batch)
+        verdicts = validate_batch(batch, landed(number) if older_needed else None)
         bad = verdicts.where("verdict <> 'ok'")
         if bad.limit(1).count():
             bad.withColumn("batch", F.lit(number)).write.mode("overwrite").json(f"{alerts}/batch={number}")

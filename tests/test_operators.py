@@ -379,3 +379,20 @@ def test_pair_driver_from_blocks_to_reports(spark):
     assert got == {(first, "section_removed", "Old part", None), (first, "section_added", "Annex", None), (first, "row_content_changed", "Transaction Codes", "A1"), (first, "row_removed", "Transaction Codes", "B2"), (first, "row_added", "Transaction Codes", "C3")}
     body = driver.reports(driver.judged_changes(blocks)).first()["body"].split("\n")
     assert body[0] == "- row_content_changed Transaction Codes A1 1: Purchase of goods -> Purchase of services" and len(body) == 5
+
+
+def test_a_single_file_needs_an_older_edition(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    put = lambda name, *rows: (inbox / name).write_text("\n".join(json.dumps({"manual": m, "edition": e, "text": "t"}) for m, e in rows))
+    run = lambda: stream.land(spark, str(inbox), f"{tmp_path}/corpus", f"{tmp_path}/alerts", f"{tmp_path}/state", older_needed=True).awaitTermination()
+    put("1.json", ("m", "20240101"), ("m", "20240601"))
+    run()
+    put("2.json", ("m", "20250101"))
+    run()
+    put("3.json", ("n", "20250101"))
+    run()
+    put("4.json", ("m", "20230101"))
+    run()
+    assert sorted(r["edition"] for r in spark.read.parquet(f"{tmp_path}/corpus").collect()) == ["20240101", "20240601", "20250101"]
+    assert sorted((r["manual"], r["verdict"]) for r in spark.read.json(f"{tmp_path}/alerts").collect()) == [("m", "no older edition"), ("n", "no older edition")]
