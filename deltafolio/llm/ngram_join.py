@@ -16,7 +16,7 @@ shingles of either. Every set goes to the leaf of each of those, and every leaf
 3. pairs that pass the finer bounds are verified by their true sets, and links make components;
 4. larger leaves whose sets are not all in one component by now are joined again in full, but for pairs that already are in
    one component; a leaf of over ``BLOCK`` sets is cut into blocks, each pair of blocks that differs in components is a tree
-   of its own. What that finds is verified and joins components. No link between components is lost, and no group of near
+   of its own. Pairs that share too few leaves for a link of their sizes go; the others are verified and join components. No link between components is lost, and no group of near
    copies is ever expanded into all its pairs.
 
 ``links`` gives all pairs of different sets instead, for those who want them: that is quadratic in a group of near copies.
@@ -289,6 +289,9 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
 
     labelled: all pairs within the bounds whose components differ, across the sides where there are two. Else: in keys of up to
     SMALL sets all pairs, in others (near) the pair of each set with the smaller id whose bound leaves most room.
+
+    ``least``: how many prefix shingles a link of these sizes has at least in common. What is beyond the prefix that ends first in
+    the global order is at most that set's rest, ceil(t n) - 1 shingles, and the rest of the needed overlap is in both prefixes.
     """
     spread = rows.repartition("key").sortWithinPartitions("key")
 
@@ -296,7 +299,7 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
         import numpy as np
         import pyarrow as pa
 
-        names, kind = ["x", "y", "near"], None
+        names, kind = ["x", "y", "near", "least"], None
 
         def joined(held: list) -> Iterator:
             held = [b for b in held if b.num_rows]
@@ -327,7 +330,9 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
                 return keep & (side[i] != side[j]) if two else keep
 
             def out(i, j, near: bool):
-                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(np.full(len(i), near))], names)
+                rest = -(-percent * np.maximum(n[i], n[j]) // 100) - 1
+                least = needed(n[i], n[j], percent) - rest
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(np.full(len(i), near)), pa.array(least, pa.int64())], names)
 
             sizes = np.diff(starts, append=len(keys))
             # Leaves that are one node, all of them at once: each point with the next, the next but one and so on.
@@ -386,7 +391,7 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
         if held:
             yield from joined(held)
 
-    return spread.mapInArrow(run, f"x {node}, y {node}, near boolean")
+    return spread.mapInArrow(run, f"x {node}, y {node}, near boolean, least bigint")
 
 
 def _parted(rows: DataFrame) -> DataFrame:
@@ -590,7 +595,11 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
         mixed = mixed.unionByName(busy.join(broadcast_if_fits(ends.where("low <> high").select("leaf"), ends), "leaf", "left_semi"))
     mixed = materialize(mixed, "mixed")
     rows = _parted(mixed).join(points.select("node", "n", "counts", "fine"), "node")
-    more = materialize(_bounded(_tree_join(rows, node, percent, labelled=True).select("x", "y").distinct().join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
+    # All leaves that such a pair shares have been joined by now, the small ones at first: a link shares enough of them.
+    again = _tree_join(rows, node, percent, labelled=True).select("x", "y", F.lit(1).cast("bigint").alias("times"), "least")
+    before = found.where("not near").select("x", "y", "times", F.lit(None).cast("bigint").alias("least"))
+    counted = again.unionByName(before).groupBy("x", "y").agg(F.sum("times").alias("times"), F.min("least").alias("least")).where("times >= least").select("x", "y")
+    more = materialize(_bounded(counted.join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
     # The first components stand for their members: only what links two of them is closed once more.
     own = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(c + "_of"))
@@ -615,7 +624,8 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: s
     frame = keyed_text(docs, id_col, text_col)
     r = _Routed(frame, words, percent)
     rows = _parted(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component"))).join(r.points.select("node", "n", "counts", "fine"), "node")
-    pairs = materialize(_bounded(_tree_join(rows, r.node, percent, labelled=True).select("x", "y").distinct(), r.points, r.node, percent), "pairs")
+    counted = _tree_join(rows, r.node, percent, labelled=True).groupBy("x", "y").agg(F.count("*").alias("times"), F.min("least").alias("least")).where("times >= least")
+    pairs = materialize(_bounded(counted.select("x", "y"), r.points, r.node, percent), "pairs")
     out = _verified(frame, pairs, r.node, words, percent)
     members = r.points.select(F.col("node").alias("doc_id"), "node").unionByName(r.copies.select("doc_id", "node")).distinct()
     release(pairs)
