@@ -36,14 +36,19 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
 
 
-def by_size(batch, column: int, limit: int = 1 << 20) -> Iterator[tuple]:
-    """(part of the batch, its texts), with about ``limit`` characters each; one text may be longer."""
-    texts, begin, held = batch.column(column).to_pylist(), 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "")
-        if held >= limit or k == len(texts) - 1:
-            yield batch.slice(begin, k + 1 - begin), texts[begin : k + 1]
-            begin, held = k + 1, 0
+def by_size(batch, column: int, limit: int = 1 << 20, rows: int = 4096) -> Iterator[tuple]:
+    """(part of the batch, its texts), with about ``limit`` bytes and at most ``rows`` rows each; one text may be longer. Only the part
+    at hand is turned into Python strings."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends, begin = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while begin < batch.num_rows:
+        full = int(ends[begin - 1] if begin else 0) + limit
+        end = min(int(np.searchsorted(ends, full)) + 1, begin + rows, batch.num_rows)
+        part = batch.slice(begin, end - begin)
+        yield part, part.column(column).to_pylist()
+        begin = end
 
 
 def id_type(df: DataFrame, name: str) -> str:
