@@ -1,6 +1,7 @@
 import sys
 
 from deltafolio.llm import ngram_join, packing, pii, quality
+from deltafolio.llm.common import materialize
 
 
 def test_stages_follow_one_another(spark, sf_dir):
@@ -30,18 +31,14 @@ def test_stages_follow_one_another(spark, sf_dir):
 def test_stages_on_odd_rows_and_empty_tables(spark, odd_docs, no_docs, sf_dir, tmp_path):
     import corpus_pipeline
 
-    for docs in (odd_docs, no_docs):
-        folder = str(tmp_path / str(docs is no_docs))
-        docs.write.parquet(f"{folder}/documents.parquet")
-        spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
-        at = spark.read.parquet(f"{folder}/documents.parquet")
-        for _, stage in corpus_pipeline.STAGES[:-1]:
-            after = stage(spark, at, folder)
-            assert after.columns == docs.columns
-            ids = [r["doc_id"] for r in after.collect()]
-            assert len(ids) == len(set(ids)) or stage is corpus_pipeline.quality_rules
-            at = after
-        rows = corpus_pipeline.run(spark, folder).collect()
-        assert {r["doc_id"] for r in rows} == set(ids) and (rows == []) == (docs is no_docs)
-        texts = {r["doc_id"]: r["text"] for r in at.collect()}
-        assert all(t and not pii.base_spans(t) for t in texts.values())
+    for name, docs in (("odd", odd_docs), ("none", no_docs)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    at = spark.read.parquet(f"{tmp_path}/odd/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        at = materialize(stage(spark, at, f"{tmp_path}/odd"), "stage")
+        ids = [r["doc_id"] for r in at.collect()]
+        assert at.columns == odd_docs.columns and (k == 0 or len(ids) == len(set(ids)))
+    assert ids and all(r["text"] and not pii.base_spans(r["text"]) for r in at.collect())
+    assert {r["doc_id"] for r in corpus_pipeline.best_fit_packing(spark, at, "").collect()} == set(ids)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
