@@ -16,7 +16,7 @@ shingles of either. Every set goes to the leaf of each of those, and every leaf
 3. pairs that pass the finer bounds are verified by their true sets, and links make components;
 4. larger leaves whose sets are not all in one component by now are joined again in full, but for pairs that already are in
    one component; a leaf of over ``BLOCK`` sets is cut into blocks, each pair of blocks that differs in components is a tree
-   of its own. Pairs that share too few leaves for a link of their sizes go; the others are verified and join components. No link between components is lost, and no group of near
+   of its own. Pairs that share an early leaf are left to it; what is found is verified and joins components. No link between components is lost, and no group of near
    copies is ever expanded into all its pairs.
 
 ``links`` gives all pairs of different sets instead, for those who want them: that is quadratic in a group of near copies.
@@ -57,6 +57,8 @@ SMALL = 8
 BLOCK = 512
 #: Partners of a set in larger leaves that are verified at first, those it has in most leaves.
 LEADS = 4
+#: Leaves of a set that are looked up to see whether a pair is made elsewhere.
+FIRSTS = 8
 #: One in so many sets is looked at to find hot leaves; what it misses is only slower.
 SAMPLE = 16
 #: A key that holds at least 1/HOT_KEYS of the rows is hot, so there are at most HOT_KEYS of them and they may be broadcast.
@@ -285,13 +287,13 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
 
 
 def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> DataFrame:
-    """R-tree self-joins, one for each key. rows: key, node, n, pos, counts and, if labelled, side, fine and component.
+    """R-tree self-joins, one for each key. rows: key, node, n, pos, counts and, if labelled, leaf, side, fine, component and firsts.
 
     labelled: all pairs within the bounds whose components differ, across the sides where there are two. Else: in keys of up to
     SMALL sets all pairs, in others (near) the pair of each set with the smaller id whose bound leaves most room.
 
-    ``least``: how many prefix shingles a link of these sizes has at least in common. What is beyond the prefix that ends first in
-    the global order is at most that set's rest, ceil(t n) - 1 shingles, and the rest of the needed overlap is in both prefixes.
+    Sets that share many leaves meet in each of them: a pair whose ``firsts`` (leaves that come first in the sets' order) have an
+    earlier leaf in common is left to that one, so the first leaf that two sets share always makes the pair, and few others do.
     """
     spread = rows.repartition("key").sortWithinPartitions("key")
 
@@ -299,7 +301,7 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
         import numpy as np
         import pyarrow as pa
 
-        names, kind = ["x", "y", "near", "least"], None
+        names, kind = ["x", "y", "near"], None
 
         def joined(held: list) -> Iterator:
             held = [b for b in held if b.num_rows]
@@ -313,6 +315,19 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
             labels, side = (batch.column(c).to_numpy() if labelled else None for c in ("component", "side"))
             fine = np.frombuffer(b"".join(batch.column("fine").to_pylist()), np.uint8).reshape(len(ids), FINE) if labelled else points
 
+            if labelled:
+                order = batch.column("leaf").to_numpy().view(np.uint64)
+                firsts = np.frombuffer(b"".join(batch.column("firsts").to_pylist()), np.uint64).reshape(len(ids), FIRSTS)
+
+            def met(i, j):
+                """Whether an earlier leaf makes the pair."""
+                parts = [np.empty(0, bool)]
+                for k in range(0, len(i), 4096):
+                    x, y = firsts[i[k : k + 4096]], firsts[j[k : k + 4096]]
+                    early = x < order[i[k : k + 4096]][:, None]
+                    parts.append(((x[:, :, None] == y[:, None, :]).any(axis=2) & early).any(axis=1))
+                return np.concatenate(parts)
+
             def bounded(i, j):
                 """Places of the pairs that the finest points at hand allow."""
                 parts = [np.empty(0, bool)]
@@ -330,9 +345,7 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
                 return keep & (side[i] != side[j]) if two else keep
 
             def out(i, j, near: bool):
-                rest = -(-percent * np.maximum(n[i], n[j]) // 100) - 1
-                least = needed(n[i], n[j], percent) - rest
-                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(np.full(len(i), near)), pa.array(least, pa.int64())], names)
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(np.full(len(i), near))], names)
 
             sizes = np.diff(starts, append=len(keys))
             # Leaves that are one node, all of them at once: each point with the next, the next but one and so on.
@@ -360,6 +373,8 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
                     keep = kept(i + begin, j + begin, two)
                     i, j = i[keep], j[keep]
                     if labelled:
+                        keep = ~met(i + begin, j + begin)
+                        i, j = i[keep], j[keep]
                         keep = bounded(i + begin, j + begin)
                         if keep.any():
                             yield out(i[keep] + begin, j[keep] + begin, False)
@@ -391,7 +406,29 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
         if held:
             yield from joined(held)
 
-    return spread.mapInArrow(run, f"x {node}, y {node}, near boolean, least bigint")
+    return spread.mapInArrow(run, f"x {node}, y {node}, near boolean")
+
+
+def _with_firsts(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """rows (leaf, node, pos, …) with ``firsts``: the first FIRSTS leaves of each node in the global order, as unsigned 64-bit
+    integers, padded with the largest; none for nodes that stand for several sets."""
+    import numpy as np
+
+    order = Window.partitionBy("node").orderBy("pos", "leaf")
+    ranked = rows.select("node", "leaf", "pos").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= FIRSTS)
+    several = materialize(points.groupBy("node").agg(F.count("*").alias("sets")).where("sets > 1").select("node"), "several")
+    lists = ranked.join(broadcast_if_fits(several), "node", "left_anti").groupBy("node").agg(F.collect_list("leaf").alias("firsts"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            packed = [np.array(x + [-1] * (FIRSTS - len(x)), np.int64).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "firsts"])
+
+    packed = lists.mapInArrow(run, f"node {id_type(rows, 'node')}, firsts binary")
+    none = F.lit(np.full(FIRSTS, -1, np.int64).tobytes())
+    return rows.join(packed, "node", "left").withColumn("firsts", F.coalesce("firsts", none))
 
 
 def _parted(rows: DataFrame) -> DataFrame:
@@ -594,12 +631,9 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
         ends = materialize(busy.groupBy("leaf").agg(F.min("component").alias("low"), F.max("component").alias("high")), "hot-ends")
         mixed = mixed.unionByName(busy.join(broadcast_if_fits(ends.where("low <> high").select("leaf"), ends), "leaf", "left_semi"))
     mixed = materialize(mixed, "mixed")
-    rows = _parted(mixed).join(points.select("node", "n", "counts", "fine"), "node")
-    # All leaves that such a pair shares have been joined by now, the small ones at first: a link shares enough of them.
-    again = _tree_join(rows, node, percent, labelled=True).select("x", "y", F.lit(1).cast("bigint").alias("times"), "least")
-    before = found.where("not near").select("x", "y", "times", F.lit(None).cast("bigint").alias("least"))
-    counted = again.unionByName(before).groupBy("x", "y").agg(F.sum("times").alias("times"), F.min("least").alias("least")).where("times >= least").select("x", "y")
-    more = materialize(_bounded(counted.join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
+    rows = _parted(_with_firsts(mixed, points)).join(points.select("node", "n", "counts", "fine"), "node")
+    again = _tree_join(rows, node, percent, labelled=True).select("x", "y").distinct()
+    more = materialize(_bounded(again.join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
     # The first components stand for their members: only what links two of them is closed once more.
     own = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(c + "_of"))
@@ -623,9 +657,8 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: s
     """
     frame = keyed_text(docs, id_col, text_col)
     r = _Routed(frame, words, percent)
-    rows = _parted(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component"))).join(r.points.select("node", "n", "counts", "fine"), "node")
-    counted = _tree_join(rows, r.node, percent, labelled=True).groupBy("x", "y").agg(F.count("*").alias("times"), F.min("least").alias("least")).where("times >= least")
-    pairs = materialize(_bounded(counted.select("x", "y"), r.points, r.node, percent), "pairs")
+    rows = _parted(_with_firsts(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component")), r.points)).join(r.points.select("node", "n", "counts", "fine"), "node")
+    pairs = materialize(_bounded(_tree_join(rows, r.node, percent, labelled=True).select("x", "y").distinct(), r.points, r.node, percent), "pairs")
     out = _verified(frame, pairs, r.node, words, percent)
     members = r.points.select(F.col("node").alias("doc_id"), "node").unionByName(r.copies.select("doc_id", "node")).distinct()
     release(pairs)

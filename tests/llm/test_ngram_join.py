@@ -207,26 +207,6 @@ def test_keep_one_of_rows_that_share_an_id(spark):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(1, "a c d e f g"), (2, None), (None, "q"), (None, "q")], key=str)
 
 
-def test_links_share_enough_of_their_prefixes():
-    """The least number of shared prefix shingles, over random pairs of sets around the threshold."""
-    r = np.random.default_rng(8)
-    seen = 0
-    for _ in range(4000):
-        n, m = (int(x) for x in r.integers(1, 120, 2))
-        low, high = max(0, nj.needed(n, m, 80) - 2), min(n, m)
-        if low > high:
-            continue
-        shared = int(r.integers(low, high + 1))
-        tokens = r.permutation(1000)
-        x, y = sorted(tokens[:n].tolist()), sorted([*tokens[:shared], *tokens[n : n + m - shared]])
-        if 100 * shared >= 80 * (n + m - shared):
-            a, b = nj.prefix_length(n, 80), nj.prefix_length(m, 80)
-            least = nj.needed(n, m, 80) - (-(-80 * max(n, m) // 100) - 1)
-            assert len(set(x[:a]) & set(y[:b])) >= max(least, 1)
-            seen += 1
-    assert seen > 100
-
-
 def test_long_documents_of_few_words(spark):
     """Long texts that share shingles by chance, some of them near copies of each other."""
     r = random.Random(41)
