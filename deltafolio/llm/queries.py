@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, licenses, matroska, ngram_join, packing, pii, quality, secret_scan, token_counts, warc
+from . import byte_bpe, compression_classifier, licenses, matroska, ngram_join, packing, pii, quality, secret_scan, token_counts, vector_codes, warc, whitening
 from .common import reads, table
 
 
@@ -56,9 +56,21 @@ def op10_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media(table(spark, sf_dir, "documents"), keep_media=False)
 
 
+def op11_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_ngram_jaccard, op3_byte_bpe, op4_best_fit_packing, op5_secret_scan, op6_quality_rules, op7_pii, op8_warc_archive, op9_token_counts, op10_matroska)
+    for f in (op1_license_scan, op2_ngram_jaccard, op3_byte_bpe, op4_best_fit_packing, op5_secret_scan, op6_quality_rules, op7_pii, op8_warc_archive, op9_token_counts, op10_matroska, op11_compression_classifier, op12_vector_codes, op13_whitening)
 }
 
 _SQL: dict[str, str] = {
