@@ -22,9 +22,11 @@ shingles of either. Every set goes to the leaf of each of those, and every leaf
 ``links`` gives all pairs of different sets instead, for those who want them: that is quadratic in a group of near copies.
 
 Scale: one row for each (set, prefix shingle) is shuffled, 0.2 of all shingles at 0.8; sets are only rebuilt for documents in
-surviving pairs. Hot shingles come last in the order, so leaves stay small; leaves that a sample of the sets shows to be hot
-are counted with partial sums and their rows stay in place. No links, components or sets reach the driver: it sees the
-sums of 65,536 hashed shingle counters and row counts. What is broadcast is measured first.
+surviving pairs. The order puts common shingles last, the commonest at the very end, so leaves stay small: shingles are counted
+exactly, without hashed counters whose noise would grow with the table, in one of ONE_IN documents, and the MOST commonest of those seen
+twice there are told apart (any order is lossless; a worse one has larger leaves). Leaves that a sample of the sets shows to be hot
+are counted with partial sums and their rows stay in place. No links, components or sets reach the driver: it sees
+at most MOST common shingles with their counts, and row counts. What is broadcast is measured first.
 
 Shingles are compared by 64-bit hashes.
 
@@ -50,7 +52,8 @@ GROUPS = 48
 FINE = 256
 #: Larger sets have more groups in the point that bounds candidate pairs: at most DENSITY shingles a group, up to WIDE groups.
 DENSITY, WIDE = 4, 4096
-BUCKET_BITS = 16
+#: Shingles are counted in one of so many documents, and at most so many of the commonest are told apart from the others.
+ONE_IN, MOST = 8, 1 << 21
 #: Leaves up to this size are one node: all their points are compared.
 SMALL = 8
 #: Sets in one tree; larger leaves are cut.
@@ -228,41 +231,63 @@ class CountTree:
                 stack.append((level - 1, x[ok], y[ok]))
 
 
-def shingle_counters(docs: DataFrame, words: int = WORDS, bits: int = BUCKET_BITS) -> list[int]:
-    """How often shingles fall in each bucket of their leading bits, over all documents."""
+def common_shingles(docs: DataFrame, words: int = WORDS, one_in: int = ONE_IN, most: int = MOST) -> tuple:
+    """(hashes, ranks): the commonest shingles as sorted 64-bit hashes, with their places by falling rarity.
+
+    Counted exactly in one of ``one_in`` documents, by a hash of their ids; shingles seen once there are not common. At most ``most`` of
+    them reach the driver: all that are seen more often than some count, which the number of shingles by count tells.
+    """
+    import numpy as np
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
-        shingles, total = Shingler(words), np.zeros(1 << bits, np.int64)
+        shingles = Shingler(words)
         for batch in batches:
             for _, texts in by_size(batch, 0):
-                h = np.concatenate(shingles.batch(texts))
-                total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["bucket", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = [0] * (1 << bits)
-    for row in counted.collect():  # one row for each bucket at most
-        out[row["bucket"]] = row["n"]
-    return out
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingles.batch(texts)).view(np.int64))], ["h"])
+
+    own = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text").mapInArrow(run, "h bigint")
+    counted = materialize(own.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "common-shingles")
+    levels, total = None, 0
+    for row in counted.groupBy("n").agg(F.count("*").alias("times")).orderBy(F.desc("n")).toLocalIterator():
+        total += row["times"]
+        if total > most:
+            break
+        levels = row["n"]
+    found = counted.where(F.col("n") >= levels).toArrow() if levels else None
+    release(counted)
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    h, n = found.column("h").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    ranks = np.empty(len(h), np.uint64)
+    ranks[np.lexsort((h, n))] = np.arange(len(h), dtype=np.uint64)
+    order = np.argsort(h)
+    return h[order], ranks[order]
+
+
+def in_order(h, common: tuple):
+    """The shingles' places in the global order as 64-bit numbers: first those that are not common, by their hash, then the common ones."""
+    import numpy as np
 
+    hashes, ranks = common
+    places = h >> np.uint64(1)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        known = hashes[at] == h
+        places[known] = np.uint64(1 << 63) | ranks[at[known]]
+    return places
 
-def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent: int = PERCENT, bits: int = BUCKET_BITS) -> DataFrame:
-    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts, fine and (of larger sets) wide: points."""
-    import numpy as np
 
-    place = np.empty(1 << bits, np.uint64)
-    place[np.argsort(np.array(counters), kind="stable")] = np.arange(1 << bits, dtype=np.uint64)
+def sets_table(docs: DataFrame, common: tuple, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, fp (of the whole set), prefix: array<bigint> in the global order, counts, fine and (of larger sets) wide: points."""
+    sent = docs.sparkSession.sparkContext.broadcast(common)  # at most MOST hashes and ranks
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        shingles, low = Shingler(words), np.uint64(64 - bits)
-        rest = np.uint64((1 << int(low)) - 1)
+        shingles = Shingler(words)
         for whole in batches:
             for batch, texts in by_size(whole, 1):
                 sizes, prints, prefixes, points, fine, wide = [], [], [], [], [], []
@@ -273,10 +298,9 @@ def sets_table(docs: DataFrame, counters: list[int], words: int = WORDS, percent
                     points.append(group_counts(h).tobytes() if n else None)
                     fine.append(group_counts(h, FINE).tobytes() if n else None)
                     wide.append(group_counts(h, wide_groups(n)).tobytes() if n > FINE * DENSITY else None)
-                    # The bucket's rank takes the place of its bits: another order of the same hashes, one to one.
                     if n:
                         p = prefix_length(n, percent)
-                        h = np.sort(np.partition(place[(h >> low).astype(np.int64)] << low | h & rest, p - 1)[:p])
+                        h = np.sort(np.partition(in_order(h, sent.value), p - 1)[:p])
                     prefixes.append(h.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), *(pa.array(p, pa.binary()) for p in (points, fine, wide))],
@@ -409,9 +433,9 @@ def _tree_join(rows: DataFrame, node: str, percent: int, labelled: bool) -> Data
     return spread.mapInArrow(run, f"x {node}, y {node}, near boolean")
 
 
-def _with_firsts(rows: DataFrame, points: DataFrame) -> DataFrame:
-    """rows (leaf, node, pos, …) with ``firsts``: the first FIRSTS leaves of each node in the global order, as unsigned 64-bit
-    integers, padded with the largest; none for nodes that stand for several sets."""
+def _firsts(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """(node, firsts): the first FIRSTS leaves of each node in the global order, of rows (leaf, node, pos), as unsigned 64-bit
+    integers, padded with the largest; no row for nodes that stand for several sets."""
     import numpy as np
 
     order = Window.partitionBy("node").orderBy("pos", "leaf")
@@ -426,9 +450,16 @@ def _with_firsts(rows: DataFrame, points: DataFrame) -> DataFrame:
             packed = [np.array(x + [-1] * (FIRSTS - len(x)), np.int64).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "firsts"])
 
-    packed = lists.mapInArrow(run, f"node {id_type(rows, 'node')}, firsts binary")
+    return lists.mapInArrow(run, f"node {id_type(rows, 'node')}, firsts binary")
+
+
+def _in_full(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """What the second tree join reads of a table of rows (leaf, node, pos, component): keys and sides, points and firsts."""
+    import numpy as np
+
     none = F.lit(np.full(FIRSTS, -1, np.int64).tobytes())
-    return rows.join(packed, "node", "left").withColumn("firsts", F.coalesce("firsts", none))
+    of_nodes = points.select("node", "n", "counts", "fine").join(_firsts(rows, points), "node", "left").withColumn("firsts", F.coalesce("firsts", none))
+    return _parted(rows).join(of_nodes, "node")
 
 
 def _parted(rows: DataFrame) -> DataFrame:
@@ -569,7 +600,7 @@ class _Routed:
 
     def __init__(self, frame: DataFrame, words: int, percent: int):
         self.node = id_type(frame, "doc_id")
-        table = materialize(sets_table(frame, shingle_counters(frame, words), words, percent), "sets")
+        table = materialize(sets_table(frame, common_shingles(frame, words), words, percent), "sets")
         linked, rows = table.where("fp is not null and doc_id is not null"), rows_of(table)
         self.groups = materialize(linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("times")).where("times > 1"), "groups")
         self.hot = self.groups.where(F.col("times") * HOT_KEYS >= rows)
@@ -631,7 +662,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_c
         ends = materialize(busy.groupBy("leaf").agg(F.min("component").alias("low"), F.max("component").alias("high")), "hot-ends")
         mixed = mixed.unionByName(busy.join(broadcast_if_fits(ends.where("low <> high").select("leaf"), ends), "leaf", "left_semi"))
     mixed = materialize(mixed, "mixed")
-    rows = _parted(_with_firsts(mixed, points)).join(points.select("node", "n", "counts", "fine"), "node")
+    rows = _in_full(mixed, points)
     again = _tree_join(rows, node, percent, labelled=True).select("x", "y").distinct()
     more = materialize(_bounded(again.join(pairs, ["x", "y"], "left_anti"), points, node, percent), "pairs-2")
     links2 = _verified(frame, more, node, words, percent)
@@ -657,7 +688,7 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: s
     """
     frame = keyed_text(docs, id_col, text_col)
     r = _Routed(frame, words, percent)
-    rows = _parted(_with_firsts(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component")), r.points)).join(r.points.select("node", "n", "counts", "fine"), "node")
+    rows = _in_full(r.leaves.select("leaf", "node", "pos", F.col("node").alias("component")), r.points)
     pairs = materialize(_bounded(_tree_join(rows, r.node, percent, labelled=True).select("x", "y").distinct(), r.points, r.node, percent), "pairs")
     out = _verified(frame, pairs, r.node, words, percent)
     members = r.points.select(F.col("node").alias("doc_id"), "node").unionByName(r.copies.select("doc_id", "node")).distinct()

@@ -220,3 +220,32 @@ def test_long_documents_of_few_words(spark):
                 text[r.randrange(1500)] = r.choice(words)
             rows.append((10 * k + j + 1, " ".join(text)))
     assert got(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain(rows)
+
+
+def test_the_order_is_by_exact_counts_of_a_sample_and_bounded(spark):
+    texts = [f"x{k} y{k} z{k} u{k} v{k} " + "a b c d e f g h " * (k % 3 > 0) + "p q r s t " * (k % 2) for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    hashes, ranks = nj.common_shingles(docs, one_in=1)
+    count = {}
+    for h in nj.Shingler().batch(texts):
+        for x in h.tolist():
+            count[x] = count.get(x, 0) + 1
+    assert hashes.tolist() == sorted(h for h, n in count.items() if n > 1)
+    assert sorted(ranks.tolist()) == list(range(len(hashes)))
+    by_rank = [count[h] for _, h in sorted(zip(ranks.tolist(), hashes.tolist()))]
+    assert by_rank == sorted(by_rank)
+    few, _ = nj.common_shingles(docs, one_in=1, most=5)
+    assert 0 < len(few) <= 5 and min(count[h] for h in few.tolist()) > max(count[h] for h in set(hashes.tolist()) - set(few.tolist()))
+    own = nj.in_order(np.array(sorted(count), np.uint64), (hashes, ranks))
+    rare = [p for p, h in zip(own.tolist(), sorted(count)) if count[h] == 1]
+    assert max(rare) < 1 << 63 and all(p >= 1 << 63 for p, h in zip(own.tolist(), sorted(count)) if count[h] > 1) and len(set(own.tolist())) == len(own)
+    assert [len(x) for x in nj.common_shingles(docs.where("doc_id < 0"))] == [0, 0]
+
+
+def test_no_order_loses_a_link(spark, documents, monkeypatch):
+    want = got(documents)
+    for one_in, most in ((1, 1 << 20), (1000, 3), (2, 50)):
+        made = nj.common_shingles
+        monkeypatch.setattr(nj, "common_shingles", lambda frame, words, a=one_in, b=most: made(frame, words, a, b))
+        assert got(documents) == want
+        monkeypatch.undo()
