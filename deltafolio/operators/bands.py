@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import scan
+
 
 def gap_cluster(df: DataFrame, scope: list[str], value: str, tolerance: float, order: list[str] | None = None) -> DataFrame:
     """cluster: 1, 2, … along the sorted values; a gap over the tolerance opens the next one."""
-    w = Window.partitionBy(*scope).orderBy(value, *(order or []))
-    opens = F.when(F.col(value) - F.lag(value).over(w) > tolerance, 1).otherwise(0)
-    return df.withColumn("_open", opens).withColumn("cluster", (F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("long")).drop("_open")
+    last, = scan.fresh(df.columns, "last")
+    opens = F.when(F.col(value) - F.col(last) > tolerance, 1).otherwise(0)
+    found = scan.scanned(df, scope, [value, *(order or [])], {last: scan.before(F.col(value))}, {"cluster": scan.total(opens)})
+    return found.withColumn("cluster", (F.col("cluster") + 1).cast("long")).drop(last)
 
 
 def leaders(values: Column, tolerance: float) -> Column:
@@ -68,14 +71,11 @@ def nearest(rows: DataFrame, bands: DataFrame, scope: list[str], value: str, ban
 def asof(rows: DataFrame, marks: DataFrame, scope: list[str], at: str, mark_at: str, mark: str, forward: bool = False) -> DataFrame:
     """Adds the mark last at or before each row (forward: first at or after it); one sort of both sides, no range join."""
     keys = [c for c in rows.columns if c not in (*scope, at)]
-    left = rows.select(*scope, F.col(at).alias("_at"), F.struct(*keys).alias("_row"), F.lit(None).cast(marks.schema[mark].dataType).alias("_mark"))
-    right = marks.select(*scope, F.col(mark_at).alias("_at"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.col(mark).alias("_mark"))
-    is_row = F.col("_row").isNotNull()
-    if forward:
-        w = Window.partitionBy(*scope).orderBy("_at", F.when(is_row, 0).otherwise(1)).rowsBetween(0, Window.unboundedFollowing)
-        found = F.first("_mark", ignorenulls=True).over(w)
-    else:
-        w = Window.partitionBy(*scope).orderBy("_at", F.when(is_row, 1).otherwise(0)).rowsBetween(Window.unboundedPreceding, 0)
-        found = F.last("_mark", ignorenulls=True).over(w)
-    both = left.unionByName(right).withColumn("_found", found).where(is_row)
-    return both.select(*scope, F.col("_at").alias(at), *(F.col("_row")[k].alias(k) for k in keys), F.col("_found").alias(mark))
+    place, side, row, found = scan.fresh([*scope, mark], "place", "side", "row", "found")
+    # Of equal places, marks come before rows, or after them if the search goes forward.
+    is_mark, is_row = (1, 0) if forward else (0, 1)
+    left = rows.select(*scope, F.col(at).alias(place), F.lit(is_row).alias(side), F.struct(F.lit(True).alias("_"), *(F.col(k).alias(f"c{j}") for j, k in enumerate(keys))).alias(row), F.lit(None).cast(marks.schema[mark].dataType).alias(found))
+    right = marks.select(*scope, F.col(mark_at).alias(place), F.lit(is_mark).alias(side), F.lit(None).cast(left.schema[row].dataType).alias(row), F.col(mark).alias(found))
+    step = scan.coming if forward else scan.latest
+    both = scan.scanned(left.unionByName(right), scope, [place, side], {found: step(F.col(found))}).where(F.col(row).isNotNull())
+    return both.select(*scope, F.col(place).alias(at), *(F.col(row)[f"c{j}"].alias(k) for j, k in enumerate(keys)), F.col(found).alias(mark))

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scan
 from .bands import asof
 
 
 def section_ord(df: DataFrame, scope: list[str], is_heading: Column, order: str = "ord") -> DataFrame:
-    w = Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("section", F.sum(F.when(is_heading, 1).otherwise(0)).over(w).cast("long"))
+    found = scan.scanned(df, scope, [order], {"section": scan.total(F.when(is_heading, 1).otherwise(0))})
+    return found.withColumn("section", F.col("section").cast("long"))
 
 
 def heading_path(df: DataFrame, scope: list[str], level: str, text: str, depth: int = 3, order: str = "ord") -> DataFrame:
-    """path: the open headings of levels 1..depth; a heading closes those below its level, missing levels are left out."""
-    run = Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df
-    for k in range(1, depth + 1):
-        out = out.withColumn(f"_g{k}", F.sum(F.when(F.col(level) < k, 1).otherwise(0)).over(run))
+    """path: the open headings of levels 1..depth; a heading closes those below its level, missing levels are left out.
+
+    A heading is open if it comes after the last one of a lower level: two running values for each level, one window for all.
+    """
+    own, cut = ([f"{name}{k}" for k in range(1, depth + 1)] for name in ("own", "cut"))
+    own, cut = scan.fresh(df.columns, *own), scan.fresh(df.columns, *cut)
+    columns = {}
     for k in range(1, depth + 1):
-        w = Window.partitionBy(*scope, f"_g{k}").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn(f"_p{k}", F.last(F.when(F.col(level) == k, F.col(text)), ignorenulls=True).over(w))
-    return out.withColumn("path", F.concat_ws(" > ", *(f"_p{k}" for k in range(1, depth + 1)))).drop(*(f"_{x}{k}" for x in "gp" for k in range(1, depth + 1)))
+        columns[own[k - 1]] = scan.latest(F.when((F.col(level) == k) & F.col(text).isNotNull(), F.struct(F.col(order).alias("at"), F.col(text).alias("text"))))
+        columns[cut[k - 1]] = scan.latest(F.when(F.col(level) < k, F.col(order)))
+    found = scan.scanned(df, scope, [order], columns)
+    opened = [F.when(F.col(c).isNull() | (F.col(o)["at"] > F.col(c)), F.col(o)["text"]) for o, c in zip(own, cut)]
+    return found.withColumn("path", F.concat_ws(" > ", *opened)).drop(*columns)
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,7 +50,7 @@ def signature(df: DataFrame, scope: list[str], name: str, rank: str, boring: lis
 
 def carried(df: DataFrame, scope: list[str], value: Column, name: str, order: str = "ord") -> DataFrame:
     """The last value seen so far, as for captions and titles."""
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(Window.partitionBy(*scope).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    return scan.scanned(df, scope, [order], {name: scan.latest(value)})
 
 
 # Names of what no range of the contents covers.
@@ -87,11 +92,11 @@ def tables_of(blocks: DataFrame, scope: list[str], order: str = "ord") -> DataFr
 
     Equal titles in a row are one table; tables without rows go.
     """
-    w = Window.partitionBy(*scope).orderBy(order)
-    before = F.when(F.lag("type").over(w) == "paragraph", F.lag("text").over(w))
-    own = F.when(F.col("type") == "table_header", F.coalesce(before, F.array_join("cells", " ")))
-    rows = carried(blocks.withColumn("_own", own), scope, F.col("_own"), "title", order)
-    return rows.where("type = 'table_row' and title is not null").drop("_own")
+    was, = scan.fresh(blocks.columns, "was")
+    caption = F.when(F.col(was)["type"] == "paragraph", F.col(was)["text"])
+    title = F.when(F.col("type") == "table_header", F.coalesce(caption, F.array_join("cells", " ")))
+    rows = scan.scanned(blocks, scope, [order], {was: scan.before(F.struct("type", "text"))}, {"title": scan.latest(title)})
+    return rows.where("type = 'table_row' and title is not null").drop(was)
 
 
 def paired_signatures(sections_a: DataFrame, sections_b: DataFrame, scope: list[str], title: str = "title", signature: str = "signature", order: str = "ord") -> DataFrame:
