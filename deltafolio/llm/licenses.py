@@ -1,8 +1,9 @@
 """Licence scan by sentences and rules; column functions only.
 
 Texts are cut into sentences, whatever their line breaks; a normalised sentence is looked up in a map from known licence
-sentences to identifiers, and names of licences after words of granting ("licensed under the ...") or in an SPDX line are looked
-up in a map of names. Everything else is a gap. Ordered rules over the sequence of identifiers name the licences: at each place
+sentences to identifiers, and names of licences after words of granting ("licensed under the ...", one or several joined by "or" and "and") or in
+an SPDX line, exceptions included, are looked up in a map of names. A grant that is denied ("not licensed under") names nothing, and short names
+that are words of their own (MIT, ISC) count only where the grant ends with them or calls them a licence. Everything else is a gap. Ordered rules over the sequence of identifiers name the licences: at each place
 the first rule that fits wins, so a whole notice comes before its opening sentence, and what it takes is gone.
 
 Sentences end at a full stop, a colon, an exclamation or question mark that white space or the end follows, and at lines
@@ -48,6 +49,19 @@ NOTICES: dict[str, str] = {
     "FSF_HOPE": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
     "FSF_SEE": "See the GNU General Public License for more details\nSee the GNU Lesser General Public License for more details\nSee the GNU Affero General Public License for more details",
     "FSF_COPY": "You should have received a copy of the GNU General Public License along with this program\nYou should have received a copy of the GNU Lesser General Public License along with this program\nYou should have received a copy of the GNU Affero General Public License along with this program",
+    "APACHE_TEXT": "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document\n\"Licensor\" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License\nSubject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form\nYou must give any other recipients of the Work or Derivative Works a copy of this License\nThis License does not grant permission to use the trade names, trademarks, service marks, or product names of the Licensor, except as required for reasonable and customary use in describing the origin of the Work and reproducing the content of the NOTICE file",
+    "GPL2_TEXT": "The licenses for most software are designed to take away your freedom to share and change it\nBy contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users\nThis License applies to any program or other work which contains a notice placed by the copyright holder saying it may be distributed under the terms of this General Public License",
+    "GPL3_TEXT": "The GNU General Public License is a free, copyleft license for software and other kinds of works\nThe licenses for most software and other practical works are designed to take away your freedom to share and change the works\nBy contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free software for all its users\n\"This License\" refers to version 3 of the GNU General Public License",
+    "AGPL3_TEXT": "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software\n\"This License\" refers to version 3 of the GNU Affero General Public License",
+    "LGPL3_TEXT": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below",
+    "ZLIB_PERMISSION": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "ZLIB_AS_IS": "This software is provided 'as-is', without any express or implied warranty",
+    "ZLIB_NO_EVENT": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "BOOST_PERMISSION": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    "WTFPL_TEXT": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed",
+    "EPL_TEXT": "The accompanying program is provided under the terms of this Eclipse Public License (\"Agreement\")",
+    "MPL_TEXT": "\"License\" means this document\nEach Contributor hereby grants You a world-wide, royalty-free, non-exclusive license",
+    "CC0_TEXT": "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\")",
     "UNLICENSE": "This is free and unencumbered software released into the public domain",
     "RESERVED": "All rights reserved",
 }
@@ -63,6 +77,16 @@ NAMES: dict[str, list[str]] = {
     "BSD": ["bsd license", "bsd style license"],
     "MPL-2.0": ["mozilla public license version 2.0", "mozilla public license 2.0", "mozilla public license v2.0", "mpl 2.0", "mpl v2.0"],
     "Unlicense": ["unlicense"],
+    "EPL-1.0": ["eclipse public license version 1.0", "eclipse public license 1.0", "eclipse public license v1.0", "eclipse public license v 1.0", "epl 1.0"],
+    "EPL-2.0": ["eclipse public license version 2.0", "eclipse public license 2.0", "eclipse public license v2.0", "eclipse public license v 2.0", "epl 2.0"],
+    "BSL-1.0": ["boost software license version 1.0", "boost software license 1.0", "boost software license", "bsl 1.0"],
+    "Zlib": ["zlib license", "zlib libpng license", "zlib"],
+    "WTFPL": ["wtfpl", "do what the fuck you want to public license"],
+    "0BSD": ["0bsd", "bsd zero clause license", "zero clause bsd license"],
+    "MIT-0": ["mit no attribution license", "mit 0"],
+    "Artistic-2.0": ["artistic license 2.0", "artistic 2.0"],
+    "CDDL-1.0": ["common development and distribution license version 1.0", "common development and distribution license 1.0", "cddl 1.0"],
+    "EUPL-1.2": ["european union public license 1.2", "european union public license version 1.2", "eupl 1.2", "eupl v1.2"],
     "CC0-1.0": ["cc0 1.0 universal", "cc0 1.0", "cc0"],
 }
 
@@ -85,6 +109,11 @@ for _flavour, _v in product(_FLAVOURS, ("1.0", "2.0", "2.5", "3.0", "4.0")):
     NAMES[f"CC-{_flavour}-{_v}"] = [f"{head} {' '.join(_CC[w][k] for w in _words)} {_v}" for head, k in (("cc", 0), ("creative commons", 0), ("creative commons", 1))]
 NAMES = {ident: [n for name in names for n in dict.fromkeys((name, name.replace("license", "licence")))] for ident, names in NAMES.items()}
 
+# Exceptions that SPDX lines add to a licence.
+EXCEPTIONS = ("Classpath-exception-2.0", "GCC-exception-2.0", "GCC-exception-3.1", "LLVM-exception", "Linux-syscall-note", "Autoconf-exception-3.0", "Bison-exception-2.2", "Font-exception-2.0", "OpenSSL-exception", "Qt-GPL-exception-1.0")
+#: Names that are words of their own.
+AMBIGUOUS = ("mit", "isc", "zlib")
+
 #: Raw text, before it is cut: an SPDX line is a sentence of its own, and the point of "v. 2.0" ends none.
 SEPARATOR = "\x01"
 RAW = ((r"spdx-license-identifier:[ \t]*([^\n\r]*)", SEPARATOR + "spdx license identifier $1" + SEPARATOR), (r"\bv\.[^a-z0-9]*(?=[0-9])", "v"))
@@ -139,15 +168,25 @@ def _any(words) -> str:
 
 #: Words that begin known sentences: their first three words.
 OPENING = f"(?:^| )((?:{_any({' '.join(k.split()[:3]) for k in KNOWN})})(?: .*)?)$"
-GRANT = (
-    r"(?:licen[cs]ed|licen[cs]es this (?:file|work|software) to you|released|distributed|available|published|provided|covered|subject) (?:under|by|to) "
-    rf"(?:(?:the )?terms (?:and conditions )?of )?(?:an? |the )?({_any(NAME_IDS)})(?: (?:international|unported|license|licence))?((?: only| or (?:at your option )?(?:any )?later(?: version)?)?)(?: |$)"
-)
-#: A sentence that is nothing but a licence's name.
-TITLE = rf"^(?:the )?({_any(n for n in NAME_IDS if 'licen' in n)})(?: mit)?$"
-SPDX = rf"(?<= )({_any(SPDX_IDS)})(?= |$)"
+_VERB = r"(?:licen[cs]ed|licen[cs]es this (?:file|work|software) to you|released|distributed|available|published|provided|covered|subject)"
+_CALLED = r"(?: (?:international|unported|license|licence))?"
+LATER = r"(?: only| or (?:at your option )?(?:any )?later(?: version)?)?"
+_PLAIN, _SHORT = (_any(n for n in NAME_IDS if (n in AMBIGUOUS) is short) for short in (False, True))
+#: A short name is one if "licence", another name, a choice or the end comes next.
+_NAME = rf"(?:an? |the )?(?:(?:{_PLAIN}){_CALLED}{LATER}|(?:{_SHORT})(?= licen[cs]e| or | and | at your option|$){_CALLED})"
+_TERMS = r"(?:(?:the )?terms (?:and conditions )?of )?(?:either (?:of )?|both )?"
+_LIST = rf"{_NAME}(?: (?:or|and) (?:under )?{_TERMS}{_NAME})*(?= |$)"
+#: The names of a grant; what is provided by someone, or subject to something, must be called a licence.
+GRANT = rf"{_VERB} (?:under {_TERMS}({_LIST})|(?:by|to) {_TERMS}((?:an? |the )?(?:{_any(n for n in NAME_IDS if n not in AMBIGUOUS)}){_CALLED}{LATER}(?: (?:or|and) {_NAME})*|(?:an? |the )?(?:{_SHORT}) licen[cs]e)(?= |$))"
+#: A grant that is denied.
+DENIED = rf"(?:^| )(?:not|never|no longer|cannot|nor)(?: [a-z]+)? {_VERB} "
+GRANTED = rf"({_any(NAME_IDS)})(?: (?:international|unported|license|licence))?({LATER})(?= |$)"
+_MONTH = "(?:january|february|march|april|may|june|july|august|september|october|november|december)"
+#: A sentence that is nothing but a licence's name, with its date and address.
+TITLE = rf"^(?:the )?({_any(n for n in NAME_IDS if 'licen' in n)})(?: mit)?(?: [0-9]{{0,2}} ?{_MONTH} [0-9]{{4}})?(?: http [^ ]*(?: .*)?)?$"
+SPDX = rf"(?<= )(?:{_any(SPDX_IDS)})(?: with (?:{_any(normal(x.replace('-', ' ')) for x in EXCEPTIONS)}))?(?= |$)"
 #: Every known sentence, grant, title and SPDX line holds one of these words (the tests check them all).
-HINT = r"(?i)licen[cs]e|permi|redistribut|warrant|reserved|liable|released|distributed|available|published|provided|covered|subject|mpl"
+HINT = r"(?i)licen[cs]e|permi|redistribut|warrant|reserved|liable|released|distributed|available|published|provided|covered|subject|mpl|jurisdiction"
 GAP = "-"
 
 # Ordered rules, licence and the sequence of sentences that names it; between two sentences gaps may stand.
@@ -159,11 +198,22 @@ RULES: tuple[tuple[str, str], ...] = (
     ("BSD", "BSD_USE"),
     ("ISC", "ISC_PERMISSION(( -)* ISC_(AS_IS|NO_EVENT))*"),
     ("MPL-2.0", "MPL-2\\.0(( -)* MPL_COPY)?"),
+    ("Apache-2.0", "APACHE_TEXT(( -)* APACHE_TEXT)*"),
+    ("AGPL-3.0", "AGPL3_TEXT(( -)* A?GPL3_TEXT)*"),
+    ("LGPL-3.0", "LGPL3_TEXT"),
+    ("GPL-3.0", "GPL3_TEXT(( -)* GPL3_TEXT)*"),
+    ("GPL-2.0", "GPL2_TEXT(( -)* GPL2_TEXT)*"),
+    ("Zlib", "(ZLIB_AS_IS( -)* )?(ZLIB_NO_EVENT( -)* )?ZLIB_PERMISSION"),
+    ("BSL-1.0", "BOOST_PERMISSION(( -)* MIT_AS_IS)?"),
+    ("WTFPL", "WTFPL_TEXT"),
+    ("EPL", "EPL_TEXT"),
+    ("MPL-2.0", "MPL_TEXT( -)* MPL_TEXT"),
+    ("CC0-1.0", "CC0_TEXT"),
     ("Unlicense", "UNLICENSE"),
     ("All-rights-reserved", "RESERVED"),
 )
 #: After these: a GNU licence with what its notices say, and any other name, each the licence of its own identifier.
-NAMED = r"A?L?GPL(?:-[0-9.]+)?(?:-or-later)?(( -)* FSF_(HOPE|SEE|COPY))*|" + _any(i for i in NAMES if "GPL" not in i)
+NAMED = rf"A?L?GPL(?:-[0-9.]+)?(?:-or-later)?(?:-WITH-(?:{_any(EXCEPTIONS)}))?(( -)* FSF_(HOPE|SEE|COPY))*|(?:" + _any(i for i in NAMES if "GPL" not in i) + rf")(?:-WITH-(?:{_any(EXCEPTIONS)}))?"
 
 
 def _map(entries: dict[str, str]) -> Column:
@@ -188,12 +238,17 @@ def sentences(text: Column) -> Column:
 def identifiers(sentence: Column) -> Column:
     """Identifiers of a normalised sentence, joined by blanks; a dash if it has none."""
     keys, names = _map(KNOWN), _map(NAME_IDS)
-    opened, granted = F.regexp_extract(sentence, OPENING, 1), F.regexp_extract(sentence, GRANT, 1)
-    later = F.when(F.contains(F.regexp_extract(sentence, GRANT, 2), F.lit("later")), "-or-later").otherwise("")
+    opened = F.regexp_extract(sentence, OPENING, 1)
     known = F.when(opened.isin(*KNOWN), F.element_at(keys, opened))
-    named = F.when(granted != "", F.concat(F.element_at(names, granted), later))
+    granted = F.concat(F.regexp_extract(sentence, GRANT, 1), F.regexp_extract(sentence, GRANT, 2))
+    later = lambda x: F.when(F.contains(F.regexp_extract(x, GRANTED, 2), F.lit("later")), "-or-later").otherwise("")
+    each = F.transform(F.regexp_extract_all(granted, F.lit(GRANTED), F.lit(0)), lambda x: F.concat(F.element_at(names, F.regexp_extract(x, GRANTED, 1)), later(x)))
+    named = F.when((granted != "") & ~sentence.rlike(DENIED), F.array_join(each, " "))
     title = F.when(sentence.rlike(TITLE), F.element_at(names, F.regexp_extract(sentence, TITLE, 1)))
-    spdx = F.array_join(F.transform(F.regexp_extract_all(sentence, F.lit(SPDX), F.lit(1)), lambda x: F.element_at(_map(SPDX_IDS), x)), " ")
+    added = _map({normal(x.replace("-", " ")): x for x in EXCEPTIONS})
+    licence = lambda x: F.element_at(_map(SPDX_IDS), F.element_at(F.split(x, " with "), 1))
+    exception = lambda x: F.when(F.contains(x, F.lit(" with ")), F.concat(F.lit("-WITH-"), F.element_at(added, F.element_at(F.split(x, " with "), -1)))).otherwise("")
+    spdx = F.array_join(F.transform(F.regexp_extract_all(sentence, F.lit(SPDX), F.lit(0)), lambda x: F.concat(licence(x), exception(x))), " ")
     found = F.when(sentence.startswith("spdx license identifier "), spdx).otherwise(F.concat_ws(" ", named, known, title))
     return F.when(found == "", GAP).otherwise(found)
 

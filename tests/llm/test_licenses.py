@@ -67,6 +67,24 @@ SHORT = {
     "The licence of poets is permitted.": "",
     "We speak of the MIT License in passing. All rights reserved.": "All-rights-reserved",
     "licensed under the apache licence": "Apache",
+    "This is not licensed under the MIT license.": "",
+    "It was never released under the GPL 3.0.": "",
+    "A talk subject to MIT students' wishes.": "",
+    "The data were provided by MIT in 1999.": "",
+    "Provided under MIT.": "MIT",
+    "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "Apache-2.0,MIT",
+    "Dual licensed under the MIT and GPL v2 licenses.": "MIT,GPL-2.0",
+    "Licensed under the Mozilla Public License 2.0 or the GNU GPL version 2 or later.": "MPL-2.0,GPL-2.0-or-later",
+    "SPDX-License-Identifier: EPL-2.0": "EPL-2.0",
+    "// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0-WITH-Classpath-exception-2.0",
+    "SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception": "Apache-2.0-WITH-LLVM-exception",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0": "EPL-2.0",
+    "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n\n Copyright (C) 1989\n\n  Preamble\n\n  The licenses for most software are designed to take away your\nfreedom to share and change it.  By contrast, the GNU General Public\nLicense is intended to guarantee your freedom to share and change free\nsoftware--to make sure the software is free for all its users.": "GPL-2.0",
+    "Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/\n\nTERMS": "Apache-2.0",
+    "2. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.": "Apache-2.0",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:": "Zlib",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:": "BSL-1.0",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
 }
 
 
@@ -85,10 +103,13 @@ def plain(text):
             continue
         own = []
         if s.startswith("spdx license identifier "):
-            own = [licenses.SPDX_IDS[x] for x in re.findall(licenses.SPDX, s)]
+            for m in re.finditer(licenses.SPDX, s):
+                name, _, more = m[0].partition(" with ")
+                own.append(licenses.SPDX_IDS[name] + (f"-WITH-{next(x for x in licenses.EXCEPTIONS if licenses.normal(x.replace('-', ' ')) == more)}" if more else ""))
         else:
-            if m := re.search(licenses.GRANT, s):
-                own.append(licenses.NAME_IDS[m[1]] + ("-or-later" if "later" in m[2] else ""))
+            m = re.search(licenses.GRANT, s)
+            if m and not re.search(licenses.DENIED, s):
+                own += [licenses.NAME_IDS[x[1]] + ("-or-later" if "later" in x[2] else "") for x in re.finditer(licenses.GRANTED, (m[1] or "") + (m[2] or ""))]
             if m := re.search(licenses.OPENING, s):
                 own += [licenses.KNOWN[m[1]]] if m[1] in licenses.KNOWN else []
             if m := re.search(licenses.TITLE, s):
