@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.similarity import disappeared
+from ..functions.text import unicode_key
+from ..storage import materialize, reads
+from .scan import fresh
 
 # Categories of a change.
 CATEGORIES = ("business_rule_change", "editorial_change", "extraction_noise")
@@ -129,8 +132,41 @@ def safety_net(df: DataFrame, disappeared: Column) -> DataFrame:
 
 
 def relocated(chunks: Column, paragraphs: Column) -> Column:
-    """Disappeared chunks that are found in some new paragraph."""
-    return F.filter(chunks, lambda c: F.exists(paragraphs, lambda p: F.contains(p, c)))
+    """Disappeared chunks that are found in some new paragraph, whatever the blanks and the case of either."""
+    return F.filter(chunks, lambda c: F.exists(paragraphs, lambda p: F.contains(unicode_key(p), unicode_key(c))))
+
+
+def relocations(events: DataFrame, paragraphs: DataFrame, scope: list[str], chunks: str = "disappeared_content", text: str = "text") -> DataFrame:
+    """events with relocated_content: the chunks (an array of texts) that stand in a paragraph (scope, text) of their scope, in order; the others stay.
+
+    A containment join on normalised texts. A chunk's words between its first and its last one are words of any paragraph that holds it, so
+    it waits at the one that fewest paragraphs of the scope have, and only those are searched; chunks without such a word, of one
+    or two words, are searched for in all. No event carries a paragraph. Null scopes hold nothing; null or empty chunks are dropped.
+    """
+    at, = fresh(events.columns, "event_no")
+    rows = materialize(events.withColumn(at, F.monotonically_increasing_id()), "events")
+    said = rows.select(*scope, at, F.posexplode(chunks).alias("place", "chunk")).withColumn("said", unicode_key(F.col("chunk"))).where("said <> ''")
+    inner = F.array_distinct(F.slice(F.split("said", " "), 2, F.greatest(F.size(F.split("said", " ")) - 2, F.lit(0))))
+    said = materialize(said.withColumn("inner", inner), "chunks")
+    wanted = said.select(*scope).distinct()
+    held = paragraphs.select(*scope, unicode_key(F.col(text)).alias("held")).join(wanted, scope, "left_semi").where("held <> ''").distinct()
+    held = materialize(held.withColumn("paragraph", F.monotonically_increasing_id()), "paragraphs")
+    sought = said.select(*scope, F.explode("inner").alias("word")).distinct()
+    words = materialize(held.select(*scope, "paragraph", F.explode(F.array_distinct(F.split("held", " "))).alias("word")).join(sought, [*scope, "word"], "left_semi"), "paragraph-words")
+    often = words.groupBy(*scope, "word").agg(F.count(F.lit(1)).alias("times"))
+    # A word that no paragraph has is missing here: its chunk stands nowhere.
+    own = said.select(*scope, at, "place", "said", F.size("inner").alias("n"), F.explode("inner").alias("word")).join(often, [*scope, "word"])
+    anchor = own.groupBy(*scope, at, "place", "said", "n").agg(F.min(F.struct("times", "word"))["word"].alias("word"), F.count(F.lit(1)).alias("found")).where("found = n")
+    near = anchor.join(words, [*scope, "word"]).select(at, "place", "said", "paragraph")
+    long = near.join(held.select("paragraph", "held"), "paragraph").where(F.contains("held", F.col("said"))).select(at, "place")
+    short = said.where(F.size("inner") == 0).select(*scope, at, "place", "said").join(held, scope).where(F.contains("held", F.col("said"))).select(at, "place")
+    hits = long.unionByName(short).distinct().groupBy(at).agg(F.collect_set("place").alias("_places"))
+    out = rows.join(hits, at, "left")
+    is_in = lambda k: F.coalesce(F.array_contains("_places", k), F.lit(False))
+    kept = lambda moved: F.filter(F.transform(chunks, lambda c, k: F.when(is_in(k) if moved else ~is_in(k), c)), lambda c: c.isNotNull() & (unicode_key(c) != ""))
+    none = F.array().cast("array<string>")
+    moved, left = F.coalesce(kept(True), none), F.coalesce(kept(False), none)
+    return reads(out.withColumns({"relocated_content": moved, chunks: left}).drop(at, "_places"), rows, said, held, words)
 
 
 def keyword_overlap(line: Column, other: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import broadcast_if_fits, materialize, reads
+from ..storage import broadcast_if_fits, fits, materialize, reads
 
 
 def edition_pairs(editions: DataFrame) -> DataFrame:
@@ -15,14 +15,33 @@ def edition_pairs(editions: DataFrame) -> DataFrame:
     return rows.select("manual", F.col("edition").alias("edition_a"), "edition_b", F.concat("edition", F.lit("_to_"), "edition_b").alias("pair"))
 
 
+#: Documents that are looked at to tell rare title words from common ones: one in so many, by a hash of their ids. Any choice is lossless.
+LOOKED_AT = 16
+
+
 def detect_titles(docs: DataFrame, titles: DataFrame) -> DataFrame:
     """(doc_id, slug) where exactly one title's tokens are all in the document. Titles: slug, tokens (distinct); titles without
-    tokens are in no document. An inner join on words, no all-pairs test; the titles' words are broadcast if they fit."""
-    need = materialize(titles.select("slug", F.size("tokens").alias("need"), F.explode("tokens").alias("word")), "titles")
-    words = need.select("word").distinct()
-    have = docs.select("doc_id", F.explode("tokens").alias("word")).join(broadcast_if_fits(words, need), "word", "left_semi")
-    hits = have.join(broadcast_if_fits(need), "word").groupBy("doc_id", "slug", "need").agg(F.count("*").alias("n")).where("n = need")
-    return reads(hits.groupBy("doc_id").agg(F.min("slug").alias("slug"), F.count("*").alias("c")).where("c = 1").drop("c"), need)
+    tokens are in no document.
+
+    Each title waits at its rarest word only: a document meets the titles whose rarest word it has, and the whole title is verified
+    there. Words that many titles or documents share lead to no rows. The titles are broadcast if they fit.
+    """
+    words = materialize(titles.select("slug", F.explode("tokens").alias("word")), "title-words")
+    few = words.select("word").distinct()
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOOKED_AT)) == 0).select(F.explode("tokens").alias("word")).join(broadcast_if_fits(few, words), "word", "left_semi")
+    seen = some.groupBy("word").agg(F.count(F.lit(1)).alias("docs")).join(words.groupBy("word").agg(F.count(F.lit(1)).alias("titles")), "word", "right")
+    rank = F.struct(F.coalesce("docs", F.lit(0)).alias("d"), "titles", "word")
+    rarest = words.join(seen, "word").groupBy("slug").agg(F.min(rank)["word"].alias("word"))
+    # The title travels as one text, so that its size is known.
+    mark = "\x00"
+    need = materialize(rarest.join(titles.select("slug", F.array_join("tokens", mark).alias("title")), "slug"), "titles")
+    held = lambda tokens: F.size(F.array_except(F.split("title", mark), tokens)) == 0
+    if fits(need):
+        hits = docs.select("doc_id", "tokens", F.explode("tokens").alias("word")).join(F.broadcast(need), "word").where(held(F.col("tokens"))).select("doc_id", "slug")
+    else:
+        pairs = docs.select("doc_id", F.explode("tokens").alias("word")).join(need.select("word", "slug"), "word").select("doc_id", "slug")
+        hits = pairs.join(need.select("slug", "title"), "slug").join(docs.select("doc_id", "tokens"), "doc_id").where(held(F.col("tokens"))).select("doc_id", "slug")
+    return reads(hits.groupBy("doc_id").agg(F.min("slug").alias("slug"), F.count("*").alias("c")).where("c = 1").drop("c"), words, need)
 
 
 def validate_batch(inbox: DataFrame, corpus: DataFrame | None = None) -> DataFrame:

@@ -8,7 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import character_bound, length_bound, ratio_of
+from ..functions.similarity import character_bound, ratio_of
+from ..storage import materialize, reads, release, rows_of
+from .candidates import Bags, candidates
+from .scan import fresh, matches
 
 
 def status(a: Column, b: Column) -> Column:
@@ -38,20 +41,71 @@ def _edge_order(mode: str) -> list[Column]:
     return {"serial": [F.asc("a_ord"), by_ratio, F.asc("b_ord")], "global": [by_ratio, F.asc("a_ord"), F.asc("b_ord")]}[mode]
 
 
-def greedy_assign(edges: DataFrame, scope: list[str], mode: str = "serial") -> DataFrame:
-    """One-to-one choice among scored edges (scope, a_ord, b_ord, ratio): in the mode's order, an edge is taken if both its ends are free.
+#: Edges of a scope that one task streams through; larger scopes are matched in rounds until they have no more than that.
+TAIL = 1 << 22
 
-    Edges are sorted by Spark and stream through; only the ends taken in the scope at hand are held.
+
+def greedy_assign(edges: DataFrame, scope: list[str], mode: str = "serial", tail: int = TAIL) -> DataFrame:
+    """One-to-one choice among scored edges (scope, a_ord, b_ord, ratio, …): in the mode's order, an edge is taken if both its ends are free.
+
+    Scopes of up to ``tail`` edges stream through a task in that order. In larger ones, an edge that comes first at both its ends is taken
+    whatever else is: rounds take all of these at once and drop the edges at taken ends, by partial minima and joins on the ends, until a
+    scope is small enough. There are as many rounds as the longest chain of edges each of which waits for the one before.
     """
+    n, = fresh(edges.columns, "edges_of_scope")
+    table = materialize(edges, "edges")
+    large = materialize(table.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > tail), "large-scopes")
+    if not rows_of(large):
+        release(large)
+        return reads(_streamed(table, scope, mode), table)
+    few = large.select(*scope)
+    small = table.join(few, matches(table, few, scope), "left_anti")
+    left, taken, rest = table.join(few, matches(table, few, scope), "left_semi"), [], []
+    while True:
+        left = materialize(left, "edges-left")
+        if not rows_of(left):
+            break
+        chosen = materialize(_first_of_both(left, scope, mode), "edges-taken")
+        taken.append(chosen)
+        for end in ("a_ord", "b_ord"):
+            ends = chosen.select(*scope, end)
+            left = left.join(ends, matches(left, ends, [*scope, end]), "left_anti")
+        sizes = materialize(left.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)), "edges-by-scope")
+        done, more = sizes.where(F.col(n) <= tail).select(*scope), sizes.where(F.col(n) > tail).select(*scope)
+        rest.append(materialize(left.join(done, matches(left, done, scope), "left_semi"), "edges-rest"))
+        left = left.join(more, matches(left, more, scope), "left_semi")
+    for part in rest:
+        small = small.unionByName(part)
+    out = _streamed(small, scope, mode)
+    for part in taken:
+        out = out.unionByName(part)
+    return reads(out, table, large, *taken, *rest)
+
+
+def _first_of_both(edges: DataFrame, scope: list[str], mode: str) -> DataFrame:
+    """The edges that come first for both ends, as they are."""
+    falling = (-F.col("ratio")).alias("falling")
+    order = {"serial": [F.col("a_ord"), falling, F.col("b_ord")], "global": [falling, F.col("a_ord"), F.col("b_ord")]}[mode]
+    others = [c for c in edges.columns if c not in (*scope, "a_ord", "b_ord", "ratio")]
+    key = F.struct(*order, *others)
+    best = [edges.groupBy(*scope, end).agg(F.min(key).alias("best")).select(*scope, "best") for end in ("a_ord", "b_ord")]
+    both = best[0].join(best[1], matches(best[0], best[1], [*scope, "best"]), "left_semi")
+    own = {c: F.col("best")[c] for c in ("a_ord", "b_ord", *others)} | {"ratio": -F.col("best")["falling"]}
+    return both.select(*(F.col(c) if c in scope else own[c].alias(c) for c in edges.columns))
+
+
+def _streamed(edges: DataFrame, scope: list[str], mode: str) -> DataFrame:
+    """Edges are sorted by Spark and stream through; only the ends taken in the scope at hand are held."""
     spread = edges.repartition(*scope).sortWithinPartitions(*scope, *_edge_order(mode))
     places = [edges.columns.index(c) for c in (*scope, "a_ord", "b_ord")]
+    plain = lambda values: [tuple(v.values()) if isinstance(v, dict) else v for v in values]  # noqa: E731  ends may be structs
 
     def run(batches):
         import pyarrow as pa
 
         at, used_a, used_b = None, set(), set()
         for batch in batches:
-            *keys, a, b = (batch.column(k).to_pylist() for k in places)
+            *keys, a, b = (plain(batch.column(k).to_pylist()) for k in places)
             keep = []
             for key, x, y in zip(zip(*keys), a, b):
                 if key != at:
@@ -74,15 +128,15 @@ def exact_pairs(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def fuzzy_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float, min_length: int = 0) -> DataFrame:
-    """Edges (scope, a_ord, b_ord, ratio) of at least the threshold between texts of one scope (scope, ord, text).
+    """Edges (scope, a_ord, b_ord, ratio) of at least the threshold (above 0) between texts of one scope (scope, ord, text).
 
-    No ratio is above twice the shorter length over both, nor above twice the characters both texts have over both lengths: what
-    passes these bounds is compared, each pair once.
+    Only the pairs that the index of candidates.candidates gives are compared, each once, after bounds by the characters and the grams both texts have.
     """
-    left, right = a.select(*scope, F.col("ord").alias("a_ord"), F.col("text").alias("a_text")), b.select(*scope, F.col("ord").alias("b_ord"), F.col("text").alias("b_text"))
-    long = lambda c: F.length(c) >= min_length
-    near = left.where(long("a_text")).join(right.where(long("b_text")), scope).where(length_bound(F.col("a_text"), F.col("b_text")) >= threshold)
-    pairs = near.select(*scope, "a_ord", "b_ord", "a_text", "b_text")
+    long = lambda df: df.select(*scope, "ord", "text").where(F.length("text") >= min_length)
+    a, b = long(a), long(b)
+    side = lambda df, p: df.select(*scope, F.col("ord").alias(f"{p}_ord"), F.col("text").alias(f"{p}_text"))
+    pairs = candidates(a, b, scope, threshold).join(side(a, "a"), [*scope, "a_ord"]).join(side(b, "b"), [*scope, "b_ord"])
+    pairs = pairs.select(*scope, "a_ord", "b_ord", "a_text", "b_text")
     schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (*scope, "a_ord", "b_ord")) + ", ratio double"
 
     def run(batches):
@@ -90,7 +144,8 @@ def fuzzy_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float,
 
         for batch in batches:
             old, new = batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist()
-            ratios = [ratio_of(old[k], new[k]) if ok else 0.0 for k, ok in enumerate(character_bound(old, new) >= threshold)]
+            bags = Bags(threshold)
+            ratios = [ratio_of(old[k], new[k]) if ok and bags(old[k], new[k]) else 0.0 for k, ok in enumerate(character_bound(old, new) >= threshold)]
             out = batch.select([*scope, "a_ord", "b_ord"]).append_column("ratio", pa.array(ratios, pa.float64()))
             yield out.filter(pa.array([r >= threshold for r in ratios], pa.bool_()))
 
@@ -243,11 +298,60 @@ def shifted(groups: DataFrame, keys: list[str]) -> DataFrame:
     return groups.select(*keys, "removed", "added").mapInPandas(run, schema)
 
 
-def section_moves(removed: DataFrame, added: DataFrame, scope: list[str], coverage: float = 0.8, size_ratio: float = 0.5) -> DataFrame:
-    """Removed and added sections (scope, section, line) that share enough distinct lines and are each other's only candidate."""
-    count = lambda df, name: df.groupBy(*scope, "section").agg(F.count("*").alias("n")).withColumnRenamed("section", name).withColumnRenamed("n", name + "_n")
-    shared = removed.withColumnRenamed("section", "a").join(added.withColumnRenamed("section", "b"), [*scope, "line"]).groupBy(*scope, "a", "b").agg(F.count("*").alias("shared"))
-    both = shared.join(count(removed, "a"), [*scope, "a"]).join(count(added, "b"), [*scope, "b"])
-    good = both.where((F.least("a_n", "b_n") >= size_ratio * F.greatest("a_n", "b_n")) & (F.col("shared") >= coverage * F.col("a_n")))
-    alone = lambda c: F.count("*").over(Window.partitionBy(*scope, c))
-    return good.withColumns({"_a": alone("a"), "_b": alone("b")}).where("_a = 1 and _b = 1").drop("_a", "_b")
+def _overlaps(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
+    """scope, a, b, exact: paragraphs that two sections share, each as often as in the section with fewer of it.
+
+    An inverted index of (section, paragraph) counts: a paragraph that is k times in a section is one row there.
+    """
+    own = lambda df, p: df.groupBy(*scope, "section", "text").agg(F.count(F.lit(1)).alias(f"{p}_times")).withColumnRenamed("section", p)
+    return own(a, "a").join(own(b, "b"), [*scope, "text"]).groupBy(*scope, "a", "b").agg(F.sum(F.least("a_times", "b_times")).alias("exact"))
+
+
+def _sized(pairs: DataFrame, a: DataFrame, b: DataFrame, scope: list[str], size_ratio: float) -> DataFrame:
+    """pairs (scope, a, b, …) with a_n and b_n, the sections' numbers of paragraphs, where these are near enough."""
+    count = lambda df, p: df.groupBy(*scope, F.col("section").alias(p)).agg(F.count(F.lit(1)).alias(f"{p}_n"))
+    both = pairs.join(count(a, "a"), [*scope, "a"]).join(count(b, "b"), [*scope, "b"])
+    return both.where(F.least("a_n", "b_n") >= size_ratio * F.greatest("a_n", "b_n"))
+
+
+def _only_candidates(pairs: DataFrame, scope: list[str]) -> DataFrame:
+    """The pairs of which neither section is in another one: counts by section and joins, no window over a section's pairs."""
+    table = materialize(pairs, "section-pairs")
+    for end in ("a", "b"):
+        alone = table.groupBy(*scope, end).agg(F.count(F.lit(1)).alias("_pairs")).where("_pairs = 1").drop("_pairs")
+        pairs = (table if end == "a" else pairs).join(alone, [*scope, end], "left_semi")
+    return reads(pairs, table)
+
+
+def section_copies(removed: DataFrame, added: DataFrame, scope: list[str], coverage: float = 0.8, size_ratio: float = 0.5) -> DataFrame:
+    """(scope, a, b, exact, a_n, b_n): section_moves by equal paragraphs alone, in any order. Frames: scope, section, text."""
+    near = _sized(_overlaps(removed, added, scope), removed, added, scope, size_ratio)
+    return _only_candidates(near.where(F.col("exact") >= coverage * F.col("a_n")), scope).select(*scope, "a", "b", "exact", "a_n", "b_n")
+
+
+def section_moves(removed: DataFrame, added: DataFrame, scope: list[str], coverage: float = 0.8, size_ratio: float = 0.5, threshold: float = 0.9, min_length: int = 60) -> DataFrame:
+    """(scope, a, b, coverage, a_n, b_n): removed sections whose paragraphs are found again in an added one, each the other's only candidate.
+
+    Frames: scope, section, ord, text (the key of a paragraph: equal texts are equal paragraphs). Coverage is the share of the
+    removed section's paragraphs that align_and_pool finds in the added one: equal, reflowed, or similar. It is computed for the pairs
+    of near size that can have any: an equal paragraph (an inverted index), a similar one (the index of similar texts), or, for whole
+    sections, one joined text in both or a single paragraph similar to the joined text of two (all that a lone replaced stretch can count as).
+    """
+    a, b = (df.select(*scope, "section", "ord", "text") for df in (removed, added))
+    ids = lambda df: df.select(*scope, F.struct("section", "ord").alias("ord"), "text")
+    alike = candidates(ids(a), ids(b), scope, threshold).select(*scope, F.col("a_ord")["section"].alias("a"), F.col("b_ord")["section"].alias("b"))
+    packed = lambda df: df.groupBy(*scope, "section").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("paragraphs"))
+    old, new = (materialize(packed(df), "sections") for df in (a, b))
+    joined = lambda df: df.select(*scope, "section", F.array_join("paragraphs", " ").alias("text"), F.size("paragraphs").alias("n"))
+    whole = joined(old).withColumnRenamed("section", "a").join(joined(new).withColumnRenamed("section", "b").drop("n"), [*scope, "text"]).select(*scope, "a", "b")
+    lone = lambda df, n: joined(df).where(F.col("n") == n).select(*scope, F.col("section").alias("ord"), "text")
+    two = candidates(lone(old, 1), lone(new, 2), scope, threshold).select(*scope, F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
+    some = _overlaps(a, b, scope).select(*scope, "a", "b").unionByName(alike).unionByName(whole).unionByName(two).distinct()
+    near = materialize(_sized(some, a, b, scope, size_ratio), "section-candidates")
+    texts = near.join(old.select(*scope, F.col("section").alias("a"), F.col("paragraphs").alias("old")), [*scope, "a"]).join(new.select(*scope, F.col("section").alias("b"), F.col("paragraphs").alias("new")), [*scope, "b"])
+    found = align_and_pool(texts, [*scope, "a", "b"], threshold, min_length)
+    hits = F.when(F.col("status").isin("exact", "fuzzy"), 1).when(F.col("status") == "reflowed", F.col("a_to") - F.col("a_from")).otherwise(0)
+    shares = found.groupBy(*scope, "a", "b").agg(F.sum(hits).alias("hits"))
+    scored = near.join(shares, [*scope, "a", "b"]).withColumn("coverage", F.col("hits") / F.col("a_n"))
+    out = _only_candidates(scored.where(F.col("coverage") >= coverage), scope)
+    return reads(out.select(*scope, "a", "b", F.round("coverage", 3).alias("coverage"), "a_n", "b_n"), old, new, near)

@@ -37,6 +37,11 @@ def coming(value: Column) -> Scan:
     return Scan("coming", value)
 
 
+def highest(value: Column) -> Scan:
+    """The greatest value up to and with the row."""
+    return Scan("highest", value)
+
+
 def before(value: Column) -> Scan:
     """The value of the row before."""
     return Scan("before", value)
@@ -67,6 +72,7 @@ def _local(scan: Scan, keys: list[str], order: list[str]) -> Column:
     back = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order)).rowsBetween(Window.unboundedPreceding, 0)
     return {
         "total": lambda: F.sum(scan.value).over(upto),
+        "highest": lambda: F.max(scan.value).over(upto),
         "latest": lambda: F.last(scan.value, ignorenulls=True).over(upto),
         "coming": lambda: F.last(scan.value, ignorenulls=True).over(back),
         "before": lambda: F.lag(scan.value).over(w),
@@ -77,6 +83,7 @@ def _summary(scan: Scan, order: list[str]) -> Column:
     at = F.when(scan.value.isNotNull(), F.struct(*order))
     return {
         "total": lambda: F.sum(scan.value),
+        "highest": lambda: F.max(scan.value),
         "latest": lambda: F.max_by(scan.value, at),
         "coming": lambda: F.min_by(scan.value, at),
         "before": lambda: F.max_by(F.struct(scan.value.alias("x")), F.struct(*order)),
@@ -92,6 +99,7 @@ def _in_ranges(rows: DataFrame, scope: list[str], order: list[str], part: str, c
     down = Window.partitionBy(*scope).orderBy(F.desc(part)).rowsBetween(Window.unboundedPreceding, -1)
     kinds = {
         "total": lambda c: F.sum(c).over(up),
+        "highest": lambda c: F.max(c).over(up),
         "latest": lambda c: F.last(c, ignorenulls=True).over(up),
         "coming": lambda c: F.last(c, ignorenulls=True).over(down),
         "before": lambda c: F.lag(c).over(Window.partitionBy(*scope).orderBy(part)),
@@ -104,6 +112,7 @@ def _in_ranges(rows: DataFrame, scope: list[str], order: list[str], part: str, c
     both = local.join(broadcast_if_fits(carry), matches(local, carry, keys), "left").select(*(local[c] for c in local.columns), *(carry[n] for n in names.values()))
     whole = {
         "total": lambda c: F.when(F.col(c).isNotNull() | F.col(names[c]).isNotNull(), F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(names[c]), F.lit(0))),
+        "highest": lambda c: F.greatest(F.col(c), F.col(names[c])),
         "latest": lambda c: F.coalesce(c, names[c]),
         "coming": lambda c: F.coalesce(c, names[c]),
         "before": lambda c: F.when(F.col(first), F.col(names[c])["x"]).otherwise(F.col(c)),

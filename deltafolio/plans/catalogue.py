@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import disappeared, length_bound, ratio
-from ..operators import assembly, bands, classify, containers, diffing, folding, landing, matching, noise, pages, reporting, spans, tables
+from ..operators import assembly, bands, cards, classify, containers, diffing, folding, landing, matching, noise, pages, reporting, spans, tables
 from . import driver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,7 +376,7 @@ SELECT r.l_orderkey, r.x AS name, CASE WHEN names = 1 THEN b.p ELSE r.p END AS o
 def position_shift(spark, d):
     item = F.struct(F.col("l_linenumber").cast("string").alias("position"), F.col("l_partkey").cast("string").alias("name"))
     g = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("removed"))
-    return matching.shifted(g.withColumn("added", F.transform(F.slice("removed", 2, 100), lambda x: F.struct(F.concat(x["position"], F.lit("s")).alias("position"), x["name"].alias("name")))), ["l_orderkey"])
+    return matching.shifted(g.withColumn("added", F.transform(F.slice("removed", 2, F.size("removed")), lambda x: F.struct(F.concat(x["position"], F.lit("s")).alias("position"), x["name"].alias("name")))), ["l_orderkey"])
 
 
 @query("""WITH x AS (SELECT DISTINCT l_orderkey % 50 AS scope, l_orderkey AS k, l_partkey AS line FROM lineitem), r AS (SELECT scope, 'a' || k AS s, line FROM x), a AS (SELECT scope, 'b' || k AS s, line FROM x WHERE NOT (k % 3 = 0 AND line % 5 = 0)),
@@ -386,13 +386,50 @@ SELECT scope, a, b, shared FROM (SELECT *, count(*) OVER (PARTITION BY scope, a)
 def section_move_coverage(spark, d):
     x = read(spark, d, "lineitem", "l_orderkey", "l_partkey").distinct().select((F.col("l_orderkey") % 50).alias("scope"), F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("line"))
     side = lambda df, p: df.select("scope", F.concat(F.lit(p), F.col("k").cast("string")).alias("section"), "line")
-    return matching.section_moves(side(x, "a"), side(x.where("not (k % 3 = 0 and line % 5 = 0)"), "b"), ["scope"]).select("scope", "a", "b", "shared")
+    named = lambda df, p: side(df, p).withColumnRenamed("line", "text")
+    return matching.section_copies(named(x, "a"), named(x.where("not (k % 3 = 0 and line % 5 = 0)"), "b"), ["scope"]).select("scope", "a", "b", F.col("exact").alias("shared"))
+
+
+@query("""WITH x AS (SELECT o_orderkey % 40 AS scope, o_custkey AS k, o_orderpriority || o_orderstatus AS line, o_orderkey FROM orders), r AS (SELECT scope, 'a' || k AS s, line, count(*) AS n FROM x GROUP BY ALL), a AS (SELECT scope, 'b' || k AS s, line, count(*) AS n FROM x WHERE o_orderkey % 6 <> 0 GROUP BY ALL),
+rn AS (SELECT scope, s, sum(n) AS n FROM r GROUP BY ALL), an AS (SELECT scope, s, sum(n) AS n FROM a GROUP BY ALL), j AS (SELECT r.scope, r.s AS a, a.s AS b, sum(least(r.n, a.n)) AS exact FROM r JOIN a ON r.scope = a.scope AND r.line = a.line GROUP BY ALL),
+g AS (SELECT j.scope, a, b, exact, rn.n AS a_n, an.n AS b_n FROM j JOIN rn ON rn.scope = j.scope AND rn.s = a JOIN an ON an.scope = j.scope AND an.s = b WHERE least(rn.n, an.n) >= 0.5 * greatest(rn.n, an.n) AND exact >= 0.8 * rn.n)
+SELECT scope, a, b, CAST(exact AS BIGINT) AS exact, CAST(a_n AS BIGINT) AS a_n, CAST(b_n AS BIGINT) AS b_n FROM (SELECT *, count(*) OVER (PARTITION BY scope, a) AS ca, count(*) OVER (PARTITION BY scope, b) AS cb FROM g) WHERE ca = 1 AND cb = 1""")
+def section_copies(spark, d):
+    """Paragraphs that a section holds several times count as often as both sections have them."""
+    x = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    side = lambda df, p: df.select((F.col("o_orderkey") % 40).alias("scope"), F.concat(F.lit(p), F.col("o_custkey").cast("string")).alias("section"), F.concat("o_orderpriority", "o_orderstatus").alias("text"))
+    return matching.section_copies(side(x, "a"), side(x.where("o_orderkey % 6 <> 0"), "b"), ["scope"]).select("scope", "a", "b", "exact", "a_n", "b_n")
+
+
+def turn_sections(spark, d):
+    """Conversations as sections; the new edition holds them under other names, some turns dropped, some reworded."""
+    new = turn_pairs(spark, d)
+    side = lambda c, p: new.select((F.col("conv_id") % 20).alias("scope"), F.concat(F.lit(p), F.col("conv_id").cast("string")).alias("section"), F.posexplode(c).alias("ord", "text"))
+    return side("old", "a"), side("new", "b")
+
+
+@query()
+def section_moves(spark, d):
+    return matching.section_moves(*turn_sections(spark, d), ["scope"]).select("scope", "a", "b", "coverage", "a_n", "b_n")
+
+
+@query("""WITH t AS (SELECT conv_id, turn, trim(regexp_replace(coalesce(text, ''), '[ \t\n\r]+', ' ', 'g'), ' ') AS text FROM conversations), c AS (SELECT conv_id, turn, array_to_string(list_slice(string_split(text, ' '), 3, 9), ' ') AS chunk FROM t),
+p AS (SELECT DISTINCT conv_id, lower(text) AS held FROM t WHERE (conv_id + turn) % 3 <> 0), h AS (SELECT DISTINCT c.conv_id, c.turn FROM c JOIN p ON p.conv_id = c.conv_id AND contains(held, lower(chunk)) WHERE chunk <> '')
+SELECT conv_id, turn, CASE WHEN h.turn IS NOT NULL THEN translate(chunk, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE '' END AS relocated, CASE WHEN h.turn IS NULL THEN translate(chunk, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE '' END AS gone FROM c LEFT JOIN h USING (conv_id, turn)""")
+def relocations(spark, d):
+    """Seven words of each turn, in capitals, are sought in the turns that the new edition keeps."""
+    t = read(spark, d, "conversations", "conv_id", "turn", "text").withColumn("text", T.clean(F.coalesce("text", F.lit(""))))
+    chunk = F.translate(F.array_join(F.slice(F.split("text", " "), 3, 7), "  "), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    events = t.select("conv_id", "turn", F.array(chunk).alias("disappeared_content"))
+    found = classify.relocations(events, t.where("(conv_id + turn) % 3 <> 0").select("conv_id", "text"), ["conv_id"])
+    shown = lambda c: F.regexp_replace(F.array_join(c, "¶"), " +", " ")
+    return found.select("conv_id", "turn", shown("relocated_content").alias("relocated"), shown("disappeared_content").alias("gone"))
 
 
 @query()
 def disappeared_content(spark, d):
     c = read(spark, d, "conversations", "conv_id", "turn", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    new = F.array_join(F.slice(F.split("text", " "), 8, 1_000_000), " ")
+    new = F.array_join(F.slice(F.split("text", " "), 8, F.size(F.split("text", " "))), " ")
     rows = c.select("conv_id", "turn", F.col("text").alias("old"), new.alias("new")).withColumn("gone", disappeared(F.col("old"), F.col("new")))
     return rows.select("conv_id", "turn", F.array_join("gone", " ¶ ").alias("gone"), F.round(ratio(F.col("old"), F.col("new")), 3).alias("ratio"), length_bound(F.col("old"), F.col("new")).alias("bound"))
 
@@ -718,11 +755,32 @@ def _parsed(parser, lines=laid_out):
     return run
 
 
-for _name in ("index_blocks", "label_cards", "code_tables", "field_cards", "numbered_sections", "narrative"):
+for _name in ("index_blocks", "code_tables", "numbered_sections", "narrative"):
     QUERIES[_name] = _parsed(getattr(pages, _name))
 
 
-QUERIES["rotated_pairs"] = _parsed(pages.rotated_pairs, turned)
+def _flat(blocks):
+    """Flat columns, for comparison; those that a layout has not are null."""
+    own = {"level": F.lit(None).cast("int")} | {c: F.lit(None).cast("string") for c in ("code", "title", "label", "text", "cells", "items", "card", "columns")}
+    own |= {c: F.array_join(c, "|") if c in ("cells", "items") else F.to_json(c) if c == "card" else F.col(c) for c in own if c in blocks.columns}
+    return blocks.select("doc_id", "block", "page", "type", *(v.alias(c) for c, v in own.items()))
+
+
+@query()
+def label_cards(spark, d):
+    return _flat(cards.label_cards(laid_out(spark, d), ["doc_id"]))
+
+
+@query()
+def field_cards(spark, d):
+    return _flat(cards.field_cards(laid_out(spark, d), ["doc_id"]))
+
+
+@query()
+def rotated_pairs(spark, d):
+    return _flat(cards.rotated_pairs(turned(spark, d), ["doc_id"]))
+
+
 SQL["rotated_pairs"] = """WITH p AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS n FROM part)
 SELECT CAST(string_split(p_brand, '#')[2] AS BIGINT) AS doc_id, row_number() OVER (PARTITION BY p_brand ORDER BY n) - 1 AS block, CAST(n // 8 AS INTEGER) AS page, 'field_description_pair' AS type, CAST(NULL AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS code, p_brand AS title, p_name AS label,
 CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 5 <= 2 THEN p_type ELSE p_type || ' wrapped' END AS text, CAST(NULL AS VARCHAR) AS cells, CAST(NULL AS VARCHAR) AS items, CAST(NULL AS VARCHAR) AS card, CAST(NULL AS VARCHAR) AS columns FROM p"""
@@ -742,21 +800,44 @@ QUERIES["page_tables"], QUERIES["rotated_tables"] = _tables(False), _tables(True
 
 @query()
 def pair_changes(spark, d):
-    """Three editions of a manual of customers: segments are sections, customers rows."""
+    """Three editions of a manual of customers: segments are sections, customers rows, some with a paragraph.
+
+    The second edition has some rows twice and some names reserved; in the third one section is renamed and one moves under another title.
+    """
     c = read(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"))
+    k, e, moves = F.col("k"), F.col("e"), F.col("segment") == "MACHINERY"
     editions = spark.range(3).select(F.col("id").alias("e"))
-    rows = c.join(F.broadcast(editions)).where("k % 10 <> e").withColumn("nation", F.when(F.col("k") % 7 == F.col("e"), F.concat(F.lit("moved to "), "nation")).otherwise(F.col("nation")))
-    title = F.when((F.col("segment") == "BUILDING") & (F.col("e") == 2), "BUILDINGS").otherwise(F.col("segment"))
-    scope = [F.lit("customers").alias("manual"), F.concat(F.lit("2024010"), F.col("e").cast("string")).alias("edition")]
-    table = rows.select(*scope, (F.xxhash64("segment").bitwiseAND(255) * 10_000_000 + F.col("k") + 1).alias("ord"), F.lit("table_row").alias("type"), F.lit("").alias("text"), F.array(F.concat(F.lit("c"), F.col("k").cast("string")), "name", "nation").alias("cells"))
-    heads = rows.select("segment", "e").distinct().select(*scope, (F.xxhash64("segment").bitwiseAND(255) * 10_000_000).alias("ord"), F.lit("section_heading").alias("type"), title.alias("text"), F.array().cast("array<string>").alias("cells"))
-    return driver.changes(table.unionByName(heads)).select("pair", "change_type", "title", "key", "column_index", "old", "new")
-
-
-_P = """r AS (SELECT e, c_custkey AS k, c_name AS name, c_mktsegment AS segment, CASE WHEN c_custkey % 7 = e THEN 'moved to ' ELSE '' END || c_nationkey AS nation FROM customer, (SELECT unnest([0, 1, 2]) AS e) WHERE c_custkey % 10 <> e),
-ab AS (SELECT a.e, a.k, a.name, a.segment, a.nation AS old, b.nation AS new, b.k AS other FROM r a LEFT JOIN r b ON b.e = a.e + 1 AND b.k = a.k WHERE a.e < 2), ba AS (SELECT b.e - 1 AS e, b.k, b.name, b.segment, b.nation FROM r b LEFT JOIN r a ON a.e = b.e - 1 AND a.k = b.k WHERE b.e > 0 AND a.k IS NULL)"""
-SQL["pair_changes"] = f"""WITH {_P}, u AS (SELECT e, 'row_content_changed' AS change_type, segment, k, 2 AS column_index, old, new FROM ab WHERE old <> new UNION ALL SELECT e, 'row_removed', segment, k, NULL, 'c' || k || ' | ' || name || ' | ' || old, NULL FROM ab WHERE other IS NULL UNION ALL SELECT e, 'row_added', segment, k, NULL, NULL, 'c' || k || ' | ' || name || ' | ' || nation FROM ba)
-SELECT '2024010' || e || '_to_2024010' || (e + 1) AS pair, change_type, CASE WHEN segment = 'BUILDING' AND e = 1 THEN 'BUILDINGS' ELSE segment END AS title, 'C' || k AS key, CAST(column_index AS INTEGER) AS column_index, old, new FROM u"""
+    rows = c.join(F.broadcast(editions)).where("k % 10 <> e").withColumns({"nation": F.when((k % 7 == e) & ~moves, F.concat(F.lit("moved to "), "nation")).otherwise(F.col("nation")), "name": F.when((k % 13 == 0) & (e == 1) & ~moves, "Reserved").otherwise(F.col("name"))})
+    again = rows.where("k % 50 = 0 and e = 1 and segment <> 'MACHINERY'").withColumn("nation", F.lit("again"))
+    title = F.when((F.col("segment") == "BUILDING") & (e == 2), "BUILDINGS").when(moves & (e == 2), "HEAVY EQUIPMENT WORKS").otherwise(F.col("segment"))
+    scope = [F.lit("customers").alias("manual"), F.concat(F.lit("2024010"), e.cast("string")).alias("edition")]
+    first = F.xxhash64("segment").bitwiseAND(255) * 10_000_000
+    none = F.array().cast("array<string>")
+    cells = F.array(F.concat(F.lit("c"), k.cast("string")), "name", "nation")
+    table = lambda df, late: df.select(*scope, (first + late + k).alias("ord"), F.lit("table_row").alias("type"), F.lit("").alias("text"), cells.alias("cells"))
+    heads = rows.select("segment", "e").distinct().select(*scope, first.alias("ord"), F.lit("section_heading").alias("type"), title.alias("text"), none.alias("cells"))
+    prose = c.join(F.broadcast(editions)).where("segment <> 'MACHINERY' and (k % 100 = 7 or (k % 100 = 8 and e <> 1))")
+    prose = prose.select(*scope, (first + 6_000_000 + k).alias("ord"), F.lit("paragraph").alias("type"), F.concat(F.lit("Rule  "), k.cast("string"), F.lit(" applies")).alias("text"), none.alias("cells"))
+    blocks = table(rows, 1).unionByName(table(again, 3_000_000)).unionByName(heads).unionByName(prose)
+    return driver.changes(blocks, name_index=1).select("pair", "change_type", "title", "key", "column_index", "old", "new")
+
+
+_P = """c AS (SELECT e, c_custkey AS k, CASE WHEN c_custkey % 13 = 0 AND e = 1 THEN 'Reserved' ELSE c_name END AS name, c_mktsegment AS segment, CASE WHEN c_custkey % 50 = 0 AND e = 1 THEN 'again' WHEN c_custkey % 7 = e THEN 'moved to ' || c_nationkey ELSE CAST(c_nationkey AS VARCHAR) END AS nation FROM customer, (SELECT unnest([0, 1, 2]) AS e)),
+r AS (SELECT * FROM c WHERE k % 10 <> e AND NOT segment = 'MACHINERY'), m AS (SELECT * FROM c WHERE segment <> 'MACHINERY'),
+m01 AS (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY'),
+ab AS (SELECT a.e, a.k, a.name AS n1, b.name AS n2, a.segment, a.nation AS old, b.nation AS new, b.k AS other FROM r a LEFT JOIN r b ON b.e = a.e + 1 AND b.k = a.k WHERE a.e < 2), ba AS (SELECT b.e - 1 AS e, b.k, b.name, b.segment, b.nation FROM r b LEFT JOIN r a ON a.e = b.e - 1 AND a.k = b.k WHERE b.e > 0 AND a.k IS NULL),
+d AS (SELECT segment, string_agg('C' || k, ',' ORDER BY 'C' || k) AS keys FROM r WHERE e = 1 AND k % 50 = 0 GROUP BY segment)"""
+SQL["pair_changes"] = f"""WITH {_P}, u AS (
+SELECT e, 'row_content_changed' AS change_type, segment, 'C' || k AS key, 2 AS column_index, old, new FROM ab WHERE old <> new AND n1 = n2
+UNION ALL SELECT e, CASE WHEN n2 = 'Reserved' THEN 'field_became_reserved' ELSE 'field_became_defined' END, segment, 'C' || k, NULL, 'c' || k || ' | ' || n1 || ' | ' || old, 'c' || k || ' | ' || n2 || ' | ' || new FROM ab WHERE n1 <> n2
+UNION ALL SELECT e, 'row_removed', segment, 'C' || k, NULL, 'c' || k || ' | ' || n1 || ' | ' || old, NULL FROM ab WHERE other IS NULL
+UNION ALL SELECT e, 'row_added', segment, 'C' || k, NULL, NULL, 'c' || k || ' | ' || name || ' | ' || nation FROM ba
+UNION ALL SELECT 0, CASE WHEN c_custkey % 10 = 0 THEN 'row_added' ELSE 'row_removed' END, 'MACHINERY', 'C' || c_custkey, NULL, CASE WHEN c_custkey % 10 = 1 THEN 'c' || c_custkey || ' | ' || c_name || ' | ' || c_nationkey END, CASE WHEN c_custkey % 10 = 0 THEN 'c' || c_custkey || ' | ' || c_name || ' | ' || c_nationkey END FROM m01 WHERE c_custkey % 10 < 2
+UNION ALL SELECT e, 'duplicate_key_warning', segment, NULL, NULL, CASE WHEN e = 1 THEN keys ELSE '' END, CASE WHEN e = 0 THEN keys ELSE '' END FROM d, (SELECT unnest([0, 1]) AS e)
+UNION ALL SELECT 1, 'section_renamed', 'BUILDING', NULL, NULL, 'BUILDING', 'BUILDINGS' FROM (SELECT DISTINCT segment FROM r WHERE segment = 'BUILDING')
+UNION ALL SELECT 1, unnest(['section_removed', 'section_added', 'possible_section_move']), unnest(['MACHINERY', 'HEAVY EQUIPMENT WORKS', 'HEAVY EQUIPMENT WORKS']), NULL, NULL, unnest([NULL, NULL, 'MACHINERY']), unnest([NULL, NULL, 'HEAVY EQUIPMENT WORKS']) FROM (SELECT DISTINCT c_mktsegment FROM m01)
+UNION ALL SELECT e, CASE WHEN e = 0 THEN 'paragraph_removed' ELSE 'paragraph_added' END, segment, NULL, NULL, CASE WHEN e = 0 THEN 'Rule  ' || k || ' applies' END, CASE WHEN e = 1 THEN 'Rule  ' || k || ' applies' END FROM m WHERE k % 100 = 8 AND e < 2)
+SELECT '2024010' || e || '_to_2024010' || (e + 1) AS pair, change_type, CASE WHEN segment = 'BUILDING' AND e = 1 THEN 'BUILDINGS' ELSE segment END AS title, key, CAST(column_index AS INTEGER) AS column_index, old, new FROM u"""
 
 
 @query("""WITH t AS (SELECT o_custkey AS s, o_orderkey AS ord, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + o_orderkey % 2 AS INTEGER) AS page, CASE WHEN o_orderkey % 5 = 0 THEN 'T' END AS table_id, CAST(o_orderkey % 11 = 0 AS VARCHAR) AS section, '| ' || o_orderstatus || ' |  |' AS head, '| ' || o_orderkey || ' | x |' AS row FROM orders),

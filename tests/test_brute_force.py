@@ -188,3 +188,16 @@ def test_page_tables(spark, sf_dir, rotated):
     got = catalogue.queries()["rotated_tables" if rotated else "page_tables"](spark, sf_dir).collect()
     assert sorted((r["doc_id"], r["page"], r["type"], r["level"] or 0, r["title"] or "", r["text"] or "", r["columns"] or "") for r in got) == sorted(wanted)
     assert any(w[2] == "grid_row" for w in wanted) or not rotated
+
+
+def test_section_moves(spark, sf_dir):
+    from test_matching_index import plain_moves
+
+    sides = []
+    for side in catalogue.turn_sections(spark, sf_dir):
+        sections = defaultdict(list)
+        for r in sorted(side.collect(), key=lambda r: (r["scope"], r["section"], r["ord"])):
+            sections[r["scope"], r["section"]].append(r["text"])
+        sides.append(dict(sections))
+    got = catalogue.queries()["section_moves"](spark, sf_dir).collect()
+    assert sorted(tuple(r) for r in got) == plain_moves(*sides) and got

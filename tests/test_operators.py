@@ -1,5 +1,7 @@
 import json
+import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from deltafolio.functions import similarity
 from deltafolio.functions import text as T
 from deltafolio.operators import bands, classify, diffing, landing, matching, reporting
+from deltafolio.plans import driver
 from deltafolio.sources import editions
 from deltafolio.streaming import landing as stream
 
@@ -167,7 +170,6 @@ def plain_fuzzy(a, b, threshold, mode, min_length=0):
 
 
 def test_fuzzy_match_like_plain_search(spark):
-    import random
 
     r = random.Random(3)
     word = lambda: "".join(r.choice("abé ") for _ in range(r.randrange(7)))
@@ -187,7 +189,6 @@ def test_an_exact_partner_is_not_taken_by_an_earlier_row(spark):
 
 
 def test_character_bound_is_never_below_the_ratio():
-    import random
 
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdeß日 ") for _ in range(r.randrange(12)))
@@ -217,7 +218,6 @@ def test_pool_and_reflow(spark):
 
 
 def test_nearest_band_like_all_pairs(spark):
-    import random
 
     r = random.Random(4)
     rows = [(r.randrange(3), k, float(r.randrange(40))) for k in range(80)]
@@ -364,8 +364,6 @@ def test_stages_run_in_order_and_stop_at_a_failure():
 
 
 def test_pair_driver_from_blocks_to_reports(spark):
-    from deltafolio.plans import driver
-
     def edition(date, *blocks):
         return [("m", date, k, *b) for k, b in enumerate(blocks)]
 
@@ -376,7 +374,7 @@ def test_pair_driver_from_blocks_to_reports(spark):
     blocks = spark.createDataFrame(rows, "manual string, edition string, ord int, type string, text string, cells array<string>")
     got = {(r["pair"], r["change_type"], r["title"], r["key"]) for r in driver.changes(blocks).collect()}
     first = "20240101_to_20240601"
-    assert got == {(first, "section_removed", "Old part", None), (first, "section_added", "Annex", None), (first, "row_content_changed", "Transaction Codes", "A1"), (first, "row_removed", "Transaction Codes", "B2"), (first, "row_added", "Transaction Codes", "C3")}
+    assert got == {(first, "section_removed", "Old part", None), (first, "section_added", "Annex", None), (first, "row_content_changed", "Transaction Codes", "A1"), (first, "row_removed", "Transaction Codes", "B2"), (first, "row_added", "Transaction Codes", "C3"), ("20240601_to_20250101", "section_renamed", "Transaction Code", None)}
     body = driver.reports(driver.judged_changes(blocks)).first()["body"].split("\n")
     assert body[0] == "- row_content_changed Transaction Codes A1 1: Purchase of goods -> Purchase of services" and len(body) == 5
 
@@ -396,3 +394,65 @@ def test_a_single_file_needs_an_older_edition(spark, tmp_path):
     run()
     assert sorted(r["edition"] for r in spark.read.parquet(f"{tmp_path}/corpus").collect()) == ["20240101", "20240601", "20250101"]
     assert sorted((r["manual"], r["verdict"]) for r in spark.read.json(f"{tmp_path}/alerts").collect()) == [("m", "no older edition"), ("n", "no older edition")]
+
+
+def test_all_events_of_a_pair(spark):
+    """Renames, duplicates, moves, reserved names and paragraphs, next to rows and sections."""
+    long = "the amount of the fee that a member pays for each transaction of this kind is set out "
+    old = {"Fees": ["R|a1|Reserved", "R|a2|Name", "R|a3|x", "R|a3|y", "P|one", "P|gone", "P|s0", "P|same", "P|same", "P|s1", "P|alpha beta", "P|gamma", "P|s2", "P|" + long + "below", "P|s3"], "Interchange fees": ["R|k|v"], "Moved away": ["P|m1", "P|m2", "P|m3"], "Lost": ["P|z"]}
+    new = {"Fees": ["R|a1|Amount", "R|a2|reserved ", "R|a3|y", "R|b|new", "P|one", "P|s0", "P|same", "P|s1", "P|alpha", "P|beta gamma", "P|s2", "P|" + long + "above", "P|s3", "P|come"], "Interchange fee": ["R|k|w"], "Elsewhere": ["P|M1", "P|m2", "P|m3"]}
+    rows = []
+    for edition, sections in (("20240101", old), ("20240601", new)):
+        n = 0
+        for title, parts in sections.items():
+            for part in ["H|" + title, *parts]:
+                kind, _, rest = part.partition("|")
+                rows.append(("m", edition, n, {"H": "section_heading", "R": "table_row", "P": "paragraph"}[kind], "" if kind == "R" else rest, rest.split("|") if kind == "R" else []))
+                n += 1
+    blocks = spark.createDataFrame(rows, "manual string, edition string, ord int, type string, text string, cells array<string>")
+    got = sorted((tuple(r) for r in driver.changes(blocks, name_index=1).drop("manual", "pair").collect()), key=str)
+    row = lambda kind, title, key=None, at=None, a=None, b=None: (kind, title, key, at, a, b)
+    assert got == sorted([
+        row("section_renamed", "Interchange fee", None, None, "Interchange fees", "Interchange fee"), row("section_removed", "Moved away"), row("section_removed", "Lost"), row("section_added", "Elsewhere"),
+        row("possible_section_move", "Elsewhere", None, None, "Moved away", "Elsewhere"), row("row_content_changed", "Interchange fee", "K", 1, "v", "w"),
+        row("field_became_defined", "Fees", "A1", None, "a1 | Reserved", "a1 | Amount"), row("field_became_reserved", "Fees", "A2", None, "a2 | Name", "a2 | reserved "), row("row_added", "Fees", "B", None, None, "b | new"),
+        row("duplicate_key_warning", "Fees", None, None, "A3", ""), row("duplicate_paragraph_warning", "Fees", None, None, "same", ""),
+        row("paragraph_removed", "Fees", None, None, "gone", None), row("paragraph_removed", "Fees", None, None, "same", None), row("paragraph_added", "Fees", None, None, None, "come"),
+        row("paragraph_reflowed", "Fees", None, None, "alpha beta gamma", "alpha beta gamma"), row("paragraph_content_changed", "Fees", None, None, long + "below", long + "above")], key=str)
+
+
+def test_relocations_like_plain_search(spark):
+    r = random.Random(6)
+    words = ["fee", "rate", "the", "of", "Card", "ACQUIRER", "part", "partly", "é"]
+    text = lambda n: "  ".join(r.choice(words) for _ in range(n))
+    paragraphs = [(r.choice([1, 2, None]), text(r.randint(0, 12))) for _ in range(60)] + [(1, None), (1, "")]
+    events = [(k, r.choice([1, 2, 3, None]), [r.choice([text(r.randint(1, 5)), "", None, "he of", "art"]) for _ in range(r.randint(0, 4))], "clash") for k in range(120)] + [(500, 1, None, "clash")]
+    key = lambda t: " ".join((t or "").lower().split())
+    want = {}
+    for k, s, chunks, _ in events:
+        held = [key(p) for q, p in paragraphs if s is not None and q == s]
+        told = [c for c in chunks or [] if key(c)]
+        moved = [c for c in told if any(key(c) in p for p in held)]
+        want[k] = (moved, [c for c in told if c not in moved])
+    E = spark.createDataFrame(events, "k int, s int, disappeared_content array<string>, event_no string").repartition(4)
+    P = spark.createDataFrame(paragraphs, "s int, text string")
+    got = classify.relocations(E, P, ["s"])
+    assert got.columns == [*E.columns, "relocated_content"]
+    assert {x["k"]: (x["relocated_content"], x["disappeared_content"]) for x in got.collect()} == want and any(m for m, _ in want.values())
+    assert classify.relocations(E.limit(0), P, ["s"]).count() == 0
+
+
+@pytest.mark.parametrize("limit", [128 << 20, 0])
+def test_titles_wait_at_their_rarest_word(spark, monkeypatch, limit):
+    r = random.Random(9)
+    words = ["the"] * 5 + [f"w{k}" for k in range(30)]
+    docs = [(k, sorted({r.choice(words) for _ in range(r.randint(0, 20))})) for k in range(150)] + [(900, None), (901, [])]
+    titles = [(k, sorted({r.choice(words) for _ in range(r.randint(1, 4))})) for k in range(40)] + [(99, [])]
+    want = {}
+    for k, tokens in docs:
+        held = [s for s, need in titles if need and set(need) <= set(tokens or [])]
+        if len(held) == 1:
+            want[k] = held[0]
+    monkeypatch.setattr(landing, "fits", lambda df: limit > 0)
+    got = landing.detect_titles(spark.createDataFrame(docs, "doc_id int, tokens array<string>"), spark.createDataFrame(titles, "slug int, tokens array<string>"))
+    assert {x["doc_id"]: x["slug"] for x in got.collect()} == want and want

@@ -3,7 +3,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from deltafolio.operators import assembly, folding, pages, tables
+from deltafolio.operators import assembly, cards, folding, pages, tables
 from deltafolio.operators.folding import Line
 
 
@@ -15,20 +15,39 @@ def shapes(blocks, *names):
     return [tuple(b.get(n) for n in ("type", *names)) for b in blocks]
 
 
+LINE = "doc int, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string, size double, bold boolean, fonts array<string>"
+
+
+def blocks(spark, relation, lines, *names):
+    """The relation's blocks of one document whose lines stand in this order, and that nothing changes if scopes are cut into ranges."""
+    made = spark.createDataFrame([(1, x.page, k, *map(float, (x.x0, x.y0, x.x1, x.y1)), x.text, float(x.size), x.bold, list(x.fonts)) for k, x in enumerate(lines)], LINE).repartition(3)
+    got = relation(made, ["doc"]).orderBy("block").collect()
+    assert [r["block"] for r in got] == list(range(len(got)))
+    return [tuple(r[n] for n in ("type", *names)) for r in got]
+
+
 def test_index_rows_wrap_but_never_across_pages():
     lines = [L("05 Sales", size=12.0), L("TCR 0", 20, 60, 10.5), L("Data of", 20, 160, 10.5), L("the sale", 32, 160, 10.5), L("TCR 1", 60, 60, 10.5), L("TCR 2", 30, 60, 10.5, page=2), L("a", 60, page=2), L("b", 75, page=2), L("c", 200, page=2)]
     assert shapes(pages.index_blocks(iter(lines)), "text", "cells") == [
         ("section_heading", "05 Sales", None), ("table_row", None, ["TCR 0", "Data of\nthe sale"]), ("table_row", None, ["TCR 1"]), ("table_row", None, ["TCR 2"]), ("paragraph", "a b", None), ("paragraph", "c", None)]
 
 
-def test_label_cards_and_glossary():
+def test_label_cards_and_glossary(spark):
     lines = [
         L("V0545", size=20.0), L("BAD DATE", 20, fonts=("Other-Bold",)), L("IN ITEM", 30, fonts=("CourierX",)), L("Description: The date is wrong. Action:", 40), L("Return it.", 50),
         L("Transaction Types:", 60), L("●", 70), L("Sales", 70), L("drafts", 80), L("●", 90), L("Credits", 90), L("Some Glossary", 100, size=26.0), L("Acquirer", 130, bold=True), L("bank", 143, bold=True), L("Takes", 160, x=200.0), L("●", 172, x=200.0), L("items.", 172, x=200.0)]
-    assert shapes(pages.label_cards(iter(lines)), "code", "title", "label", "text", "items") == [
+    assert blocks(spark, cards.label_cards, lines, "code", "title", "label", "text", "items") == [
         ("card_header", "V0545", "BAD DATE IN ITEM", None, None, None), ("field", None, None, "Description", "The date is wrong.", None), ("field", None, None, "Action", "Return it.", None),
         ("bullet_list", None, None, None, None, ["Sales drafts", "Credits"]), ("paragraph", None, None, None, "Some Glossary", None),
         ("card_header", "Acquirer bank", "Acquirer bank", None, None, None), ("field", None, None, "Description", "Takes items.", None)]
+    lines = [
+        L("lead"), L("123456-A", 20, size=26.0), L("title", 30), L("more", 40), L("l", 50), L("Action: do", 60), L("l", 70), L("V1", 80, size=20.0), L("Transaction Type: a", 90, fonts=("CourierX",)), L("Transaction Type: a b", 95), L("c", 96), L("l", 100), L("l", 110), L("d", 120),
+        L("Big", 130, size=16.0), L("after", 140), L("My Glossary", 150, size=16.0), L("T1", 160, bold=True), L("T2", 190, bold=True), L("T3", 200, bold=True, x=150.0), L("Description: x", 210), L("T4", 10, bold=True, page=2), L("T5", 15, bold=True, page=2)]
+    assert blocks(spark, cards.label_cards, lines, "code", "title", "label", "text", "items") == [
+        ("paragraph", None, None, None, "lead", None), ("card_header", "123456-A", "title", None, None, None), ("paragraph", None, None, None, "more l", None), ("field", None, None, "Action", "do l", None),
+        ("card_header", "V1", "Transaction Type: a", None, None, None), ("bullet_list", None, None, None, None, ["a b c", "d"]), ("paragraph", None, None, None, "Big after", None), ("paragraph", None, None, None, "My Glossary", None),
+        ("glossary_term", None, None, None, "T1", None), ("card_header", "T2", "T2", None, None, None), ("field", None, None, "Description", "T3", None), ("field", None, None, "Description", "x", None), ("glossary_term", None, None, None, "T4 T5", None)]
+    assert blocks(spark, cards.label_cards, [], "text") == []
 
 
 def test_code_tables():
@@ -60,28 +79,37 @@ def test_code_tables_glossary():
         ("paragraph", "A Glossary", None), ("table_header", None, ["Term", "Definition"]), ("table_row", None, ["ACH", "Clearing house."]), ("table_row", None, ["Very long term", "Its sense."])]
 
 
-def test_field_cards():
-    grid = [L(t, 40, 60 + 60 * k, 9.5) for k, t in enumerate(pages.GRID_WORDS)]
+def test_field_cards(spark):
+    grid = [L(t, 40, 60 + 60 * k, 9.5) for k, t in enumerate(cards.GRID_WORDS)]
     lines = [
         L("TC 05", 0, size=26.0), L("Sales", 20, size=26.0), *grid, L("1–2", 60, 60), L("2", 60, 180), L("Code", 72, 300), L("3", 90, 60), L("1", 10, 60, page=2), L("Format: AN = letters", 30, page=2),
         L("Card Number", 100, 60, page=2, size=10.0), L("Description early", 100, 200, page=2, size=10.0), L("Positions: 5–20", 115, 60, page=2, size=10.0), L("Length: 16", 130, 60, page=2, size=10.0), L("more", 130, 200, page=2, size=10.0), L("Values: any", 145, 200, page=2, size=10.0)]
-    got = list(pages.field_cards(iter(lines)))
-    assert shapes(got, "text", "cells")[:-1] == [
-        ("section_heading", "TC 05 Sales", None), ("table_header", None, pages.GRID_HEADER), ("table_row", None, ["1–2", "2", "Code"]), ("table_row", None, ["3"]), ("table_row", None, ["1"]), ("paragraph", "Format: AN = letters", None)]
-    card = got[-1]["card"]
+    got = blocks(spark, cards.field_cards, lines, "text", "cells", "card")
+    assert [x[:3] for x in got[:-1]] == [
+        ("section_heading", "TC 05 Sales", None), ("table_header", None, list(cards.GRID_HEADER)), ("table_row", None, ["1–2", "2", "Code"]), ("table_row", None, ["3"]), ("table_row", None, ["1"]), ("paragraph", "Format: AN = letters", None)]
+    card = got[-1][3]
     assert (card["name"], card["positions"], card["length"], card["description"], card["values"]) == ("Card Number", "5–20", "16", "early more", "any")
 
 
-def test_rotated_pairs():
+def test_field_cards_without_names_and_with_loose_text(spark):
+    c = lambda text, y, x=60.0, page=1: L(text, y, x, size=10.0, page=page)
+    lines = [
+        c("Intro", 0), c("goes on", 12), c("Positions: 1", 60), c("Length: 2", 72), c("bytes", 83), c("Note it", 83, 200), c("far note", 95, 200), c("stray", 130), c("Next", 160), c("beside", 160, 200), c("Position: 2–3", 172), c("Format: AN", 184),
+        L("TC 9", 300, size=20.0), L("Nine", 312, size=20.0), c("Values: early", 320, 200), c("Positions: 4", 330), c("Mapping X", 330, 200), c("loose", 10, 60, 2)]
+    got = blocks(spark, cards.field_cards, lines, "text", "card")
+    assert [x[:2] for x in got] == [("paragraph", "Intro goes on"), ("field_card", None), ("paragraph", "stray"), ("field_card", None), ("section_heading", "TC 9 Nine"), ("field_card", None), ("paragraph", "loose")]
+    shown = [{k: v for k, v in x[2].asDict().items() if v} for x in got if x[2]]
+    assert shown == [{"positions": "1", "length": "2 bytes", "note": "it far note"}, {"name": "Next", "positions": "2–3", "format": "AN", "description": "beside"}, {"positions": "4", "values": "early", "mapping": "X"}]
+    assert blocks(spark, cards.field_cards, [], "text") == []
+
+
+def test_rotated_pairs(spark):
     at = lambda text, x0, y1, size=9.0, page=1: Line(page, int(x0), x0, y1 - 80, x0 + 9, y1, text, size)
     lines = [at("Sample (1 of 2)", 20, 700, 12.0), at("Field Name", 40, 700), at("Description", 40, 400), at("Amount", 60, 702), at("How much", 61, 401), at("there is", 71, 400), at("Date", 100, 700), at("None here", 130, 400), at("Field Name", 40, 700, page=2), at("Other", 60, 700, page=2), at("Text", 60, 300, page=2)]
-    assert shapes(pages.rotated_pairs(iter(lines)), "title", "label", "text") == [
+    assert blocks(spark, cards.rotated_pairs, lines, "title", "label", "text") == [
         ("field_description_pair", "Sample", "Amount", "How much there is"), ("field_description_pair", "Sample", "Date", ""), ("field_description_pair", "Sample", "Other", "Text")]
 
 
-LINE = "doc int, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string, size double, bold boolean, fonts array<string>"
-
-
 def table(spark, lines, doc=1):
     return spark.createDataFrame([(doc, x.page, x.ord, *map(float, (x.x0, x.y0, x.x1, x.y1)), x.text, x.size, x.bold, list(x.fonts)) for x in lines], LINE)
 
@@ -153,8 +181,10 @@ def test_fold_streams_scopes_in_order(spark):
     assert [r["code"] for r in got] == expected * 2 and [r["block"] for r in got] == [*range(40)] * 2
     assert folding.fold(lines.limit(0), ["s"], pages.index_blocks).count() == 0
     empty = lines.select("s", *(F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in Line.__dataclass_fields__ if c in lines.columns))
-    for parser in (pages.index_blocks, pages.label_cards, pages.code_tables, pages.field_cards, pages.rotated_pairs, pages.numbered_sections, pages.narrative):
+    for parser in (pages.index_blocks, pages.code_tables, pages.numbered_sections, pages.narrative):
         folding.fold(empty, ["s"], parser).count()
+    for relation in (cards.label_cards, cards.field_cards, cards.rotated_pairs):
+        relation(empty, ["s"]).count()
 
 
 def test_phantom_columns(spark):
