@@ -6,6 +6,7 @@ import json
 import re
 import time
 import urllib.request
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.similarity import disappeared
 from ..functions.text import unicode_key
-from ..storage import materialize, reads
+from ..storage import materialize, reads, release, rows_of
 from .scan import fresh
 
 # Categories of a change.
@@ -59,6 +60,28 @@ def classify(changes: DataFrame, call: Callable[[str, str], tuple[str, str]] = r
     return changes.mapInPandas(run, schema)
 
 
+def remembered(changes: DataFrame, store: str, call: Callable[[str, str], tuple[str, str]] = rule_classifier, said: Column | None = None) -> DataFrame:
+    """classify, with every answer kept under a digest of what was asked: a text that was judged before, in this run or another, is not asked again.
+
+    ``said``: the whole prompt, where it holds more than old and new. ``store``: a folder for answers only; each run adds a table of its
+    own there, so a run that fails adds nothing, and of two answers to one prompt the smaller is taken by all. Null texts are empty.
+    """
+    spark, digest = changes.sparkSession, fresh(changes.columns, "digest")[0]
+    empty = lambda c: F.coalesce(F.col(c), F.lit(""))
+    asked = said if said is not None else F.concat(F.length(empty("old")).cast("string"), F.lit(":"), empty("old"), empty("new"))
+    rows = changes.withColumn(digest, F.sha2(F.coalesce(asked, F.lit("")), 256))
+    schema = "digest string, ai_category string, ai_reason string"
+    where = spark._jvm.org.apache.hadoop.fs.Path(store)
+    known = lambda: spark.read.schema(schema).parquet(f"{store}/answers-*") if where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{store}/answers-*/_SUCCESS")) else spark.createDataFrame([], schema)
+    once = rows.groupBy(F.col(digest).alias("digest")).agg(F.min(F.struct(empty("old").alias("old"), empty("new").alias("new"))).alias("q")).select("digest", "q.old", "q.new")
+    new = materialize(once.join(known().select("digest"), "digest", "left_anti"), "questions")
+    if rows_of(new):
+        classify(new, call).select("digest", "ai_category", "ai_reason").write.parquet(f"{store}/answers-{uuid.uuid4().hex}")
+    release(new)
+    answers = known().groupBy(F.col("digest").alias(digest)).agg(F.min(F.struct("ai_category", "ai_reason")).alias("a")).select(digest, "a.ai_category", "a.ai_reason")
+    return rows.join(answers, digest, "left").drop(digest)
+
+
 def prompt(template: str, **columns: Column) -> Column:
     """The template with each {name} replaced by that column; nulls are empty."""
     parts = re.split(r"\{(\w+)\}", template)

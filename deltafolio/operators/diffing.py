@@ -91,13 +91,44 @@ def reserved_transition(old: Column, new: Column) -> Column:
     return F.when(is_reserved(old) & ~is_reserved(new), "field_became_defined").when(~is_reserved(old) & is_reserved(new), "field_became_reserved")
 
 
-#: Width of the bins in which ranges meet: about the length of a field.
-BIN = 32
+#: Widths of the bins in which ranges meet, each ``_WIDER`` times the one before.
+_LEVELS, _WIDER = 12, 8
+
+
+def _level(start: str, end: str) -> Column:
+    """The narrowest level whose bins are as wide as the range."""
+    width = (F.col(end) - F.col(start) + 1).cast("double")
+    return F.least(F.greatest(F.ceil(F.log(width) / F.log(F.lit(float(_WIDER))) - 1e-9), F.lit(0)), F.lit(_LEVELS)).cast("int")
+
+
+def _with_bins(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    size = F.pow(F.lit(float(_WIDER)), F.col("_level")).cast("bigint")
+    return ranges.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / size).cast("bigint"), F.floor(F.col(end) / size).cast("bigint"))))
 
 
 def _binned(ranges: DataFrame, start: str, end: str) -> DataFrame:
-    """A row for each bin that a range touches; ranges without a start or an end meet nothing."""
-    return ranges.where(f"{start} <= {end}").withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / BIN), F.floor(F.col(end) / BIN))))
+    """A row for each of the one or two bins, of a width of the range's own size, that a range touches; a range of any width has no more.
+
+    Ranges without a start or an end meet nothing.
+    """
+    return _with_bins(ranges.where(f"{start} <= {end}").withColumn("_level", _level(start, end)), start, end)
+
+
+def _probes(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each bin of the range's own level and of all wider ones that it touches, one or two a level: there it looks for wider ranges."""
+    return _with_bins(ranges.where(f"{start} <= {end}").withColumn("_level", F.explode(F.sequence(_level(start, end), F.lit(_LEVELS)))), start, end)
+
+
+def _meeting(a: DataFrame, b: DataFrame, scope: list[str], ends_a: tuple[str, str], ends_b: tuple[str, str]) -> DataFrame:
+    """All pairs of ranges of a scope that meet, each once, by bins: the narrower one (a, of equal ones) looks in its bins of the wider one's level."""
+    (s, e), (t, f) = ends_a, ends_b
+    on = [*scope, "_level", "_bin"]
+    wide_b = _probes(a, s, e).join(_binned(b, t, f), on)
+    wide_a = _binned(a, s, e).join(_probes(b, t, f), on).where(_level(s, e) > _level(t, f))
+    both = wide_b.unionByName(wide_a.select(*wide_b.columns))
+    size = F.pow(F.lit(float(_WIDER)), F.col("_level")).cast("bigint")
+    first = F.floor(F.greatest(s, t) / size)
+    return both.where((F.col(s) <= F.col(f)) & (F.col(t) <= F.col(e)) & (F.col("_bin") == first)).drop("_level", "_bin")
 
 
 def reserved_splits(removed: DataFrame, added: DataFrame, scope: list[str], only_start: bool = False) -> DataFrame:
@@ -105,8 +136,8 @@ def reserved_splits(removed: DataFrame, added: DataFrame, scope: list[str], only
 
     Ranges meet in bins, so a large scope is no product of its ranges.
     """
-    r = _binned(removed.where(is_reserved(F.col("name"))).select(*scope, F.col("s").alias("rs"), F.col("e").alias("re")), "rs", "re")
-    inside = r.join(added.withColumn("_bin", F.floor(F.col("s") / BIN)), [*scope, "_bin"]).where("s >= rs and e <= re")
+    r = removed.where(is_reserved(F.col("name"))).select(*scope, F.col("s").alias("rs"), F.col("e").alias("re"))
+    inside = _meeting(r, added.select(*scope, "s", "e", "name"), scope, ("rs", "re"), ("s", "e")).where("s >= rs and e <= re")
     new = ~is_reserved(F.col("name")) & ((F.col("s") == F.col("rs")) if only_start else F.lit(True))
     label = F.struct("s", F.concat(F.col("s").cast("string"), F.lit("-"), F.col("e").cast("string"), F.lit(" "), F.col("name")).alias("t"))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c, label))), lambda x: x["t"]), ",")
@@ -115,9 +146,7 @@ def reserved_splits(removed: DataFrame, added: DataFrame, scope: list[str], only
 
 
 def reserved_merges(removed: DataFrame, added: DataFrame, scope: list[str]) -> DataFrame:
-    """Removed defined ranges that overlap added reserved ones; a pair is found in the first bin that both touch."""
+    """Removed defined ranges that overlap added reserved ones, each pair once."""
     a = removed.where(~is_reserved(F.col("name"))).select(*scope, F.col("s").alias("a_s"), F.col("e").alias("a_e"), F.col("name").alias("a_name"))
     b = added.where(is_reserved(F.col("name"))).select(*scope, "s", "e")
-    both = _binned(a, "a_s", "a_e").join(_binned(b, "s", "e"), [*scope, "_bin"])
-    first = F.floor(F.greatest("a_s", "s") / BIN)
-    return both.where("a_s <= e and s <= a_e").where(F.col("_bin") == first).drop("_bin")
+    return _meeting(a, b, scope, ("a_s", "a_e"), ("s", "e"))

@@ -74,24 +74,62 @@ def html_report(payload: DataFrame, template: str | None = None) -> DataFrame:
     return payload.select(F.replace(F.lit(template), F.lit("__DATA_B64__"), F.regexp_replace(data, r"\s", "")).alias("html"))
 
 
+_STATE = "slug string, edition_a string, edition_b string"
+_POINTER = "CURRENT"
+
+
 def save_state(state: DataFrame, path: str, legacy: str | None = None) -> None:
-    """A keyed table: only the slugs at hand are overwritten; then the legacy file, which load_state has read, goes."""
-    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").parquet(path)
+    """Publish the state of the slugs at hand; other slugs keep theirs. Call it once the report stands.
+
+    A whole new snapshot is written beside the old ones, then one rename of a pointer makes it the current one: a run that fails before leaves
+    the old state whole, one that fails after it leaves the new one. What is older than the snapshot before goes, and so does the legacy file,
+    which load_state reads only where there is no pointer.
+    """
+    spark = state.sparkSession
+    new = state.select("slug", "edition_a", "edition_b")
+    kept = load_state(spark, path, legacy).join(new.select("slug"), "slug", "left_anti")
+    now = _current(spark, path)
+    name = f"v{int(now[1:]) + 1 if now else 1:09d}"
+    fs, place = _file(spark, f"{path}/{name}")
+    fs.delete(place, True)  # of a run that failed
+    new.unionByName(kept).write.parquet(f"{path}/{name}")
+    _point(spark, path, name)
+    for status in fs.listStatus(_file(spark, path)[1]):
+        old = status.getPath().getName()
+        if old.startswith("v") and old < (now or name):
+            fs.delete(status.getPath(), True)
     if legacy:
-        fs, p = _file(state.sparkSession, legacy)
-        fs.delete(p, False)
+        own, p = _file(spark, legacy)
+        own.delete(p, False)
+
+
+def _current(spark: SparkSession, path: str) -> str | None:
+    fs, p = _file(spark, f"{path}/{_POINTER}")
+    return spark.read.text(f"{path}/{_POINTER}").first()[0] if fs.exists(p) else None
+
+
+def _point(spark: SparkSession, path: str, name: str) -> None:
+    """One atomic rename."""
+    jvm = spark._jvm
+    fs, p = _file(spark, f"{path}/_{_POINTER}.{name}")
+    out = fs.create(p, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(p, _file(spark, f"{path}/{_POINTER}")[1], how)
 
 
 def load_state(spark: SparkSession, path: str, legacy: str | None = None) -> DataFrame:
-    """slug, edition_a, edition_b: the keyed table; where there is none, one JSON object of slugs from before; else empty."""
-    schema = "slug string, edition_a string, edition_b string"
-    fs, p = _file(spark, path)
-    if fs.exists(p):
-        return spark.read.schema(schema).parquet(path).select("slug", "edition_a", "edition_b")
-    if legacy and fs.exists(_file(spark, legacy)[1]):
+    """slug, edition_a, edition_b: the current snapshot; where there is none, one JSON object of slugs from before; else empty."""
+    now = _current(spark, path)
+    if now:
+        return spark.read.schema(_STATE).parquet(f"{path}/{now}")
+    if legacy and _file(spark, legacy)[0].exists(_file(spark, legacy)[1]):
         whole = spark.read.text(legacy, wholetext=True).select(F.from_json("value", "map<string,struct<edition_a:string,edition_b:string>>").alias("m"))
         return whole.select(F.explode("m").alias("slug", "s")).select("slug", "s.edition_a", "s.edition_b")
-    return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], _STATE)
 
 
 def _file(spark: SparkSession, path: str):
