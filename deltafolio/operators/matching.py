@@ -334,17 +334,18 @@ def section_moves(removed: DataFrame, added: DataFrame, scope: list[str], covera
 
     Frames: scope, section, ord, text (the key of a paragraph: equal texts are equal paragraphs). Coverage is the share of the
     removed section's paragraphs that align_and_pool finds in the added one: equal, reflowed, or similar. It is computed for the pairs
-    of near size that can have any: an equal paragraph (an inverted index), a similar one (the index of similar texts), or, for whole
-    sections, one joined text in both or a single paragraph similar to the joined text of two (all that a lone replaced stretch can count as).
+    of near size that can have enough: an equal paragraph (an inverted index), a similar one of at least ``min_length`` characters (the index of
+    similar texts), or, for whole sections, one joined text in both or a single paragraph similar to the joined text of one or two (a
+    replaced stretch counts as one paragraph, so without equal ones it is enough for a section of one only).
     """
     a, b = (df.select(*scope, "section", "ord", "text") for df in (removed, added))
-    ids = lambda df: df.select(*scope, F.struct("section", "ord").alias("ord"), "text")
+    ids = lambda df: df.where(F.length("text") >= min_length).select(*scope, F.struct("section", "ord").alias("ord"), "text")
     alike = candidates(ids(a), ids(b), scope, threshold).select(*scope, F.col("a_ord")["section"].alias("a"), F.col("b_ord")["section"].alias("b"))
     packed = lambda df: df.groupBy(*scope, "section").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("paragraphs"))
     old, new = (materialize(packed(df), "sections") for df in (a, b))
     joined = lambda df: df.select(*scope, "section", F.array_join("paragraphs", " ").alias("text"), F.size("paragraphs").alias("n"))
     whole = joined(old).withColumnRenamed("section", "a").join(joined(new).withColumnRenamed("section", "b").drop("n"), [*scope, "text"]).select(*scope, "a", "b")
-    lone = lambda df, n: joined(df).where(F.col("n") == n).select(*scope, F.col("section").alias("ord"), "text")
+    lone = lambda df, most: joined(df).where(F.col("n") <= most).select(*scope, F.col("section").alias("ord"), "text")
     two = candidates(lone(old, 1), lone(new, 2), scope, threshold).select(*scope, F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
     some = _overlaps(a, b, scope).select(*scope, "a", "b").unionByName(alike).unionByName(whole).unionByName(two).distinct()
     near = materialize(_sized(some, a, b, scope, size_ratio), "section-candidates")
