@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import with_ratio
 from ..functions.text import clean
+from ..storage import reads
+from . import scan
 
 #: Fixed value: the column of text that no row claims.
 PREFIX = "__unassigned_prefix__"
+#: Fixed value: how the text of a row begins that belongs to the row before.
+DASH = r"^[–‒-]\s"
 #: How a text refers to a table, and notices that criteria are compared without.
 TABLE_REFERENCE = r"(?i)Table\s+[0-9]+[-–][0-9]+"
 NOTICES = (r"(?i)all rights reserved", r"(?i)interchange processing", r"©\s*[0-9]{4}\s*\w+")
@@ -28,6 +32,16 @@ def included(role: Column, left_out: tuple[str, ...]) -> Column:
     return ~role.isin(*left_out)
 
 
+def nearest_name(at: Column, columns: str, x: str = "x") -> Column:
+    """The name of the column (array<struct<name, …>>) whose ``x`` is nearest to a place; of equally far ones the first."""
+    return F.array_min(F.transform(columns, lambda c, k: F.struct(F.abs(c[x] - at).alias("d"), k.alias("k"), c["name"].alias("name"))))["name"]
+
+
+def fused(segments: str, columns: str, x: str = "x") -> Column:
+    """Whether a line's segments are nearest to different columns: it is several cells, not one with wide blanks."""
+    return F.coalesce(F.size(F.array_distinct(F.transform(segments, lambda s: nearest_name(s[x], columns, x)))) > 1, F.lit(False))
+
+
 def resegment(lines: DataFrame, keys: list[str], segments: str = "segments", columns: str = "columns") -> DataFrame:
     """keys, segment, column, text. segments: array<struct<x, text>>, columns: array<struct<name, x>>.
 
@@ -35,29 +49,26 @@ def resegment(lines: DataFrame, keys: list[str], segments: str = "segments", col
     its first one's column. Lines without segments or columns have no rows.
     """
 
-    def column_of(s):
-        distance = F.transform(columns, lambda c, k: F.struct(F.abs(c["x"] - s["x"]).alias("d"), k.alias("k"), c["name"].alias("name")))
-        return F.struct(F.array_min(distance)["name"].alias("column"), s["text"].alias("text"))
-
-    placed = lines.where((F.size(segments) > 0) & (F.size(columns) > 0)).select(*keys, F.transform(segments, column_of).alias("s"))
+    column_of = lambda s: F.struct(nearest_name(s["x"], columns).alias("column"), s["text"].alias("text"))
+    placed = lines.where((F.size(segments) > 0) & (F.size(columns) > 0)).select(*keys, F.transform(segments, column_of).alias("s"), fused(segments, columns).alias("split"))
     whole = F.array(F.struct(F.col("s")[0]["column"].alias("column"), F.array_join(F.transform("s", lambda x: x["text"]), " ").alias("text")))
-    split = F.size(F.array_distinct(F.transform("s", lambda x: x["column"]))) > 1
-    return placed.select(*keys, F.posexplode(F.when(split, F.col("s")).otherwise(whole)).alias("segment", "x")).select(*keys, "segment", "x.column", "x.text")
+    return placed.select(*keys, F.posexplode(F.when(F.col("split"), F.col("s")).otherwise(whole)).alias("segment", "x")).select(*keys, "segment", "x.column", "x.text")
 
 
 def phantom_columns(rows: DataFrame, scope: list[str], columns: str = "columns", order: str = "names", spaced: str = "spaced") -> DataFrame:
     """Header fragments that never hold a value join the column before them, with a blank where the fragment began with one.
 
     columns: map, order: names from the first column on, spaced: those that began with a blank. Only tables of two rows or more;
-    prefix rows count for nothing and stay. One aggregate of the names that are ever filled, joined back to the rows.
+    prefix rows count for nothing and stay. Where a joined name is a column already, the last that is joined to it stands. One
+    aggregate of the names that are ever filled, joined back to the rows.
     """
     plain = ~F.map_contains_key(columns, PREFIX)
-    filled = F.filter(order, lambda c: F.trim(F.coalesce(F.try_element_at(columns, c), F.lit(""))) != "")
+    value = lambda c: F.coalesce(F.try_element_at(columns, c), F.lit(""))
     none = F.array().cast("array<string>")
-    seen = rows.where(plain).select(*scope, F.explode_outer(filled).alias("_name")).groupBy(*scope).agg(F.collect_set("_name").alias("_filled"))
-    # Two levels of counting keep the hot table's rows out of one list: names are few.
-    sizes = rows.groupBy(*scope).agg(F.count("*").alias("_rows"))
-    known = rows.join(sizes, scope, "left").join(seen, scope, "left").withColumn("_filled", F.coalesce("_filled", none))
+    # Names are few: they are collected, the rows of a hot table are only counted.
+    cells = rows.where(plain).select(*scope, F.posexplode_outer(F.filter(order, lambda c: F.trim(value(c)) != "")).alias("_k", "_name"))
+    seen = cells.groupBy(*scope).agg(F.collect_set("_name").alias("_filled"), F.count_if(F.coalesce("_k", F.lit(0)) == 0).alias("_rows"))
+    known = rows.join(seen, scope, "left").withColumn("_filled", F.coalesce("_filled", none))
     ever = lambda c: F.array_contains("_filled", c)
     fragment = lambda c, k: (k > 0) & ~ever(c) & ever(F.get(F.col(order), k - 1))
     applies = plain & (F.col("_rows") > 1) & (F.size("_filled") > 0) & (F.size("_filled") < F.size(order))
@@ -67,11 +78,12 @@ def phantom_columns(rows: DataFrame, scope: list[str], columns: str = "columns",
         takes = F.coalesce(~ever(after) & ever(c), F.lit(False))
         gap = F.when(F.array_contains(spaced, after), " ").otherwise("")
         name = F.when(takes, F.trim(F.concat(c, gap, after))).otherwise(c)
-        value = F.coalesce(F.try_element_at(columns, c), F.lit(""))
-        return F.struct(F.when(~fragment(c, k), name).alias("key"), value.alias("value"))
+        return F.struct(F.when(~fragment(c, k), name).alias("key"), value(c).alias("value"), F.struct(takes.alias("takes"), k.alias("k")).alias("rank"))
 
-    entries = F.filter(F.transform(order, merged), lambda e: e["key"].isNotNull())
-    return known.withColumn(columns, F.when(applies, F.map_from_entries(entries)).otherwise(F.col(columns))).drop("_rows", "_filled")
+    found = known.withColumn("_entries", F.when(applies, F.filter(F.transform(order, merged), lambda e: e["key"].isNotNull())))
+    stands = F.filter("_entries", lambda e: ~F.exists("_entries", lambda x: (x["key"] == e["key"]) & (x["rank"] > e["rank"])))
+    whole = F.map_from_entries(F.transform(stands, lambda e: F.struct(e["key"], e["value"])))
+    return found.withColumn(columns, F.when(applies, whole).otherwise(F.col(columns))).drop("_rows", "_filled", "_entries")
 
 
 def dash_orphans(rows: DataFrame, scope: list[str], anchor: str, others: list[str], order: str = "ord") -> DataFrame:
@@ -80,13 +92,35 @@ def dash_orphans(rows: DataFrame, scope: list[str], anchor: str, others: list[st
     empty = F.lit(True)
     for c in others:
         empty = empty & (F.trim(F.coalesce(c, F.lit(""))) == "")
-    orphan = F.coalesce(empty & F.trim(anchor).rlike(r"^[–‒-]\s") & (F.row_number().over(w) > 1), F.lit(False))
+    orphan = F.coalesce(empty & F.trim(anchor).rlike(DASH) & (F.row_number().over(w) > 1), F.lit(False))
     groups = rows.withColumn("_orphan", orphan).withColumn("_group", F.sum((~F.col("_orphan")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     texts = F.transform(F.array_sort(F.collect_list(F.struct(order, F.trim(F.coalesce(anchor, F.lit(""))).alias("t")))), lambda x: x["t"])
     whole = groups.groupBy(*scope, "_group").agg(F.min(order).alias(order), F.trim(F.array_join(texts, " ")).alias(anchor), *(F.min_by(c, order).alias(c) for c in others), F.count("*").alias("n"))
     return whole.drop("_group")
 
 
+def joined_orphans(rows: DataFrame, scope: list[str], columns: str = "columns", anchor: str = "anchor_column", order: str = "row") -> DataFrame:
+    """``dash_orphans`` of rows whose cells are a map: the rows without the orphans, whose texts end the anchor cell before them.
+
+    anchor: the column with the name of the row's anchor cell. The scope's first row is never an orphan; prefix rows stay and count
+    for nothing; rows without a map are no orphans. Islands by a running count, so that a scope of any size is many tasks.
+    """
+    island, head, texts = scan.fresh(rows.columns, "island", "head", "texts")
+    held = F.coalesce(F.map_contains_key(columns, PREFIX), F.lit(False))
+    text = F.trim(F.coalesce(F.try_element_at(columns, F.col(anchor)), F.lit("")))
+    alone = ~F.exists(F.map_entries(columns), lambda e: (e["key"] != F.col(anchor)) & (F.trim(F.coalesce(e["value"], F.lit(""))) != ""))
+    orphan = F.coalesce(alone & text.rlike(DASH), F.lit(False))
+    numbered = scan.scanned(rows.where(~held), scope, [order], {island: scan.total(F.when(orphan, 0).otherwise(1))})
+    own = F.struct(*(F.col(c) for c in rows.columns))
+    # An island's first row is its head: before the first row that is no orphan, the scope's first.
+    islands = numbered.groupBy(*scope, island).agg(F.min_by(own, order).alias(head), F.array_sort(F.collect_list(F.struct(F.col(order), text.alias("t")))).alias(texts))
+    joined = F.trim(F.array_join(F.transform(texts, lambda x: x["t"]), " "))
+    name, cells = F.col(head)[anchor], F.col(head)[columns]
+    grown = F.when(F.size(texts) > 1, F.transform_values(cells, lambda k, v: F.when(k == name, joined).otherwise(v))).otherwise(cells)
+    found = islands.select(*((grown if c == columns else F.col(head)[c]).alias(c) for c in rows.columns))
+    return reads(found.unionByName(rows.where(held)), numbered)
+
+
 def table_schema(markdown: Column) -> Column:
     """The header's column names, cleaned, without empty ones; null where there is none."""
     lines = F.filter(F.split(markdown, "\n"), lambda x: F.trim(x) != "")

@@ -1,6 +1,7 @@
 """Tables of printed pages, as relations: header tiers, zones, columns, and rows opened by anchors.
 
-Lines have scope, page, ord, x0, y0, x1, y1, text, size, bold, fonts. Reading axes: rows run down the page and columns to the
+Lines have scope, page, ord, x0, y0, x1, y1, text, size, bold, fonts, and may have ``segments``, their parts between wide blanks, as
+array<struct<x0, y0, x1, y1, text>>. Reading axes: rows run down the page and columns to the
 right, or, on rotated pages, rows run to the right and columns from the bottom edge up. ``along`` and ``end`` are a line's
 extent in the direction of rows, ``across`` its place among the columns and ``rank`` the order of columns.
 """
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import bands
+from ..storage import materialize, reads
+from . import assembly, bands
 from .assembly import PREFIX
 
 # Distances in points.
@@ -20,7 +22,11 @@ ROW_GAP, ROTATED_GAP, BULLET = 3.0, 6.8, 10.0
 
 def oriented(lines: DataFrame, rotated: bool) -> DataFrame:
     along, end, across = ("x0", "x1", "y1") if rotated else ("y0", "y1", "x0")
-    return lines.withColumns({"along": F.col(along), "end": F.col(end), "across": F.col(across), "rank": -F.col(across) if rotated else F.col(across)})
+    axes = lambda of: {"along": of(along), "end": of(end), "across": of(across), "rank": -of(across) if rotated else of(across)}
+    out = lines.withColumns(axes(F.col))
+    if "segments" not in lines.columns:
+        return out
+    return out.withColumn("segments", F.transform("segments", lambda s: F.struct(*(v.alias(n) for n, v in axes(lambda c: s[c]).items()), F.coalesce(s["text"], F.lit("")).alias("text"))))
 
 
 def _joined(rows: Column, *order: str) -> Column:
@@ -80,19 +86,26 @@ def anchored_rows(data: DataFrame, found: DataFrame, bullets: DataFrame, scope:
 
     Each line goes to the nearest column. A line of the first column opens a row if it is the first one or over ``gap`` behind the
     end of the last one, unless a bullet up to ``bullet`` further on marks it as wrapped; the other lines go with the open row.
+    Lines whose segments are nearest to different columns are a line for each segment.
     """
     marks = bullets.groupBy(*scope).agg(F.collect_list("along").alias("marks"))
     lines = in_zones(data, found, scope).join(found.select(*scope, "zone", F.col("columns").alias("own")), [*scope, "zone"]).join(marks, scope, "left")
-    nearest = F.array_min(F.transform("own", lambda c, k: F.struct(F.abs(c["across"] - F.col("across")).alias("d"), k.alias("k"), c["name"].alias("name"))))["name"]
+    if "segments" in data.columns:
+        part = ["along", "end", "across", "rank", "text"]
+        parts = F.when(assembly.fused("segments", "own", "across"), F.col("segments")).otherwise(F.array(F.struct(*part)))
+        lines = lines.select("*", F.posexplode(parts).alias("piece", "part")).withColumns({c: F.col("part")[c] for c in part})
+    else:
+        lines = lines.withColumn("piece", F.lit(0))
+    nearest = assembly.nearest_name(F.col("across"), "own", "across")
     anchor = F.array_min(F.transform("own", lambda c, k: F.struct(c["rank"].alias("r"), k.alias("k"), c["name"].alias("name"))))["name"]
     placed = lines.withColumns({"column": nearest, "anchor_column": anchor})
     is_anchor = F.col("column") == F.col("anchor_column")
-    order = Window.partitionBy(*scope, "zone").orderBy("along", "rank", "ord")
+    order = Window.partitionBy(*scope, "zone").orderBy("along", "rank", "ord", "piece")
     far = F.col("along") - F.last(F.when(is_anchor, F.col("end")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
     wrapped = F.coalesce((F.col("far") <= bullet) & F.exists("marks", lambda b: (b > F.col("along")) & (b - F.col("along") < bullet)), F.lit(False))
     opens = is_anchor & (F.col("far").isNull() | ((F.col("far") > gap) & ~wrapped))
     numbered = placed.withColumn("far", far).withColumn("opens", opens.cast("int")).withColumn("row", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    texts = numbered.withColumn("column", F.when(F.col("row") == 0, PREFIX).otherwise(F.col("column"))).groupBy(*scope, "zone", "row", "column").agg(_joined(F.col("text"), "along", "rank", "ord").alias("text"), F.min("ord").alias("ord"))
+    texts = numbered.withColumn("column", F.when(F.col("row") == 0, PREFIX).otherwise(F.col("column"))).groupBy(*scope, "zone", "row", "column").agg(_joined(F.col("text"), "along", "rank", "ord", "piece").alias("text"), F.min("ord").alias("ord"))
     rows = texts.groupBy(*scope, "zone", "row").agg(F.map_from_entries(F.collect_list(F.struct("column", "text"))).alias("cells"), F.min("ord").alias("ord")).join(found, [*scope, "zone"])
     ordered = F.array_sort(F.transform("columns", lambda c, k: F.struct(c["rank"].alias("r"), k.alias("k"), c["name"].alias("name"), c["blank"].alias("blank"))))
     rows = rows.withColumn("sorted", ordered)
@@ -108,31 +121,31 @@ def page_tables(
     lines: DataFrame, scope: list[str], rotated: bool = False, header_size: float = 9.5, data_size: float = 9.0, title_size: float = 10.5, bullet_font: str = "Wingdings",
     headings: tuple[tuple[float, int], ...] | None = None,
 ) -> DataFrame:
-    """Blocks of pages: scope, page, ord, type, level, title, text, anchor_column, columns, items, cells.
+    """Blocks of pages: scope, page, ord, type, level, row, title, text, anchor_column, columns, items, cells.
 
-    Headings; grid rows by zone of their page (level: the zone, items: its columns in order, cells: those whose name begins with a
-    blank); the rest as paragraphs, one a page, or one a line on rotated pages. Headers and titles are bold. Phantom columns and
-    dash orphans are merged by ``assembly``. Null texts are empty.
+    Headings; grid rows by zone of their page (level: the zone, row: the row in it, items: its columns in order, cells: those whose
+    name begins with a blank); the rest as paragraphs, one a page, or one a line on rotated pages. Headers and titles are bold.
+    Rows are as the lines give them; ``final_tables`` mends them. Null texts are empty.
     """
     levels = dict(headings or (((14.0, 1), (12.0, 2)) if rotated else ((26.0, 1), (20.0, 2))))
     size, bold, key = F.col("size"), F.coalesce("bold", F.lit(False)), [*scope, "page"]
     role = F.when(F.exists(F.coalesce("fonts", F.array().cast("array<string>")), lambda f: f.startswith(bullet_font)), "bullet").when(size.isin(*levels), "heading")
     role = role.when(bold & (size == header_size), "header").when(bold & (size == title_size), "title").when(~bold & (size == data_size), "data").otherwise("rest")
-    every = oriented(lines.withColumn("text", F.coalesce("text", F.lit(""))), rotated).withColumn("role", role).select(*key, "ord", "along", "end", "across", "rank", "text", "size", "role")
+    every = oriented(lines.withColumn("text", F.coalesce("text", F.lit(""))), rotated).withColumn("role", role).select(*key, "ord", "along", "end", "across", "rank", "text", "size", "role", *(c for c in lines.columns if c == "segments"))
     of = lambda r: every.where(F.col("role") == r).drop("role")
     found = zones(header_cells(of("header"), key), key)
     rows = anchored_rows(of("data"), found, of("bullet"), key, ROTATED_GAP if rotated else ROW_GAP)
     titles = in_zones(of("title"), found, key, forward=True).groupBy(*key, "zone").agg(_joined(F.col("text"), "along", "ord").alias("title"))
     none = lambda kind: F.lit(None).cast(kind)
-    names = ["type", "level", "title", "text", "anchor_column", "columns", "items", "cells"]
+    names = ["type", "level", "row", "title", "text", "anchor_column", "columns", "items", "cells"]
 
     def block(df: DataFrame, **own: Column) -> DataFrame:
-        kinds = {"level": "int", "columns": "map<string,string>", "items": "array<string>", "cells": "array<string>"}
+        kinds = {"level": "int", "row": "long", "columns": "map<string,string>", "items": "array<string>", "cells": "array<string>"}
         return df.select(*key, "ord", *(own.get(n, none(kinds.get(n, "string"))).alias(n) for n in names))
 
     level = F.create_map(*(F.lit(x) for pair in levels.items() for x in pair))
     heads = block(of("heading"), type=F.lit("section_heading"), level=F.element_at(level, F.col("size")), text=F.trim("text"))
-    grid = block(rows.join(titles, [*key, "zone"], "left"), type=F.lit("grid_row"), level=F.col("zone"), title=F.coalesce("title", F.lit("")), anchor_column=F.col("anchor_column"), columns=F.col("columns"), items=F.col("names"), cells=F.col("blanks"))
+    grid = block(rows.join(titles, [*key, "zone"], "left"), type=F.lit("grid_row"), level=F.col("zone"), row=F.col("row").cast("long"), title=F.coalesce("title", F.lit("")), anchor_column=F.col("anchor_column"), columns=F.col("columns"), items=F.col("names"), cells=F.col("blanks"))
     loose = of("data").unionByName(of("title")).join(found.select(*key).distinct(), key, "left_anti")
     rest = of("rest").unionByName(loose)
     if rotated:
@@ -140,3 +153,16 @@ def page_tables(
     else:
         plain = block(rest.groupBy(*key).agg(_joined(F.col("text"), "along", "rank", "ord").alias("body"), F.min("ord").alias("ord")), type=F.lit("paragraph"), text=F.col("body"))
     return heads.unionByName(grid).unionByName(plain)
+
+
+def final_tables(lines: DataFrame, scope: list[str], rotated: bool = False, **sizes) -> DataFrame:
+    """``page_tables`` with its grid rows put together: phantom columns join the header before them, dash orphans the row before them.
+
+    sizes: further parameters of ``page_tables``. items are the row's columns in order; anchor_column keeps the header's own name, also
+    where it took a phantom column in: such tables have no orphans. The parsed blocks are stored once, for the passes over them.
+    """
+    blocks = materialize(page_tables(lines, scope, rotated, **sizes), "page-tables")
+    table = [*scope, "page", "level"]
+    whole = assembly.phantom_columns(blocks.where("type = 'grid_row'"), table, order="items", spaced="cells")
+    rows = assembly.joined_orphans(whole, table)
+    return reads(blocks.where("type <> 'grid_row'").unionByName(rows.withColumn("items", F.map_keys("columns"))), blocks, rows)

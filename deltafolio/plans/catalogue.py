@@ -840,6 +840,42 @@ UNION ALL SELECT e, CASE WHEN e = 0 THEN 'paragraph_removed' ELSE 'paragraph_add
 SELECT '2024010' || e || '_to_2024010' || (e + 1) AS pair, change_type, CASE WHEN segment = 'BUILDING' AND e = 1 THEN 'BUILDINGS' ELSE segment END AS title, key, CAST(column_index AS INTEGER) AS column_index, old, new FROM u"""
 
 
+def order_pages(spark, d):
+    """Pages of four orders of a customer: a header of which a part stands apart, lines of one or two cells, remarks below their order."""
+    o = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority").withColumn("n", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1)
+    k, y, first = F.col("o_orderkey"), 60.0 + F.col("n") % 4 * 40, F.col("n") % 4 == 0
+    box = lambda x, y, text: [F.lit(x).alias("x0"), y.alias("y0"), F.lit(x + 50).alias("x1"), (y + 10).alias("y1"), text.alias("text")]
+    parts = lambda *cells: F.array(*(F.struct(*box(x, y, t)) for x, t in cells))
+    none = parts((0.0, F.lit(""))).cast("array<struct<x0:double,y0:double,x1:double,y1:double,text:string>>")
+
+    def line(at, x, y, text, size=9.0, segments=None):
+        return F.struct(F.lit(at).alias("at"), *box(x, y, text), F.lit(size).alias("size"), F.lit(size > 9).alias("bold"), (F.when(F.lit(False), none) if segments is None else segments).alias("segments"))
+
+    head = lambda at, x, text: F.when(first, line(at, x, F.lit(40.0), F.lit(text), 9.5))
+    status, priority, key = F.col("o_orderstatus"), F.col("o_orderpriority"), k.cast("string")
+    lines = F.array(
+        F.when(first, line(10, 60.0, F.lit(20.0), F.lit("Orders"), 10.5)), head(11, 60.0, "Order"), head(12, 200.0, "Sta"), head(13, 260.0, " tus"), head(14, 400.0, "Priority"),
+        F.when(first & (F.floor(F.col("n") / 4) % 2 == 1), line(0, 400.0, F.lit(50.0), F.lit("brought over"))),
+        F.when(k % 4 == 0, line(1, 60.0, y, F.concat(key, F.lit(" open")), segments=parts((60.0, key), (90.0, F.lit("open"))))).otherwise(line(1, 60.0, y, key)),
+        F.when(k % 3 == 0, line(2, 200.0, y, F.concat(status, F.lit("  "), priority), segments=parts((200.0, status), (400.0, priority)))).otherwise(line(2, 200.0, y, status)),
+        F.when(k % 3 > 0, line(3, 400.0, y, priority)), F.when((F.col("o_custkey") % 2 == 0) & (k % 7 == 0), line(4, 260.0, y, F.lit("late"))), F.when(k % 5 == 0, line(5, 60.0, y + 20, F.lit("– see note"))),
+    )
+    rows = o.select(F.col("o_custkey").alias("doc_id"), F.floor(F.col("n") / 4).cast("int").alias("page"), "o_orderkey", F.explode(F.array_compact(lines)).alias("l"))
+    return rows.select("doc_id", "page", (F.col("o_orderkey") * 100 + F.col("l.at")).alias("ord"), *(F.col("l." + c) for c in ("x0", "y0", "x1", "y1", "text", "size", "bold", "segments")), F.array().cast("array<string>").alias("fonts"))
+
+
+@query("""WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS n, o_custkey % 2 = 0 AND o_orderkey % 7 = 0 AS late, o_orderkey % 5 = 0 AS noted FROM orders),
+t AS (SELECT *, n // 4 AS page, bool_or(late) OVER w AS ever, count(*) OVER w + count(*) FILTER (noted) OVER w AS lines FROM o WINDOW w AS (PARTITION BY o_custkey, n // 4)),
+r AS (SELECT *, 'Order=' || o_orderkey || CASE WHEN o_orderkey % 4 = 0 THEN ' open' ELSE '' END || CASE WHEN noted THEN ' – see note' ELSE '' END || '|Priority=' || o_orderpriority AS own FROM t)
+SELECT o_custkey AS doc_id, CAST(page AS INTEGER) AS page, o_orderkey * 100 + 1 AS ord, 'Orders' AS title, 'Order' AS anchor_column, CASE WHEN lines > 1 AND NOT ever THEN 'Order|Sta tus|Priority' ELSE 'Order|Sta|tus|Priority' END AS items,
+own || CASE WHEN lines > 1 AND NOT ever THEN '|Sta tus=' || o_orderstatus ELSE '|Sta=' || o_orderstatus || '|tus=' || CASE WHEN late THEN 'late' ELSE '' END END AS columns FROM r
+UNION ALL SELECT o_custkey, CAST(page AS INTEGER), o_orderkey * 100, 'Orders', 'Order', '__unassigned_prefix__', '__unassigned_prefix__=brought over' FROM t WHERE n % 4 = 0 AND page % 2 = 1""")
+def final_tables(spark, d):
+    columns = F.array_join(F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    rows = tables.final_tables(order_pages(spark, d), ["doc_id"]).where("type = 'grid_row'")
+    return rows.select("doc_id", "page", "ord", "title", "anchor_column", F.array_join("items", "|").alias("items"), columns.alias("columns"))
+
+
 @query("""WITH t AS (SELECT o_custkey AS s, o_orderkey AS ord, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + o_orderkey % 2 AS INTEGER) AS page, CASE WHEN o_orderkey % 5 = 0 THEN 'T' END AS table_id, CAST(o_orderkey % 11 = 0 AS VARCHAR) AS section, '| ' || o_orderstatus || ' |  |' AS head, '| ' || o_orderkey || ' | x |' AS row FROM orders),
 b AS (SELECT *, lag(page) OVER w AS p, lag(section) OVER w AS sec, lag(head) OVER w AS h FROM t WINDOW w AS (PARTITION BY s ORDER BY ord)), c AS (SELECT *, coalesce(page = p + 1 AND table_id IS NULL AND section IS NOT DISTINCT FROM sec AND lower(head) = lower(h), false) AS on_ FROM b),
 g AS (SELECT *, sum(CASE WHEN on_ THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY ord) AS grp FROM c)
