@@ -102,11 +102,11 @@ def dash_orphans(rows: DataFrame, scope: list[str], anchor: str, others: list[st
 def joined_orphans(rows: DataFrame, scope: list[str], columns: str = "columns", anchor: str = "anchor_column", order: str = "row") -> DataFrame:
     """``dash_orphans`` of rows whose cells are a map: the rows without the orphans, whose texts end the anchor cell before them.
 
-    anchor: the column with the name of the row's anchor cell. The scope's first row is never an orphan; prefix rows stay and count
-    for nothing; rows without a map are no orphans. Islands by a running count, so that a scope of any size is many tasks.
+    anchor: the column with the name of the row's anchor cell. The scope's first row is never an orphan; prefix rows and rows without
+    a map stay and count for nothing. Islands by a running count, so that a scope of any size is many tasks.
     """
     island, head, texts = scan.fresh(rows.columns, "island", "head", "texts")
-    held = F.coalesce(F.map_contains_key(columns, PREFIX), F.lit(False))
+    held = F.coalesce(F.map_contains_key(columns, PREFIX), F.lit(True))
     text = F.trim(F.coalesce(F.try_element_at(columns, F.col(anchor)), F.lit("")))
     alone = ~F.exists(F.map_entries(columns), lambda e: (e["key"] != F.col(anchor)) & (F.trim(F.coalesce(e["value"], F.lit(""))) != ""))
     orphan = F.coalesce(alone & text.rlike(DASH), F.lit(False))
@@ -115,8 +115,9 @@ def joined_orphans(rows: DataFrame, scope: list[str], columns: str = "columns",
     # An island's first row is its head: before the first row that is no orphan, the scope's first.
     islands = numbered.groupBy(*scope, island).agg(F.min_by(own, order).alias(head), F.array_sort(F.collect_list(F.struct(F.col(order), text.alias("t")))).alias(texts))
     joined = F.trim(F.array_join(F.transform(texts, lambda x: x["t"]), " "))
-    name, cells = F.col(head)[anchor], F.col(head)[columns]
-    grown = F.when(F.size(texts) > 1, F.transform_values(cells, lambda k, v: F.when(k == name, joined).otherwise(v))).otherwise(cells)
+    name, cells = F.coalesce(F.col(head)[anchor], F.lit("")), F.col(head)[columns]
+    ended = F.map_concat(F.map_filter(cells, lambda k, v: k != name), F.create_map(name, joined))
+    grown = F.when(F.size(texts) == 1, cells).when(F.map_contains_key(cells, name), F.transform_values(cells, lambda k, v: F.when(k == name, joined).otherwise(v))).otherwise(ended)
     found = islands.select(*((grown if c == columns else F.col(head)[c]).alias(c) for c in rows.columns))
     return reads(found.unionByName(rows.where(held)), numbered)
 

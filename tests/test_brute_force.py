@@ -5,7 +5,9 @@ from collections import defaultdict
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
+from deltafolio.operators import tables
 from deltafolio.plans import catalogue
 
 
@@ -78,8 +80,12 @@ def test_disappeared_content(spark, sf_dir):
 
 
 def pages_of(spark, sf_dir):
+    return by_document(catalogue.laid_out(spark, sf_dir).collect())
+
+
+def by_document(lines):
     docs = defaultdict(list)
-    for r in catalogue.laid_out(spark, sf_dir).collect():
+    for r in lines:
         docs[r["doc_id"]].append(r)
     return {k: sorted(rows, key=lambda r: (r["page"], r["ord"])) for k, rows in docs.items()}
 
@@ -124,13 +130,12 @@ def test_numbered_sections(spark, sf_dir):
     assert sorted((r["doc_id"], r["block"], r["type"], r["text"], r["code"] or "") for r in got) == sorted(wanted)
 
 
-@pytest.mark.parametrize("rotated", [False, True])
-def test_page_tables(spark, sf_dir, rotated):
-    """Page by page: tiers by their first line, zones by repeated names, rows by gaps of the anchor column."""
+def plain_tables(documents, rotated, final=False):
+    """Page by page: tiers by their first line, zones by repeated names, rows by gaps of the anchor column; final ones are put together."""
     along, end, across, sign = ("x0", "x1", "y1", -1) if rotated else ("y0", "y1", "x0", 1)
     levels, gap = ({14.0: 1, 12.0: 2}, 6.8) if rotated else ({26.0: 1, 20.0: 2}, 3.0)
     wanted = []
-    for k, rows in pages_of(spark, sf_dir).items():
+    for k, rows in documents.items():
         for page in sorted({r["page"] for r in rows}):
             by = defaultdict(list)
             for r in rows:
@@ -138,7 +143,7 @@ def test_page_tables(spark, sf_dir, rotated):
                     role = "heading" if r["size"] in levels else "header" if r["bold"] and r["size"] == 9.5 else "title" if r["bold"] and r["size"] == 10.5 else "data" if not r["bold"] and r["size"] == 9.0 else "rest"
                     by[role].append(r)
             wanted += [(k, page, "section_heading", levels[r["size"]], "", r["text"].strip(), "") for r in by["heading"]]
-            tiers = []
+            tiers, spaced = [], set()
             for r in sorted(by["header"], key=lambda r: (r[along], r[across])):
                 if not tiers or r[along] - tiers[-1][0] > 15:
                     tiers.append((r[along], []))
@@ -154,6 +159,8 @@ def test_page_tables(spark, sf_dir, rotated):
                 for c in cells:
                     c = sorted(c, key=lambda r: (r[along], r["ord"]))
                     named.append((" ".join(r["text"].strip() for r in c).strip(), c[0][across]))
+                    if c[0]["text"].startswith(" "):
+                        spaced.add(named[-1][0])
                 if not zones or {n for n, _ in named} & {n for _, t in zones[-1] for n, _ in t}:
                     zones.append([])
                 zones[-1].append((at, named))
@@ -171,25 +178,80 @@ def test_page_tables(spark, sf_dir, rotated):
                 title = " ".join(r["text"].strip() for r in sorted(by["title"], key=lambda r: (r[along], r["ord"])) if head(r) == z).strip()
                 anchor = min(columns, key=lambda n: sign * columns[n])
                 built, before = [defaultdict(list)], None
-                for r in sorted((r for r in by["data"] if zone(r) == z), key=lambda r: (r[along], sign * r[across], r["ord"])):
-                    name = min(columns, key=lambda n: abs(columns[n] - r[across]))
+                near = lambda r: min(columns, key=lambda n: abs(columns[n] - r[across]))  # noqa: E731, B023
+                data = []
+                for r in by["data"]:
+                    parts = r["segments"] or [] if final else []
+                    split = len({near(p) for p in parts}) > 1
+                    data += [(r, p, j) for j, p in enumerate(parts)] if split else [(r, r, 0)]
+                for _, r, _ in sorted((x for x in data if zone(x[0]) == z), key=lambda x: (x[1][along], sign * x[1][across], x[0]["ord"], x[2])):
+                    name = near(r)
                     if name == anchor:
                         if before is None or r[along] - before > gap:
                             built.append(defaultdict(list))
                         before = r[end]
                     built[-1][name if len(built) > 1 else "__unassigned_prefix__"].append(r["text"].strip())
-                for n, row in enumerate(built):
-                    if n or row:
-                        cells = {c: " ".join(row.get(c, [])).strip() for c in (columns if n else row)}
+                whole = [{c: " ".join(row.get(c, [])).strip() for c in (columns if n else row)} for n, row in enumerate(built)]
+                if final:
+                    whole[1:] = put_together(whole[1:], sorted(columns, key=lambda n: sign * columns[n]), spaced, anchor)
+                for cells in whole:
+                    if cells:
                         wanted.append((k, page, "grid_row", z + 1, title, "", "|".join(f"{c}={t}" for c, t in sorted(cells.items()))))
             rest = sorted(by["rest"] + ([] if found else by["data"] + by["title"]), key=lambda r: (r[along], sign * r[across], r["ord"]))
             for own in [[r] for r in rest] if rotated else [rest] if rest else []:
                 wanted.append((k, page, "paragraph", 0, "", " ".join(r["text"].strip() for r in own).strip(), ""))
-    got = catalogue.queries()["rotated_tables" if rotated else "page_tables"](spark, sf_dir).collect()
-    assert sorted((r["doc_id"], r["page"], r["type"], r["level"] or 0, r["title"] or "", r["text"] or "", r["columns"] or "") for r in got) == sorted(wanted)
+    return sorted(wanted)
+
+
+def put_together(rows, order, spaced, anchor):
+    """Plain rows of a table: headers that no row fills go to the filled one before them, then orphans to the row before them."""
+    if len(rows) > 1:
+        ever = [any(r[c] for r in rows) for c in order]
+        name, gone = {c: c for c in order}, set()
+        for j in range(1, len(order)):
+            if any(ever) and not ever[j] and ever[j - 1]:
+                name[order[j - 1]] = order[j - 1] + (" " if order[j] in spaced else "") + order[j]
+                gone.add(order[j])
+        rows = [{name[c]: r[c] for c in order if c not in gone} for r in rows]
+    out = []
+    for r in rows:
+        if out and re.match(r"[–‒-]\s", r.get(anchor, "")) and not any(v for c, v in r.items() if c != anchor):
+            out[-1][anchor] = (out[-1][anchor] + " " + r[anchor]).strip()
+        else:
+            out.append(r)
+    return out
+
+
+def listed(blocks):
+    """Blocks with flat columns, as ``plain_tables`` lists them."""
+    return sorted((r["doc_id"], r["page"], r["type"], r["level"] or 0, r["title"] or "", r["text"] or "", r["columns"] or "") for r in blocks)
+
+
+@pytest.mark.parametrize("rotated", [False, True])
+def test_page_tables(spark, sf_dir, rotated):
+    wanted = plain_tables(pages_of(spark, sf_dir), rotated)
+    assert listed(catalogue.queries()["rotated_tables" if rotated else "page_tables"](spark, sf_dir).collect()) == wanted
     assert any(w[2] == "grid_row" for w in wanted) or not rotated
 
 
+@pytest.mark.parametrize("rotated", [False, True])
+def test_final_tables(spark, sf_dir, rotated):
+    """Lines of given pages, once as they stand and once turned, so that rows run to the right and columns from the bottom edge up."""
+    lines = catalogue.order_pages(spark, sf_dir)
+    if rotated:
+        box = lambda c: [c("y0").alias("x0"), (-c("x1")).alias("y0"), c("y1").alias("x1"), (-c("x0")).alias("y1"), c("text").alias("text")]
+        parts = F.transform("segments", lambda s: F.struct(*box(lambda n: s[n])))
+        lines = lines.select("doc_id", "page", "ord", *box(F.col), "size", "bold", "fonts", parts.alias("segments"))
+    sizes = {"headings": ((26.0, 1), (20.0, 2)) if not rotated else ((14.0, 1), (12.0, 2))}
+    blocks = tables.final_tables(lines, ["doc_id"], rotated, **sizes)
+    flat = F.array_join(F.transform(F.array_sort(F.map_entries("columns")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    wanted = plain_tables(by_document(lines.collect()), rotated, final=True)
+    assert listed(blocks.withColumn("columns", flat).collect()) == wanted
+    columns = [w[-1] for w in wanted]
+    assert any("Sta tus=" in c for c in columns) and any("|tus=late" in c for c in columns) and any(" – see note" in c for c in columns) and any(c.startswith("__") for c in columns)
+    assert tables.final_tables(lines.limit(0), ["doc_id"], rotated).collect() == []
+
+
 def test_section_moves(spark, sf_dir):
     from test_matching_index import plain_moves
 

@@ -3,7 +3,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from deltafolio.operators import assembly, cards, folding, pages, tables
+from deltafolio.operators import assembly, cards, folding, pages, scan, tables
 from deltafolio.operators.folding import Line
 
 
@@ -195,6 +195,27 @@ def test_phantom_columns(spark):
     assert got[("u", 1)] == rows[3][2] and got[("v", 1)] == rows[4][2] and len(got) == 6
 
 
+def test_phantom_names_that_are_columns_already(spark):
+    order = F.array(*map(F.lit, ("A", "B", "A B", "C")))
+    df = spark.createDataFrame([(1, {"A": "x", "B": "", "A B": "y", "C": "z"}), (2, {"A": "u", "B": "", "A B": "", "C": "w"})], "k int, columns map<string,string>").withColumns({"s": F.lit(1), "names": order, "spaced": F.array(F.lit("B"))})
+    assert [r["columns"] for r in assembly.phantom_columns(df, ["s"]).orderBy("k").collect()] == [{"A B": "x", "C": "z"}, {"A B": "u", "C": "w"}]
+    # A row of text before any anchor is no second row.
+    one = spark.createDataFrame([(1, {"A": "x", "B": ""}), (0, {assembly.PREFIX: "p"})], "k int, columns map<string,string>").withColumns({"s": F.lit(1), "names": F.array(F.lit("A"), F.lit("B")), "spaced": F.array(F.lit("B"))})
+    assert [r["columns"] for r in assembly.phantom_columns(one, ["s"]).orderBy("k").collect()] == [{assembly.PREFIX: "p"}, {"A": "x", "B": ""}]
+
+
+def test_orphans_of_maps(spark, monkeypatch):
+    cells = [{assembly.PREFIX: "– p"}, {"A": "– one", "B": ""}, {"A": "- two", "B": None}, {"A": "x", "B": "1"}, {"A": "– y", "B": " "}, {"A": "‒ z", "B": ""}, {"A": "– full", "B": "2"}, {"A": "-tight", "B": ""}, {"B": ""}, None, {"A": "– end", "B": ""}]
+    rows = spark.createDataFrame([(s, k, c, "A", "clash") for s in (1, None) for k, c in enumerate(cells)], "s int, row int, columns map<string,string>, anchor_column string, island string")
+    wanted = [(0, cells[0]), (1, {"A": "– one - two", "B": ""}), (3, {"A": "x – y ‒ z", "B": "1"}), (6, cells[6]), (7, cells[7]), (8, {"B": "", "A": "– end"}), (9, None)]
+    for split in (None, 3):
+        if split:
+            monkeypatch.setitem(scan.scanned.__kwdefaults__, "split", split)
+        got = assembly.joined_orphans(rows, ["s"]).orderBy("s", "row").collect()
+        assert [(r["row"], r["columns"]) for r in got] == wanted * 2 and {r["island"] for r in got} == {"clash"}
+    assert assembly.joined_orphans(rows.limit(0), ["s"]).collect() == []
+
+
 def test_references_and_criteria(spark):
     row = spark.createDataFrame([("see Table 2–1, TABLE 2-1 and Table 1-10; Table 2-1",), (None,)], "t string")
     assert [r[0] for r in row.select(assembly.references(F.col("t"))).collect()] == [["TABLE 2-1", "Table 1-10", "Table 2-1"], []]
