@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import materialize, reads
+from ..storage import materialize, reads, release
 from . import assembly, bands
 from .assembly import PREFIX
 
@@ -133,7 +133,8 @@ def page_tables(
     role = role.when(bold & (size == header_size), "header").when(bold & (size == title_size), "title").when(~bold & (size == data_size), "data").otherwise("rest")
     every = oriented(lines.withColumn("text", F.coalesce("text", F.lit(""))), rotated).withColumn("role", role).select(*key, "ord", "along", "end", "across", "rank", "text", "size", "role", *(c for c in lines.columns if c == "segments"))
     of = lambda r: every.where(F.col("role") == r).drop("role")
-    found = zones(header_cells(of("header"), key), key)
+    # Stored: five joins and two sweeps read the zones, and headers are few.
+    found = materialize(zones(header_cells(of("header"), key), key), "zones")
     rows = anchored_rows(of("data"), found, of("bullet"), key, ROTATED_GAP if rotated else ROW_GAP)
     titles = in_zones(of("title"), found, key, forward=True).groupBy(*key, "zone").agg(_joined(F.col("text"), "along", "ord").alias("title"))
     none = lambda kind: F.lit(None).cast(kind)
@@ -152,7 +153,7 @@ def page_tables(
         plain = block(rest, type=F.lit("paragraph"), text=F.trim("text"))
     else:
         plain = block(rest.groupBy(*key).agg(_joined(F.col("text"), "along", "rank", "ord").alias("body"), F.min("ord").alias("ord")), type=F.lit("paragraph"), text=F.col("body"))
-    return heads.unionByName(grid).unionByName(plain)
+    return reads(heads.unionByName(grid).unionByName(plain), found)
 
 
 def final_tables(lines: DataFrame, scope: list[str], rotated: bool = False, **sizes) -> DataFrame:
@@ -161,7 +162,9 @@ def final_tables(lines: DataFrame, scope: list[str], rotated: bool = False, **si
     sizes: further parameters of ``page_tables``. items are the row's columns in order; anchor_column keeps the header's own name, also
     where it took a phantom column in: such tables have no orphans. The parsed blocks are stored once, for the passes over them.
     """
-    blocks = materialize(page_tables(lines, scope, rotated, **sizes), "page-tables")
+    parsed = page_tables(lines, scope, rotated, **sizes)
+    blocks = materialize(parsed, "page-tables")
+    release(parsed)
     table = [*scope, "page", "level"]
     whole = assembly.phantom_columns(blocks.where("type = 'grid_row'"), table, order="items", spaced="cells")
     rows = assembly.joined_orphans(whole, table)
