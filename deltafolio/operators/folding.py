@@ -81,28 +81,12 @@ def fold(lines: DataFrame, scope: list[str], parser: Parser, order: list[str] |
     return spread.mapInArrow(run, f"{kinds}, block long, {BLOCK}")
 
 
-def runs(lines: Iterator[Line], kind: Callable[[Line], str], joins: Callable[[str, list[Line], Line], bool], build: Callable[[str, list[Line]], dict]) -> Iterator[dict]:
-    """Blocks of consecutive lines of one kind; ``joins`` tells whether a line goes on with the open block."""
-    open_kind, held = None, []
-    for line in lines:
-        k = kind(line)
-        if held and k == open_kind and joins(k, held, line):
-            held.append(line)
-            continue
-        if held:
-            yield build(open_kind, held)
-        open_kind, held = k, [line]
-    if held:
-        yield build(open_kind, held)
-
-
-def in_row(held: list[Line], line: Line, gap: float | None = None) -> bool:
-    """Same page, and over half of the smaller height shared with the lines so far; with ``gap``, or at most that far below."""
+def in_row(held: list[Line], line: Line) -> bool:
+    """Same page, and over half of the smaller height shared with the lines so far."""
     if held[0].page != line.page:
         return False
     top, bottom = min(x.y0 for x in held), max(x.y1 for x in held)
-    shared = min(bottom, line.y1) - max(top, line.y0)
-    return shared > 0.5 * min(bottom - top, line.y1 - line.y0) or (gap is not None and line.y0 - bottom <= gap)
+    return min(bottom, line.y1) - max(top, line.y0) > 0.5 * min(bottom - top, line.y1 - line.y0)
 
 
 def in_paragraph(held: list[Line], line: Line, shift: float = 20.0, gap: float = 10.0) -> bool:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.similarity import disappeared, length_bound, ratio
-from ..operators import assembly, bands, cards, classify, containers, diffing, folding, landing, matching, noise, pages, reporting, spans, tables
+from ..operators import assembly, bands, cards, classify, containers, diffing, flows, folding, landing, matching, noise, pages, reporting, spans, tables
 from . import driver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -755,7 +755,7 @@ def _parsed(parser, lines=laid_out):
     return run
 
 
-for _name in ("index_blocks", "code_tables", "numbered_sections", "narrative"):
+for _name in ("code_tables", "numbered_sections"):
     QUERIES[_name] = _parsed(getattr(pages, _name))
 
 
@@ -766,6 +766,16 @@ def _flat(blocks):
     return blocks.select("doc_id", "block", "page", "type", *(v.alias(c) for c, v in own.items()))
 
 
+@query()
+def index_blocks(spark, d):
+    return _flat(flows.index_blocks(laid_out(spark, d), ["doc_id"]))
+
+
+@query()
+def narrative(spark, d):
+    return _flat(flows.narrative(laid_out(spark, d), ["doc_id"]))
+
+
 @query()
 def label_cards(spark, d):
     return _flat(cards.label_cards(laid_out(spark, d), ["doc_id"]))

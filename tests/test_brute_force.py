@@ -109,6 +109,34 @@ def test_narrative(spark, sf_dir):
     assert sorted((r["doc_id"], r["block"], r["page"], r["level"] or 0, r["text"]) for r in got) == sorted((a, b, c, d or 0, e) for a, b, c, d, e in wanted)
 
 
+def test_index_blocks(spark, sf_dir):
+    wanted = []
+    for k, rows in pages_of(spark, sf_dir).items():
+        blocks = []
+        for r in rows:
+            text = r["text"].strip()
+            kind = "section_heading" if r["size"] == 12.0 and re.match(r"[0-9]{2}\s", text) else "table_row" if r["size"] == 10.5 else "paragraph"
+            if blocks and kind == blocks[-1][0] != "section_heading" and blocks[-1][1][0]["page"] == r["page"]:
+                own = blocks[-1][1]
+                top, bottom = min(x["y0"] for x in own), max(x["y1"] for x in own)
+                overlap = min(bottom, r["y1"]) - max(top, r["y0"])
+                in_row = overlap > 0.5 * min(bottom - top, r["y1"] - r["y0"]) or r["y0"] - bottom <= 4
+                if in_row if kind == "table_row" else abs(r["x0"] - own[0]["x0"]) <= 20 and r["y0"] - own[-1]["y1"] <= 10:
+                    own.append(r)
+                    continue
+            blocks.append((kind, [r]))
+        for n, (kind, own) in enumerate(blocks):
+            cells = []
+            for r in sorted(own, key=lambda r: r["x0"]):
+                if not cells or abs(r["x0"] - cells[-1][0]) > 3:
+                    cells.append((r["x0"], []))
+                cells[-1][1].append(r["text"].strip())
+            row = kind == "table_row"
+            wanted.append((k, n, own[0]["page"], kind, "" if row else " ".join(r["text"].strip() for r in own).strip(), "|".join("\n".join(t) for _, t in cells) if row else ""))
+    got = catalogue.queries()["index_blocks"](spark, sf_dir).collect()
+    assert sorted((r["doc_id"], r["block"], r["page"], r["type"], r["text"] or "", r["cells"] or "") for r in got) == sorted(wanted)
+
+
 def test_numbered_sections(spark, sf_dir):
     wanted = []
     for k, rows in pages_of(spark, sf_dir).items():

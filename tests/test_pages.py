@@ -3,7 +3,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from deltafolio.operators import assembly, cards, folding, pages, scan, tables
+from deltafolio.operators import assembly, cards, flows, folding, pages, scan, tables
 from deltafolio.operators.folding import Line
 
 
@@ -26,9 +26,9 @@ def blocks(spark, relation, lines, *names):
     return [tuple(r[n] for n in ("type", *names)) for r in got]
 
 
-def test_index_rows_wrap_but_never_across_pages():
+def test_index_rows_wrap_but_never_across_pages(spark):
     lines = [L("05 Sales", size=12.0), L("TCR 0", 20, 60, 10.5), L("Data of", 20, 160, 10.5), L("the sale", 32, 160, 10.5), L("TCR 1", 60, 60, 10.5), L("TCR 2", 30, 60, 10.5, page=2), L("a", 60, page=2), L("b", 75, page=2), L("c", 200, page=2)]
-    assert shapes(pages.index_blocks(iter(lines)), "text", "cells") == [
+    assert blocks(spark, flows.index_blocks, lines, "text", "cells") == [
         ("section_heading", "05 Sales", None), ("table_row", None, ["TCR 0", "Data of\nthe sale"]), ("table_row", None, ["TCR 1"]), ("table_row", None, ["TCR 2"]), ("paragraph", "a b", None), ("paragraph", "c", None)]
 
 
@@ -152,9 +152,9 @@ def test_bullets_keep_wrapped_anchors(spark):
     assert rows(bullet.limit(0)) == ["one", "two", "three"] and rows(bullet) == ["one two", "three"]
 
 
-def test_narrative_headings_and_paragraphs():
+def test_narrative_headings_and_paragraphs(spark):
     lines = [L("1 Big", 0, size=26.0), L("title", 30, size=26.0), L("Part", 60, size=20.0), L("Detail", 80, size=14.0), L("a", 100), L("b", 112), L("far", 150), L("moved", 160, 100), L("Part two", 0, size=20.0, page=2), L("c", 20, page=2)]
-    assert shapes(pages.narrative(iter(lines)), "level", "text") == [
+    assert blocks(spark, flows.narrative, lines, "level", "text") == [
         ("section_heading", 1, "1 Big title"), ("section_heading", 2, "Part"), ("section_heading", 3, "Detail"), ("paragraph", None, "a b"), ("paragraph", None, "far"), ("paragraph", None, "moved"), ("section_heading", 2, "Part two"), ("paragraph", None, "c")]
 
 
@@ -179,12 +179,13 @@ def test_fold_streams_scopes_in_order(spark):
     got = folding.fold(lines, ["s"], pages.numbered_sections, rows=7).orderBy("s", "block").collect()
     expected = [b["code"] for b in pages.numbered_sections(L(r[7]) for r in rows[:40])]
     assert [r["code"] for r in got] == expected * 2 and [r["block"] for r in got] == [*range(40)] * 2
-    assert folding.fold(lines.limit(0), ["s"], pages.index_blocks).count() == 0
+    assert folding.fold(lines.limit(0), ["s"], pages.code_tables).count() == 0
     empty = lines.select("s", *(F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in Line.__dataclass_fields__ if c in lines.columns))
-    for parser in (pages.index_blocks, pages.code_tables, pages.numbered_sections, pages.narrative):
+    for parser in (pages.code_tables, pages.numbered_sections):
         folding.fold(empty, ["s"], parser).count()
-    for relation in (cards.label_cards, cards.field_cards, cards.rotated_pairs):
+    for relation in (cards.label_cards, cards.field_cards, cards.rotated_pairs, flows.index_blocks, flows.narrative):
         relation(empty, ["s"]).count()
+    assert flows.narrative(empty.limit(0), ["s"]).collect() == []
 
 
 def test_phantom_columns(spark):
