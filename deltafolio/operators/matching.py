@@ -314,19 +314,54 @@ def _sized(pairs: DataFrame, a: DataFrame, b: DataFrame, scope: list[str], size_
     return both.where(F.least("a_n", "b_n") >= size_ratio * F.greatest("a_n", "b_n"))
 
 
-def _only_candidates(pairs: DataFrame, scope: list[str]) -> DataFrame:
-    """The pairs of which neither section is in another one: counts by section and joins, no window over a section's pairs."""
+def _only_candidates(pairs: DataFrame, scope: list[str], weights: dict[str, str] | None = None) -> DataFrame:
+    """The pairs of which neither section is in another one: counts by section and joins, no window over a section's pairs.
+
+    weights: for each end, the column that tells how many sections the pair's other end stands for; without, each is one.
+    """
     table = materialize(pairs, "section-pairs")
     for end in ("a", "b"):
-        alone = table.groupBy(*scope, end).agg(F.count(F.lit(1)).alias("_pairs")).where("_pairs = 1").drop("_pairs")
+        met = F.sum(weights[end]) if weights else F.count(F.lit(1))
+        alone = table.groupBy(*scope, end).agg(met.alias("_pairs")).where("_pairs = 1").drop("_pairs")
         pairs = (table if end == "a" else pairs).join(alone, [*scope, end], "left_semi")
     return reads(pairs, table)
 
 
+def _contents(df: DataFrame, scope: list[str], p: str) -> DataFrame:
+    """scope, p (a section, the first of those that hold the same), content (its paragraphs, each with its times), p_n, p_sections (how many hold that)."""
+    own = df.where(F.col("section").isNotNull()).groupBy(*scope, "section", "text").agg(F.count(F.lit(1)).alias("times"))
+    packed = own.groupBy(*scope, "section").agg(F.array_sort(F.collect_list(F.struct("text", "times"))).alias("content"), F.sum("times").alias(f"{p}_n"))
+    return packed.groupBy(*scope, "content", f"{p}_n").agg(F.min("section").alias(p), F.count(F.lit(1)).alias(f"{p}_sections"))
+
+
 def section_copies(removed: DataFrame, added: DataFrame, scope: list[str], coverage: float = 0.8, size_ratio: float = 0.5) -> DataFrame:
-    """(scope, a, b, exact, a_n, b_n): section_moves by equal paragraphs alone, in any order. Frames: scope, section, text."""
-    near = _sized(_overlaps(removed, added, scope), removed, added, scope, size_ratio)
-    return _only_candidates(near.where(F.col("exact") >= coverage * F.col("a_n")), scope).select(*scope, "a", "b", "exact", "a_n", "b_n")
+    """(scope, a, b, exact, a_n, b_n): section_moves by equal paragraphs alone, in any order. Frames: scope, section, text.
+
+    Sections that hold the same are compared as one, and rule each other out as anyone's only candidate by their number. What a section must share
+    with another (``coverage`` of the removed one, hence ``coverage * size_ratio`` of the added one at least) leaves none to meet on its
+    commonest paragraphs alone: of each section, only so many of the rarest are indexed that a partner has one of them.
+    """
+    a, b = (materialize(_contents(df, scope, p), "section-contents") for df, p in ((removed, "a"), (added, "b")))
+    # The k-th of equal paragraphs is an item of its own, so contents are sets.
+    rows = lambda df, p: df.select(*scope, p, f"{p}_n", f"{p}_sections", F.explode("content").alias("x")).select("*", "x.*").drop("x").where(F.col("text").isNotNull())
+    items = lambda df, p: rows(df, p).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times")
+    item = [*scope, "text", "nth"]
+    both = items(a, "a").select(*item).unionByName(items(b, "b").select(*item))
+    common = both.groupBy(*item).agg(F.count(F.lit(1)).alias("common"))
+
+    def first(df: DataFrame, p: str, least: float) -> DataFrame:
+        section = Window.partitionBy(*scope, p)
+        place = {"_at": F.row_number().over(section.orderBy("common", "text", "nth")), "_items": F.count(F.lit(1)).over(section)}
+        needed = F.greatest(F.ceil(least * F.col(f"{p}_n") - 1e-9), F.lit(1))
+        return items(df, p).join(common, item).withColumns(place).where(F.col("_at") <= F.col("_items") - needed + 1).drop("_at", "_items", "common")
+
+    met = first(a, "a", coverage).join(first(b, "b", coverage * size_ratio), item).drop("text", "nth")
+    near = met.where(F.least("a_n", "b_n") >= size_ratio * F.greatest("a_n", "b_n")).distinct()
+    texts = lambda df, p: rows(df, p).select(*scope, p, "text", F.col("times").alias(f"{p}_times"))
+    shared = near.join(texts(a, "a"), [*scope, "a"]).join(texts(b, "b"), [*scope, "b", "text"])
+    found = shared.groupBy(*near.columns).agg(F.sum(F.least("a_times", "b_times")).alias("exact")).where(F.col("exact") >= coverage * F.col("a_n"))
+    out = _only_candidates(found, scope, {"a": "b_sections", "b": "a_sections"})
+    return reads(out.select(*scope, "a", "b", "exact", "a_n", "b_n"), a, b, out)
 
 
 def section_moves(removed: DataFrame, added: DataFrame, scope: list[str], coverage: float = 0.8, size_ratio: float = 0.5, threshold: float = 0.9, min_length: int = 60) -> DataFrame:

@@ -167,3 +167,42 @@ def test_copies_count_a_repeated_paragraph_as_often_as_both_have_it(spark):
     got = matching.section_copies(side(removed), side(added), ["s"]).collect()
     assert [tuple(r) for r in got] == [(1, "c", "d", 4, 5, 5)]
     assert matching.section_copies(side(removed).limit(0), side(added), ["s"]).count() == 0
+
+
+def plain_copies(removed, added, coverage=0.8, size_ratio=0.5):
+    found = []
+    for (s, a), old in removed.items():
+        for (q, b), new in added.items():
+            shared = sum(min(old.count(t), new.count(t)) for t in set(old) if t is not None)
+            if s == q and shared and min(len(old), len(new)) >= size_ratio * max(len(old), len(new)) and shared >= coverage * len(old):
+                found.append((s, a, b, shared, len(old), len(new)))
+    return sorted(x for x in found if sum(y[:2] == x[:2] for y in found) == 1 and sum((y[0], y[2]) == (x[0], x[2]) for y in found) == 1)
+
+
+@pytest.mark.parametrize("coverage, size_ratio", [(0.8, 0.5), (0.5, 0.2), (0.1, 0.9)])
+def test_copies_like_all_pairs(spark, coverage, size_ratio):
+    r = random.Random(int(coverage * 10))
+    texts = ["common"] * 3 + ["often", None] + [f"t{k}" for k in range(30)]
+    sections = lambda p: {(r.choice([1, 2]), f"{p}{k}"): [r.choice(texts) for _ in range(r.randint(1, 9))] for k in range(60)}
+    removed, added = sections("a"), sections("b")
+    for k, ((s, _), old) in enumerate(list(removed.items())[:25]):
+        added[s, f"c{k}"] = [*old[k % 3 :], "more"][:: r.choice([1, -1])]
+    side = lambda d: spark.createDataFrame([(s, n, t) for (s, n), ps in d.items() for t in ps], "s int, section string, text string")
+    got = matching.section_copies(side(removed), side(added), ["s"], coverage, size_ratio).collect()
+    want = plain_copies(removed, added, coverage, size_ratio)
+    assert sorted(tuple(x) for x in got) == want and want
+
+
+def test_sections_that_hold_the_same_are_compared_once(spark, monkeypatch):
+    """300 sections of one content on either side: no table has a row for each pair of them."""
+    rows = []
+
+    def counted(df, label, make=matching.materialize):
+        out = make(df, label)
+        rows.append(matching.rows_of(out))
+        return out
+
+    monkeypatch.setattr(matching, "materialize", counted)
+    side = lambda p: spark.createDataFrame([(1, f"{p}{k}", "n/a") for k in range(300)] + [(1, f"{p}x", t) for t in ("u", "v", "n/a")], "s int, section string, text string")
+    got = matching.section_copies(side("a"), side("b"), ["s"]).collect()
+    assert [tuple(r) for r in got] == [(1, "ax", "bx", 3, 3, 3)] and max(rows) < 10, rows
