@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import character_bound, ratio_of
 from ..storage import materialize, reads, release, rows_of
 from .candidates import Bags, candidates
-from .scan import fresh, matches
+from .scan import fresh, matches, scanned, total
 
 
 def status(a: Column, b: Column) -> Column:
@@ -166,6 +166,32 @@ def mutual_best(edges: DataFrame, scope: list[str]) -> DataFrame:
     return edges.withColumns({"_a": by("a_ord"), "_b": by("b_ord")}).where("_a = 1 and _b = 1").drop("_a", "_b")
 
 
+#: Texts of one side of a scope that meet the other side's in one group.
+BLOCK = 1024
+
+
+def mutual_nearest(a: DataFrame, b: DataFrame, scope: list[str], block: int = BLOCK) -> DataFrame:
+    """(scope, a_ord, b_ord, distance): mutual_best of all pairs of a scope by edit distance, smallest first. Frames: scope, ord (each once), text.
+
+    Of equal texts of a side only the first can be anyone's best, so different texts are compared, each pair once. A pair is never stored: it goes
+    into the least (distance, other end) of either end, a number, which tasks gather in part; a scope's texts come in blocks, so that it is many tasks.
+    """
+    first = lambda df: df.groupBy(*scope, "text").agg(F.min("ord").alias("ord"))
+    counted = lambda df, p: scanned(first(df), scope, ["ord"], {"at": total(F.lit(1))}).select(*scope, *(F.col(c).alias(f"{p}_{c}") for c in ("at", "ord", "text")))
+    a, b = (materialize(counted(df, p), "different-texts") for df, p in ((a, "a"), (b, "b")))
+    blocks = a.withColumn("block", F.floor(F.col("a_at") / block))
+    spread = b.join(blocks.select(*scope, "block").distinct(), scope)
+    # Null distances, of null texts, come last.
+    last = (1 << 31) - 1
+    pairs = blocks.join(spread, [*scope, "block"]).withColumn("distance", F.coalesce(F.levenshtein("a_text", "b_text"), F.lit(last)).cast("bigint"))
+    ends = F.array(*(F.struct(F.lit(own).alias("side"), F.col(f"{own}_at").alias("at"), (F.shiftleft("distance", 32) + F.col(f"{other}_at")).alias("best")) for own, other in ("ab", "ba")))
+    best = materialize(pairs.select(*scope, F.explode(ends).alias("e")).groupBy(*scope, "e.side", "e.at").agg(F.min("e.best").alias("best")), "best-ends")
+    side = lambda own, other: best.where(F.col("side") == own).select(*scope, F.col("at").alias(f"{own}_at"), F.col("best").bitwiseAND((1 << 32) - 1).alias(f"{other}_at"), F.shiftright("best", 32).cast("int").alias("distance"))
+    both = side("a", "b").join(side("b", "a").drop("distance"), [*scope, "a_at", "b_at"])
+    named = both.join(a.drop("a_text"), [*scope, "a_at"]).join(b.drop("b_text"), [*scope, "b_at"])
+    return reads(named.select(*scope, "a_ord", "b_ord", F.nullif("distance", F.lit(last)).alias("distance")), a, b, best)
+
+
 def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple[str, int, int, int, int]]:
     """(status, a from, a to, b from, b to) of an alignment of paragraphs; a replaced stretch with equal joined text is a reflow."""
     out = []

@@ -333,9 +333,7 @@ def part_names(spark, d):
 @query("""WITH p AS (SELECT p_brand AS brand, p_type AS kind, p_partkey AS ord, p_name || ' ' || p_type AS t FROM part), e AS (SELECT a.brand, a.kind, a.ord AS a_ord, b.ord AS b_ord, levenshtein(a.t, b.t) AS x FROM p a JOIN p b ON a.brand = b.brand AND a.kind = b.kind WHERE a.ord % 2 = 0 AND b.ord % 2 = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY brand, kind, a_ord ORDER BY x, a_ord, b_ord) AS ra, row_number() OVER (PARTITION BY brand, kind, b_ord ORDER BY x, a_ord, b_ord) AS rb FROM e) SELECT a_ord, b_ord, CAST(x AS INTEGER) AS distance FROM r WHERE ra = 1 AND rb = 1""")
 def fuzzy_mutual_best(spark, d):
-    a, b = part_names(spark, d)
-    e = a.toDF("brand", "kind", "a_ord", "a_text").join(b.toDF("brand", "kind", "b_ord", "b_text"), ["brand", "kind"]).withColumn("distance", F.levenshtein("a_text", "b_text"))
-    return matching.mutual_best(e.withColumn("ratio", -F.col("distance")), ["brand", "kind"]).select("a_ord", "b_ord", "distance")
+    return matching.mutual_nearest(*part_names(spark, d), ["brand", "kind"]).select("a_ord", "b_ord", "distance")
 
 
 @query()

@@ -206,3 +206,30 @@ def test_sections_that_hold_the_same_are_compared_once(spark, monkeypatch):
     side = lambda p: spark.createDataFrame([(1, f"{p}{k}", "n/a") for k in range(300)] + [(1, f"{p}x", t) for t in ("u", "v", "n/a")], "s int, section string, text string")
     got = matching.section_copies(side("a"), side("b"), ["s"]).collect()
     assert [tuple(r) for r in got] == [(1, "ax", "bx", 3, 3, 3)] and max(rows) < 10, rows
+
+
+@pytest.mark.parametrize("block", [1, 7, 1024])
+def test_mutual_nearest_like_all_pairs(spark, block):
+    from pyspark.sql import functions as F
+
+    a, b = sides(40, 6, words=6, most=2)
+    a += [(3, "q", 900, None), (3, "q", 901, "x"), (4, "q", 902, None), (None, "q", 903, "x")]
+    b += [(3, "q", 900, "xy"), (4, "q", 901, None), (4, "q", 902, "x"), (None, "q", 903, "x")]
+    A, B = frame(spark, a).withColumn("ord", F.col("ord").cast("bigint")), frame(spark, b).withColumn("ord", F.col("ord").cast("bigint"))
+    edges = A.toDF("s", "k", "a_ord", "a_text").join(B.toDF("s", "k", "b_ord", "b_text"), ["s", "k"]).withColumn("distance", F.levenshtein("a_text", "b_text"))
+    want = matching.mutual_best(edges.withColumn("ratio", -F.col("distance")), ["s", "k"]).select("s", "a_ord", "b_ord", "distance").collect()
+    got = matching.mutual_nearest(A, B, ["s", "k"], block).select("s", "a_ord", "b_ord", "distance").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 5
+
+
+def test_equal_texts_are_compared_once(spark, tmp_path):
+    """20,000 rows of five texts on either side in one scope: 25 comparisons, not 400 million."""
+    from pyspark.sql import functions as F
+
+    from deltafolio.plans import catalogue
+
+    rows = spark.range(40000).select(F.col("id").alias("p_partkey"), F.concat(F.lit("name"), F.floor(F.col("id") / 2) % 5).alias("p_name"), F.lit("Brand#1").alias("p_brand"), F.lit("SMALL").alias("p_type"))
+    rows.write.parquet(f"{tmp_path}/part.parquet")
+    found = catalogue.queries()["fuzzy_mutual_best"](spark, str(tmp_path))
+    assert "levenshtein" not in found._jdf.queryExecution().toString()  # pairs are gone before the result is read
+    assert sorted(map(tuple, found.collect())) == [(2 * k, 2 * k + 1, 0) for k in range(5)]
