@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import broadcast_if_fits, reads, release, rows_of
 from . import scan
 from .matching import greedy_assign
 
@@ -158,7 +159,7 @@ def rotated_pairs(
 
 def field_cards(
     lines: DataFrame, scope: list[str], heading_sizes: tuple[float, ...] = (20.0, 26.0), heading: str = r"^TC \d", legend: str = r"^Format:\s*AN\s*=",
-    header_size: float = 9.5, row_size: float = 9.0, row_gap: float = 4.0, split: float = 150.0, name_gap: float = 20.0,
+    header_size: float = 9.5, row_size: float = 9.0, row_gap: float = 4.0, split: float = 150.0, name_gap: float = 20.0, most: int = scan.SPLIT,
 ) -> DataFrame:
     """section_heading, table_header, table_row (cells), field_card (card) and paragraph.
 
@@ -166,92 +167,109 @@ def field_cards(
     it on the page. Elsewhere a "Positions" label on the left opens a card, which begins with the paragraph right above the label, its name; labels on
     the right of ``split``, from the name's first line on, fill that card, as do "Length" and "Format" on the left. Lines on the right go on with
     the last label there, those on the left close below a left label with that one; others make paragraphs.
+
+    Scopes are counted once. Those of up to ``most`` lines are dealt out by scope, and only once: every running value and the blocks themselves
+    are of a scope or its parts. Larger ones are spread over many tasks at each step.
     """
+    own = _lines(lines, scope)
+    options = dict(heading_sizes=heading_sizes, heading=heading, legend=legend, header_size=header_size, row_size=row_size, row_gap=row_gap, split=split, name_gap=name_gap)
+    large = scan.large_scopes(own, scope, most)
+    if not rows_of(large):
+        release(large)
+        return _field_cards(own, scope, lambda *a: scan.scanned(*a, small=True), **options)
+    few = broadcast_if_fits(large)
+    rest = _field_cards(own.join(few, scan.matches(own, few, scope), "left_anti"), scope, lambda *a: scan.scanned(*a, small=True), **options)
+    spread = _field_cards(own.join(few, scan.matches(own, few, scope), "left_semi"), scope, lambda *a: scan.scanned(*a, split=most), **options)
+    return reads(rest.unionByName(spread), large, spread)
+
+
+def _field_cards(own: DataFrame, scope: list[str], scanned, heading_sizes, heading, legend, header_size, row_size, row_gap, split, name_gap) -> DataFrame:
+    """field_cards of lines as _lines gives them. A line gets the number of its block from running values; no step joins, so that none deals lines out anew."""
     text, order = F.col("text"), ["page", "ord"]
     starts = F.col("size").isin(*heading_sizes) & text.rlike(heading)
     word = (F.col("size") == header_size) & text.isin(*GRID_WORDS)
     left, right = F.regexp_extract("text", CARD_LEFT, 1), F.regexp_extract("text", CARD_RIGHT, 1)
     was = lambda c: F.col("was")[c]
     yes = lambda c: F.coalesce(c, F.lit(False))
-    marked = _lines(lines, scope).withColumns({"starts": starts, "word": word & ~starts, "legend": text.rlike(legend) & ~starts & ~word})
+    lean = own.select(*scope, *order, "x0", "y0", "y1", "size", "text")
+    marked = lean.withColumns({"starts": starts, "word": word & ~starts, "legend": text.rlike(legend) & ~starts & ~word})
     # Runs of lines of one kind: a heading goes on while lines have its size, rows go on while lines have theirs, after a header.
     turns = F.when(F.col("starts") | F.col("legend"), F.lit(True)).when(F.col("word"), ~yes(was("word"))).otherwise(yes(was("word")) | yes(was("legend")) | F.col("was").isNull() | (was("size") != F.col("size")))
-    lined = scan.scanned(
+    lined = scanned(
         marked, scope, order, {"was": scan.before(F.struct("size", "word", "legend"))}, {"run": scan.total(_flag(turns)), "n": scan.total(F.lit(1))},
         {"head_run": scan.latest(F.when(F.col("starts"), F.col("run"))), "word_run": scan.latest(F.when(F.col("word"), F.col("run"))), "word_no": scan.total(_flag(F.col("word")))},
         {"first_word": scan.latest(F.when(F.col("word") & ~yes(was("word")), F.col("word_no")))},
     ).drop("was")
     zone = F.when(F.col("starts") | yes((F.col("run") == F.col("head_run")) & ~F.col("legend") & ~F.col("word")), "heading").when(F.col("word"), "header").when(yes((F.col("size") == row_size) & (F.col("run") == F.col("word_run") + 1)) & ~F.col("legend"), "row").otherwise("text")
-    lined = lined.withColumn("zone", zone)
-    # Rows: what starts more than the gap below everything before it in the run and on the page.
-    page_run = F.concat_ws(":", "run", "page")
-    rows = scan.scanned(
-        lined.where("zone = 'row'").withColumn("page_run", page_run), [*scope, "page_run"], order, {"bottom": scan.highest(F.col("y1"))}, {"above": scan.before(F.col("bottom"))},
-        {"row": scan.total(_flag(yes(F.col("y0") - F.col("above") > row_gap)))},
-    )
-    rows = scan.scanned(rows, [*scope, "page_run", "row"], ["x0", "ord"], {"last_x": scan.before(F.col("x0"))}, {"cell": scan.total(_flag(yes(F.col("x0") - F.col("last_x") > 3.0)))})
-    at = F.struct("page", "ord")
-    cells = rows.groupBy(*scope, "page_run", "row", "cell").agg(F.min(at).alias("at"), F.collect_list(F.struct(F.struct("x0", "ord").alias("at"), F.col("text").alias("said"))).alias("t"))
-    lists = cells.select(*scope, "page_run", "row", "cell", "at", F.array_join(F.transform(F.array_sort("t"), lambda x: x["said"]), "\n").alias("said"))
-    table_rows = lists.groupBy(*scope, "page_run", "row").agg(F.min("at").alias("at"), F.array_sort(F.collect_list(F.struct("cell", "said"))).alias("c")).select(*scope, "at", F.lit("table_row").alias("type"), F.lit(None).cast("string").alias("text"), F.transform("c", lambda x: x["said"]).alias("cells"))
-    plain = lambda df, kind: df.select(*scope, "at", F.lit(kind).alias("type"), _in_order("t", "said").alias("text"), F.lit(None).cast("array<string>").alias("cells"))
-    texts = lambda df, *by: df.groupBy(*scope, *by).agg(F.min(at).alias("at"), F.collect_list(F.struct(at.alias("at"), F.col("text").alias("said"))).alias("t"))
-    headings = plain(texts(lined.where("zone = 'heading'"), "head_run"), "section_heading")
-    full = F.floor((F.col("word_no") - F.col("first_word")) / len(GRID_WORDS))
-    headers = lined.where("zone = 'header'").withColumn("full", full).groupBy(*scope, "word_run", "full").agg(F.min(at).alias("at")).select(*scope, "at", F.lit("table_header").alias("type"), F.lit(None).cast("string").alias("text"), F.array(*map(F.lit, GRID_HEADER)).alias("cells"))
-
     # Cards. A stretch ends at headings and grids; only lines between them make cards.
     on_left = F.col("x0") < split
     role = F.when(F.col("legend"), "paragraph").when(on_left & left.startswith("Position"), "opens").when(on_left & (left != ""), "left").when(~on_left & (right != ""), "right").when(on_left, "under").otherwise("beside")
-    area = lined.withColumn("stretch", F.concat(F.coalesce("head_run", F.lit(0)), F.lit(":"), F.coalesce("word_run", F.lit(0)))).where("zone = 'text'").withColumn("role", role).drop("was")
+    stretch = F.concat(F.coalesce("head_run", F.lit(0)), F.lit(":"), F.coalesce("word_run", F.lit(0)))
+    lined = lined.withColumns({"zone": zone, "stretch": stretch}).withColumn("role", F.when(F.col("zone") == "text", role)).drop("starts", "word", "size", "head_run")
     by = [*scope, "stretch"]
     close = lambda line, gap: (line["page"] == F.col("page")) & (F.abs(F.col("x0") - line["x0"]) <= 20.0) & (F.col("y0") - line["y1"] <= gap)
-    is_left = F.col("role").isin("left", "opens", "under", "paragraph")
-    place = F.struct("page", "x0", "y0", "y1", "role", "n")
+    is_left, is_role = yes(F.col("role").isin("left", "opens", "under", "paragraph")), lambda *r: yes(F.col("role").isin(*r))
+    place = F.struct("page", "x0", "y0", "y1", "role")
     # Lines on the left, one after another: those close below a Length or a Format, without a break, go on with it.
-    lefts = scan.scanned(
-        area.where(is_left), by, order, {"up": scan.before(place)}, {"label_n": scan.latest(F.when(F.col("role").isin("left", "opens", "paragraph"), F.struct("n", "role", "page", "ord")))},
-        {"breaks": scan.total(_flag((F.col("role") == "under") & ~yes(close(F.col("up"), 2.0))))}, {"label_breaks": scan.latest(F.when(F.col("role") != "under", F.col("breaks")))},
+    lefts = scanned(
+        lined, by, order, {"seen": scan.latest(F.when(is_left, place))}, {"up": scan.before(F.col("seen"))},
+        {"label_of": scan.latest(F.when(is_role("left", "opens", "paragraph"), F.struct("role", F.lower(left).alias("key")))), "breaks": scan.total(_flag(is_role("under") & ~yes(close(F.col("up"), 2.0))))},
+        {"label_breaks": scan.latest(F.when(is_left & ~is_role("under"), F.col("breaks")))},
     )
-    goes_on = yes((F.col("role") == "under") & (F.col("label_n")["role"] == "left") & (F.col("breaks") == F.col("label_breaks")))
-    lefts = lefts.withColumn("role", F.when(goes_on, "more").when(F.col("role") == "under", "paragraph").otherwise(F.col("role"))).drop("up", "breaks", "label_breaks")
+    goes_on = yes(is_role("under") & (F.col("label_of")["role"] == "left") & (F.col("breaks") == F.col("label_breaks")))
+    lefts = lefts.withColumn("role", F.when(goes_on, "more").when(is_role("under"), "paragraph").otherwise(F.col("role"))).drop("seen", "up", "breaks", "label_breaks")
     # Paragraphs are islands of such lines; the one right above a Positions label is its card's name.
-    new = (F.col("role") == "paragraph") & (F.col("legend") | ~yes((F.col("up")["role"] == "paragraph") & close(F.col("up"), 10.0)))
-    held = scan.scanned(lefts.where(F.col("role") != "more"), by, order, {"up": scan.before(place)}, {"paragraph": scan.total(_flag(new)), "first": scan.latest(F.when(new, F.struct("page", "ord", "n")))})
-    named = F.col("role").eqNullSafe("opens") & yes((F.col("up")["role"] == "paragraph") & (F.col("up")["page"] == F.col("page")) & (F.col("y0") - F.col("up")["y1"] <= name_gap))
-    opens = held.where("role = 'opens'").select(*by, F.when(named, F.col("first")).otherwise(F.struct("page", "ord", "n")).alias("first"), F.col("n").alias("opens_n"), F.when(named, F.col("paragraph")).alias("paragraph"))
-    begins = opens.select(*by, F.col("first")["n"].alias("n"), "opens_n", "paragraph")
-    every = area.select(*by, "page", "ord", "x0", "y0", "n", "text", "role").join(lefts.select(*by, "n", F.col("role").alias("left_role"), "label_n"), [*by, "n"], "left").withColumn("role", F.coalesce("left_role", "role"))
-    every = every.join(held.where("role = 'paragraph'").select(*by, "n", "paragraph"), [*by, "n"], "left").join(begins.select(*by, "n", "opens_n"), [*by, "n"], "left")
-    field = F.when(F.col("role") == "right", F.lower(F.regexp_extract("text", CARD_RIGHT, 1)))
-    level = F.when(F.col("role") == "paragraph", F.col("y0"))
-    ran = scan.scanned(
-        every, by, order, {"card": scan.latest(F.col("opens_n")), "name_y": scan.latest(level), "next_card": scan.coming(F.col("opens_n"))},
-        {"label": scan.latest(F.when(F.col("role") == "right", F.struct(field.alias("field"), F.col("card").alias("card")))), "lit": scan.total(_flag(F.col("role") == "right"))},
+    above = lambda c: F.col("up")[c]
+    new = is_role("paragraph") & (F.col("legend") | ~yes((above("role") == "paragraph") & close(F.col("up"), 10.0)))
+    named = is_role("opens") & yes((above("role") == "paragraph") & (above("page") == F.col("page")) & (F.col("y0") - above("y1") <= name_gap))
+    # No line of a paragraph comes after the label that it names, so the next such label is its own or another one's.
+    name_of = F.when(is_role("paragraph") & (F.col("named")["paragraph"] == F.col("paragraph")), F.col("named")["n"])
+    opens = F.when(is_role("opens") & ~named, F.col("n")).when(new, name_of)
+    field = F.when(is_role("right"), F.lower(right))
+    ran = scanned(
+        lefts, by, order, {"seen": scan.latest(F.when(is_role("left", "opens", "paragraph"), place))}, {"up": scan.before(F.col("seen"))}, {"paragraph": scan.total(_flag(new))},
+        {"named": scan.coming(F.when(named, F.struct("paragraph", "n")))}, {"card": scan.latest(opens), "next_card": scan.coming(opens), "name_y": scan.latest(F.when(is_role("paragraph"), F.col("y0")))},
+        {"label": scan.latest(F.when(is_role("right"), F.struct(field.alias("field"), F.col("card").alias("card"))))},
     )
     # Right of a name, a line without a label is its description; before the first card, labels wait for it.
-    of_card = F.coalesce("card", "next_card")
     continued = yes(F.col("label")["card"].eqNullSafe(F.col("card")))
-    beside = F.col("role") == "beside"
-    of_name = beside & ~continued & yes(F.abs(F.col("y0") - F.col("name_y")) < 3.0)
+    of_name = is_role("beside") & ~continued & yes(F.abs(F.col("y0") - F.col("name_y")) < 3.0)
+    # What goes on with a left label has that label's key.
     key = (
-        F.when(F.col("role") == "right", field).when(beside & continued, F.col("label")["field"]).when(of_name, "description").when(F.col("role") == "opens", "positions")
-        .when(F.col("role") == "left", F.lower(F.regexp_extract("text", CARD_LEFT, 1)))
+        F.when(is_role("right"), field).when(is_role("beside") & continued, F.col("label")["field"]).when(of_name, "description").when(is_role("opens"), "positions")
+        .when(is_role("left"), F.lower(left)).when(is_role("more"), F.col("label_of")["key"]).when(name_of.isNotNull(), "name")
+    )
+    said = F.when(is_role("right"), F.regexp_extract("text", CARD_RIGHT, 2)).when(is_role("opens", "left"), F.regexp_extract("text", CARD_LEFT, 2)).otherwise(text)
+    ran = ran.withColumns({"key": key, "said": said, "of_card": F.coalesce(name_of, "card", "next_card")}).drop("seen", "up", "named", "label", "label_of", "name_y", "card", "next_card")
+    # Rows: what starts more than the gap below everything before it in the run and on the page.
+    ran = scanned(
+        ran.withColumn("page_run", F.when(F.col("zone") == "row", F.concat_ws(":", "run", "page"))), [*scope, "page_run"], order, {"bottom": scan.highest(F.col("y1"))}, {"above": scan.before(F.col("bottom"))},
+        {"row": scan.total(_flag(yes(F.col("y0") - F.col("above") > row_gap)))},
+    )
+    # Blocks: the lines of one number.
+    full = F.floor((F.col("word_no") - F.col("first_word")) / len(GRID_WORDS))
+    number = lambda kind, *of: F.struct(F.lit(kind).alias("kind"), F.concat_ws("/", *(c.cast("string") for c in of)).alias("of"))
+    block = (
+        F.when(F.col("zone") == "heading", number("section_heading", F.col("stretch"))).when(F.col("zone") == "header", number("table_header", F.col("word_run"), full))
+        .when(F.col("zone") == "row", number("table_row", F.col("page_run"), F.col("row"))).when(F.col("key").isNotNull() & F.col("of_card").isNotNull(), number("field_card", F.col("of_card")))
+        .when(F.col("key").isNull() & is_role("paragraph"), number("paragraph", F.col("stretch"), F.col("paragraph"))).when(F.col("key").isNull() & is_role("beside"), number("paragraph", F.col("n")))
+    )
+    at = F.struct("page", "ord")
+    part = F.struct(at.alias("at"), "x0", F.when(F.col("zone") == "text", F.col("key")).alias("key"), F.when(F.col("zone") == "text", F.col("said")).otherwise(text).alias("said"))
+    parts = ran.withColumn("in_block", block).where("in_block is not null").select(*scope, "in_block", part.alias("part"), F.when(is_role("opens") & (F.col("n") == F.col("of_card")), at).alias("opens_at"))
+    blocks = parts.groupBy(*scope, "in_block").agg(F.min("opens_at").alias("opens_at"), F.min("part.at").alias("first_at"), F.array_sort(F.collect_list("part")).alias("parts"))
+    kind, none = F.col("in_block")["kind"], F.lit(None)
+    by_place = F.array_sort(F.transform("parts", lambda x: F.struct(x["x0"], x["at"], x["said"])))
+    blocks = blocks.withColumn("row", F.when(kind == "table_row", by_place))
+    ends = F.filter(F.sequence(F.lit(0), F.size("row") - 1), lambda k: yes(k == 0) | (F.get("row", k)["x0"] - F.get("row", k - 1)["x0"] > 3.0))
+    blocks = blocks.withColumn("begins", F.when(kind == "table_row", ends))
+    cell = lambda k, j: F.array_join(F.transform(F.slice("row", k + 1, F.coalesce(F.get("begins", j + 1), F.size("row")) - k), lambda x: x["said"]), "\n")
+    in_order = lambda rows: F.array_join(F.filter(F.transform(rows, lambda x: x["said"]), lambda t: t != ""), " ")
+    held = lambda c: F.filter("parts", lambda x: x["key"] == c)
+    card = F.struct(*(in_order(held(c)).alias(c) for c in CARD))
+    out = blocks.select(
+        *scope, F.when(kind == "field_card", F.col("opens_at")).otherwise(F.col("first_at")).alias("at"), kind.alias("type"), F.when(kind.isin("section_heading", "paragraph"), in_order("parts")).alias("text"),
+        F.when(kind == "table_header", F.array(*map(F.lit, GRID_HEADER))).when(kind == "table_row", F.transform("begins", cell)).otherwise(none.cast("array<string>")).alias("cells"), F.when(kind == "field_card", card).alias("card"),
     )
-    said = F.when(F.col("role") == "right", F.regexp_extract("text", CARD_RIGHT, 2)).when(F.col("role").isin("opens", "left"), F.regexp_extract("text", CARD_LEFT, 2)).otherwise(F.col("text"))
-    ran = ran.withColumns({"key": F.when(F.col("role") != "more", key), "of_card": of_card, "said": said})
-    # What goes on with a left label has that label's key and card.
-    labels = ran.where("role = 'left'").select(*by, F.col("n").alias("of_n"), F.col("key").alias("of_key"))
-    ran = ran.withColumn("of_n", F.when(F.col("role") == "more", F.col("label_n")["n"])).join(labels, [*by, "of_n"], "left").withColumn("key", F.coalesce("key", "of_key"))
-    of_names = opens.where("paragraph is not null").select(*by, "paragraph", F.col("opens_n").alias("name_of"))
-    ran = ran.join(of_names, [*by, "paragraph"], "left").withColumns({"key": F.when(F.col("name_of").isNotNull(), "name").otherwise(F.col("key")), "of_card": F.coalesce("name_of", "of_card")})
-    filled = ran.where("key is not null and of_card is not null").groupBy(*by, "of_card", "key").agg(F.collect_list(F.struct(at.alias("at"), "said")).alias("t")).select(*by, "of_card", "key", _in_order("t", "said").alias("said"))
-    packed = filled.groupBy(*by, "of_card").agg(F.map_from_entries(F.collect_list(F.struct("key", "said"))).alias("m"))
-    opened = ran.where("role = 'opens'").select(*by, F.col("n").alias("of_card"), at.alias("at"))
-    singular = F.struct(*(F.coalesce(F.try_element_at("m", F.lit(c)), F.lit("")).alias(c) for c in CARD))
-    cards = packed.join(opened, [*by, "of_card"]).select(*scope, "at", F.lit("field_card").alias("type"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("array<string>").alias("cells"), singular.alias("card"))
-    loose = ran.where("key is null and role in ('paragraph', 'beside')").withColumn("paragraph", F.coalesce(F.col("paragraph").cast("string"), F.concat(F.lit("n"), F.col("n").cast("string"))))
-    paragraphs = plain(texts(loose, "stretch", "paragraph"), "paragraph")
-    out = headings.unionByName(headers).unionByName(table_rows).unionByName(paragraphs).withColumn("card", F.lit(None).cast(cards.schema["card"].dataType)).unionByName(cards)
-    numbered = scan.scanned(out, scope, ["at"], {"block": scan.total(F.lit(1))})
+    numbered = scanned(out, scope, ["at"], {"block": scan.total(F.lit(1))})
     return numbered.select(*scope, (F.col("block") - 1).cast("bigint").alias("block"), F.col("at")["page"].cast("int").alias("page"), "type", "text", "cells", "card")

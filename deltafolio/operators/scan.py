@@ -120,10 +120,17 @@ def _in_ranges(rows: DataFrame, scope: list[str], order: list[str], part: str, c
     return both.withColumns({c: whole[s.kind](c) for c, s in columns.items()}).drop(first, *names.values()), carry
 
 
-def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str, Scan], split: int = SPLIT) -> DataFrame:
+def large_scopes(df: DataFrame, scope: list[str], split: int = SPLIT) -> DataFrame:
+    """The scopes of more than ``split`` rows, stored."""
+    n, = fresh(df.columns, "rows_of_scope")
+    return materialize(df.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > split), "large-scopes")
+
+
+def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str, Scan], split: int = SPLIT, small: bool = False) -> DataFrame:
     """df with the steps' columns, in the scope's order; a step may use columns of those before.
 
-    Rows that are equal in scope and order come in any order. Null scopes are a scope.
+    Rows that are equal in scope and order come in any order. Null scopes are a scope. ``small``: the caller knows that no scope has more than
+    ``split`` rows, as of parts of scopes that were counted; else they are counted, for which df is computed once more.
     """
 
     def plain(rows: DataFrame) -> DataFrame:
@@ -131,8 +138,10 @@ def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str,
             rows = rows.withColumns({c: _local(s, scope, order) for c, s in columns.items()})
         return rows
 
+    if small:
+        return plain(df)
     n, part = fresh(df.columns, "rows_of_scope", "range_of_scope")
-    large = materialize(df.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > split), "large-scopes")
+    large = large_scopes(df, scope, split)
     if not rows_of(large):
         release(large)
         return plain(df)

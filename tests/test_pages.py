@@ -231,3 +231,27 @@ def test_repair_keeps_words(spark):
 
     assert [r[0] for r in spark.createDataFrame([("TC R 1",), ("TC Rate",)], "t string").select(T.repair(F.col("t"))).collect()] == ["TCR 1", "TC Rate"]
     assert re.match(pages.CONTINUED, "A1 (continued)")
+
+
+def test_field_cards_in_many_tasks_and_with_one_shuffle(spark):
+    """Random pages: scopes spread over many tasks give the same blocks; else lines are dealt out once, by their scope."""
+    import random
+    import re
+
+    r = random.Random(5)
+    said = ["Positions: 1", "Position: 2–3", "Length: 4", "Format: AN", "Format: AN = x", "Values: a", "Note", "Mapping X", "Description d", "plain", "", *["TC 1"] * 8, *cards.GRID_WORDS]
+    rows = []
+    for doc, n in ((1, 150), (2, 15)):
+        y = 0.0
+        for k in range(n):
+            y = 0.0 if k % 40 == 0 else y + r.choice([0.0, 2.0, 9.0, 11.0, 12.0, 25.0])
+            x = r.choice([60.0, 62.0, 100.0, 200.0, 300.0])
+            rows.append((doc, k // 40, k, x, y, x + 50, y + 10, r.choice(said), r.choice([9.0, 9.5, 9.5, 10.0, 10.0, 20.0]), False, []))
+    rows += [(2, 9, 900 + k, 60.0 + k, 40.0, 70.0, 50.0, t, 9.5 if k < 5 else 9.0, False, []) for k, t in enumerate([*cards.GRID_WORDS, "1"])]
+    lines = spark.createDataFrame(rows, LINE)
+    whole, spread = cards.field_cards(lines, ["doc"]), cards.field_cards(lines, ["doc"], most=100)
+    shown = lambda df: sorted(str(x) for x in df.collect())
+    assert shown(whole) == shown(spread) and {x["type"] for x in whole.collect()} == {"section_heading", "table_header", "table_row", "field_card", "paragraph"}
+    plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    exchanges = re.findall(r"Exchange \w+", plan)
+    assert exchanges == ["Exchange hashpartitioning"], exchanges
