@@ -23,8 +23,12 @@ def ratio(old: Column, new: Column, autojunk: bool = True) -> Column:
 
 def with_ratio(df: DataFrame, old: Column, new: Column, name: str) -> DataFrame:
     """df with the ratio as a column that is computed once: a filter on it is not pushed below, where it would run again."""
-    run = F.pandas_udf(lambda a, b: pd.Series([ratio_of(x, y) for x, y in zip(a, b)], dtype="float64"), "double").asNondeterministic()
-    return df.withColumn(name, run(old, new))
+
+    def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+        made = {pair: ratio_of(*pair) for pair in set(zip(a, b))}  # each pair of a batch once
+        return pd.Series([made[pair] for pair in zip(a, b)], dtype="float64")
+
+    return df.withColumn(name, F.pandas_udf(ratios, "double").asNondeterministic()(old, new))
 
 
 def length_bound(old: Column, new: Column) -> Column:

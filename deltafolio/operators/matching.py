@@ -192,10 +192,101 @@ def mutual_nearest(a: DataFrame, b: DataFrame, scope: list[str], block: int = BL
     return reads(named.select(*scope, "a_ord", "b_ord", F.nullif("distance", F.lit(last)).alias("distance")), a, b, best)
 
 
+def _runs(old: list[str], new: list[str]) -> list[tuple[int, int, int]] | None:
+    """Longest stretches (old place, new place, length) that run on in both lists, in the old one's order; None if one has a common paragraph twice."""
+    at: dict[str, int] = {}
+    both = set(old) & set(new)
+    for k, t in enumerate(new):
+        if t in both and at.setdefault(t, k) != k:
+            return None
+    out: list[tuple[int, int, int]] = []
+    found = 0
+    for i, t in enumerate(old):
+        if t in both:
+            found += 1
+            j = at[t]
+            if out and out[-1][0] + out[-1][2] == i and out[-1][1] + out[-1][2] == j:
+                out[-1] = (out[-1][0], out[-1][1], out[-1][2] + 1)
+            else:
+                out.append((i, j, 1))
+    return out if found == len(both) else None
+
+
+def _matching_runs(runs: list[tuple[int, int, int]], width: int) -> list[tuple[int, int, int]]:
+    """Of stretches in which no place is twice, those that difflib takes: the longest one, the first of equals, then the same before and behind it.
+
+    Stretches lie wholly before or behind a taken one on either side. A tree of maxima gives the longest of those between two in the old
+    order; one that is elsewhere in the new order stays out of all that lies between, so each is looked at once.
+    """
+    n = 1
+    while n < len(runs):
+        n *= 2
+    tree = [-1] * (2 * n)  # a stretch's number, of the longest below
+
+    def better(x: int, y: int) -> int:
+        if x < 0 or y < 0:
+            return max(x, y)
+        return x if runs[x][2] >= runs[y][2] else y  # x is the earlier one
+
+    tree[n : n + len(runs)] = range(len(runs))
+    for k in range(n - 1, 0, -1):
+        tree[k] = better(tree[2 * k], tree[2 * k + 1])
+
+    def longest(lo: int, hi: int) -> int:
+        left, right = -1, -1
+        lo, hi = lo + n, hi + n
+        while lo < hi:
+            if lo & 1:
+                left, lo = better(left, tree[lo]), lo + 1
+            if hi & 1:
+                hi -= 1
+                right = better(tree[hi], right)
+            lo, hi = lo // 2, hi // 2
+        return better(left, right)
+
+    taken, todo = [], [(0, len(runs), 0, width)]
+    while todo:
+        lo, hi, low, high = todo.pop()
+        while (k := longest(lo, hi)) >= 0:
+            _, j, size = runs[k]
+            at = k + n
+            tree[at] = -1
+            while at > 1:
+                at //= 2
+                tree[at] = better(tree[2 * at], tree[2 * at + 1])
+            if low <= j and j + size <= high:
+                taken.append(runs[k])
+                todo += [(lo, k, low, j), (k + 1, hi, j + size, high)]
+                break
+    return sorted(taken)
+
+
+def opcodes(old: list[str], new: list[str]) -> list[tuple[str, int, int, int, int]]:
+    """difflib's opcodes without its junk rule. Where no common paragraph is twice in a list, the work is n log n, not n for each stretch."""
+    runs = _runs(old, new)
+    if runs is None:
+        return SequenceMatcher(None, old, new, autojunk=False).get_opcodes()
+    out, i, j = [], 0, 0
+    joined: list[tuple[int, int, int]] = []
+    for x, y, size in _matching_runs(runs, len(new)):
+        if joined and joined[-1][0] + joined[-1][2] == x and joined[-1][1] + joined[-1][2] == y:
+            joined[-1] = (*joined[-1][:2], joined[-1][2] + size)
+        else:
+            joined.append((x, y, size))
+    for x, y, size in [*joined, (len(old), len(new), 0)]:
+        tag = "replace" if i < x and j < y else "delete" if i < x else "insert" if j < y else ""
+        if tag:
+            out.append((tag, i, x, j, y))
+        if size:
+            out.append(("equal", x, x + size, y, y + size))
+        i, j = x + size, y + size
+    return out
+
+
 def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple[str, int, int, int, int]]:
     """(status, a from, a to, b from, b to) of an alignment of paragraphs; a replaced stretch with equal joined text is a reflow."""
     out = []
-    for tag, i, j, k, m in SequenceMatcher(None, old, new, autojunk=False).get_opcodes():
+    for tag, i, j, k, m in opcodes(old, new):
         if tag == "equal":
             out += [("exact", i + n, i + n + 1, k + n, k + n + 1) for n in range(j - i)]
         elif tag == "replace":
@@ -229,7 +320,8 @@ def align_and_pool(pairs: DataFrame, keys: list[str], threshold: float = 0.9, mi
     The pool's paragraphs are matched by similarity in their order if both have min_length characters; what stays unmatched is
     removed or added.
     """
-    stretches = align_paragraphs(pairs, keys)
+    # Stored: matched, removed and added paragraphs all come from it.
+    stretches = materialize(align_paragraphs(pairs, keys), "stretches")
     texts = pairs.select(*(F.col(k).alias("_" + k) for k in keys), "old", "new")
     pool = stretches.where("status = 'pool'").join(texts, [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys])
 
@@ -244,7 +336,7 @@ def align_and_pool(pairs: DataFrame, keys: list[str], threshold: float = 0.9, mi
     left = lambda df, name: df.join(hits.select(*keys, F.col(name).alias("ord")), [*keys, "ord"], "left_anti")
     matched = hits.select(*keys, *row("fuzzy", x, x + 1, y, y + 1))
     removed, added = left(a, "a_ord").select(*keys, *row("removed", o, o + 1, none, none)), left(b, "b_ord").select(*keys, *row("added", none, none, o, o + 1))
-    return stretches.where("status <> 'pool'").unionByName(matched).unionByName(removed).unionByName(added)
+    return reads(stretches.where("status <> 'pool'").unionByName(matched).unionByName(removed).unionByName(added), stretches)
 
 
 def reflow_adjacent(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
