@@ -283,6 +283,14 @@ def opcodes(old: list[str], new: list[str]) -> list[tuple[str, int, int, int, in
     return out
 
 
+def _similar(x: str, y: str, threshold: float) -> bool:
+    """Whether the ratio is at least the threshold; its bounds by length and by characters come first."""
+    if x and y and 2.0 * min(len(x), len(y)) / (len(x) + len(y)) < threshold:
+        return False
+    matcher = SequenceMatcher(None, x, y)
+    return matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold
+
+
 def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple[str, int, int, int, int]]:
     """(status, a from, a to, b from, b to) of an alignment of paragraphs; a replaced stretch with equal joined text is a reflow."""
     out = []
@@ -293,7 +301,7 @@ def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple
             x, y = " ".join(old[i:j]), " ".join(new[k:m])
             if x == y:
                 out.append(("reflowed", i, j, k, m))
-            elif SequenceMatcher(None, x, y).ratio() >= threshold:
+            elif _similar(x, y, threshold):
                 out.append(("fuzzy", i, j, k, m))
             else:
                 out.append(("pool", i, j, k, m))

@@ -255,3 +255,16 @@ def test_a_long_section_with_many_small_changes_is_aligned_at_once():
     began = time.process_time()
     found = matching.opcodes(old, new)
     assert time.process_time() - began < 5 and sum(j - i for tag, i, j, _, _ in found if tag == "equal") == 48000
+
+
+def test_unlike_stretches_are_told_by_bounds(monkeypatch):
+    """The quadratic ratio is not computed for replaced stretches whose lengths or characters rule it out."""
+
+    class Counted(SequenceMatcher):
+        def ratio(self):
+            raise AssertionError("computed")
+
+    with monkeypatch.context() as m:
+        m.setattr(matching, "SequenceMatcher", Counted)
+        assert [x[0] for x in matching.align(["a" * 500, "k", "abc" * 90], ["a" * 300, "k", "xyz" * 90])] == ["pool", "exact", "pool"]
+    assert matching.align(["a long paragraph of words"], ["a long paragraph of word"])[0][0] == "fuzzy"
