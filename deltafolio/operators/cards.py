@@ -176,9 +176,9 @@ def field_cards(
     large = scan.large_scopes(own, scope, most)
     if not rows_of(large):
         release(large)
-        return _field_cards(own, scope, lambda *a: scan.scanned(*a, small=True), **options)
+        return _field_cards(own, scope, lambda *a: scan.scanned(*a, split=None), **options)
     few = broadcast_if_fits(large)
-    rest = _field_cards(own.join(few, scan.matches(own, few, scope), "left_anti"), scope, lambda *a: scan.scanned(*a, small=True), **options)
+    rest = _field_cards(own.join(few, scan.matches(own, few, scope), "left_anti"), scope, lambda *a: scan.scanned(*a, split=None), **options)
     spread = _field_cards(own.join(few, scan.matches(own, few, scope), "left_semi"), scope, lambda *a: scan.scanned(*a, split=most), **options)
     return reads(rest.unionByName(spread), large, spread)
 

@@ -126,11 +126,11 @@ def large_scopes(df: DataFrame, scope: list[str], split: int = SPLIT) -> DataFra
     return materialize(df.groupBy(*scope).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > split), "large-scopes")
 
 
-def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str, Scan], split: int = SPLIT, small: bool = False) -> DataFrame:
+def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str, Scan], split: int | None = SPLIT) -> DataFrame:
     """df with the steps' columns, in the scope's order; a step may use columns of those before.
 
-    Rows that are equal in scope and order come in any order. Null scopes are a scope. ``small``: the caller knows that no scope has more than
-    ``split`` rows, as of parts of scopes that were counted; else they are counted, for which df is computed once more.
+    Rows that are equal in scope and order come in any order. Null scopes are a scope. ``split`` None: the caller knows that
+    all scopes are small, as parts of scopes that were counted are; else they are counted, for which df is computed once more.
     """
 
     def plain(rows: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def scanned(df: DataFrame, scope: list[str], order: list[str], *steps: dict[str,
             rows = rows.withColumns({c: _local(s, scope, order) for c, s in columns.items()})
         return rows
 
-    if small:
+    if split is None:
         return plain(df)
     n, part = fresh(df.columns, "rows_of_scope", "range_of_scope")
     large = large_scopes(df, scope, split)
