@@ -68,7 +68,7 @@ def phantom_columns(rows: DataFrame, scope: list[str], columns: str = "columns",
     # Names are few: they are collected, the rows of a hot table are only counted.
     cells = rows.where(plain).select(*scope, F.posexplode_outer(F.filter(order, lambda c: F.trim(value(c)) != "")).alias("_k", "_name"))
     seen = cells.groupBy(*scope).agg(F.collect_set("_name").alias("_filled"), F.count_if(F.coalesce("_k", F.lit(0)) == 0).alias("_rows"))
-    known = rows.join(seen, scope, "left").withColumn("_filled", F.coalesce("_filled", none))
+    known = scan.merged(rows, seen, scope).withColumn("_filled", F.coalesce("_filled", none))
     ever = lambda c: F.array_contains("_filled", c)
     fragment = lambda c, k: (k > 0) & ~ever(c) & ever(F.get(F.col(order), k - 1))
     applies = plain & (F.col("_rows") > 1) & (F.size("_filled") > 0) & (F.size("_filled") < F.size(order))
@@ -99,18 +99,19 @@ def dash_orphans(rows: DataFrame, scope: list[str], anchor: str, others: list[st
     return whole.drop("_group")
 
 
-def joined_orphans(rows: DataFrame, scope: list[str], columns: str = "columns", anchor: str = "anchor_column", order: str = "row") -> DataFrame:
+def joined_orphans(rows: DataFrame, scope: list[str], columns: str = "columns", anchor: str = "anchor_column", order: str = "row", **limit) -> DataFrame:
     """``dash_orphans`` of rows whose cells are a map: the rows without the orphans, whose texts end the anchor cell before them.
 
     anchor: the column with the name of the row's anchor cell. The scope's first row is never an orphan; prefix rows and rows without
-    a map stay and count for nothing. Islands by a running count, so that a scope of any size is many tasks.
+    a map stay and count for nothing. Islands by a running count, so that a scope of any size is many tasks; limit: split, as ``scan.scanned``
+    has it.
     """
     island, head, texts = scan.fresh(rows.columns, "island", "head", "texts")
     held = F.coalesce(F.map_contains_key(columns, PREFIX), F.lit(True))
     text = F.trim(F.coalesce(F.try_element_at(columns, F.col(anchor)), F.lit("")))
     alone = ~F.exists(F.map_entries(columns), lambda e: (e["key"] != F.col(anchor)) & (F.trim(F.coalesce(e["value"], F.lit(""))) != ""))
     orphan = F.coalesce(alone & text.rlike(DASH), F.lit(False))
-    numbered = scan.scanned(rows.where(~held), scope, [order], {island: scan.total(F.when(orphan, 0).otherwise(1))})
+    numbered = scan.scanned(rows.where(~held), scope, [order], {island: scan.total(F.when(orphan, 0).otherwise(1))}, **limit)
     own = F.struct(*(F.col(c) for c in rows.columns))
     # An island's first row is its head: before the first row that is no orphan, the scope's first.
     islands = numbered.groupBy(*scope, island).agg(F.min_by(own, order).alias(head), F.array_sort(F.collect_list(F.struct(F.col(order), text.alias("t")))).alias(texts))

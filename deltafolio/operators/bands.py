@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from . import scan
 
 
-def gap_cluster(df: DataFrame, scope: list[str], value: str, tolerance: float, order: list[str] | None = None) -> DataFrame:
-    """cluster: 1, 2, … along the sorted values; a gap over the tolerance opens the next one."""
+def gap_cluster(df: DataFrame, scope: list[str], value: str, tolerance: float, order: list[str] | None = None, **limit) -> DataFrame:
+    """cluster: 1, 2, … along the sorted values; a gap over the tolerance opens the next one. limit: split, as ``scan.scanned`` has it."""
     last, = scan.fresh(df.columns, "last")
     opens = F.when(F.col(value) - F.col(last) > tolerance, 1).otherwise(0)
-    found = scan.scanned(df, scope, [value, *(order or [])], {last: scan.before(F.col(value))}, {"cluster": scan.total(opens)})
+    found = scan.scanned(df, scope, [value, *(order or [])], {last: scan.before(F.col(value))}, {"cluster": scan.total(opens)}, **limit)
     return found.withColumn("cluster", (F.col("cluster") + 1).cast("long")).drop(last)
 
 
@@ -68,8 +68,9 @@ def nearest(rows: DataFrame, bands: DataFrame, scope: list[str], value: str, ban
     return both.withColumn("_best", best).where("_best is not null").select(*rows.columns, *(F.col("_best")["b"]["_v_" + c].alias(c) for c in own))
 
 
-def asof(rows: DataFrame, marks: DataFrame, scope: list[str], at: str, mark_at: str, mark: str, forward: bool = False) -> DataFrame:
-    """Adds the mark last at or before each row (forward: first at or after it); one sort of both sides, no range join."""
+def asof(rows: DataFrame, marks: DataFrame, scope: list[str], at: str, mark_at: str, mark: str, forward: bool = False, **limit) -> DataFrame:
+    """Adds the mark last at or before each row (forward: first at or after it); one sort of both sides, no range join. limit: split, as
+    ``scan.scanned`` has it."""
     keys = [c for c in rows.columns if c not in (*scope, at)]
     place, side, row, found = scan.fresh([*scope, mark], "place", "side", "row", "found")
     # Of equal places, marks come before rows, or after them if the search goes forward.
@@ -77,5 +78,5 @@ def asof(rows: DataFrame, marks: DataFrame, scope: list[str], at: str, mark_at:
     left = rows.select(*scope, F.col(at).alias(place), F.lit(is_row).alias(side), F.struct(F.lit(True).alias("_"), *(F.col(k).alias(f"c{j}") for j, k in enumerate(keys))).alias(row), F.lit(None).cast(marks.schema[mark].dataType).alias(found))
     right = marks.select(*scope, F.col(mark_at).alias(place), F.lit(is_mark).alias(side), F.lit(None).cast(left.schema[row].dataType).alias(row), F.col(mark).alias(found))
     step = scan.coming if forward else scan.latest
-    both = scan.scanned(left.unionByName(right), scope, [place, side], {found: step(F.col(found))}).where(F.col(row).isNotNull())
+    both = scan.scanned(left.unionByName(right), scope, [place, side], {found: step(F.col(found))}, **limit).where(F.col(row).isNotNull())
     return both.select(*scope, F.col(place).alias(at), *(F.col(row)[f"c{j}"].alias(k) for j, k in enumerate(keys)), F.col(found).alias(mark))

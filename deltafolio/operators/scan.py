@@ -65,6 +65,18 @@ def matches(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return on
 
 
+def merged(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
+    """left joined with right on equal columns, nulls equal to each other; both are sorted, neither is broadcast.
+
+    For tables of a row for each scope: they grow with the input, but stored they are so small that Spark takes them for broadcast tables.
+    """
+    names = dict(zip(columns, fresh([*left.columns, *right.columns], *("other_" + c for c in columns))))
+    on = F.lit(True)
+    for c, other in names.items():
+        on = on & F.col(c).eqNullSafe(F.col(other))
+    return left.join(right.withColumnsRenamed(names).hint("merge"), on, how).drop(*names.values())
+
+
 def _local(scan: Scan, keys: list[str], order: list[str]) -> Column:
     w = Window.partitionBy(*keys).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

@@ -128,6 +128,24 @@ def test_page_tables_with_two_zones(spark):
     assert tables.page_tables(table(spark, lines).limit(0), ["doc"]).collect() == []
 
 
+def test_tables_broadcast_nothing_that_grows_with_pages(spark):
+    """Zones, titles and bullets are a row for each page: small when stored, but no table for the driver's memory. A null document is one,
+    pages without headers are paragraphs, and lines are the same whether scans are cut into ranges or not."""
+    head = lambda y: [L("Name", y, 60, 9.5, True), L("Le", y, 200, 9.5, True), L(" n", y, 260, 9.5, True)]
+    lines = [L("early", 30), L("T1", 20, size=10.5, bold=True), *head(40), L("a", 70), L("1", 70, 200), L("-", 85, fonts=("Wingdings",)), L("b", 100), L("– c", 130), L("T2", 160, size=10.5, bold=True), *head(180), L("d", 200), L("2", 200, 200), L("e", 230), L("end", 300, size=10.5, bold=True)]
+    plain = [L("lone", 10, page=2), L("T3", 30, size=10.5, bold=True, page=2)]
+    both = table(spark, lines + plain).unionByName(table(spark, lines + plain).withColumn("doc", F.lit(None).cast("int")))
+    shown = lambda df: sorted(str((r["doc"] is None, r["page"], r["ord"], r["type"], r["title"], r["text"], r["items"], sorted((r["columns"] or {}).items()))) for r in df.collect())
+    for relation in (tables.page_tables, tables.final_tables):
+        made = relation(both, ["doc"])
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+        got = shown(made)
+        assert [x.replace("(True", "(False") for x in got[len(got) // 2:]] == got[: len(got) // 2]
+        assert sum("grid_row" in x for x in got) == 2 * (5 if relation is tables.final_tables else 6) and sum("lone T3" in x for x in got) == 2
+    assert got == shown(tables.final_tables(both, ["doc"], most=2))
+    assert any("'Le n', '1'" in x for x in got) and any("'b – c'" in x for x in got)
+
+
 def test_header_tiers_and_group_headers(spark):
     lines = [L("Group", 10, 200, 9.5, True), L("Key", 10, 60, 9.5, True), L("In", 30, 190, 9.5, True), L(" Out", 30, 250, 9.5, True), L("side", 42, 252, 9.5, True), L("Key", 90, 60, 9.5, True)]
     cells = tables.header_cells(tables.oriented(table(spark, lines), False), ["doc", "page"])
