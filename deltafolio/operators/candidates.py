@@ -137,7 +137,8 @@ def candidates(a: DataFrame, b: DataFrame, scope: list[str], threshold: float) -
     keys = [f"k{j}" for j in range(len(scope))]
     left, right = (_index(s, scope, threshold, ranks) for s in sides)
     side = lambda df, p: df.select(*keys, "q", "item", *(F.col(c).alias(f"{p}_{c}") for c in (f"k{len(scope)}", "pos", "shared", "size", "chars")))
-    both = side(left, "a").join(side(right, "b"), [*keys, "q", "item"])
+    # Merged: Spark takes an index for as small as its texts' file and would broadcast it, through the driver.
+    both = side(left, "a").join(side(right, "b").hint("merge"), [*keys, "q", "item"])
     chars = F.col("a_chars") + F.col("b_chars")
     matched = F.ceil(threshold * chars / 2 - _LESS)
     needed = (2 * F.col("q") - 1) * matched - (F.col("q") - 1) * (chars + 1)

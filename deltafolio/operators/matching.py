@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import character_bound, ratio_of
-from ..storage import materialize, reads, release, rows_of
+from ..storage import flagged_of, materialize, reads, release, rows_of
+from .alike import similar_sections
 from .candidates import Bags, candidates
 from .scan import fresh, matches, scanned, total
 
@@ -135,8 +136,12 @@ def fuzzy_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float,
     long = lambda df: df.select(*scope, "ord", "text").where(F.length("text") >= min_length)
     a, b = long(a), long(b)
     side = lambda df, p: df.select(*scope, F.col("ord").alias(f"{p}_ord"), F.col("text").alias(f"{p}_text"))
-    pairs = candidates(a, b, scope, threshold).join(side(a, "a"), [*scope, "a_ord"]).join(side(b, "b"), [*scope, "b_ord"])
-    pairs = pairs.select(*scope, "a_ord", "b_ord", "a_text", "b_text")
+    pairs = candidates(a, b, scope, threshold).join(side(a, "a").hint("merge"), [*scope, "a_ord"]).join(side(b, "b").hint("merge"), [*scope, "b_ord"])
+    return _compared(pairs.select(*scope, "a_ord", "b_ord", "a_text", "b_text"), scope, threshold)
+
+
+def _compared(pairs: DataFrame, scope: list[str], threshold: float) -> DataFrame:
+    """The pairs (scope, a_ord, b_ord, a_text, b_text) of at least the threshold, with their ratio; bounds come first."""
     schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (*scope, "a_ord", "b_ord")) + ", ratio double"
 
     def run(batches):
@@ -152,6 +157,25 @@ def fuzzy_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float,
     return pairs.mapInArrow(run, schema)
 
 
+#: Pairs of texts of a scope that are compared without an index, which has a row for each gram.
+FEW = 4096
+
+
+def pooled_edges(a: DataFrame, b: DataFrame, scope: list[str], threshold: float, min_length: int = 0, few: int = FEW) -> DataFrame:
+    """fuzzy_edges of stored texts in many scopes, most of them small: up to ``few`` pairs of a scope are compared at once, an index is made for larger ones only."""
+    a, b = (df.select(*scope, "ord", "text").where(F.length("text") >= min_length) for df in (a, b))
+    count = lambda df, n: df.groupBy(*scope).agg(F.count(F.lit(1)).alias(n))
+    sizes = count(a, "_a").join(count(b, "_b").hint("merge"), scope)
+    scopes = materialize(sizes.select(*scope, (F.col("_a") * F.col("_b") > few).alias("_many")), "pools", "_many")
+    small, large = (scopes.where(c).select(*scope).hint("merge") for c in ("not _many", "_many"))
+    side = lambda df, p: df.join(small, scope).select(*scope, F.col("ord").alias(f"{p}_ord"), F.col("text").alias(f"{p}_text"))
+    pairs = side(a, "a").join(side(b, "b").hint("merge"), scope)
+    edges = _compared(pairs.select(*scope, "a_ord", "b_ord", "a_text", "b_text"), scope, threshold)
+    if flagged_of(scopes):
+        edges = edges.unionByName(fuzzy_edges(a.join(large, scope, "left_semi"), b.join(large, scope, "left_semi"), scope, threshold, min_length))
+    return reads(edges, scopes)
+
+
 def fuzzy_match(a: DataFrame, b: DataFrame, scope: list[str], threshold: float = 0.85, mode: str = "serial", min_length: int = 0) -> DataFrame:
     """(scope, a_ord, b_ord, ratio, match_type): equal texts first, then what is left by similarity, one to one."""
     exact = exact_pairs(a, b, scope)
@@ -291,7 +315,11 @@ def _similar(x: str, y: str, threshold: float) -> bool:
     return matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold
 
 
-def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple[str, int, int, int, int]]:
+#: The ratio from which on a replaced stretch is a rewording of another as a whole.
+REWORDED = 0.95
+
+
+def align(old: list[str], new: list[str], threshold: float = REWORDED) -> list[tuple[str, int, int, int, int]]:
     """(status, a from, a to, b from, b to) of an alignment of paragraphs; a replaced stretch with equal joined text is a reflow."""
     out = []
     for tag, i, j, k, m in opcodes(old, new):
@@ -310,14 +338,30 @@ def align(old: list[str], new: list[str], threshold: float = 0.95) -> list[tuple
     return out
 
 
-def align_paragraphs(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """pairs: keys, old and new (arrays of paragraphs) -> a row for each aligned stretch."""
+#: Stretches that a task gathers before it hands them on.
+HANDED = 1 << 16
+
+
+def align_paragraphs(pairs: DataFrame, keys: list[str], held: bool = False) -> DataFrame:
+    """pairs: keys, old and new (arrays of paragraphs) -> a row for each aligned stretch. held: with old and new, the paragraphs of a "pool" stretch."""
     schema = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys) + ", status string, a_from int, a_to int, b_from int, b_to int"
+    columns = [*keys, "status", "a_from", "a_to", "b_from", "b_to"]
+    if held:
+        schema, columns = schema + ", old array<string>, new array<string>", [*columns, "old", "new"]
 
     def run(batches):
         for pdf in batches:
-            rows = [(*(r[k] for k in keys), *x) for _, r in pdf.iterrows() for x in align(list(r["old"] if r["old"] is not None else []), list(r["new"] if r["new"] is not None else []))]
-            yield pd.DataFrame(rows, columns=[*keys, "status", "a_from", "a_to", "b_from", "b_to"])
+            rows = []
+            for _, r in pdf.iterrows():
+                own = [r[k] for k in keys]
+                old, new = (list(r[s] if r[s] is not None else []) for s in ("old", "new"))
+                for x in align(old, new):
+                    _, i, j, k, m = x
+                    rows.append((*own, *x, *(((old[i:j], new[k:m]) if x[0] == "pool" else (None, None)) if held else ())))
+                    if len(rows) == HANDED:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     return pairs.select(*keys, "old", "new").mapInPandas(run, schema)
 
@@ -326,25 +370,25 @@ def align_and_pool(pairs: DataFrame, keys: list[str], threshold: float = 0.9, mi
     """align_paragraphs, and one-to-one matches among the paragraphs of all "pool" stretches of a section.
 
     The pool's paragraphs are matched by similarity in their order if both have min_length characters; what stays unmatched is
-    removed or added.
+    removed or added. A pool stretch holds its own paragraphs, so no row holds a whole section.
     """
     # Stored: matched, removed and added paragraphs all come from it.
-    stretches = materialize(align_paragraphs(pairs, keys), "stretches")
-    texts = pairs.select(*(F.col(k).alias("_" + k) for k in keys), "old", "new")
-    pool = stretches.where("status = 'pool'").join(texts, [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys])
+    stretches = materialize(align_paragraphs(pairs, keys, held=True), "stretches")
+    pool = stretches.where("status = 'pool'")
 
-    def side(values: str, begin: str, end: str) -> DataFrame:
-        own = F.transform(F.sequence(F.col(begin), F.col(end) - 1), lambda k: F.struct(k.alias("ord"), F.get(values, k).alias("text")))
-        return pool.where(F.col(end) > F.col(begin)).select(*keys, F.explode(own).alias("x")).select(*keys, "x.ord", "x.text")
+    def side(values: str, begin: str) -> DataFrame:
+        return pool.select(*keys, begin, F.posexplode(values).alias("_at", "text")).select(*keys, (F.col(begin) + F.col("_at")).alias("ord"), "text")
 
-    a, b = side("old", "a_from", "a_to"), side("new", "b_from", "b_to")
-    hits = greedy_assign(fuzzy_edges(a, b, keys, threshold, min_length), keys)
+    a, b = side("old", "a_from"), side("new", "b_from")
+    edges = pooled_edges(a, b, keys, threshold, min_length)
+    hits = greedy_assign(edges, keys)
+    release(edges)
     row = lambda status, i, j, k, m: [F.lit(status).alias("status"), *(c.cast("int").alias(n) for c, n in ((i, "a_from"), (j, "a_to"), (k, "b_from"), (m, "b_to")))]
     x, y, o, none = F.col("a_ord"), F.col("b_ord"), F.col("ord"), F.lit(None)
-    left = lambda df, name: df.join(hits.select(*keys, F.col(name).alias("ord")), [*keys, "ord"], "left_anti")
+    left = lambda df, name: df.join(hits.select(*keys, F.col(name).alias("ord")).hint("merge"), [*keys, "ord"], "left_anti")
     matched = hits.select(*keys, *row("fuzzy", x, x + 1, y, y + 1))
     removed, added = left(a, "a_ord").select(*keys, *row("removed", o, o + 1, none, none)), left(b, "b_ord").select(*keys, *row("added", none, none, o, o + 1))
-    return reads(stretches.where("status <> 'pool'").unionByName(matched).unionByName(removed).unionByName(added), stretches)
+    return reads(stretches.where("status <> 'pool'").drop("old", "new").unionByName(matched).unionByName(removed).unionByName(added), stretches, hits)
 
 
 def reflow_adjacent(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
@@ -430,13 +474,13 @@ def _overlaps(a: DataFrame, b: DataFrame, scope: list[str]) -> DataFrame:
     An inverted index of (section, paragraph) counts: a paragraph that is k times in a section is one row there.
     """
     own = lambda df, p: df.groupBy(*scope, "section", "text").agg(F.count(F.lit(1)).alias(f"{p}_times")).withColumnRenamed("section", p)
-    return own(a, "a").join(own(b, "b"), [*scope, "text"]).groupBy(*scope, "a", "b").agg(F.sum(F.least("a_times", "b_times")).alias("exact"))
+    return own(a, "a").join(own(b, "b").hint("merge"), [*scope, "text"]).groupBy(*scope, "a", "b").agg(F.sum(F.least("a_times", "b_times")).alias("exact"))
 
 
 def _sized(pairs: DataFrame, a: DataFrame, b: DataFrame, scope: list[str], size_ratio: float) -> DataFrame:
     """pairs (scope, a, b, …) with a_n and b_n, the sections' numbers of paragraphs, where these are near enough."""
     count = lambda df, p: df.groupBy(*scope, F.col("section").alias(p)).agg(F.count(F.lit(1)).alias(f"{p}_n"))
-    both = pairs.join(count(a, "a"), [*scope, "a"]).join(count(b, "b"), [*scope, "b"])
+    both = pairs.join(count(a, "a").hint("merge"), [*scope, "a"]).join(count(b, "b").hint("merge"), [*scope, "b"])
     return both.where(F.least("a_n", "b_n") >= size_ratio * F.greatest("a_n", "b_n"))
 
 
@@ -449,7 +493,7 @@ def _only_candidates(pairs: DataFrame, scope: list[str], weights: dict[str, str]
     for end in ("a", "b"):
         met = F.sum(weights[end]) if weights else F.count(F.lit(1))
         alone = table.groupBy(*scope, end).agg(met.alias("_pairs")).where("_pairs = 1").drop("_pairs")
-        pairs = (table if end == "a" else pairs).join(alone, [*scope, end], "left_semi")
+        pairs = (table if end == "a" else pairs).join(alone.hint("merge"), [*scope, end], "left_semi")
     return reads(pairs, table)
 
 
@@ -495,25 +539,25 @@ def section_moves(removed: DataFrame, added: DataFrame, scope: list[str], covera
 
     Frames: scope, section, ord, text (the key of a paragraph: equal texts are equal paragraphs). Coverage is the share of the
     removed section's paragraphs that align_and_pool finds in the added one: equal, reflowed, or similar. It is computed for the pairs
-    of near size that can have enough: an equal paragraph (an inverted index), a similar one of at least ``min_length`` characters (the index of
-    similar texts), or, for whole sections, one joined text in both or a single paragraph similar to the joined text of one or two (a
-    replaced stretch counts as one paragraph, so without equal ones it is enough for a section of one only).
+    of near size that can have enough: an equal paragraph (an inverted index), one joined text in both, or similar texts alone
+    (alike.similar_sections; a replaced stretch counts as one paragraph, so without equal ones it is enough for a short section only).
+    No table here is broadcast: they grow with the input, and stored they are so small that Spark would.
     """
     a, b = (df.select(*scope, "section", "ord", "text") for df in (removed, added))
-    ids = lambda df: df.where(F.length("text") >= min_length).select(*scope, F.struct("section", "ord").alias("ord"), "text")
-    alike = candidates(ids(a), ids(b), scope, threshold).select(*scope, F.col("a_ord")["section"].alias("a"), F.col("b_ord")["section"].alias("b"))
     packed = lambda df: df.groupBy(*scope, "section").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("paragraphs"))
     old, new = (materialize(packed(df), "sections") for df in (a, b))
-    joined = lambda df: df.select(*scope, "section", F.array_join("paragraphs", " ").alias("text"), F.size("paragraphs").alias("n"))
-    whole = joined(old).withColumnRenamed("section", "a").join(joined(new).withColumnRenamed("section", "b").drop("n"), [*scope, "text"]).select(*scope, "a", "b")
-    lone = lambda df, most: joined(df).where(F.col("n") <= most).select(*scope, F.col("section").alias("ord"), "text")
-    two = candidates(lone(old, 1), lone(new, 2), scope, threshold).select(*scope, F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
-    some = _overlaps(a, b, scope).select(*scope, "a", "b").unionByName(alike).unionByName(whole).unionByName(two).distinct()
+    joined = lambda df, p: df.select(*scope, F.col("section").alias(p), F.xxhash64(F.array_join("paragraphs", " ")).alias("_joined"))
+    whole = joined(old, "a").join(joined(new, "b").hint("merge"), [*scope, "_joined"]).select(*scope, "a", "b")
+    alike = similar_sections(old, new, scope, coverage, size_ratio, threshold, min_length, REWORDED)
+    some = _overlaps(a, b, scope).select(*scope, "a", "b").unionByName(whole).unionByName(alike).distinct()
     near = materialize(_sized(some, a, b, scope, size_ratio), "section-candidates")
-    texts = near.join(old.select(*scope, F.col("section").alias("a"), F.col("paragraphs").alias("old")), [*scope, "a"]).join(new.select(*scope, F.col("section").alias("b"), F.col("paragraphs").alias("new")), [*scope, "b"])
+    release(alike)
+    of = lambda df, p, name: df.select(*scope, F.col("section").alias(p), F.col("paragraphs").alias(name)).hint("merge")
+    texts = near.join(of(old, "a", "old"), [*scope, "a"]).join(of(new, "b", "new"), [*scope, "b"])
     found = align_and_pool(texts, [*scope, "a", "b"], threshold, min_length)
     hits = F.when(F.col("status").isin("exact", "fuzzy"), 1).when(F.col("status") == "reflowed", F.col("a_to") - F.col("a_from")).otherwise(0)
     shares = found.groupBy(*scope, "a", "b").agg(F.sum(hits).alias("hits"))
-    scored = near.join(shares, [*scope, "a", "b"]).withColumn("coverage", F.col("hits") / F.col("a_n"))
+    scored = near.join(shares.hint("merge"), [*scope, "a", "b"]).withColumn("coverage", F.col("hits") / F.col("a_n"))
     out = _only_candidates(scored.where(F.col("coverage") >= coverage), scope)
-    return reads(out.select(*scope, "a", "b", F.round("coverage", 3).alias("coverage"), "a_n", "b_n"), old, new, near)
+    release(found, near, old, new)
+    return reads(out.select(*scope, "a", "b", F.round("coverage", 3).alias("coverage"), "a_n", "b_n"), out)

@@ -268,3 +268,87 @@ def test_unlike_stretches_are_told_by_bounds(monkeypatch):
         m.setattr(matching, "SequenceMatcher", Counted)
         assert [x[0] for x in matching.align(["a" * 500, "k", "abc" * 90], ["a" * 300, "k", "xyz" * 90])] == ["pool", "exact", "pool"]
     assert matching.align(["a long paragraph of words"], ["a long paragraph of word"])[0][0] == "fuzzy"
+
+
+def test_an_index_is_never_broadcast(spark):
+    """Spark takes an index, a row for each gram, for as small as its texts: 18.7 million rows went through the driver."""
+    A, B = (frame(spark, rows) for rows in sides(20, 9))
+    plan = candidates.candidates(A, B, ["s", "k"], 0.9)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def syllables(r, n):
+    return " ".join("".join(r.choice(["an", "the", "er", "on", "re", "he", "in", "ed", "nd", "ha"]) for _ in range(r.randint(1, 4))) for _ in range(n))
+
+
+def test_sections_of_one_language_are_no_candidates(spark, monkeypatch):
+    """Texts of the same syllables share most of their grams; only sections that can reach the coverage are aligned."""
+    r, sizes = random.Random(12), {}
+
+    def counted(df, label, *flag, make=matching.materialize):
+        out = make(df, label, *flag)
+        sizes[label] = matching.rows_of(out)
+        return out
+
+    monkeypatch.setattr(matching, "materialize", counted)
+    removed = {(1, f"a{k}"): [syllables(r, r.randint(14, 24)) for _ in range(3)] for k in range(40)}
+    added = {(1, f"b{k}"): [syllables(r, r.randint(14, 24)) for _ in range(3)] for k in range(40)}
+    for k in range(8):
+        added[1, f"b{k}"] = [p + " more" for p in removed[1, f"a{k}"]]
+    got = moved(spark, removed, added)
+    assert got == plain_moves(removed, added) and len(got) == 8 and sizes["section-candidates"] < 20, sizes
+
+
+@pytest.mark.parametrize("block, lengths", [(2, 64), (1024, 0), (1, 1)])
+def test_similar_sections_miss_none(spark, monkeypatch, block, lengths):
+    """Sections without an equal paragraph: small blocks, sections that are too large to look for partners, and no lengths."""
+    from deltafolio.operators import alike
+
+    monkeypatch.setattr(alike, "BLOCK", block)
+    monkeypatch.setattr(alike, "LENGTHS", lengths)
+    r = random.Random(block)
+    removed = {(r.choice([1, 2]), f"a{k}"): [syllables(r, r.choice([2, 14, 16, 24])) for _ in range(r.randint(1, 6))] for k in range(40)}
+    added = {(s, f"b{n}"): [p + " x" for p in ps][: r.choice([9, 9, 2])] + [syllables(r, 20)] * r.choice([0, 0, 1]) for (s, n), ps in removed.items()}
+    r = random.Random(7)
+    for ps in added.values():
+        r.shuffle(ps)
+    want = plain_moves(removed, added)
+    assert moved(spark, removed, added) == want
+    assert len(want) > 5
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.8, 0.9, 0.95])
+def test_a_common_subsequence_bounds_every_ratio(threshold):
+    from deltafolio.operators import alike
+
+    near = 0
+    for x in texts_like(60, 3, most=40):
+        for y in (*texts_like(30, 3, most=40), x[3:], x + "é", x[: len(x) // 2] + x[len(x) // 2 + 7 :], x[::-1], ""):
+            if SequenceMatcher(None, x, y).ratio() >= threshold:
+                near += 1
+                assert alike.can_reach(x, alike.masks(x), y, threshold), (x, y)
+                assert alike.pairs_of([len(x)], [len(y)], threshold) == 1
+    assert near > 100 and not alike.can_reach("ab" * 300, alike.masks("ab" * 300), "cd" * 300, threshold)
+
+
+@pytest.mark.parametrize("few", [0, 5, 1 << 20])
+def test_pools_with_and_without_an_index(spark, few):
+    a, b = sides(60, 21)
+    A, B = (frame(spark, rows) for rows in (a, b))
+    listed = lambda df: sorted(tuple(r) for r in df.collect())
+    want = listed(matching.fuzzy_edges(A, B, ["s", "k"], 0.8, 5))
+    assert listed(matching.pooled_edges(A, B, ["s", "k"], 0.8, 5, few)) == want and want
+
+
+def test_pool_stretches_hold_their_own_paragraphs(spark, tmp_path):
+    """A section with many replaced stretches isn't read again for each of them."""
+    long = "the amount of the fee that a member pays for each transaction of this kind is set out below "
+    old = [f"c{k}" if k % 3 else f"{k} {long}" for k in range(90)]
+    new = [f"c{k}" if k % 3 else f"{long} {90 - k}" if k % 2 else f"gone {k}" for k in range(90)]
+    spark.createDataFrame([("s", old, new), ("t", [], ["x"])], "k string, old array<string>, new array<string>").write.parquet(f"{tmp_path}/whole")
+    got = matching.align_and_pool(spark.read.parquet(f"{tmp_path}/whole"), ["k"])
+    assert not [f for f in got.inputFiles() if "/whole/" in f]
+    rows = got.where("k = 's'").collect()
+    for begin, end in (("a_from", "a_to"), ("b_from", "b_to")):
+        assert sorted(p for r in rows if r[begin] is not None for p in range(r[begin], r[end])) == list(range(90))
+    assert {r["status"] for r in rows} == {"exact", "fuzzy", "removed", "added"} and [tuple(r) for r in got.where("k = 't'").collect()] == [("t", "added", 0, 0, 0, 1)]
