@@ -107,14 +107,19 @@ def _paragraph_events(both: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     packed = lambda df, name: df.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("ord", "key", "text"))).alias(name))
     texts = materialize(packed(x, "a").join(packed(y, "b"), scope, "full_outer"), "paragraphs-of-sections")
     found = matching.align_and_pool(texts.select(*scope, F.transform("a", lambda p: p["key"]).alias("old"), F.transform("b", lambda p: p["key"]).alias("new")), scope)
-    stretch = lambda c, i, j: F.array_join(F.transform(F.slice(F.col(c), F.col(i) + 1, F.col(j) - F.col(i)), lambda p: p["text"]), " ")
     # What came or went is an event of its own for each paragraph; a reflow or a rewording is one for its stretch.
-    lone = lambda status, i, j: F.when(F.col("status") == status, F.sequence(F.col(i), F.col(j) - 1))
-    gone, come = lone("removed", "a_from", "a_to"), lone("added", "b_from", "b_to")
-    found = found.where("status <> 'exact'").withColumn("at", F.explode_outer(F.coalesce(gone, come)))
-    for status, i, j in (("removed", "a_from", "a_to"), ("added", "b_from", "b_to")):
-        found = found.withColumns({i: F.when(F.col("status") == status, F.col("at")).otherwise(F.col(i)), j: F.when(F.col("status") == status, F.col("at") + 1).otherwise(F.col(j))})
-    own = found.join(texts, scope).select(*PAIR, "title", "status", stretch("a", "a_from", "a_to").alias("old"), stretch("b", "b_from", "b_to").alias("new"))
+    come, gone = F.col("status") == "added", F.col("status") == "removed"
+    lone = F.when(gone, F.sequence("a_from", F.col("a_to") - 1)).when(come, F.sequence("b_from", F.col("b_to") - 1))
+    found = found.where("status <> 'exact'").withColumn("at", F.explode_outer(lone))
+    # A row for each paragraph of an event, which finds its own text by its place: no row holds a section's paragraphs.
+    places = lambda own, i, j: F.transform(F.when(F.col("at").isNull(), F.sequence(i, F.col(j) - 1)).otherwise(F.array("at")), lambda k: F.struct(F.lit(own).alias("side"), k.alias("place")))
+    wanted = F.when(gone, places("a", "a_from", "a_to")).when(come, places("b", "b_from", "b_to")).otherwise(F.concat(places("a", "a_from", "a_to"), places("b", "b_from", "b_to")))
+    event = [*scope, "status", F.coalesce("at", "a_from").alias("event")]
+    wanted = found.select(*event, F.explode(wanted).alias("x")).select(*scope, "status", "event", "x.*")
+    held = lambda own: texts.select(*scope, F.lit(own).alias("side"), F.posexplode(own).alias("place", "p")).select(*scope, "side", "place", "p.text")
+    placed = wanted.join(held("a").unionByName(held("b")).hint("merge"), [*scope, "side", "place"])
+    stretch = lambda own: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == own, F.struct("place", "text")))), lambda p: p["text"]), " ")
+    own = placed.groupBy(*scope, "status", "event").agg(stretch("a").alias("old"), stretch("b").alias("new"))
     named = {"fuzzy": "content_changed", "reflowed": "reflowed", "removed": "removed", "added": "added"}
     kind = F.concat(F.lit("paragraph_"), F.coalesce(*(F.when(F.col("status") == k, F.lit(v)) for k, v in named.items())))
     events = own.select(*PAIR, _event(kind, old=F.when(F.col("status") != "added", F.col("old")), new=F.when(F.col("status") != "removed", F.col("new"))).alias("e")).select(*PAIR, "e.*")

@@ -456,3 +456,19 @@ def test_titles_wait_at_their_rarest_word(spark, monkeypatch, limit):
     monkeypatch.setattr(landing, "fits", lambda df: limit > 0)
     got = landing.detect_titles(spark.createDataFrame(docs, "doc_id int, tokens array<string>"), spark.createDataFrame(titles, "slug int, tokens array<string>"))
     assert {x["doc_id"]: x["slug"] for x in got.collect()} == want and want
+
+
+def test_paragraph_events_find_their_texts_by_place(spark):
+    """Each event takes the texts of its own paragraphs: no row of an event holds all paragraphs of its section."""
+    long = "the amount of the fee that a member pays for each transaction of this kind is set out below in full"
+    old = ["Kept", "One  two", "Three", "Between", long, "Kept too", *(f"Gone {k}" for k in range(3)), "End"]
+    new = ["Kept", "One two three", "Between", long + " x", "Kept too", "End", *(f"New  {k}" for k in range(2))]
+    rows = [("m", e, 0, "section_heading", "Title", None) for e in ("1", "2")]
+    rows += [("m", e, k + 1, "paragraph", t, None) for e, side in (("1", old), ("2", new)) for k, t in enumerate(side)]
+    blocks = spark.createDataFrame(rows, "manual string, edition string, ord long, type string, text string, cells array<string>")
+    found = driver.changes(blocks)
+    assert not [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "slice(" in line]
+    assert sorted(tuple(r)[2:] for r in found.select("manual", "pair", "change_type", "old", "new").collect()) == [
+        ("paragraph_added", None, "New  0"), ("paragraph_added", None, "New  1"), ("paragraph_content_changed", long, long + " x"), ("paragraph_reflowed", "One  two Three", "One two three"),
+        *(("paragraph_removed", f"Gone {k}", None) for k in range(3)),
+    ]
